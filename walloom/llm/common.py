@@ -6,6 +6,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
@@ -51,7 +52,7 @@ def slices(batches, most_bytes: int = 8 << 20, column: str = "text"):
         if not batch.num_rows:
             continue
         texts = batch.column(batch.schema.get_field_index(column))
-        sizes = np.asarray(pa.compute.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        sizes = np.asarray(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
         run = (np.cumsum(sizes) - sizes) // most_bytes
         cuts = np.flatnonzero(np.diff(run)) + 1
         for a, b in zip([0, *cuts], [*cuts, batch.num_rows], strict=True):

@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from . import vector_dedup, vector_topk
+from . import packing, pii, secret_scan, vector_dedup, vector_topk
 from .common import table
 
 
+def op4_secrets(spark, sf_dir):
+    return secret_scan.secret_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op7_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op8_pii(spark, sf_dir):
+    return pii.pii_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_exact_topk(spark, sf_dir):
     return vector_topk.topk_query(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 

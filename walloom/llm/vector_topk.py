@@ -12,6 +12,7 @@ from .common import checkpointed
 LEVELS = (1, 4, 16)
 SAFE = float(1 << 52)
 NONE = np.iinfo(np.int64).min
+BATCH = 1 << 16
 
 
 def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -67,8 +68,10 @@ def _best(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray, k:
     size = np.sqrt((q**2).sum(axis=1))
     survivors = 0
     order = np.argsort(-(x**2).sum(axis=1), kind="stable")
-    for at in range(0, len(x), block):
-        rows = order[at : at + block]
+    whole = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1] < SAFE
+    first = min(len(x), 16 * k)
+    for at, end in [(0, first), *((a, a + block) for a in range(first, len(x), block))]:
+        rows = order[at:end]
         part, ids = x[rows], x_ids[rows]
         of_x = [_statistics(part, p) for p in levels]
         slack = 1e-9 * (1 + size[:, None] * np.sqrt((part**2).sum(axis=1))[None, :])
@@ -84,15 +87,21 @@ def _best(q_ids: np.ndarray, q: np.ndarray, x_ids: np.ndarray, x: np.ndarray, k:
         keep = q_ids[qi] != ids[xi]
         qi, xi = qi[keep], xi[keep]
         survivors += len(qi)
-        for a in range(0, len(qi), 1 << 17):
-            i, j = qi[a : a + (1 << 17)], xi[a : a + (1 << 17)]
-            score = _exact(q[i], part[j])
-            every_q, every_s, every_i = np.concatenate([i, np.repeat(np.arange(n), k)]), np.concatenate([score, best_s.ravel()]), np.concatenate([ids[j], best_i.ravel()])
-            by = np.lexsort((every_i, ~every_s, every_q))
-            every_q = every_q[by]
-            place = np.arange(len(by)) - np.searchsorted(every_q, every_q, side="left")
-            top = by[place < k]
-            best_s, best_i = every_s[top].reshape(n, k), every_i[top].reshape(n, k)
+        if len(qi) * 8 > n * len(part) and whole:
+            score = (q @ part.T)[qi, xi].astype(np.int64)
+        else:
+            score = np.concatenate([np.zeros(0, np.int64), *(_exact(q[qi[a : a + BATCH]], part[xi[a : a + BATCH]]) for a in range(0, len(qi), BATCH))])
+        good = score >= best_s[qi, -1]
+        qi, xi, score = qi[good], xi[good], score[good]
+        if not len(qi):
+            continue
+        who = np.unique(qi)
+        every_q = np.concatenate([qi, np.repeat(who, k)])
+        every_s, every_i = np.concatenate([score, best_s[who].ravel()]), np.concatenate([ids[xi], best_i[who].ravel()])
+        by = np.lexsort((every_i, ~every_s, every_q))
+        every_q = every_q[by]
+        top = by[np.arange(len(by)) - np.searchsorted(every_q, every_q, side="left") < k]
+        best_s[who], best_i[who] = every_s[top].reshape(-1, k), every_i[top].reshape(-1, k)
     return best_s, best_i, survivors
 
 
