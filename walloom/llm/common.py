@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
@@ -90,3 +92,18 @@ class Lookup:
         found = self.keys[a] == keys
         out = np.where(found, self.values[a], np.where(self.keys[b] == keys, self.values[b], self.missing))
         return np.where((keys == 0) & ~found, self.missing, out) if (keys == 0).any() else out
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a table in the session's checkpoint folder, so that later reads need only the columns they use."""
+    session = df.sparkSession
+    if session.sparkContext.getCheckpointDir() is None:
+        session.sparkContext.setCheckpointDir(session.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    path = f"{session.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return session.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, rows: int, most: int = 1_000_000) -> DataFrame:
+    """Broadcast a narrow table of a counted size if that is within the bound; beyond it Spark shuffles both sides."""
+    return F.broadcast(df) if rows <= most else df

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import packing, pii, secret_scan, vector_dedup, vector_topk
+from . import ngram_join, packing, pii, secret_scan, vector_dedup, vector_topk
 from .common import table
 
 
@@ -18,6 +18,10 @@ def op8_pii(spark, sf_dir):
     return pii.pii_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_ngram_join(spark, sf_dir):
+    return ngram_join.similar_documents(table(spark, sf_dir, "documents", "doc_id", "text"), words=4, percent=85)
+
+
 def op6_exact_topk(spark, sf_dir):
     return vector_topk.topk_query(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
