@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from . import ngram_join, packing, pii, secret_scan, vector_dedup, vector_topk
+from . import language_id, ngram_join, packing, pii, secret_scan, vector_dedup, vector_topk
 from .common import table
 
 
+def op1_language_id(spark, sf_dir):
+    return language_id.languages_of(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op4_secrets(spark, sf_dir):
     return secret_scan.secret_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
