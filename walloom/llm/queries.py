@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_id, ngram_join, packing, pii, secret_scan, vector_dedup, vector_topk
+from . import language_id, ngram_join, packing, piece_dropout, pii, quality, secret_scan, vector_dedup, vector_topk
 from .common import table
 
 
@@ -10,6 +10,15 @@ def op1_language_id(spark, sf_dir):
     return language_id.languages_of(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
 
 
+def op2_quality(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents", "doc_id", "text", "source", "lang", "n_chars")
+    return quality.quality_of(documents, table(spark, sf_dir, "labels", "doc_id", "quality"))
+
+
+def op3_piece_dropout(spark, sf_dir):
+    return piece_dropout.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_secrets(spark, sf_dir):
     return secret_scan.secret_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
