@@ -20,12 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def checkpoint_folder(session: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    context = session.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(session.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    return context.getCheckpointDir()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, in the folder that the session names."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -97,9 +102,7 @@ class Lookup:
 def stored(df: DataFrame) -> DataFrame:
     """The rows as a table in the session's checkpoint folder, so that later reads need only the columns they use."""
     session = df.sparkSession
-    if session.sparkContext.getCheckpointDir() is None:
-        session.sparkContext.setCheckpointDir(session.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    path = f"{session.sparkContext.getCheckpointDir()}/{uuid.uuid4().hex}"
+    path = f"{checkpoint_folder(session)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return session.read.schema(df.schema).parquet(path)
 

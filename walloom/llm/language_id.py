@@ -184,39 +184,60 @@ def train(labelled: DataFrame, path: str | None = None, sample_rows: int = SAMPL
     return model
 
 
+def _predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text. Words' scores are kept from batch to batch, a bounded number of them."""
+    if _cache.get("of") is not model:
+        _cache.clear()
+        _cache.update(of=model, place={}, scores=[])
+    place: dict[str, int] = _cache["place"]
+    if len(place) > 300_000:
+        place.clear()
+        _cache["scores"] = []
+    words = [runs(t.as_py() or "") for t in texts]
+    new = list({w for own in words for w in own if w not in place})
+    if new:
+        place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
+        _cache["scores"] = [np.concatenate([*_cache["scores"], model.scores(new)])]
+    counts = np.array([len(own) for own in words])
+    some = counts > 0
+    total = np.zeros((len(words), len(model.languages)))
+    if some.any():
+        flat = np.fromiter((place[w] for own in words for w in own), np.int64, counts.sum())
+        total[some] = np.add.reduceat(_cache["scores"][0][flat].astype(np.float64), (np.cumsum(counts) - counts)[some], axis=0)
+    total *= np.minimum(1, EVIDENCE / np.maximum(counts, 1))[:, None]
+    share = np.exp(total - total.max(axis=1, keepdims=True))
+    share /= share.sum(axis=1, keepdims=True)
+    best = share.argmax(axis=1)
+    lang = [model.languages[k] if s else "und" for k, s in zip(best, some, strict=True)]
+    return lang, np.where(some, share[np.arange(len(best)), best], 0.0)
+
+
 def _predicted(shared):
     def run(batches):
-        model: Model = shared.value
-        if _cache.get("of") is not model:
-            _cache.clear()
-            _cache.update(of=model, place={}, scores=[])
         for rows in slices(batches):
-            place: dict[str, int] = _cache["place"]
-            if len(place) > 300_000:
-                place.clear()
-                _cache["scores"] = []
-            words = [runs(t.as_py() or "") for t in rows.column(1)]
-            new = list({w for own in words for w in own if w not in place})
-            if new:
-                place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
-                _cache["scores"] = [np.concatenate([*_cache["scores"], model.scores(new)])]
-            counts = np.array([len(own) for own in words])
-            some = counts > 0
-            total = np.zeros((len(words), len(model.languages)))
-            if some.any():
-                flat = np.fromiter((place[w] for own in words for w in own), np.int64, counts.sum())
-                total[some] = np.add.reduceat(_cache["scores"][0][flat].astype(np.float64), (np.cumsum(counts) - counts)[some], axis=0)
-            total *= np.minimum(1, EVIDENCE / np.maximum(counts, 1))[:, None]
-            share = np.exp(total - total.max(axis=1, keepdims=True))
-            share /= share.sum(axis=1, keepdims=True)
-            best = share.argmax(axis=1)
-            lang = [model.languages[k] if s else "und" for k, s in zip(best, some, strict=True)]
-            score = np.where(some, share[np.arange(len(best)), best], 0.0)
+            lang, score = _predict(shared.value, rows.column(1))
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
     return run
 
 
+def _kept(shared, text_col: str, least: float):
+    def run(batches):
+        for rows in slices(batches, column=text_col):
+            lang, score = _predict(shared.value, rows.column(rows.schema.get_field_index(text_col)))
+            yield rows.filter(pa.array((np.array(lang) != "und") & (score >= least)))
+
+    return run
+
+
+def keep_identified(documents: DataFrame, model: Model | None, text_col: str = "text", least: float = 0.4) -> DataFrame:
+    """The rows, with all their columns, whose language is known with a score of `least`; none if no language was learned."""
+    if model is None:
+        return documents.limit(0)
+    shared = documents.sparkSession.sparkContext.broadcast(model)  # one number for each piece and language
+    return documents.mapInArrow(_kept(shared, text_col, least), documents.schema)
+
+
 def identify(documents: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """-> (doc_id, lang_pred, score) for every row, from the text alone.
 

@@ -300,3 +300,18 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     least = named.groupBy("part").agg(F.min("head").alias("component_id"))
     named = named.join(least, "part").select("set", "component_id")
     return base.select("doc_id", F.col("n").alias("n_shingles"), "set").join(named, "set", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows, with all their columns, but those that reach a smaller id by links.
+
+    Rows that repeat an id count as one document and one of them stays. Rows without an id or without words all stay.
+    """
+    found = similar_documents(documents, id_col, text_col, words, percent)
+    gone = checkpointed(found.where("component_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct())
+    kept = documents.join(broadcast_if_small(gone, gone.count()), id_col, "left_anti")
+    twice = checkpointed(found.where("doc_id is not null").groupBy(F.col("doc_id").alias(id_col)).agg(F.count("*").alias("rows")).where(F.col("rows") > 1).select(id_col))
+    if twice.isEmpty():
+        return kept.select(*documents.columns)
+    once = kept.join(twice, id_col, "left_semi").dropDuplicates([id_col])
+    return kept.join(twice, id_col, "left_anti").select(*documents.columns).union(once.select(*documents.columns))

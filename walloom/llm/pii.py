@@ -114,11 +114,11 @@ def find_pii(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return split.select("doc_id", F.array_sort(F.concat(*each)).alias("found"))
 
 
-def redact(text: Column, kinds: tuple[Kind, ...] = KINDS) -> Column:
-    """The text with each confirmed span replaced by its kind's mask, one kind after the other; null stays null."""
+def redact(documents: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...] = KINDS) -> DataFrame:
+    """The rows with each confirmed span of the text replaced by its kind's mask, one kind after the other; null stays null."""
     for kind in kinds:
-        text = _masked(text, kind)
-    return text
+        documents = documents.withColumn(text_col, _masked(F.col(text_col), kind))
+    return documents
 
 
 def _masked(text: Column, kind: Kind) -> Column:

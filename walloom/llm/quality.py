@@ -213,5 +213,18 @@ def score(documents: DataFrame, model: Model | None) -> DataFrame:
     return rows.mapInArrow(_scored(model), schema).withColumn("kept", F.col("quality_score") >= 0.5)
 
 
+def _kept(model: Model):
+    def run(batches):
+        for rows in slices(batches):
+            yield rows.filter(pa.array(model.scores(*_views(rows))[2] >= 0.5))
+
+    return run
+
+
+def keep_good(documents: DataFrame, model: Model | None) -> DataFrame:
+    """The rows, with all their columns, of quality_score >= 0.5; all of them without a model."""
+    return documents if model is None else documents.mapInArrow(_kept(model), documents.schema)
+
+
 def quality_of(documents: DataFrame, labels: DataFrame) -> DataFrame:
     return score(documents, train(documents, labels))

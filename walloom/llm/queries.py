@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_id, ngram_join, packing, piece_dropout, pii, quality, secret_scan, vector_dedup, vector_topk
+from . import language_id, ngram_join, packing, piece_dropout, pii, quality, secret_scan, url_templates, vector_dedup, vector_topk
 from .common import table
 
 
@@ -39,6 +39,10 @@ def op6_exact_topk(spark, sf_dir):
     return vector_topk.topk_query(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op9_url_filter(spark, sf_dir):
+    return url_templates.judge(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
 def op10_vector_dedup(spark, sf_dir):
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
