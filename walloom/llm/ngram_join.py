@@ -6,7 +6,8 @@ shingles that link, that difference is at most D = (1 - j) / (1 + j) * (a + b).
 
 * a wide one, per size band, in m > D segments: by the pigeonhole principle a linked pair agrees in m - D segments or
   more, so documents meet that have an equal segment that isn't empty (see `_keys` for segments that are empty);
-* a short one of 512 bits, whose Hamming distance dismisses pairs before any text is read.
+* a short one of about one bit a shingle, 1024 at least, whose Hamming distance dismisses pairs before any text is
+  read; of two widths the wider one is folded to the other by parity.
 
 What is left is verified on the whole sets of 64-bit shingle hashes.
 """
@@ -17,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, checkpointed, mix, slices, stored, string_bytes
@@ -25,7 +26,8 @@ from .components import components, roots
 
 BASE = np.uint64(0x9E3779B97F4A7C55)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C55, -1, 2**64))
-WORDS = 8
+BITS = 1024
+SLICE = 2 << 20
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -103,12 +105,19 @@ def fingerprint(own: np.ndarray) -> int:
 
 
 def _parity(own: np.ndarray) -> np.ndarray:
-    """The short sketch: each shingle flips one of 512 bits."""
-    bit = (mix(own ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(55)).astype(np.int64)
-    odd = (np.bincount(bit, minlength=64 * WORDS) & 1).astype(np.uint8)
+    """The short sketch: each shingle flips one bit. Halves of a sketch fold onto each other."""
+    bits = max(BITS, 1 << (len(own) - 1).bit_length())
+    bit = (mix(own ^ np.uint64(0x2545F4914F6CDD1D)) & np.uint64(bits - 1)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
+def _folded(sketch: Column, other: Column) -> Column:
+    """A sketch, folded once if it is wider than the other."""
+    half = (F.size(sketch) / 2).cast("int")
+    return F.when(F.size(sketch) > F.size(other), F.zip_with(F.slice(sketch, F.lit(1), half), F.slice(sketch, half + 1, half), lambda x, y: x.bitwiseXOR(y))).otherwise(sketch)
+
+
 def _segments(own: np.ndarray, m: int, trial: int) -> tuple[np.ndarray, np.ndarray]:
     """Numbers and 64-bit parity words of the segments that aren't empty. The first trial deals shingles by the top bits
     of hashes that are sorted already."""
@@ -147,7 +156,7 @@ def _keys(own: np.ndarray, rule: Rule, edges: np.ndarray, trials: int = 16) -> l
 def _described(rule: Rule):
     def run(batches):
         edges = rule.edges()
-        for rows in slices(batches):
+        for rows in slices(batches, SLICE):
             n, mark, sketch, keys, seen = [], [], [], [], set()
             for own in shingle_sets(rows.column(1), rule.words):
                 n.append(len(own))
@@ -193,7 +202,7 @@ def _verified(rule: Rule):
 
     def run(batches):
         hub_key, hub = None, None
-        for rows in slices(batches):
+        for rows in slices(batches, SLICE):
             group, salt, role, own_id = (rows.column(rows.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in ("a", "salt", "role", "node"))
             a, b, linked = [], [], []
             for k, own in enumerate(shingle_sets(rows.column(rows.schema.get_field_index("text")), rule.words)):
@@ -227,27 +236,48 @@ def _verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, rule: Rule,
     return checkpointed(rows.mapInArrow(_verified(rule), "a long, b long, linked boolean").distinct())
 
 
-def _unresolved(rule: Rule, block: int = 1024):
-    """Members of one hub, or of two tiles of them -> pairs in different components that the short sketch doesn't dismiss."""
+def _unresolved(rule: Rule, block: int = 512):
+    """Members of one hub, or of two tiles of them -> pairs in different components that the short sketch doesn't dismiss.
+
+    Sketches are compared width by width: sets that link have widths equal or next to each other. A pair that several hubs
+    hold comes from the least of them only.
+    """
 
     def run(key, table):
-        ti, tj = (k.as_py() for k in key[1:])
+        hub, ti, tj = (k.as_py() for k in key)
         own, part, n, here = (table[c].to_numpy() for c in ("b", "component", "n", "here"))
-        sketch = table["sketch"].combine_chunks().flatten().to_numpy().reshape(-1, WORDS).view(np.uint64)
-        left, right = np.flatnonzero(here == ti), np.flatnonzero(here == tj)
+        lists = table["sketch"].combine_chunks()
+        offset, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+        width = np.diff(offset)
+        hubs = table["hubs"].combine_chunks()
         found = [np.zeros((0, 2), np.int64)]
-        for p in range(0, len(left), block):
-            i = left[p : p + block]
-            for q in range(0, len(right), block):
-                j = right[q : q + block]
-                apart = part[i][:, None] != part[j][None, :]
-                if not apart.any():
+
+        def bits(rows: np.ndarray, least: int) -> np.ndarray:
+            w = int(width[rows[0]])
+            out = flat[offset[rows][:, None] + np.arange(w)]
+            return out if w == least else out[:, : w // 2] ^ out[:, w // 2 :]
+
+        for wa in np.unique(width):
+            for wb in (wa // 2, wa, 2 * wa):
+                left, right = np.flatnonzero((here == ti) & (width == wa)), np.flatnonzero((here == tj) & (width == wb))
+                if not len(left) or not len(right):
                     continue
-                x, y = np.nonzero(apart & (own[i][:, None] < own[j][None, :] if ti == tj else apart))
-                x, y = i[x], j[y]
-                near = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1) <= rule.most(n[x] + n[y])
-                x, y = own[x[near]], own[y[near]]
-                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+                x_bits, y_bits = bits(left, min(wa, wb)), bits(right, min(wa, wb))
+                for p in range(0, len(left), block):
+                    for q in range(0, len(right), block):
+                        i, j = left[p : p + block], right[q : q + block]
+                        most = rule.most(n[i][:, None] + n[j][None, :])
+                        open_ = (part[i][:, None] != part[j][None, :]) & (np.abs(n[i][:, None] - n[j][None, :]) <= most)
+                        if ti == tj:
+                            open_ &= own[i][:, None] < own[j][None, :]
+                        x, y = np.nonzero(open_)
+                        for a in range(0, len(x), 1 << 14):
+                            u, v = x[a : a + (1 << 14)], y[a : a + (1 << 14)]
+                            near = np.bitwise_count(x_bits[p + u] ^ y_bits[q + v]).sum(axis=1) <= most[u, v]
+                            pairs = [(k, m) for k, m in zip(i[u[near]].tolist(), j[v[near]].tolist(), strict=True) if min({*hubs[k].as_py()} & {*hubs[m].as_py()}) == hub]
+                            if pairs:
+                                k, m = np.array(pairs).T
+                                found.append(np.stack([np.minimum(own[k], own[m]), np.maximum(own[k], own[m])], axis=1))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -273,9 +303,10 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     mates = checkpointed(keyed.mapInArrow(_mates, "a long, b long").distinct())
 
     side = lambda c: classes.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-    apart = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    total = F.col("n_a") + F.col("n_b")
-    near = mates.join(side("a"), "a").join(side("b"), "b").where(apart <= F.floor((100 - percent) * total / (100 + percent)))
+    a, b = F.col("sketch_a"), F.col("sketch_b")
+    apart = F.aggregate(F.zip_with(_folded(a, b), _folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    most = F.floor((100 - percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    near = mates.join(side("a"), "a").join(side("b"), "b").where(F.abs(F.col("n_a") - F.col("n_b")) <= most).where(F.size(a).between(F.size(b) / 2, F.size(b) * 2) & (apart <= most))
     first = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     checked = _verify(first, classes, texts, rule)
     links = checked.where("linked").select("a", "b")
@@ -286,7 +317,8 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     open_hubs = labelled.where("of_a <> of_b").select("a").distinct()
     members = labelled.join(open_hubs, "a", "left_semi")
     members = members.select("a", "b", F.col("of_b").alias("component")).union(members.select("a", F.col("a").alias("b"), F.col("of_a").alias("component")).distinct())
-    members = checkpointed(members.join(classes.select(F.col("set").alias("b"), "n", "sketch"), "b"))
+    hubs = members.groupBy("b").agg(F.collect_list("a").alias("hubs"))  # at most as many as a document has keys
+    members = checkpointed(members.join(hubs, "b").join(classes.select(F.col("set").alias("b"), "n", "sketch"), "b"))
     sized = members.groupBy("a").agg(F.ceil(F.count("*") / tile).cast("int").alias("m"))
     here = F.pmod(F.xxhash64("b"), F.col("m")).cast("int")
     dealt = members.join(sized, "a").withColumn("here", here).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
