@@ -161,10 +161,10 @@ def decoder(kind: str) -> Callable[[Column], Column]:
 
 def _udf(one: Callable, spark_type: str):
     if spark_type.startswith("struct"):
+        names = [part.split(":")[0] for part in spark_type[7:-1].split(",")] if spark_type.count("<") == 1 else _names(spark_type)
 
         def run(values: pd.Series) -> pd.DataFrame:
             rows = [None if d is None else one(d) for d in values]
-            names = next((list(r) for r in rows if r), None) or _names(spark_type)
             return pd.DataFrame({n: pd.Series([None if r is None else r[n] for r in rows], dtype=object) for n in names})
 
         return F.pandas_udf(run, spark_type)
