@@ -19,6 +19,8 @@ from .common import Lookup, checkpointed, mix, slices
 
 #: At most so many labelled documents of each language are learned from, those of the least hash.
 SAMPLE_ROWS, ROUNDS = 400, 3
+#: Parts of the table of the sample's words, which the bound on the sample keeps small.
+PARTS = 16
 #: Longest piece and longest run of letters scored at once; longer runs are scored in parts.
 PIECE, RUN = 8, 32
 FLOOR, EVIDENCE = 1e-7, 25.0
@@ -26,6 +28,7 @@ LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _cache: dict = {}
+_segmenters: dict = {}
 
 
 def vocabulary_path() -> str:
@@ -56,8 +59,12 @@ class Segmenter:
     """Finds the pieces in words; id 0 stands for a single character that is no piece, and -1 for no piece."""
 
     def __init__(self, pieces: list[str]):
-        keys = [int(_key(np.array([[ord(c) for c in p]], np.uint32))[0]) for p in pieces]
-        self.find = Lookup(np.array(keys, np.uint64), np.arange(1, len(pieces) + 1), -1)
+        sizes = np.array([len(p) for p in pieces])
+        keys = np.zeros(len(pieces), np.uint64)
+        for n in np.unique(sizes):
+            own = np.flatnonzero(sizes == n)
+            keys[own] = _key(np.frombuffer("".join(pieces[k] for k in own).encode("utf-32-le"), np.uint32).reshape(len(own), n))
+        self.find = Lookup(keys, np.arange(1, len(pieces) + 1), -1)
         self.size = len(pieces) + 1
 
     def spans(self, codes: np.ndarray):
@@ -73,6 +80,14 @@ class Segmenter:
                     yield begin, end, ids
 
 
+def segmenter_of(pieces: list[str]) -> Segmenter:
+    """One for each vocabulary and Python worker."""
+    key = (len(pieces), hash(tuple(pieces)))
+    if key not in _segmenters:
+        _segmenters[key] = Segmenter(pieces)
+    return _segmenters[key]
+
+
 def by_length(words: list[str]):
     """Marked words of equal length together: (places, codes)."""
     marked = [MARK + w for w in words]
@@ -93,8 +108,7 @@ class Model:
 
     def scores(self, words: list[str]) -> np.ndarray:
         """log P(word) in each language."""
-        segmenter = Segmenter(self.pieces) if not hasattr(self, "_segmenter") else self._segmenter
-        self._segmenter = segmenter
+        segmenter = segmenter_of(self.pieces)
         table = np.concatenate([self.probability, np.zeros((1, len(self.languages)))]) if not hasattr(self, "_table") else self._table
         self._table = table
         out = np.zeros((len(words), len(self.languages)), np.float32)
@@ -125,7 +139,7 @@ def _expected(model: Model, languages: dict[str, int]):
     """Rows (lang, word, n) -> expected uses of each piece in each language."""
 
     def run(batches):
-        segmenter = Segmenter(model.pieces)
+        segmenter = segmenter_of(model.pieces)
         total = np.zeros((segmenter.size, len(languages)))
         for batch in batches:
             lang = np.array([languages[x] for x in batch.column(0).to_pylist()], int)
@@ -166,7 +180,7 @@ def train(labelled: DataFrame, path: str | None = None, sample_rows: int = SAMPL
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_rows).select("doc_id", "lang").distinct()
     texts = labelled.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")  # sample_rows a language
-    counts = checkpointed(texts.mapInArrow(_counted, "lang string, word string").groupBy("lang", "word").agg(F.count("*").alias("n")))
+    counts = checkpointed(texts.mapInArrow(_counted, "lang string, word string").groupBy("lang", "word").agg(F.count("*").alias("n")).coalesce(PARTS))
     names = sorted(r[0] for r in counts.select("lang").distinct().collect())
     if not names:
         return None
@@ -241,8 +255,7 @@ def keep_identified(documents: DataFrame, model: Model | None, text_col: str = "
 def identify(documents: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """-> (doc_id, lang_pred, score) for every row, from the text alone.
 
-    score is the language's share of the probability, with the evidence of a long text held to that of EVIDENCE average words, so that it doesn't
-    saturate; ties go to the language first by name. A null text, one without letters, and any text when no language was learned:
+    score is the language's share of the probability, with the evidence of a long text held to that of EVIDENCE average words; ties go to the language first by name. A null text, one without letters, and any text when no language was learned:
     `und` with score 0. Every letter of a text counts. Repeated rows each give a row.
     """
     rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
