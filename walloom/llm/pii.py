@@ -36,7 +36,7 @@ def _mod97(match: Column) -> Column:
         code = F.ascii(c)
         return F.when(code <= 57, (acc * 10 + code - 48) % 97).otherwise((acc * 100 + code - 55) % 97)
 
-    return F.aggregate(F.split(turned, "(?!^)"), F.lit(0), step) == 1
+    return F.aggregate(F.filter(F.split(turned, "(?!^)"), lambda c: c != ""), F.lit(0), step) == 1
 
 
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -124,7 +124,7 @@ def redact(documents: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...]
 def _masked(text: Column, kind: Kind) -> Column:
     def piece(gap: Column, match: Column) -> Column:
         good = F.coalesce(kind.valid(match), F.lit(False)) & (_score(kind, gap) >= kind.need)
-        return F.concat(gap, F.coalesce(F.when(good, F.lit(kind.mask)).otherwise(match), F.lit("")))
+        return F.when(match.isNull(), gap).otherwise(F.concat(gap, F.when(good, F.lit(kind.mask)).otherwise(match)))  # no match follows the last gap
 
     gaps, found = F.split(text, kind.pattern, -1), F.regexp_extract_all(text, F.lit(kind.pattern), 0)
     return F.when(text.rlike(kind.gate), F.array_join(F.zip_with(gaps, found, piece), "")).otherwise(text)
