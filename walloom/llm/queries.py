@@ -51,5 +51,26 @@ def queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_REACH = """reach AS (SELECT {0} AS a, {0} AS b FROM n UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON r.b = e.a),
+ part AS (SELECT a, MIN(b) AS component_id FROM reach GROUP BY a)"""
+
+
 def oracle_sql():
-    return {}
+    join = f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+ s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) END AS g FROM d),
+ n AS (SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles FROM s), x AS (SELECT doc_id, unnest(g) AS h FROM s),
+ p AS (SELECT l.doc_id AS a, r.doc_id AS b, COUNT(*) AS c FROM x l JOIN x r ON l.h = r.h AND l.doc_id < r.doc_id GROUP BY ALL),
+ e AS (SELECT a, b FROM p JOIN n l ON l.doc_id = a JOIN n r ON r.doc_id = b WHERE 100 * c >= 85 * (l.n_shingles + r.n_shingles - c)),
+ both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e), {_REACH.format("doc_id")}
+ SELECT doc_id, n_shingles, component_id FROM n JOIN part ON doc_id = a"""
+    search = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings WHERE embedding IS NOT NULL),
+ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ r AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+    near = f"""WITH RECURSIVE n AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings),
+ both_ways AS (SELECT l.vec_id AS a, r.vec_id AS b FROM n l JOIN n r ON l.vec_id <> r.vec_id WHERE list_cosine_similarity(l.v, r.v) >= 0.9), {_REACH.format("vec_id")},
+ links AS (SELECT a, COUNT(*) AS k FROM both_ways GROUP BY a)
+ SELECT vec_id, CAST(coalesce(k, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept FROM n JOIN part ON vec_id = part.a LEFT JOIN links ON vec_id = links.a"""
+    return {"op5_ngram_join": join, "op6_exact_topk": search, "op10_vector_dedup": near}
