@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -95,16 +96,15 @@ def pieces(path: str) -> Pieces:
 
 def _skips(key: np.ndarray, begin, middle, end, rate: float) -> np.ndarray:
     """The keyed hash: whether the merge of [begin, middle) with [middle, end) is skipped."""
-    place = (np.asarray(begin, np.uint64) << np.uint64(40)) + (np.asarray(middle, np.uint64) << np.uint64(20)) + np.asarray(end, np.uint64)
+    place = (np.atleast_1d(np.asarray(begin, np.uint64)) << np.uint64(40)) + (np.atleast_1d(np.asarray(middle, np.uint64)) << np.uint64(20)) + np.atleast_1d(np.asarray(end, np.uint64))
     return mix(key ^ mix(place + np.uint64(0x1D8E4E27C47D124F))) >> np.uint64(11) < np.uint64(int(rate * 2**53))
 
 
 def _unit_keys(units: list[str], seed: int, variant: int) -> np.ndarray:
-    import zlib
-
-    a = np.fromiter((zlib.crc32(u.encode("utf-8", "surrogatepass")) for u in units), np.uint64, len(units))
-    b = np.fromiter((zlib.adler32(u.encode("utf-8", "surrogatepass")) for u in units), np.uint64, len(units))
-    return mix((a << np.uint64(32)) + b + mix(np.full(len(units), seed * 1_000_003 + variant, np.int64).view(np.uint64)))
+    raw = [u.encode("utf-8", "surrogatepass") for u in units]
+    a = np.fromiter(map(zlib.crc32, raw), np.uint64, len(units))
+    b = np.fromiter(map(zlib.adler32, raw), np.uint64, len(units))
+    return mix((a << np.uint64(32)) + b + mix(np.full(1, seed * 1_000_003 + variant, np.int64).view(np.uint64)))
 
 
 def _symbols(model: Pieces, unit: str) -> list[int]:
@@ -141,8 +141,9 @@ def _agenda(model: Pieces, unit: str, key: np.ndarray, rate: float) -> list[int]
     return [ids[k] for k in range(n) if alive[k]]
 
 
-def _steps(model: Pieces, units: list[str], keys: np.ndarray, rate: float) -> list[list[int]]:
-    """Units of equal length together: in each step every unit makes its best merge that isn't skipped."""
+def _steps(model: Pieces, units: list[str], keys: np.ndarray, rate: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Units of equal length together: in each step every unit makes its best merge that isn't skipped. Comes out as
+    (places of units, their ids as a matrix), by the number of ids."""
     n, width = len(units), len(units[0])
     codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, width)
     known, back = np.unique(codes, return_inverse=True)
@@ -157,13 +158,13 @@ def _steps(model: Pieces, units: list[str], keys: np.ndarray, rate: float) -> li
         return np.where(bad, NONE, r)
 
     rank = ranks(ids[:, :-1], ids[:, 1:], edge[:, :-2], edge[:, 1:-1], edge[:, 2:], keys[:, None]) if width > 1 else np.zeros((n, 0), np.int32)
-    out: list = [None] * n
+    out: list = []
     rows = np.arange(n)
     while True:
         best = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(rows), int)
         live = rank[np.arange(len(rows)), best] < NONE if rank.shape[1] else np.zeros(len(rows), bool)
-        for k in np.flatnonzero(~live):
-            out[rows[k]] = ids[k].tolist()
+        if not live.all():
+            out.append((rows[~live], ids[~live]))
         if not live.any():
             return out
         rows, best, ids, edge, rank = rows[live], best[live], ids[live], edge[live], rank[live]
@@ -181,49 +182,78 @@ def _steps(model: Pieces, units: list[str], keys: np.ndarray, rate: float) -> li
             rank[own, p] = ranks(ids[own, p], ids[own, p + 1], edge[own, p], edge[own, p + 1], edge[own, p + 2], keys[rows[own]])
 
 
-def encode_units(model: Pieces, units: list[str], seed: int, variant: int, rate: float) -> list[list[int]]:
+def encode_units(model: Pieces, units: list[str], seed: int, variant: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all units end to end, and how many each unit has."""
     keys = _unit_keys(units, seed, variant)
     sizes = np.array([len(u) for u in units])
-    out: list = [None] * len(units)
+    blocks: list[tuple[np.ndarray, np.ndarray]] = []
     for width in np.unique(sizes):
         own = np.flatnonzero(sizes == width)
+        if width > WIDE:
+            blocks += [(own[k : k + 1], np.array([_agenda(model, units[i], keys[i : i + 1], rate)], np.int32)) for k, i in enumerate(own)]
+            continue
         for a in range(0, len(own), 8192):
             part = own[a : a + 8192]
-            if width > WIDE:
-                found = [_agenda(model, units[k], keys[k : k + 1], rate) for k in part]
-            else:
-                found = _steps(model, [units[k] for k in part], keys[part], rate)
-            for k, ids in zip(part, found, strict=True):
-                out[k] = model.spelled(units[k], ids) if min(ids) < 0 else ids
-    return out
+            blocks += [(part[at], ids) for at, ids in _steps(model, [units[k] for k in part], keys[part], rate)]
+    spelled: dict[int, list[int]] = {}
+    counts = np.zeros(len(units), np.int64)
+    for at, ids in blocks:
+        counts[at] = ids.shape[1]
+        for k in np.flatnonzero((ids < 0).any(axis=1)):
+            spelled[int(at[k])] = model.spelled(units[at[k]], ids[k].tolist())
+            counts[at[k]] = len(spelled[int(at[k])])
+    begin = np.cumsum(counts) - counts
+    flat = np.zeros(int(counts.sum()), np.int32)
+    for at, ids in blocks:
+        fine = (ids >= 0).all(axis=1)
+        flat[begin[at[fine]][:, None] + np.arange(ids.shape[1])] = ids[fine]
+    for k, ids in spelled.items():
+        flat[begin[k] : begin[k] + len(ids)] = ids
+    return flat, counts
+
+
+class Known:
+    """Encoded units of a Python worker: their ids end to end, for each variant where a unit's ids are."""
+
+    def __init__(self, model: Pieces, variants: int):
+        literal = model.byte_id[np.frombuffer(MARK.encode(), np.uint8)].astype(np.int32)
+        self.flat, self.counts = literal, np.array([len(literal)])
+        self.begin = np.zeros(1, np.int64)
+        self.place: list[dict[str, int]] = [{LITERAL: 0} for _ in range(variants)]
+
+    def add(self, variant: int, units: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
+        self.place[variant].update(zip(units, range(len(self.counts), len(self.counts) + len(units)), strict=True))
+        self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
+        self.begin = np.cumsum(self.counts) - self.counts
+
+    def ids(self, index: np.ndarray) -> np.ndarray:
+        """Ids of the units at places, end to end."""
+        counts = self.counts[index]
+        ends = np.cumsum(counts)
+        return self.flat[np.repeat(self.begin[index] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
 
 
 def _encoded(path: str, seed: int, variants: int, rate: float):
+    key = (path, seed, variants, rate)
+
     def run(batches):
         model = pieces(path)
         for rows in slices(batches, 4 << 20):
-            texts = rows.column(1)
+            if key not in _cached or len(_cached[key].counts) > 300_000:
+                _cached[key] = Known(model, variants)
+            known: Known = _cached[key]
             which = rows.column(2).to_numpy()
-            ids: list = [None] * len(texts)
+            split = [_units(model, t.as_py()) if t.is_valid and len(t.as_py()) else [] for t in rows.column(1)]
             for v in range(variants):
-                own = np.flatnonzero(which == v)
-                held = _cached.setdefault((path, seed, v, rate), {})
-                literal = np.array(model.byte_id[np.frombuffer(MARK.encode(), np.uint8)], np.int32)
-                if len(held) * variants > 300_000:
-                    held.clear()
-                held[LITERAL] = literal
-                split = []
-                for k in own:
-                    text = texts[int(k)].as_py()
-                    split.append([] if not text else _units(model, text))
-                new = list({u for units in split for u in units if u not in held})
+                held = known.place[v]
+                new = list({u for k in np.flatnonzero(which == v) for u in split[k] if u not in held})
                 if new:
-                    held.update(zip(new, (np.array(x, np.int32) for x in encode_units(model, new, seed, v, rate)), strict=True))
-                for k, units in zip(own, split, strict=True):
-                    ids[k] = np.concatenate([held[u] for u in units]) if units else np.zeros(0, np.int32)
-            sizes = np.array([len(x) for x in ids])
-            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
-            yield pa.RecordBatch.from_arrays([rows.column(0), lists], ["doc_id", "ids"])
+                    known.add(v, new, *encode_units(model, new, seed, v, rate))
+            n_units = np.array([len(units) for units in split])
+            index = np.fromiter((i for v, units in zip(which, split, strict=True) for i in map(known.place[v].__getitem__, units)), np.int64, n_units.sum())
+            ids = known.ids(index)
+            ends = np.concatenate([[0], np.cumsum(known.counts[index])])[np.concatenate([[0], np.cumsum(n_units)])]
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(ids))], ["doc_id", "ids"])
 
     return run
 
@@ -301,8 +331,6 @@ def _digested(path: str, inner):
     """Encoded rows with their texts, decoded again: counts and checksums for the registered query."""
 
     def run(batches):
-        import zlib
-
         model = pieces(path)
         for batch in inner(batches):
             texts = _texts(model, batch.column(1))
