@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, mix
+from .common import broadcast_if_small, checkpointed, mix
 from .components import components, roots
 from .vector_topk import fit_of
 
@@ -32,7 +32,6 @@ def _keys(unit: np.ndarray, tables: int, projections: int, cell: float, seed: in
 def _hashed(tables: int, projections: int, cell: float, seed: int):
     def run(batches):
         for batch in batches:
-            rows = batch.num_rows
             lists = batch.column(1)
             width = np.diff(lists.offsets.to_numpy())
             flat = lists.flatten().to_numpy()
@@ -48,7 +47,6 @@ def _hashed(tables: int, projections: int, cell: float, seed: int):
                     part = batch.take(take)
                     lists_of_keys = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, tables, dtype=np.int32), pa.array(keys.ravel()))
                     yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), lists_of_keys], ["vec_id", "v", "copies", "keys"])
-            assert rows >= 0
 
     return run
 
@@ -58,10 +56,10 @@ def _blocks(n: int, size: int):
 
 
 def _pairs_of(table: int, unit_a, keys_a, unit_b, keys_b, least: float):
-    """Index pairs with cosine >= least whose first common table is this one."""
+    """Index pairs with cosine >= least whose first common table is this one; keys are those of the tables before."""
     i, j = np.nonzero(unit_a @ unit_b.T >= least)
     if table and len(i):
-        first = ~(keys_a[i, :table] == keys_b[j, :table]).any(axis=1)
+        first = ~(keys_a[i] == keys_b[j]).any(axis=1)
         i, j = i[first], j[first]
     return i, j
 
@@ -110,7 +108,8 @@ def _linked(least: float):
         lists = rows["v"].combine_chunks()
         offset = lists.offsets.to_numpy()
         values = lists.values.to_numpy().astype(np.float64, copy=False)
-        keys = rows["keys"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        before = rows["keys"].combine_chunks()
+        key_at, key_values = before.offsets.to_numpy(), before.values.to_numpy()
         out = []
         for a, b in zip([0, *cuts], [*cuts, len(ids)], strict=True):
             if b - a < 2:
@@ -118,7 +117,8 @@ def _linked(least: float):
             x = values[offset[a] : offset[b]].reshape(b - a, -1)
             x = x / np.abs(x).max(axis=1, keepdims=True)
             unit = x / np.sqrt((x**2).sum(axis=1, keepdims=True))
-            count, edges = bucket(tbl[a], ids[a:b], copies[a:b], unit, keys[a:b], here[a:b], ti[a], tj[a])
+            keys = key_values[key_at[a] : key_at[b]].reshape(b - a, tbl[a])
+            count, edges = bucket(tbl[a], ids[a:b], copies[a:b], unit, keys, here[a:b], ti[a], tj[a])
             some = count > 0
             out.append((ids[a:b][some], np.full(some.sum(), -1), count[some]))
             out.append((edges[:, 0], edges[:, 1], np.zeros(len(edges), np.int64)))
@@ -153,9 +153,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     classes = checkpointed(rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.max("vec_id").alias("last")))
     hashed = classes.select("vec_id", "v", "copies").mapInArrow(_hashed(tables, projections, cell, seed), f"vec_id long, {_typed(rows)}, copies long, keys array<long>")
     dealt = hashed.select("*", F.posexplode("keys").alias("tbl", "key"))
-    slim = checkpointed(dealt.groupBy("tbl", "key").agg(F.count("*").alias("rows")).where(F.col("rows") > 1))
-    hot = slim.where(F.col("rows") > tile).select("tbl", "key", F.ceil(F.col("rows") / tile).cast("int").alias("m"))
-    dealt = dealt.join(hot, ["tbl", "key"], "left")
+    counted = dealt.groupBy("tbl", "key").agg(F.count("*").alias("rows")).where(F.col("rows") > tile)
+    hot = checkpointed(counted.select("tbl", "key", F.ceil(F.col("rows") / tile).cast("int").alias("m")))
+    dealt = dealt.withColumn("keys", F.slice("keys", F.lit(1), F.col("tbl"))).join(broadcast_if_small(hot, hot.count()), ["tbl", "key"], "left")
     here = F.pmod(F.xxhash64("vec_id"), F.coalesce("m", F.lit(1))).cast("int")
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.coalesce("m", F.lit(1)) - 1), lambda o: F.struct(F.least("here", o).alias("ti"), F.greatest("here", o).alias("tj"))))
     dealt = dealt.withColumn("here", here).select("tbl", "key", "vec_id", "v", "copies", "keys", "here", pair.alias("t")).select("*", "t.ti", "t.tj").drop("t")
