@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import progress, transactions
 from ..sources import frames
-from ..session import ship
+from ..session import ship, stored
 
 
 def session(name: str) -> SparkSession:
@@ -17,12 +17,13 @@ def session(name: str) -> SparkSession:
 
 
 def messages(spark: SparkSession, path: str) -> DataFrame:
-    """Messages of landed frames (slot, seq, payload), with or without a header."""
+    """Messages of landed frames (slot, seq, payload), with or without a header. They are decoded once and stored: descriptions,
+    outcomes and changes are then read from the table."""
     log = spark.read.parquet(path).select("slot", "seq", "payload")
     tag = F.decode(F.substring("payload", 1, 1), "ISO-8859-1")
     bare = log.where(~tag.isin("w", "k"))
     data, _ = frames.split_frames(log)
-    return frames.messages(bare.unionByName(data.select("slot", "seq", "payload")))
+    return stored(frames.messages(bare.unionByName(data.select("slot", "seq", "payload"))))
 
 
 def committed(found: DataFrame) -> DataFrame:

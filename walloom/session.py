@@ -5,10 +5,11 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -27,3 +28,18 @@ def ship(spark: SparkSession) -> None:
     Path(path).write_bytes(held.getvalue())
     context.addPyFile(path)
     _shipped.add(context.applicationId)
+
+
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a table in the checkpoint folder, so that they are made once and later reads take only the columns they use."""
+    path = f"{checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

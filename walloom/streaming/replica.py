@@ -10,15 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from ..session import checkpoint_folder
+
 
 def folder(spark: SparkSession) -> str:
     """A new folder where the session keeps its checkpoints."""
-    import tempfile
-
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return f"{context.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
+    return f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
 class Replica:
