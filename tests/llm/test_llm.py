@@ -230,8 +230,9 @@ def test_secret_prefilter_misses_nothing():
     rng = random.Random(9)
     for _ in range(300):
         t = "".join(rng.choice(["token", "=", " ", "AKIA", "ABCDEFGH1234567890", "0123456789abcdef", "é", "Api_Key", ":", '"', "x" * 7]) for _ in range(rng.randint(0, 14)))
-        batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array(["a" * 23, t])], ["doc_id", "text"])
-        found = [s for b in secret_scan._scan([batch]) for s in b.column(1).to_pylist()][1]
+        others = ["", "a" * rng.randint(0, 23), None, t, "f" * rng.randint(0, 23), ""]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(others)], ["doc_id", "text"])
+        found = [s for b in secret_scan._scan([batch]) for s in b.column(1).to_pylist()][3]
         assert sorted((s["start"], s["kind"], s["end"]) for s in found if s["kind"] in secret_scan.BASE) == sorted((a, k, b) for a, _, k, b in secret_base(t))
 
 

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_folder, stored
+
+__all__ = ["Lookup", "broadcast_if_small", "checkpoint_folder", "checkpointed", "mix", "slices", "stored", "string_bytes", "table"]
+
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 
@@ -20,14 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
-def checkpoint_folder(session: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
-    context = session.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(session.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return context.getCheckpointDir()
-
-
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint, in the folder that the session names."""
     checkpoint_folder(df.sparkSession)
@@ -99,14 +92,6 @@ class Lookup:
         return np.where((keys == 0) & ~found, self.missing, out) if (keys == 0).any() else out
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows as a table in the session's checkpoint folder, so that later reads need only the columns they use."""
-    session = df.sparkSession
-    path = f"{checkpoint_folder(session)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return session.read.schema(df.schema).parquet(path)
-
-
 def broadcast_if_small(df: DataFrame, rows: int, most: int = 1_000_000) -> DataFrame:
     """Broadcast a narrow table of a counted size if that is within the bound; beyond it Spark shuffles both sides."""
     return F.broadcast(df) if rows <= most else df

@@ -139,14 +139,12 @@ def spans(text: str) -> list[dict]:
 def _long_runs(texts: pa.Array) -> np.ndarray:
     """Per text, whether it has a run of LONG_RUN characters or more that a key could be written in."""
     flat, offsets = string_bytes(texts)
-    member = np.concatenate([[False], _RUN[flat], [False]])
-    member[offsets[1:-1]] &= True
+    member = np.insert(_RUN[flat], offsets[1:-1], False)  # a gap between texts, so that no run crosses a border
+    member = np.concatenate([[False], member, [False]])
     edge = np.flatnonzero(member[1:] != member[:-1])
     starts, ends = edge[::2], edge[1::2]
-    long = ends - starts >= LONG_RUN
     out = np.zeros(len(texts), bool)
-    for place in (starts[long], ends[long] - 1):  # a run over a border counts for both texts
-        out[np.searchsorted(offsets, place, side="right") - 1] = True
+    out[np.searchsorted(offsets[:-1] + np.arange(len(texts)), starts[ends - starts >= LONG_RUN], side="right") - 1] = True
     return out
 
 
