@@ -111,6 +111,14 @@ def test_quality_held_out(spark, sf_dir, docs):
     assert len(got) > 10 and sum(r["kept"] == (r["quality"] == 1) for r in got) >= 0.9 * len(got)
 
 
+def test_quality_of_more_labels(spark):
+    more = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{more}/documents.parquet"), table(spark, more, "labels", "doc_id", "quality")
+    got = quality.score(docs, quality.train(docs, labels.where("doc_id % 4 <> 1"))).join(labels.where("doc_id % 4 = 1"), "doc_id").collect()
+    good, junk = ([r for r in got if r["quality"] == q] for q in (1, 0))
+    assert len(junk) >= 5 and sum(r["kept"] for r in good) >= 0.98 * len(good) and sum(not r["kept"] for r in junk) >= 0.9 * len(junk)
+
+
 def test_views_teach_each_other():
     rng = np.random.default_rng(3)
     y = rng.integers(0, 2, 600)

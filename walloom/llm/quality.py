@@ -116,14 +116,14 @@ def _calibrated(x: np.ndarray, y: np.ndarray, of: np.ndarray, own_y: np.ndarray,
 
 
 def co_train(text: np.ndarray, meta: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, teach: int = TEACH, sure: float = SURE) -> Model:
-    """y: 1 and 0, or -1 for rows without a label. A fifth of the labelled rows only calibrates.
+    """y: 1 and 0, or -1 for rows without a label. A fifth of the labelled rows of each class only calibrates.
 
     Each round both views are fitted and calibrated; each then labels, for the other, the pool's rows of which it is surest, at most
     `teach` of each class and none under `sure`. Calibration keeps a view that knows little from being sure.
     """
     known, pool = np.flatnonzero(y >= 0), np.flatnonzero(y < 0)
-    hold = known[np.arange(len(known)) % 5 == 0]
-    own = known[np.arange(len(known)) % 5 != 0]
+    hold = np.concatenate([known[y[known] == c][::5] for c in (0, 1)])
+    own = np.setdiff1d(known, hold)
     views, extra = [text, meta], [{}, {}]
     taught = [0, 0]
 
