@@ -14,7 +14,9 @@ What is left is verified on the whole sets of 64-bit shingle hashes.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -127,6 +129,20 @@ def _segments(own: np.ndarray, m: int, trial: int) -> tuple[np.ndarray, np.ndarr
     return number[start], np.bitwise_xor.reduceat(mix(hashes ^ np.uint64(0x9FB21C651E98DF25)), start)
 
 
+@lru_cache(4096)
+def spare_segments(most: int, least: int) -> int:
+    """Segments over most + 1: as many as a set of `least` shingles, the band's smallest, leaves empty in nearly every case."""
+    extra = 1
+    for _ in range(30):
+        m = most + 1 + extra
+        empty = m * math.exp(-least / m)
+        new = min(math.ceil(empty + 3 * math.sqrt(empty)) + 1, most + 1)
+        if new == extra:
+            break
+        extra = new
+    return extra
+
+
 def _keys(own: np.ndarray, rule: Rule, edges: np.ndarray, trials: int = 16) -> list[np.ndarray]:
     """Join keys of a set in its own size band and, where larger sets of the next band can link, there too.
 
@@ -140,7 +156,7 @@ def _keys(own: np.ndarray, rule: Rule, edges: np.ndarray, trials: int = 16) -> l
         if k < 1 or (k > band and 100 * size < rule.percent * int(edges[k])):
             continue
         most = int(rule.most(2 * (int(edges[k + 1]) - 1)))
-        spare = 1 + most // 16
+        spare = spare_segments(most, -(-rule.percent * int(edges[k]) // 100))
         for trial in range(trials + 1):
             salt = np.uint64((k * 64 + trial) * 0x9E3779B97F4A7C15 % 2**64)
             if trial == trials:
@@ -154,25 +170,31 @@ def _keys(own: np.ndarray, rule: Rule, edges: np.ndarray, trials: int = 16) -> l
 
 
 def _described(rule: Rule):
+    def run(batches):
+        for rows in slices(batches, SLICE):
+            sets = shingle_sets(rows.column(1), rule.words)
+            n = pa.array([len(own) for own in sets], pa.int64())
+            mark = pa.array([fingerprint(own) if len(own) else None for own in sets], pa.int64())
+            sketch = pa.array([_parity(own) if len(own) else None for own in sets], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([rows.column(0), n, mark, sketch], ["doc_id", "n", "set", "sketch"])
+
+    return run
+
+
+def _keyed(rule: Rule):
     def run(batches):
         edges = rule.edges()
         for rows in slices(batches, SLICE):
-            n, mark, sketch, keys, seen = [], [], [], [], set()
-            for own in shingle_sets(rows.column(1), rule.words):
-                n.append(len(own))
-                if not len(own):
-                    mark.append(None)
-                    sketch.append(None)
-                    keys.append(None)
+            key, mark, seen = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], set()
+            for own in shingle_sets(rows.column(0), rule.words):
+                f = fingerprint(own) if len(own) else None
+                if f is None or f in seen:
                     continue
-                f = fingerprint(own)
-                mark.append(f)
-                sketch.append(_parity(own))
-                found = _keys(own, rule, edges) if f not in seen else []
                 seen.add(f)
-                keys.append(np.unique(np.concatenate(found)).view(np.int64) if found else None)
-            lists = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n, pa.int64()), pa.array(mark, pa.int64()), pa.array(sketch, lists), pa.array(keys, lists)], ["doc_id", "n", "set", "sketch", "keys"])
+                found = _keys(own, rule, edges)
+                key += found
+                mark += [np.full(len(k), f) for k in found]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key).view(np.int64)), pa.array(np.concatenate(mark))], ["key", "set"])
 
     return run
 
@@ -287,8 +309,8 @@ def _unresolved(rule: Rule, block: int = 512):
 def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, tile: int = 4096) -> DataFrame:
     """-> (doc_id, n_shingles, component_id) for every row; component_id is the smallest id reached by links, itself included.
 
-    Rows whose sets are equal are one class, known by a 64-bit fingerprint, and only classes are compared. Keys meet
-    by a shuffle; of the classes under one key, each is paired with the first (never all with all). Pairs are verified on
+    Rows whose sets are equal are one class, known by a 64-bit fingerprint, and only classes are compared. Keys are made in a
+    pass of their own, as a table of them would outweigh the texts; they meet by a shuffle; of the classes under one key, each is paired with the first (never all with all). Pairs are verified on
     whole sets, first one pair for each class; where the links found so far leave members of a hub in different components, all
     pairs of that hub's members that are still apart pass the short sketch in tiles, and what it doesn't dismiss is verified too.
     So every two classes that share a key end up verified or in one component, and no link is lost.
@@ -297,9 +319,9 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     """
     rule = Rule(words, percent)
     texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    base = stored(texts.mapInArrow(_described(rule), "doc_id long, n long, set long, sketch array<long>, keys array<long>"))
+    base = stored(texts.mapInArrow(_described(rule), "doc_id long, n long, set long, sketch array<long>"))
     classes = checkpointed(base.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("head"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
-    keyed = base.select(F.explode("keys").alias("key"), "set").repartition("key").sortWithinPartitions("key", "set")
+    keyed = texts.select("text").mapInArrow(_keyed(rule), "key long, set long").repartition("key").sortWithinPartitions("key", "set")
     mates = checkpointed(keyed.mapInArrow(_mates, "a long, b long").distinct())
 
     side = lambda c: classes.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
