@@ -37,7 +37,7 @@ def cstring(text: Column) -> Column:
 def cstring_end(data: Column, at) -> Column:
     """The place of the zero byte at or after `at`. Latin-1 has one character for each byte, so places agree."""
     at = at if isinstance(at, Column) else F.lit(at)
-    return F.locate(F.char(F.lit(0)), F.decode(data, "ISO-8859-1"), at) if not isinstance(at, Column) else F.call_function("locate", F.char(F.lit(0)), F.decode(data, "ISO-8859-1"), at)
+    return F.call_function("locate", F.char(F.lit(0)), F.decode(data, "ISO-8859-1"), at)
 
 
 def text_between(data: Column, at, end: Column) -> Column:

@@ -27,8 +27,8 @@ class Replica:
     before anything is confirmed.
     """
 
-    def __init__(self, path: str, keys: list[str], columns: list[str], marked: dict[str, str] | None = None, partitions: int | None = None):
-        self.path, self.keys, self.columns, self.marked, self.partitions = path, keys, columns, marked or {}, partitions
+    def __init__(self, path: str, keys: list[str], columns: list[str], marked: dict[str, str] | None = None):
+        self.path, self.keys, self.columns, self.marked = path, keys, columns, marked or {}
 
     def version(self, batch: int) -> str:
         return f"{self.path}/rows/batch={batch}"
@@ -45,16 +45,15 @@ class Replica:
         spark = changes.sparkSession
         before, confirmed = self._read(spark, batch - 1), self.position(spark, batch - 1)
         new = changes.where(F.col("commit_lsn") > confirmed).dropDuplicates(["commit_lsn", "seq"]).select(*self.keys, *self.columns, *self.marked.values(), "op", "seq", "commit_lsn")
-        held = [c for c in self.columns]
         state = F.struct(F.col("seq"))
         if before is not None:
             new = before.unionByName(new.drop("commit_lsn"), allowMissingColumns=True)
         at = lambda c: F.when((F.col("op") != "delete") & (~F.coalesce(F.col(self.marked[c]), F.lit(False)) if c in self.marked else F.lit(True)), state)
         kept = new.groupBy(*self.keys).agg(
             F.max_by("op", state).alias("op"), F.max("seq").alias("seq"),
-            *(F.max_by(F.struct(F.col(c).alias("v")), at(c)).alias(c) for c in held),
+            *(F.max_by(F.struct(F.col(c).alias("v")), at(c)).alias(c) for c in self.columns),
         )
-        rows = kept.select(*self.keys, *(F.col(c)["v"].alias(c) for c in held), "op", "seq")
+        rows = kept.select(*self.keys, *(F.col(c)["v"].alias(c) for c in self.columns), "op", "seq")
         rows.write.mode("overwrite").parquet(self.version(batch))
         last = changes.agg(F.greatest(F.coalesce(F.max("commit_lsn"), F.lit(confirmed)), F.lit(confirmed)).cast("bigint").alias("confirmed_lsn"))
         last.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/progress/batch={batch}")
