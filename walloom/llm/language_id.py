@@ -21,6 +21,8 @@ from .common import Lookup, checkpointed, mix, slices
 SAMPLE_ROWS, ROUNDS = 400, 3
 #: Parts of the table of the sample's words, which the bound on the sample keeps small.
 PARTS = 16
+#: Words whose scores a Python worker keeps, and bytes of text that it takes at once.
+KNOWN_WORDS, SLICE = 120_000, 2 << 20
 #: Longest piece and longest run of letters scored at once; longer runs are scored in parts.
 PIECE, RUN = 8, 32
 FLOOR, EVIDENCE = 1e-7, 25.0
@@ -161,7 +163,7 @@ def _expected(model: Model, languages: dict[str, int]):
 
 
 def _counted(batches):
-    for rows in slices(batches):
+    for rows in slices(batches, SLICE):
         lang, word = [], []
         for code, text in zip(rows.column(0).to_pylist(), rows.column(1), strict=True):
             own = runs(text.as_py() or "")
@@ -204,7 +206,7 @@ def _predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         _cache.clear()
         _cache.update(of=model, place={}, scores=[])
     place: dict[str, int] = _cache["place"]
-    if len(place) > 300_000:
+    if len(place) > KNOWN_WORDS:
         place.clear()
         _cache["scores"] = []
     words = [runs(t.as_py() or "") for t in texts]
@@ -228,7 +230,7 @@ def _predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
 
 def _predicted(shared):
     def run(batches):
-        for rows in slices(batches):
+        for rows in slices(batches, SLICE):
             lang, score = _predict(shared.value, rows.column(1))
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 
@@ -237,7 +239,7 @@ def _predicted(shared):
 
 def _kept(shared, text_col: str, least: float):
     def run(batches):
-        for rows in slices(batches, column=text_col):
+        for rows in slices(batches, SLICE, text_col):
             lang, score = _predict(shared.value, rows.column(rows.schema.get_field_index(text_col)))
             yield rows.filter(pa.array((np.array(lang) != "und") & (score >= least)))
 

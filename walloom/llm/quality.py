@@ -14,6 +14,8 @@ from .common import broadcast_if_small, slices, string_bytes
 #: Bounds of what is learned from: labelled documents and unlabelled ones, those of the least hash.
 LABELLED_ROWS, POOL_ROWS = 6000, 6000
 ROUNDS, TEACH, SURE = 4, 300, 0.95
+#: Bytes of text that a task takes at once.
+SLICE = 2 << 20
 PAIR_BINS, SOURCE_BINS, LANG_BINS, SIZE_BINS = 256, 32, 16, 12
 
 
@@ -154,7 +156,7 @@ def _views(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _featured(batches):
-    for rows in slices(batches):
+    for rows in slices(batches, SLICE):
         text, meta = _views(rows)
         as_list = lambda x: pa.ListArray.from_arrays(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32), pa.array(x.ravel()))
         yield pa.RecordBatch.from_arrays([rows.column(rows.schema.get_field_index("y")), as_list(text), as_list(meta)], ["y", "text", "meta"])
@@ -162,7 +164,7 @@ def _featured(batches):
 
 def _scored(model: Model):
     def run(batches):
-        for rows in slices(batches):
+        for rows in slices(batches, SLICE):
             text, meta, both = model.scores(*_views(rows))
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(text), pa.array(meta), pa.array(both)], ["doc_id", "text_score", "meta_score", "quality_score"])
 
@@ -215,7 +217,7 @@ def score(documents: DataFrame, model: Model | None) -> DataFrame:
 
 def _kept(model: Model):
     def run(batches):
-        for rows in slices(batches):
+        for rows in slices(batches, SLICE):
             yield rows.filter(pa.array(model.scores(*_views(rows))[2] >= 0.5))
 
     return run
