@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from walloom.functions import wire
+from walloom.functions import layouts, wire
 from walloom.jobs import deliver, outbox, replicate
 from walloom.sources import frames
 
@@ -46,3 +46,38 @@ def test_deliver(spark, log):
 
 def test_outbox(spark, log):
     assert sorted(r["value"] for r in outbox.outbox(spark, log, "p").collect()) == ["at once", "in"]
+
+
+@pytest.fixture(scope="module")
+def wide_log(spark, tmp_path_factory):
+    """Two tables with a key of two columns and types of all sorts: a truncate of both, a moved row, a text value."""
+    lit, t = F.lit, F.lit(0)
+    none = (lit(None).cast("binary"), None)
+    of = lambda v, kind: (wire.encode_value(lit(v), kind), None)
+    coded = lambda v, kind: (layouts.encoder(kind)(lit(v)), None)
+    row = lambda a, b, n: frames.tuple_bytes([of(a, "int4"), of(b, "text"), coded(n, "numeric"), coded(2.5, "float8"), of(1000000, "time")])
+    key = lambda a, b: frames.tuple_bytes([of(a, "int4"), of(b, "text"), none, none, none])
+    as_text = F.concat(lit(bytearray(b"\x00\x05")), *(F.concat(F.encode(lit("t"), "UTF-8"), wire.int_bytes(lit(len(x)), 4), F.encode(lit(x), "UTF-8")) for x in ("4", "z", "7.50", "0.5", "00:00:01")))
+    columns = [("a", "int4", True), ("b", "text", True), ("n", "numeric", False), ("f", "float8", False), ("at", "time", False)]
+    parts = [
+        frames.begin(lit(100), t, lit(1)), frames.relation(7, "public", "t", "d", columns), frames.relation(8, "public", "u", "d", columns),
+        frames.insert(lit(7), row(1, "x", "1.10")), frames.insert(lit(8), row(1, "x", "1.10")), frames.commit(lit(100), lit(108), t),
+        frames.begin(lit(200), t, lit(2)), frames.truncate(F.array(lit(7), lit(8))), frames.insert(lit(7), row(2, "x", "2.20")), frames.insert(lit(7), row(3, "y", "3.30")), frames.insert(lit(7), as_text), frames.commit(lit(200), lit(208), t),
+        frames.begin(lit(300), t, lit(3)), frames.update(lit(7), row(2, "moved", "2.30"), key(2, "x")), frames.commit(lit(300), lit(308), t),
+    ]
+    path = str(tmp_path_factory.mktemp("wide") / "frames")
+    spark.range(1).select(F.posexplode(F.array(*parts)).alias("seq", "payload")).select(lit("s").alias("slot"), F.col("seq").cast("bigint"), "payload").write.parquet(path)
+    return path
+
+
+def test_replicate_truncates_moves_and_types(spark, wide_log):
+    kinds = {"a": "int4", "b": "text", "n": "numeric", "f": "float8", "at": "time"}
+    got = replicate.replicate(spark, wide_log, "public.t", ["a", "b"], kinds).collect()
+    assert sorted(tuple(r) for r in got) == [(2, "moved", "2.30", 2.5, 1000000), (3, "y", "3.30", 2.5, 1000000), (4, "z", "7.50", 0.5, 1000000)]
+    assert replicate.replicate(spark, wide_log, "public.u", ["a", "b"], kinds).count() == 0
+
+
+def test_deliver_truncates_and_types(spark, wide_log):
+    got = deliver.deliver(spark, wide_log).where("commit_lsn >= 200").collect()
+    assert [(r["commit_lsn"], r["n"], r["type"], r["name"]) for r in got] == [(200, 1, "truncate", "t"), (200, 2, "truncate", "u"), (200, 3, "insert", "t"), (200, 4, "insert", "t"), (200, 5, "insert", "t"), (300, 1, "update", "t")]
+    assert got[2]["new_row"] == {"a": "2", "b": "x", "n": "2.20", "f": "2.5", "at": "1000000"} and got[4]["new_row"]["n"] == "7.50"

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import struct
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -159,6 +161,76 @@ def decoder(kind: str) -> Callable[[Column], Column]:
     return _udf(one, spark_type)
 
 
+#: Type ids of the layouts, and of arrays with their elements' type.
+OIDS = {
+    "float4": 700, "float8": 701, "numeric": 1700, "inet": 869, "cidr": 650, "point": 600, "lseg": 601, "path": 602, "box": 603, "polygon": 604, "line": 628,
+    "circle": 718, "int4range": 3904, "numrange": 3906, "tsrange": 3908, "tstzrange": 3910, "daterange": 3912, "int8range": 3926, "tsvector": 3614, "record": 2249,
+    "bit": 1560, "varbit": 1562,
+}
+_ARRAYS = {1000: 16, 1005: 21, 1007: 23, 1016: 20, 1028: 26, 1009: 25, 1015: 1043, 1014: 1042, 1003: 19, 199: 114, 1021: 700, 1022: 701, 1231: 1700, 2951: 2950}
+
+
+def _bits(data: bytes) -> str:
+    return "".join(f"{b:08b}" for b in data[4:])[: int.from_bytes(data[:4], "big")]
+
+
+def _scalar(oid: int) -> Callable[[bytes], object]:
+    """The decoder of an array's element."""
+    if oid == 16:
+        return lambda d: d != b"\x00"
+    if oid in (20, 21, 23):
+        return _INT
+    if oid == 26:
+        return lambda d: int.from_bytes(d, "big")
+    if oid in (700, 701):
+        return lambda d: _plain_float(oid, d)
+    if oid == 1700:
+        return numeric_text
+    if oid == 2950:
+        return lambda d: str(uuid.UUID(bytes=d))
+    return bytes.decode
+
+
+def _plain_float(oid: int, data: bytes):
+    value = struct.unpack(">f" if oid == 700 else ">d", data)[0]
+    shown = float(str(np.float32(value))) if oid == 700 else value
+    return shown if np.isfinite(shown) else str(shown).replace("inf", "Infinity").replace("nan", "NaN")
+
+
+def _as_json(value) -> str | None:
+    return None if value is None else json.dumps(value, ensure_ascii=False)
+
+
+def _texts() -> dict[int, Callable[[bytes], str | None]]:
+    out: dict[int, Callable] = {OIDS[kind]: lambda d, one=one: _as_json(one(d)) for kind, (_, one) in LAYOUTS.items()}
+    out |= {oid: lambda d, oid=oid: str(_plain_float(oid, d)) for oid in (700, 701)}
+    out |= {OIDS["numeric"]: numeric_text, OIDS["cidr"]: out[OIDS["inet"]], OIDS["bit"]: _bits, OIDS["varbit"]: _bits}
+
+    def array(data: bytes, one: Callable) -> str | None:
+        elements = array_elements(data)
+        return None if elements is None else _as_json([None if e is None else one(e) for e in elements])
+
+    return out | {oid: lambda d, one=_scalar(of): array(d, one) for oid, of in _ARRAYS.items()}
+
+
+def shown(values: Column, oids: Column) -> Column:
+    """Texts of a tuple's binary values, by their types, for the types of this module (numbers as such, the rest as JSON); null for
+    the other values. A tuple is read in one call, since a lambda can't hold a Python function. An array of several dimensions is its bytes."""
+
+    def run(tuples: pd.Series, types: pd.Series) -> pd.Series:
+        texts = _texts()
+
+        def one(v, oid) -> str | None:
+            if v["kind"] != "b" or oid not in texts:
+                return None
+            found = texts[oid](v["data"])
+            return "\\x" + bytes(v["data"]).hex() if found is None else found
+
+        return pd.Series([None if t is None or o is None else [one(v, int(oid)) for v, oid in zip(t, o)] for t, o in zip(tuples, types, strict=True)], dtype=object)
+
+    return F.pandas_udf(run, "array<string>")(values, oids)
+
+
 def _udf(one: Callable, spark_type: str):
     if spark_type.startswith("struct"):
         names = [part.split(":")[0] for part in spark_type[7:-1].split(",")] if spark_type.count("<") == 1 else _names(spark_type)

@@ -46,6 +46,9 @@ def committed(found: DataFrame) -> DataFrame:
 
 
 def described(found: DataFrame, changes: DataFrame) -> DataFrame:
-    """Changes with the description of their table at that point."""
+    """Changes with the description of their table at that point; a truncate is a row for each of its tables, in their order."""
+    plain = F.col("type") != "truncate"
+    targets = F.when(plain, F.array("rel_oid")).otherwise(F.col("oids"))
+    changes = changes.select(*(c for c in changes.columns if c not in ("rel_oid", "oids")), F.posexplode(targets).alias("target", "rel_oid"))
     known = found.where("type = 'relation'").select("slot", "seq", "rel_oid", "namespace", "name", "attributes")
     return progress.as_of(changes, known, ["slot", "rel_oid"])

@@ -10,15 +10,22 @@ import sys
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from walloom.functions import layouts
 from walloom.jobs import common
 from walloom.operators import rows, transactions
 
 
-def deliver(spark, path: str) -> DataFrame:
+def deliver(spark, path: str, registry: rows.Registry | None = None) -> DataFrame:
+    """A truncate is a row for each of its tables, with neither a new row nor an old one. Values of types that have a decoder neither
+    here nor in the registry fail, because a map would leave them out unseen."""
     found = common.messages(spark, path)
     changes = common.described(found, common.committed(found).where("type <> 'message'"))
-    new, old = (rows.row_map(F.col("attributes"), F.col(c), failfast=False) for c in ("new_tuple", "old_tuple"))
-    numbered = transactions.positions(changes, ["slot", "tx"], "seq")
+    oids = F.transform("attributes", lambda a: a["type_oid"])
+    for c in ("new", "old"):
+        changes = changes.withColumn(f"{c}_texts", layouts.shown(F.col(f"{c}_tuple"), oids))
+    decoders = {**rows.WIRE, **(registry or {})}
+    new, old = (rows.row_map(F.col("attributes"), F.col(f"{c}_tuple"), decoders, texts=F.col(f"{c}_texts")) for c in ("new", "old"))
+    numbered = transactions.positions(changes, ["slot", "tx"], F.struct("seq", "target"))
     whole = numbered.select("slot", "commit_seq", "n", "commit_lsn", "tx_end_lsn", "commit_timestamp", "type", "namespace", "name", new.alias("new_row"), old.alias("old_row"))
     return transactions.in_commit_order(whole, "commit_seq", "n")
 

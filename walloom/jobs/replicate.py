@@ -10,25 +10,32 @@ import sys
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from walloom.functions import layouts
 from walloom.jobs import common
 from walloom.operators import apply, rows
 
 
-def replicate(spark, path: str, table: str, keys: list[str], kinds: dict[str, str]) -> DataFrame:
+def decoders(kinds: dict[str, str]) -> dict:
+    """Decoders of the layouts among a table's types."""
+    return {kind: layouts.decoder(kind) for kind in kinds.values() if kind in ("float4", "float8", *layouts.LAYOUTS) or kind.endswith("[]")}
+
+
+def replicate(spark, path: str, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None) -> DataFrame:
+    """registry: type -> decoder of a column of bytes, added to those of the built-in types or in place of them."""
     found = common.messages(spark, path)
-    changes = common.described(found, common.committed(found)).where(F.concat_ws(".", "namespace", "name") == table)
-    new, old = rows.typed(F.col("new_tuple"), kinds), rows.typed(F.col("old_tuple"), {k: kinds[k] for k in kinds})
-    value = F.struct(*new).alias("new"), F.struct(*old).alias("old")
-    log = changes.select(F.col("type").alias("op"), "commit_seq", "seq", *value, rows.unchanged(F.col("new_tuple"), F.col("attributes")).alias("unchanged"))
+    changes = common.described(found, common.committed(found)).withColumn("table", F.concat_ws(".", "namespace", "name")).where(F.col("table") == table)
+    changes = apply.after_truncate(changes, changes.where("type = 'truncate'"), "table", ["commit_seq", "seq"])
+    known = {**decoders(kinds), **(registry or {})}
+    value = [F.struct(*rows.typed(F.col(f"{c}_tuple"), kinds, known)).alias(c) for c in ("new", "old")]
+    log = changes.select(F.col("type").alias("op"), "commit_seq", "seq", "old_kind", *value, rows.unchanged(F.col("new_tuple"), F.col("attributes")).alias("unchanged"))
     values = [c for c in kinds if c not in keys]
     key = [F.coalesce(F.col("new")[k], F.col("old")[k]).alias(k) for k in keys]
-    before = [F.when(F.col("op") == "update", F.col("old")[k]).alias(f"old_{k}") for k in keys]
+    # an old key (K) names the columns of the replica identity only, an old row (O) all of them
+    held = lambda k: F.when(F.col("old_kind") == "O", F.col("old")[k]).otherwise(F.coalesce(F.col("old")[k], F.col("new")[k]))
+    before = [F.when((F.col("op") == "update") & F.col("old_kind").isNotNull(), held(k)).alias(f"old_{k}") for k in keys]
     flags = [F.coalesce(F.array_contains("unchanged", c), F.lit(False)).alias(f"{c}_unchanged") for c in values]
     log = log.select("op", "commit_seq", "seq", *key, *before, *(F.col("new")[c].alias(c) for c in values), *flags)
-    if len(keys) == 1:
-        log = apply.moved_keys(log, keys[0], f"old_{keys[0]}", values)
-    else:
-        log = log.withColumn("part", F.lit(1))
+    log = apply.moved_keys(log, keys, [f"old_{k}" for k in keys], values)
     return apply.latest_state(log, keys, values, ["commit_seq", "seq", "part"], {c: f"{c}_unchanged" for c in values})
 
 

@@ -6,13 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def moved_keys(changes: DataFrame, key: str, old_key: str, columns: list[str]) -> DataFrame:
+def moved_keys(changes: DataFrame, key: str | list[str], old_key: str | list[str], columns: list[str]) -> DataFrame:
     """Updates that move a row to another key become a delete of the old key and an insert of the new one. columns of the
-    delete are null."""
-    moved = (F.col("op") == "update") & F.col(old_key).isNotNull() & ~F.col(old_key).eqNullSafe(F.col(key))
-    keep = [c for c in changes.columns if c not in (key, "op", *columns)]
-    gone = F.struct(F.col(old_key).alias(key), F.lit("delete").alias("op"), F.lit(0).alias("part"), *(F.lit(None).cast(changes.schema[c].dataType).alias(c) for c in columns))
-    new = F.struct(F.col(key).alias(key), F.when(moved, F.lit("insert")).otherwise(F.col("op")).alias("op"), F.lit(1).alias("part"), *(F.col(c).alias(c) for c in columns))
+    delete are null. A key of several columns is a list, and so is the old one: it was sent if any of its columns isn't null."""
+    key, old_key = ([k] if isinstance(k, str) else k for k in (key, old_key))
+    sent, same = F.lit(False), F.lit(True)
+    for k, old in zip(key, old_key, strict=True):
+        sent, same = sent | F.col(old).isNotNull(), same & F.col(old).eqNullSafe(F.col(k))
+    moved = (F.col("op") == "update") & sent & ~same
+    keep = [c for c in changes.columns if c not in (*key, "op", *columns)]
+    gone = F.struct(*(F.col(old).alias(k) for k, old in zip(key, old_key, strict=True)), F.lit("delete").alias("op"), F.lit(0).alias("part"), *(F.lit(None).cast(changes.schema[c].dataType).alias(c) for c in columns))
+    new = F.struct(*key, F.when(moved, F.lit("insert")).otherwise(F.col("op")).alias("op"), F.lit(1).alias("part"), *(F.col(c).alias(c) for c in columns))
     parts = F.explode(F.when(moved, F.array(gone, new)).otherwise(F.array(new)))
     return changes.select(*keep, parts.alias("__part")).select(*keep, "__part.*")
 
@@ -34,11 +38,12 @@ def latest_state(changes: DataFrame, keys: list[str], columns: list[str], order:
     return state.where(F.col("__op") != "delete").select(*keys, *(F.col(c)["v"].alias(c) for c in columns))
 
 
-def after_truncate(changes: DataFrame, truncates: DataFrame, table: str = "table", order: str = "seq") -> DataFrame:
+def after_truncate(changes: DataFrame, truncates: DataFrame, table: str = "table", order: str | list[str] = "seq") -> DataFrame:
     """Changes that no later truncate of their table wipes out; truncates has a row for each target table."""
-    last = truncates.groupBy(table).agg(F.max(order).alias("__last"))
+    at = F.struct(*([order] if isinstance(order, str) else order))
+    last = truncates.groupBy(table).agg(F.max(at).alias("__last"))
     kept = changes.join(F.broadcast(last), table, "left")  # one row a table
-    return kept.where(F.col("__last").isNull() | (F.col(order) > F.col("__last"))).drop("__last")
+    return kept.where(F.col("__last").isNull() | (at > F.col("__last"))).drop("__last")
 
 
 def net_rows(changes: DataFrame, columns: list[str], sign: Column) -> DataFrame:

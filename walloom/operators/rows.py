@@ -13,6 +13,12 @@ from ..functions import wire
 Registry = dict[int, Callable[[Column], Column]]
 _SHOWN = ("bool", "int2", "int4", "int8", "oid", "xid", "text", "varchar", "bpchar", "name", "json", "jsonb", "date", "timestamp", "timestamptz", "uuid", "char")
 
+#: Decoders of the other built-in types that expressions read; structs are shown as JSON, void and unknown are null.
+WIRE: Registry = {
+    **{wire.OID[kind]: lambda d, kind=kind: wire.decode_value(d, kind) for kind in ("regproc", "money", "time", "pg_lsn", "void", "unknown")},
+    **{wire.OID[kind]: lambda d, kind=kind: F.to_json(wire.decode_value(d, kind)) for kind in ("interval", "timetz")},
+}
+
 
 def shown(value: Column, oid: Column, registry: Registry | None = None, failfast: bool = True) -> Column:
     """A tuple's value as text: text values as they are, binary ones by their type. A type without a decoder is an error, or null."""
@@ -27,23 +33,38 @@ def shown(value: Column, oid: Column, registry: Registry | None = None, failfast
     return F.when(value["kind"] == "t", F.decode(data, "UTF-8")).when(value["kind"] == "b", by_type.otherwise(unknown))
 
 
-def row_map(attributes: Column, values: Column, registry: Registry | None = None, failfast: bool = True) -> Column:
-    """Attribute name -> value as text, nulls left out, as a handler of single messages sees a row."""
-    pairs = F.zip_with(attributes, values, lambda a, v: F.struct(a["name"].alias("key"), shown(v, a["type_oid"], registry, failfast).alias("value")))
+def row_map(attributes: Column, values: Column, registry: Registry | None = None, failfast: bool = True, texts: Column | None = None) -> Column:
+    """Attribute name -> value as text, nulls left out, as a handler of single messages sees a row. texts: of values that were shown
+    before, as `layouts.shown` does for types that expressions can't read; a registry's decoder goes before them."""
+
+    def pair(a: Column, v: Column, k: Column | None = None) -> Column:
+        text = shown(v, a["type_oid"], registry, failfast)
+        if texts is not None:
+            text = F.when(F.get(texts, k).isNotNull() & ~a["type_oid"].isin(list(registry or {})), F.get(texts, k)).otherwise(text)
+        return F.struct(a["name"].alias("key"), text.alias("value"))
+
+    pairs = F.zip_with(attributes, values, lambda a, v: pair(a, v)) if texts is None else F.transform(values, lambda v, k: pair(F.get(attributes, k), v, k))
     return F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
 
 
 def typed(values: Column, kinds: dict[str, str], decoders: dict[str, Callable[[Column], Column]] | None = None) -> list[Column]:
-    """One column for each attribute, nulls kept; kinds: attribute -> type, in the table's order."""
+    """One column for each attribute, nulls kept; kinds: attribute -> type, in the table's order. A numeric is its text in both formats."""
     out = []
     for k, (name, kind) in enumerate(kinds.items()):
         value = F.get(values, F.lit(k))
-        binary = (decoders or {}).get(kind, lambda d, kind=kind: wire.decode_value(d, kind))(value["data"])
-        text = wire.decode_text(F.decode(value["data"], "UTF-8"), kind)
+        binary = (decoders or {}).get(kind, lambda d, kind=kind: wire.decode_value(d, kind))(F.when(value["kind"] == "b", value["data"]))
+        sent = F.decode(value["data"], "UTF-8")
+        text = sent if kind == "numeric" else wire.decode_text(sent, kind)
+        if kind not in _TEXT:
+            text = F.raise_error(F.lit(f"no decoder for the text format of {kind}"))
         out.append(F.when(value["kind"] == "b", binary).when(value["kind"] == "t", text.cast(_type_of(kind)) if _type_of(kind) else text).alias(name))
     return out
 
 
+#: Types whose values in text format come out with the type that those in binary format have.
+_TEXT = ("bool", "int2", "int4", "int8", "oid", "xid", "float4", "float8", "numeric", "money", "date", "timestamp", "timestamptz", "time", "timetz", "uuid", "pg_lsn", "void", "unknown", "text", "varchar", "bpchar", "name", "json", "jsonb", "char")
+
+
 def _type_of(kind: str) -> str | None:
     return {"int4": "int", "int2": "smallint", "int8": "bigint", "bool": "boolean", "text": "string", "varchar": "string", "date": "date", "timestamp": "timestamp_ntz", "timestamptz": "timestamp"}.get(kind)
 

@@ -59,7 +59,7 @@ def batches(changes: DataFrame, keys: list[str], order: str, columns: list[str])
     return changes.groupBy(*keys).agg(F.count("*").alias("n_changes"), F.array_sort(F.collect_list(F.struct(order, *columns))).alias("batch"))
 
 
-def positions(changes: DataFrame, keys: list[str], order: str, name: str = "n") -> DataFrame:
+def positions(changes: DataFrame, keys: list[str], order: str | Column, name: str = "n") -> DataFrame:
     """The number of each change in its transaction, from 1."""
     return changes.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
 
