@@ -135,6 +135,22 @@ def test_view_that_knows_nothing_teaches_nothing():
     assert model.taught[0] <= 5 and model.taught[1] > 0
 
 
+def test_quality_pool_is_not_cut(spark):
+    """Every sure row of the pool teaches, over any number of them, and Spark's sums are those of the rows in memory."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    y = rng.integers(0, 2, n)
+    codes = np.where(rng.random(n) < 0.97, y, 1 - y).astype(np.int32)  # two kinds of metadata, nearly sure
+    meta, text = quality.code_features(codes), (y[:, None] + rng.normal(0, 0.3, (n, 3))).astype(np.float32)
+    known = np.arange(n) < 300
+    rows = [(int(c), bytearray(x.tobytes())) for c, x in zip(codes[~known], text[~known], strict=True)]
+    pool = quality.SparkPool(spark.createDataFrame(rows, "code int, text binary").repartition(3))
+    got = quality.exchange((text[known], meta[known]), y[known], pool, sure=0.9)
+    slow = quality.co_train(text, meta, np.where(known, y, -1), sure=0.9)
+    assert got.taught == slow.taught and min(got.taught) > 1200 and max(got.taught) > 2400  # the old bounds: 300 a class in 4 rounds
+    assert np.allclose(got.text.weights, slow.text.weights, atol=1e-2) and np.allclose(got.meta.weights, slow.meta.weights, atol=1e-2)
+
+
 def test_quality_on_odd_rows(spark, sf_dir, odd, empty, docs):
     model = quality.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
     got = quality.score(odd, model).collect()
