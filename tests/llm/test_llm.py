@@ -195,6 +195,20 @@ def test_lock_step_equals_agenda(vocabulary):
         assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == slow
 
 
+def test_every_occurrence_is_cut_on_its_own(spark):
+    """One word many times in one text has many segmentations, and those of the tree are those of the merges themselves."""
+    model, word = piece_dropout.pieces(piece_dropout.vocabulary_path()), "▁international"
+    docs = spark.createDataFrame([(k, " ".join(["international"] * 400)) for k in range(3)], "doc_id long, text string")
+    for rate in (0.1, 0.6):
+        got = {r["doc_id"]: r["ids"] for r in piece_dropout.encode(docs, seed=3, rate=rate).collect()}
+        assert len({tuple(x) for x in got.values()}) == 3
+        hashes = {r["doc_id"]: r["h"] for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+        for k, ids in got.items():
+            keys = piece_dropout._occurrence_keys(np.array([hashes[k]]), np.array([400]), 3)
+            slow = [tuple(piece_dropout._agenda(model, word, keys[i : i + 1], rate)) for i in range(400)]
+            assert len(set(slow)) > 4 and [x for one in slow for x in one] == ids
+
+
 def test_dropout_on_odd_rows(odd, empty):
     back = piece_dropout.decode(piece_dropout.encode(odd, rate=0.5)).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in back) == sorted((r[0] or 0, r[1] or "") for r in ODD)

@@ -2,7 +2,7 @@
 
 A text's characters are merged pair by pair, best piece first and leftmost first, as the vocabulary ranks them. Each candidate merge,
 when its turn comes, is skipped for good if a hash keyed by the seed says so; what the hash is of is
-the word, the variant of the document and the candidate's place, so a run is repeatable on any number of machines. Without
+the document, the position of the word in its text and the candidate's place in the word, so each occurrence of a word is cut on its own and a run is repeatable on any number of machines. Without
 dropout the ids are those of the vocabulary's own encoder.
 """
 
@@ -94,6 +94,10 @@ def pieces(path: str) -> Pieces:
     return _models[path]
 
 
+def _place(begin, middle, end) -> np.ndarray:
+    return (begin.astype(np.uint64) << np.uint64(40)) + (middle.astype(np.uint64) << np.uint64(20)) + end.astype(np.uint64)
+
+
 def _skips(key: np.ndarray, begin, middle, end, rate: float) -> np.ndarray:
     """The keyed hash: whether the merge of [begin, middle) with [middle, end) is skipped."""
     place = (np.atleast_1d(np.asarray(begin, np.uint64)) << np.uint64(40)) + (np.atleast_1d(np.asarray(middle, np.uint64)) << np.uint64(20)) + np.atleast_1d(np.asarray(end, np.uint64))
@@ -111,8 +115,8 @@ def _symbols(model: Pieces, unit: str) -> list[int]:
     return [model.ids.get(c, -1 - ord(c)) for c in unit]
 
 
-def _agenda(model: Pieces, unit: str, key: np.ndarray, rate: float) -> list[int]:
-    """One long unit by an agenda of candidates."""
+def _agenda(model: Pieces, unit: str, key: np.ndarray, rate: float, trace: list | None = None) -> list[int]:
+    """One long unit by an agenda of candidates. trace: where the places of the merges go."""
     ids = _symbols(model, unit)
     n = len(ids)
     after, before, end = [*range(1, n + 1)], [*range(-1, n - 1)], [*range(1, n + 1)]
@@ -134,6 +138,8 @@ def _agenda(model: Pieces, unit: str, key: np.ndarray, rate: float) -> list[int]
             continue
         if rate and bool(_skips(key, a, b, stop, rate)[0]):
             continue
+        if trace is not None:
+            trace.append((a << 40) + (b << 20) + stop)
         ids[a], alive[b], after[a], end[a] = int(model.rank_id[r]), False, after[b], stop
         if after[b] < n:
             before[after[b]] = a
@@ -141,23 +147,28 @@ def _agenda(model: Pieces, unit: str, key: np.ndarray, rate: float) -> list[int]
     return [ids[k] for k in range(n) if alive[k]]
 
 
-def _steps(model: Pieces, units: list[str], keys: np.ndarray, rate: float) -> list[tuple[np.ndarray, np.ndarray]]:
+def _steps(model: Pieces, units: list[str], keys: np.ndarray, rate: float, barred: np.ndarray | None = None, trace: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
     """Units of equal length together: in each step every unit makes its best merge that isn't skipped. Comes out as
-    (places of units, their ids as a matrix), by the number of ids."""
+    (places of units, their ids as a matrix), by the number of ids. barred: for each unit the places of merges that are skipped, instead of by the hash.
+    trace: where each step's units and the places of their merges go."""
     n, width = len(units), len(units[0])
     codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, width)
     known, back = np.unique(codes, return_inverse=True)
     ids = np.array([model.ids.get(chr(c), -1 - int(c)) for c in known], np.int32)[back].reshape(n, width)
     edge = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
 
-    def ranks(a, b, begin, middle, end, key):
+    def ranks(a, b, begin, middle, end, key, bar):
         r = model.merge(model.pair(np.maximum(a, 0), np.maximum(b, 0)))
         bad = (a < 0) | (b < 0)
         if rate:
             bad |= _skips(key, begin, middle, end, rate)
+        if barred is not None:
+            place = _place(begin, middle, end)
+            for k in range(barred.shape[1]):
+                bad |= place == bar[..., k]
         return np.where(bad, NONE, r)
 
-    rank = ranks(ids[:, :-1], ids[:, 1:], edge[:, :-2], edge[:, 1:-1], edge[:, 2:], keys[:, None]) if width > 1 else np.zeros((n, 0), np.int32)
+    rank = ranks(ids[:, :-1], ids[:, 1:], edge[:, :-2], edge[:, 1:-1], edge[:, 2:], keys[:, None], barred[:, None] if barred is not None else None) if width > 1 else np.zeros((n, 0), np.int32)
     out: list = []
     rows = np.arange(n)
     while True:
@@ -169,6 +180,8 @@ def _steps(model: Pieces, units: list[str], keys: np.ndarray, rate: float) -> li
             return out
         rows, best, ids, edge, rank = rows[live], best[live], ids[live], edge[live], rank[live]
         all_rows = np.arange(len(rows))
+        if trace is not None:
+            trace.append((rows, _place(edge[all_rows, best], edge[all_rows, best + 1], edge[all_rows, best + 2])))
         ids[all_rows, best] = model.rank_id[rank[all_rows, best]]
         cols = np.arange(ids.shape[1] - 1)
         ids = np.take_along_axis(ids, cols + (cols > best[:, None]), axis=1)
@@ -179,22 +192,34 @@ def _steps(model: Pieces, units: list[str], keys: np.ndarray, rate: float) -> li
         for at in (best - 1, best):
             own = np.flatnonzero((at >= 0) & (at < rank.shape[1]))
             p = at[own]
-            rank[own, p] = ranks(ids[own, p], ids[own, p + 1], edge[own, p], edge[own, p + 1], edge[own, p + 2], keys[rows[own]])
+            rank[own, p] = ranks(ids[own, p], ids[own, p + 1], edge[own, p], edge[own, p + 1], edge[own, p + 2], keys[rows[own]], barred[rows[own]] if barred is not None else None)
 
 
 def encode_units(model: Pieces, units: list[str], seed: int, variant: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all units end to end, and how many each unit has."""
-    keys = _unit_keys(units, seed, variant)
+    """The ids of all units end to end, and how many each unit has, with keys made of the units."""
+    return encode_keyed(model, units, _unit_keys(units, seed, variant), rate)
+
+
+def encode_keyed(model: Pieces, units: list[str], keys: np.ndarray, rate: float, barred: np.ndarray | None = None, traces: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all units end to end, and how many each unit has. barred: as in _steps, for units of up to WIDE characters. traces: where units
+    and the places of their merges go, each unit's in the order in which they are made."""
     sizes = np.array([len(u) for u in units])
     blocks: list[tuple[np.ndarray, np.ndarray]] = []
     for width in np.unique(sizes):
         own = np.flatnonzero(sizes == width)
         if width > WIDE:
-            blocks += [(own[k : k + 1], np.array([_agenda(model, units[i], keys[i : i + 1], rate)], np.int32)) for k, i in enumerate(own)]
+            for k, i in enumerate(own):
+                made: list[int] = []
+                blocks.append((own[k : k + 1], np.array([_agenda(model, units[i], keys[i : i + 1], rate, made)], np.int32)))
+                if traces is not None:
+                    traces.append((np.full(len(made), i), np.array(made, np.uint64)))
             continue
         for a in range(0, len(own), 8192):
             part = own[a : a + 8192]
-            blocks += [(part[at], ids) for at, ids in _steps(model, [units[k] for k in part], keys[part], rate)]
+            steps: list | None = None if traces is None else []
+            blocks += [(part[at], ids) for at, ids in _steps(model, [units[k] for k in part], keys[part], rate, None if barred is None else barred[part], steps)]
+            if traces is not None:
+                traces += [(part[rows], place) for rows, place in steps or []]
     spelled: dict[int, list[int]] = {}
     counts = np.zeros(len(units), np.int64)
     for at, ids in blocks:
@@ -212,52 +237,114 @@ def encode_units(model: Pieces, units: list[str], seed: int, variant: int, rate:
     return flat, counts
 
 
+def _ranges(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The places of runs, end to end."""
+    ends = np.cumsum(counts)
+    return np.repeat(begin - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class Known:
-    """Encoded units of a Python worker: their ids end to end, for each variant where a unit's ids are."""
+    """What merges of units come to, in a Python worker: nodes of a tree for each unit. The root is the unit without a skip; a child is
+    its parent with one more merge skipped, the first that an occurrence skips. A node has the ids that come out and the
+    merges that an occurrence has yet to be asked about. So the hash is of the occurrence, and only what doesn't depend on it is kept."""
 
-    def __init__(self, model: Pieces, variants: int):
+    def __init__(self, model: Pieces):
+        self.model = model
         literal = model.byte_id[np.frombuffer(MARK.encode(), np.uint8)].astype(np.int32)
-        self.flat, self.counts = literal, np.array([len(literal)])
-        self.begin = np.zeros(1, np.int64)
-        self.place: list[dict[str, int]] = [{LITERAL: 0} for _ in range(variants)]
-
-    def add(self, variant: int, units: list[str], flat: np.ndarray, counts: np.ndarray) -> None:
-        self.place[variant].update(zip(units, range(len(self.counts), len(self.counts) + len(units)), strict=True))
+        self.flat, self.counts, self.begin = literal, np.array([len(literal)]), np.zeros(1, np.int64)
+        self.asked, self.n_asked, self.from_ = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.root: dict[str, int] = {LITERAL: 0}
+        self.child: dict[tuple[int, int], int] = {}
+        self.unit, self.bars, self.done = [LITERAL], [()], [0]
+
+    def add(self, units: list[str], bars: list[tuple], done: list[int]) -> np.ndarray:
+        """New nodes: units, the merges that are skipped, and how many merges of each have been asked about. All have as many bars."""
+        traces: list = []
+        barred = np.array(bars, np.uint64).reshape(len(units), -1) if bars and bars[0] else None
+        flat, counts = encode_keyed(self.model, units, np.zeros(len(units), np.uint64), 0.0, barred, traces)
+        rows = np.concatenate([r for r, _ in traces]) if traces else np.zeros(0, np.int64)
+        place = np.concatenate([p for _, p in traces]) if traces else np.zeros(0, np.uint64)
+        order = np.argsort(rows, kind="stable")
+        made = np.bincount(rows, minlength=len(units))
+        at = np.cumsum(made) - made
+        skip = np.array(done, np.int64)
+        own = _ranges(at + skip, made - skip)
+        new = np.arange(len(self.unit), len(self.unit) + len(units))
         self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
-        self.begin = np.cumsum(self.counts) - self.counts
-
-    def ids(self, index: np.ndarray) -> np.ndarray:
-        """Ids of the units at places, end to end."""
-        counts = self.counts[index]
-        ends = np.cumsum(counts)
-        return self.flat[np.repeat(self.begin[index] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
-
+        self.asked, self.n_asked = np.concatenate([self.asked, place[order][own]]), np.concatenate([self.n_asked, made - skip])
+        self.begin, self.from_ = np.cumsum(self.counts) - self.counts, np.cumsum(self.n_asked) - self.n_asked
+        self.unit += units
+        self.bars += bars
+        self.done += done
+        return new
+
+    def first_skip(self, nodes: np.ndarray, keys: np.ndarray, rate: float) -> np.ndarray:
+        """Of each occurrence, which of its node's merges it skips first; -1 for none."""
+        counts = self.n_asked[nodes]
+        place = self.asked[_ranges(self.from_[nodes], counts)]
+        hit = np.flatnonzero(mix(np.repeat(keys, counts) ^ mix(place + np.uint64(0x1D8E4E27C47D124F))) >> np.uint64(11) < np.uint64(int(rate * 2**53)))
+        whose = np.repeat(np.arange(len(nodes)), counts)[hit]
+        which, first = np.unique(whose, return_index=True)
+        out = np.full(len(nodes), -1, np.int64)
+        out[which] = hit[first] - (np.cumsum(counts) - counts)[which]
+        return out
 
-def _encoded(path: str, seed: int, variants: int, rate: float):
-    key = (path, seed, variants, rate)
+    def encode(self, units: list[str], keys: np.ndarray, rate: float, levels: int = 4) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all occurrences end to end, and how many each has. Those that skip more than `levels` merges go through the merges themselves."""
+        new = list({u for u in units if u not in self.root})
+        if new:
+            self.root.update(zip(new, self.add(new, [()] * len(new), [0] * len(new)).tolist(), strict=True))
+        node = np.fromiter(map(self.root.__getitem__, units), np.int64, len(units))
+        left, rest = (np.arange(len(units)) if rate else np.zeros(0, np.int64)), [np.zeros(0, np.int64)]
+        for level in range(levels + 1):
+            if not len(left):
+                break
+            first = self.first_skip(node[left], keys[left], rate)
+            left, first = left[first >= 0], first[first >= 0]
+            wide = np.array([level == levels or len(units[i]) > WIDE for i in left], bool)
+            rest.append(left[wide])
+            left, first = left[~wide], first[~wide]
+            pairs = list(zip(node[left].tolist(), first.tolist(), strict=True))
+            missing = list({x for x in pairs if x not in self.child})
+            if missing:
+                bars = [(*self.bars[n], int(self.asked[self.from_[n] + k])) for n, k in missing]
+                made = self.add([self.unit[n] for n, _ in missing], bars, [self.done[n] + k for n, k in missing])
+                self.child.update(zip(missing, made.tolist(), strict=True))
+            node[left] = np.fromiter(map(self.child.__getitem__, pairs), np.int64, len(pairs))
+        own = np.concatenate(rest)
+        flat, counts = self.flat, self.counts[node]
+        begin = self.begin[node]
+        if len(own):
+            more, sizes = encode_keyed(self.model, [units[i] for i in own], keys[own], rate)
+            begin[own], counts[own] = len(flat) + np.cumsum(sizes) - sizes, sizes
+            flat = np.concatenate([flat, more])
+        return flat[_ranges(begin, counts)], counts
+
+
+def _encoded(path: str, seed: int, rate: float):
+    key = (path,)
 
     def run(batches):
         model = pieces(path)
-        for rows in slices(batches, 4 << 20):
-            if key not in _cached or len(_cached[key].counts) > 300_000:
-                _cached[key] = Known(model, variants)
-            known: Known = _cached[key]
-            which = rows.column(2).to_numpy()
+        for rows in slices(batches, 2 << 20):
+            if key not in _cached or len(_cached[key].unit) > 300_000:
+                _cached[key] = Known(model)
             split = [_units(model, t.as_py()) if t.is_valid and len(t.as_py()) else [] for t in rows.column(1)]
-            for v in range(variants):
-                held = known.place[v]
-                new = list({u for k in np.flatnonzero(which == v) for u in split[k] if u not in held})
-                if new:
-                    known.add(v, new, *encode_units(model, new, seed, v, rate))
             n_units = np.array([len(units) for units in split])
-            index = np.fromiter((i for v, units in zip(which, split, strict=True) for i in map(known.place[v].__getitem__, units)), np.int64, n_units.sum())
-            ids = known.ids(index)
-            ends = np.concatenate([[0], np.cumsum(known.counts[index])])[np.concatenate([[0], np.cumsum(n_units)])]
+            keys = _occurrence_keys(rows.column(2).to_numpy(), n_units, seed)
+            ids, counts = _cached[key].encode([u for units in split for u in units], keys, rate)
+            ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(n_units)])]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(ids))], ["doc_id", "ids"])
 
     return run
 
 
+def _occurrence_keys(documents: np.ndarray, n_units: np.ndarray, seed: int) -> np.ndarray:
+    """A key for each unit of each text: of the seed, the document's hash and the unit's position."""
+    own = mix(documents.view(np.uint64) ^ mix(np.full(1, seed, np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)))
+    return mix(np.repeat(own, n_units) ^ mix(_ranges(np.zeros(len(n_units), np.int64), n_units).astype(np.uint64) + np.uint64(1)))
+
+
 #: Stands for a mark that the text itself holds: no unit has a mark after another character.
 LITERAL = "x" + MARK
 
@@ -309,16 +396,15 @@ def _texts(model: Pieces, lists: pa.Array) -> pa.Array:
         return pa.array([x.as_py().decode("utf-8", "replace") for x in raw], pa.string())
 
 
-def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, seed: int = 0, rate: float = 0.1, variants: int = 4) -> DataFrame:
+def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, seed: int = 0, rate: float = 0.1) -> DataFrame:
     """-> (doc_id, ids array<int>) for every row.
 
-    rate: the share of candidate merges that are skipped; 0 gives the vocabulary's own encoding. variants: how many
-    different segmentations a word can have under one seed; a document's variant comes from a hash of its id, so words can be encoded once for each
-    variant and batch, and equal rows are encoded equally. Characters that are no piece become bytes. A null or
+    rate: the share of candidate merges that are skipped; 0 gives the vocabulary's own encoding. Each occurrence of a word is cut on its own, by a hash
+    of the seed, the document's id and the word's position in the text; equal rows are encoded equally. Characters that are no piece become bytes. A null or
     empty text has no ids. Words of up to WIDE characters go through merges in lock step, longer ones through an agenda.
     """
-    rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(variants)).cast("int").alias("v"))
-    return rows.mapInArrow(_encoded(path or vocabulary_path(), seed, variants, rate), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(id_col)).alias("h"))
+    return rows.mapInArrow(_encoded(path or vocabulary_path(), seed, rate), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
@@ -343,8 +429,8 @@ def _digested(path: str, inner):
     return run
 
 
-def round_trip(documents: DataFrame, seed: int = 0, rate: float = 0.1, variants: int = 4) -> DataFrame:
+def round_trip(documents: DataFrame, seed: int = 0, rate: float = 0.1) -> DataFrame:
     """Encode and decode every text: (doc_id, n_ids, ids_crc32, text_crc32, n_decoded_chars), the last two of the decoded text."""
     path = vocabulary_path()
-    rows = documents.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(variants)).cast("int").alias("v"))
-    return rows.mapInArrow(_digested(path, _encoded(path, seed, variants, rate)), "doc_id long, n_ids long, ids_crc32 long, text_crc32 long, n_decoded_chars long")
+    rows = documents.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
+    return rows.mapInArrow(_digested(path, _encoded(path, seed, rate)), "doc_id long, n_ids long, ids_crc32 long, text_crc32 long, n_decoded_chars long")
