@@ -520,6 +520,16 @@ def test_pii_added_kinds_and_context(spark):
     assert masked == ["IBAN [IBAN] ok", "GB83WEST12345698765432", "his ssn [ID].", "code 123-45-6789.", "mail me: [EMAIL]", "zz [EMAIL]"]
 
 
+def test_pii_lists_words_behind_and_printed_accounts(spark):
+    texts = ["SSN: 123-45-6789, 234-56-7890", "123-45-6789 (SSN)", "GB82 WEST 1234 5698 7654 32 PLEASE", "DE89-3704-0044-0532-0130-00", "GB82WEST12345698765432 OK", "123-45-6789" + " x" * 30 + " ssn", "GB83 WEST 1234 5698 7654 32"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in pii.pii_digests(docs).collect()}
+    assert [got[k] for k in (0, 1, 5)] == ["national_id:5:16,national_id:18:29", "national_id:0:11", ""]
+    assert ["iban:0:27" in got[2], "iban:0:27" in got[3], "iban:0:22" in got[4], "iban" in got[6]] == [True, True, True, False]
+    masked = [r["text"] for r in pii.redact(docs, kinds=pii.ADDED).orderBy("doc_id").collect()]
+    assert masked == ["SSN: [ID], [ID]", "[ID] (SSN)", "[IBAN] PLEASE", "[IBAN]", "[IBAN] OK", texts[5], texts[6]]
+
+
 def test_pii_on_odd_rows(odd, empty):
     assert pii.pii_digests(odd).count() == len(ODD) and pii.pii_digests(empty).count() == 0
     assert sorted((r["doc_id"] or 0, r["text"] or "") for r in pii.redact(odd).collect()) == sorted((r[0] or 0, r[1] or "") for r in ODD)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class Kind:
     """pattern: what proposes spans. gate: a cheap pattern that every text with a span has. valid: of the matched string.
-    context: words before a span that raise its score. need: least score at which a span is reported."""
+    context: words near a span, before or after, that raise its score. need: least score at which a span is reported."""
 
     name: str
     gate: str
@@ -30,6 +30,7 @@ def _digits(match: Column) -> Column:
 
 def _mod97(match: Column) -> Column:
     """Whether an account number's check digits are right: its first four characters put last, letters as 10 to 35."""
+    match = F.regexp_replace(match, "[ -]", "")
     turned = F.concat(F.substring(match, 5, 99), F.substring(match, 1, 4))
 
     def step(acc: Column, c: Column) -> Column:
@@ -39,6 +40,14 @@ def _mod97(match: Column) -> Column:
     return F.aggregate(F.filter(F.split(turned, "(?!^)"), lambda c: c != ""), F.lit(0), step) == 1
 
 
+#: The length of an account number by country, for those that are printed with spaces or hyphens.
+_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FO|GL|NL", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|XK", 21: "CH|CR|HR|LI|LV", 22: "BG|BH|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    25: "PT|ST", 26: "IS|TR", 27: "FR|GR|IT|MC|MR|SM", 28: "AL|AZ|CY|DO|GT|HU|LB|PL", 29: "BR|PS|QA|UA", 30: "JO|KW|MU", 31: "MT|SC",
+}
+_BROKEN = "|".join(f"(?:{countries})[0-9]{{2}}(?:[ -]?[A-Z0-9]){{{n - 4}}}" for n, countries in _LENGTHS.items())
+_OTHER = f"(?!{'|'.join(_LENGTHS.values())})[A-Z]{{2}}[0-9]{{2}}(?:[ -][A-Z0-9]{{4}}){{2,7}}(?:[ -][A-Z0-9]{{1,3}})?"
+_IBAN = rf"(?<![A-Za-z0-9])(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{11,30}}|{_BROKEN}|{_OTHER})(?![A-Za-z0-9])"
 _BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 #: The base kinds, in the order in which they are listed, then the added ones. Possessive groups and the look-behinds make
@@ -51,11 +60,13 @@ BASE = (
     Kind("phone", r"\+[0-9]", r"\+[0-9][ ().0-9-]+[0-9]", lambda m: F.length(_digits(m)).between(9, 15), 0.6, "phone|tel|call|mobile|fax|contact", mask="[PHONE]"),
 )
 ADDED = (
-    Kind("iban", r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])", _mod97, 0.8, "iban|account|bank|transfer", mask="[IBAN]"),
+    Kind("iban", r"[A-Z]{2}[0-9]{2}[ -]?[A-Z0-9]", _IBAN, _mod97, 0.8, "iban|account|bank|transfer", mask="[IBAN]"),
     Kind("national_id", r"[0-9]{3}-[0-9]{2}-[0-9]{4}", r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", lambda m: F.lit(True), 0.3, "ssn|social|security|national|tax", need=0.5, mask="[ID]"),
 )
 KINDS = (*BASE, *ADDED)
 NEAR, RAISE, CHUNK = 40, 0.2, 256
+#: Matches that NEAR characters can hold: a match and the gap before it have three characters at least.
+HELD = NEAR // 3 + 1
 _SPAN = "struct<start:int,end:int,score:double>"
 
 
@@ -66,29 +77,48 @@ def _parts(text: Column, kind: Kind) -> tuple[Column, Column]:
     return gaps, F.when(some, F.regexp_extract_all(text, F.lit(kind.pattern), 0)).otherwise(F.array().cast("array<string>"))
 
 
-def _score(kind: Kind, gap: Column) -> Column:
-    near = F.lower(F.right(gap, F.lit(NEAR))).rlike(rf"(?:^|[^a-z])(?:{kind.context})")
-    return F.when(near, F.lit(min(1.0, kind.prior + RAISE))).otherwise(F.lit(kind.prior))
+def _score(kind: Kind, gaps: Column, found: Column, k: Column) -> Column:
+    """The score of match k (from 0), by the NEAR characters of the text on each side, whatever matches lie in them. They are put together
+    from the few gaps and matches around it, so that no place of a long text has to be looked up."""
+    first = F.greatest(k - HELD, F.lit(0))
+    joined = lambda g, m: F.array_join(F.zip_with(g, m, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    left = F.transform(F.slice(gaps, first + 1, k - first + 1), lambda g: F.right(g, F.lit(NEAR)))
+    right = F.transform(F.slice(gaps, k + 2, F.lit(HELD + 1)), lambda g: F.left(g, F.lit(NEAR)))
+    before = F.right(joined(left, F.slice(found, first + 1, k - first)), F.lit(NEAR))
+    after = F.left(joined(right, F.slice(found, k + 2, F.lit(HELD))), F.lit(NEAR))
+    near = lambda side: F.lower(side).rlike(rf"(?:^|[^a-z])(?:{kind.context})")
+    return F.when(near(before) | near(after), F.lit(min(1.0, kind.prior + RAISE))).otherwise(F.lit(kind.prior))
+
+
+def _scores(kind: Kind, gaps: Column, found: Column) -> Column:
+    """The score of each match; null for those that aren't valid or score too little."""
+
+    def one(match: Column, k: Column) -> Column:
+        score = F.when(F.coalesce(kind.valid(match), F.lit(False)), _score(kind, gaps, found, k))
+        return F.when(score >= kind.need, score)
+
+    return F.transform(found, one)
 
 
 def _spans(kind: Kind) -> Column:
     """Spans of a kind from its gaps and matches: a running sum of lengths, in chunks so that the work is linear."""
     found = F.col(f"{kind.name}_found")
-    pairs = F.zip_with(F.slice(f"{kind.name}_gaps", F.lit(1), F.size(found)), found, lambda a, b: F.struct(a.alias("gap"), b.alias("match")))
+    pairs = F.arrays_zip(F.slice(f"{kind.name}_gaps", F.lit(1), F.size(found)).alias("gap"), found.alias("match"), F.col(f"{kind.name}_scores").alias("score"))
     empty = F.array().cast(f"array<{_SPAN}>")
 
     def one(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(x["match"])
-        span = F.struct(start.alias("start"), end.alias("end"), _score(kind, x["gap"]).alias("score"))
-        good = F.coalesce(kind.valid(x["match"]), F.lit(False)) & (span["score"] >= kind.need)
+        span = F.struct(start.alias("start"), end.alias("end"), x["score"].alias("score"))
+        good = x["score"].isNotNull()
         return F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
     def chunk(acc: Column, at: Column) -> Column:
         inner = F.aggregate(F.slice(pairs, at, F.lit(CHUNK)), F.struct(acc["at"].alias("at"), empty.alias("out")), one)
         return F.struct(inner["at"].alias("at"), F.concat(acc["out"], F.array(inner["out"])).alias("out"))
 
-    starts = F.when(F.size(found) > 0, F.sequence(F.lit(1), F.size(found), F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
+    n = F.size(f"{kind.name}_scores")  # a second use of the scores, so that they are made once and not in each chunk
+    starts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(CHUNK))).otherwise(F.array().cast("array<int>"))
     whole = F.aggregate(starts, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{_SPAN}>>").alias("out")), chunk)
     return F.flatten(whole["out"])
 
@@ -106,6 +136,7 @@ def find_pii(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
         gaps, found = _parts(F.col("text"), kind)
         parts += [gaps.alias(f"{kind.name}_gaps"), found.alias(f"{kind.name}_found")]
     split = rows.select("doc_id", *parts)
+    split = split.select("*", *(_scores(kind, F.col(f"{kind.name}_gaps"), F.col(f"{kind.name}_found")).alias(f"{kind.name}_scores") for kind in kinds))
 
     def named(rank: int, kind: Kind) -> Column:
         return F.transform(_spans(kind), lambda s: F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind.name).alias("kind"), s["end"].alias("end"), s["score"].alias("score")))
@@ -122,12 +153,11 @@ def redact(documents: DataFrame, text_col: str = "text", kinds: tuple[Kind, ...]
 
 
 def _masked(text: Column, kind: Kind) -> Column:
-    def piece(gap: Column, match: Column) -> Column:
-        good = F.coalesce(kind.valid(match), F.lit(False)) & (_score(kind, gap) >= kind.need)
-        return F.when(match.isNull(), gap).otherwise(F.concat(gap, F.when(good, F.lit(kind.mask)).otherwise(match)))  # no match follows the last gap
+    def piece(match: Column, score: Column) -> Column:
+        return F.when(score.isNotNull(), F.lit(kind.mask)).otherwise(match)
 
     gaps, found = F.split(text, kind.pattern, -1), F.regexp_extract_all(text, F.lit(kind.pattern), 0)
-    return F.when(text.rlike(kind.gate), F.array_join(F.zip_with(gaps, found, piece), "")).otherwise(text)
+    return F.when(text.rlike(kind.gate), F.array_join(F.zip_with(gaps, F.zip_with(found, _scores(kind, gaps, found), piece), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")).otherwise(text)
 
 
 def joined(found: Column) -> Column:
