@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
+import math
 import random
 import re
 import struct
@@ -90,6 +91,62 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(model.scores(words)[:, 0], np.log([brute(w) for w in words]), rtol=1e-5)
 
 
+def test_long_runs_sum_all_segmentations():
+    rng = np.random.default_rng(5)
+    pieces = sorted({"▁", "a", "b", *("".join(rng.choice(list("ab▁"), n)).lstrip("▁") or "a" for n in rng.integers(2, 17, 60)), *("▁" + "".join(rng.choice(list("ab"), 3)) for _ in range(5))})
+    p = np.concatenate([[[1e-7, 2e-7]], rng.uniform(1e-5, 1e-1, (len(pieces), 2))])
+    model = language_id.Model(["l", "m"], pieces, p)
+    at = {x: k + 1 for k, x in enumerate(pieces)}
+
+    def brute(word, lang):
+        word, forward = "▁" + word, [0.0]  # logarithms
+        for e in range(1, len(word) + 1):
+            terms = [forward[b] + math.log(p[at[word[b:e]], lang] if word[b:e] in at else 1e-7 * (lang + 1)) for b in range(e) if word[b:e] in at or e - b == 1]
+            top = max(terms)
+            forward.append(top + math.log(math.fsum(math.exp(t - top) for t in terms)))
+        return forward[-1]
+
+    words = ["".join(rng.choice(list("abz"), n, p=[0.5, 0.48, 0.02])) for n in (1, 9, 31, 32, 33, 34, 40, 500, 3000)]
+    got = model.scores(words)
+    assert np.allclose(got, [[brute(w, 0), brute(w, 1)] for w in words], rtol=1e-5)
+    many = [w for w in words if len(w) > 32] * 150  # more than go together
+    assert np.allclose(model.long_scores(many), np.tile(model.long_scores(many[:5]), (150, 1)))
+
+
+def test_expected_uses_of_pieces():
+    pieces = ["▁", "a", "b", "ab", "▁a", "ba", "abab"]
+    p = np.concatenate([[1e-7], np.arange(1, 8) / 100])[:, None]
+    model = language_id.Model(["l"], pieces, p)
+    total = np.zeros(len(p))
+
+    def go(rest, used, weight):
+        if not rest:
+            yield used, weight
+        for k in range(1, len(rest) + 1):
+            at = pieces.index(rest[:k]) + 1 if rest[:k] in pieces else 0 if k == 1 else None
+            if at is not None:
+                yield from go(rest[k:], [*used, at], weight * p[at, 0])
+
+    words = [("ab", 3), ("abab", 2), ("zab", 1), ("ababab" * 3, 1)]
+    for w, n in words:
+        every = list(go("▁" + w, [], 1.0))
+        for used, weight in every:
+            np.add.at(total, used, n * weight / sum(x for _, x in every))
+    batch = pa.RecordBatch.from_pydict({"lang": ["l"] * 4, "word": [w for w, _ in words], "n": [n for _, n in words]})
+    (out,) = language_id._expected(model, {"l": 0})([batch])
+    got = np.zeros(len(p))
+    got[out["piece"].to_numpy()] = out["uses"].to_numpy()
+    assert np.allclose(got, total)
+
+
+def test_language_of_a_run_without_end(spark, docs):
+    model = language_id.train(docs.where("doc_id < 60"))
+    text = " ".join(r["text"] or "" for r in docs.limit(20).collect())
+    run = "".join(c for c in text if c.isalpha())[:100_000]
+    got = language_id.identify(spark.createDataFrame([(1, run), (2, "x" * 5000)], "doc_id long, text string"), model).collect()
+    assert all(r["lang_pred"] in model.languages and 0 < r["score"] <= 1 for r in got)
+
+
 def test_language_on_odd_rows(odd, empty, docs):
     model = language_id.train(docs.where("doc_id < 60"))
     got = language_id.identify(odd, model).collect()
@@ -188,15 +245,17 @@ def test_lock_step_equals_agenda(vocabulary):
     model = piece_dropout.pieces(piece_dropout.vocabulary_path())
     rng = random.Random(5)
     units = ["▁" + "".join(rng.choice("theranioséx執") for _ in range(rng.randint(1, 40))) for _ in range(300)]
-    keys = piece_dropout._unit_keys(units, 3, 1)
+    units += ["▁" + "theran" * 30, "▁" + "é執x" * 20]
+    units += units
+    keys = np.random.default_rng(5).integers(0, 2**64, len(units), np.uint64)
     for rate in (0.0, 0.2, 0.9):
-        slow = [model.spelled(u, piece_dropout._agenda(model, u, keys[k : k + 1], rate)) for k, u in enumerate(units)]
-        flat, counts = piece_dropout.encode_units(model, units, 3, 1, rate)
+        slow = [model.spelled(piece_dropout._agenda(model, u, keys[k : k + 1], rate)) for k, u in enumerate(units)]
+        flat, counts = piece_dropout.Known(model).encode(units, keys, rate)
         assert [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])] == slow
 
 
 def test_every_occurrence_is_cut_on_its_own(spark):
-    """One word many times in one text has many segmentations, and those of the tree are those of the merges themselves."""
+    """One word many times in one text has many segmentations, those that an agenda of its own gives."""
     model, word = piece_dropout.pieces(piece_dropout.vocabulary_path()), "▁international"
     docs = spark.createDataFrame([(k, " ".join(["international"] * 400)) for k in range(3)], "doc_id long, text string")
     for rate in (0.1, 0.6):
@@ -247,17 +306,95 @@ def der(tag, body):
     return bytes([tag]) + (bytes([len(body)]) if len(body) < 128 else b"\x82" + len(body).to_bytes(2, "big")) + body
 
 
+def private_keys():
+    number = lambda n: der(2, b"\x00" + bytes(range(1, n)))
+    rsa_id, ec_id = der(0x30, der(6, bytes.fromhex("2a864886f70d010101")) + der(5, b"")), der(0x30, der(6, bytes.fromhex("2a8648ce3d0201")) + der(6, bytes.fromhex("2a8648ce3d030107")))
+    pkcs1 = der(0x30, der(2, b"\x00") + number(129) + der(2, b"\x01\x00\x01") + b"".join(number(n) for n in (128, 65, 65, 64, 64, 65)))
+    return {
+        "pkcs1": pkcs1, "pkcs8": der(0x30, der(2, b"\x00") + rsa_id + der(4, pkcs1)), "ec": der(0x30, der(2, b"\x01") + der(4, bytes(32)) + der(0xA0, der(6, bytes.fromhex("2a8648ce3d030107")))),
+        "ec8": der(0x30, der(2, b"\x00") + ec_id + der(4, der(0x30, der(2, b"\x01") + der(4, bytes(32))))), "encrypted": der(0x30, der(0x30, der(6, bytes.fromhex("2a864886f70d01050d")) + der(0x30, b"")) + der(4, bytes(48))),
+    }
+
+
+def public_things():
+    rsa_id = der(0x30, der(6, bytes.fromhex("2a864886f70d010101")) + der(5, b""))
+    public = der(0x30, der(2, bytes(range(1, 129))) + der(2, b"\x01\x00\x01"))
+    return {"pkcs1": public, "spki": der(0x30, rsa_id + der(3, b"\x00" + public)), "certificate": der(0x30, der(0x30, der(2, b"\x01") + rsa_id + der(0x30, b"")) + rsa_id + der(3, b"\x00" + bytes(64)))}
+
+
+def field(data):
+    return struct.pack(">I", len(data)) + data
+
+
+def ssh_file(public=True, private=64):
+    own = field(b"ssh-ed25519") + field(bytes(32))
+    return b"openssh-key-v1\x00" + field(b"none") + field(b"none") + field(b"") + struct.pack(">I", 1) + field(own if public else b"no key here") + field(bytes(private))
+
+
+def confirmed(text):
+    return [(secret_scan.KINDS[k], a, b) for a, k, b in secret_scan.confirmed_spans(text)]
+
+
+def b64(x):
+    return base64.b64encode(x).decode()
+
+
 def test_structure_confirms(spark):
-    key = der(0x30, der(2, b"\x00") + der(2, bytes(range(1, 129))) + der(2, b"\x01\x00\x01"))
-    b64 = lambda x: base64.b64encode(x).decode()
+    key = private_keys()["pkcs1"]
     url = lambda x: base64.urlsafe_b64encode(json.dumps(x).encode()).decode().rstrip("=")
     jwt = url({"alg": "HS256", "typ": "JWT"}) + "." + url({"sub": "someone"}) + "." + "c2lnbmF0dXJlc2lnbmF0dXJl"
-    ssh = struct.pack(">I", 7) + b"ssh-rsa" + struct.pack(">I", 3) + b"\x01\x00\x01" + struct.pack(">I", 32) + bytes(32)
     bad = bytearray(key)
-    bad[3] += 1
-    rows = [(1, f"é {b64(key)} end"), (2, key.hex()), (3, f"x {jwt} y"), (4, b64(ssh)), (5, b64(bytes(bad))), (6, b64(bytes(range(60)))), (7, f"-----BEGIN PRIVATE KEY-----\n{b64(key)}\n-----END PRIVATE KEY-----"), (8, "eyJhbGciOiJ.abcd.efghijklmnop"), (9, None)]
+    bad[8] += 1
+    rows = [(1, f"é {b64(key)} end"), (2, key.hex()), (3, f"x {jwt} y"), (4, b64(ssh_file())), (5, b64(bytes(bad))), (6, b64(bytes(range(60)))), (7, f"-----BEGIN PRIVATE KEY-----\n{b64(key)}\n-----END PRIVATE KEY-----"), (8, "eyJhbGciOiJ.abcd.efghijklmnop"), (9, None)]
     got = {r["doc_id"]: {s["kind"] for s in r["found"]} for r in secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {1: {"der"}, 2: {"hex", "der"}, 3: {"jwt"}, 4: {"ssh"}, 5: set(), 6: set(), 7: {"pem"}, 8: set(), 9: set()}
+    assert confirmed(f"a.{jwt}.b, {jwt}") == [("jwt", 2, 2 + len(jwt)), ("jwt", 6 + len(jwt), 6 + 2 * len(jwt))]
+
+
+@pytest.mark.parametrize("name", sorted(private_keys()))
+def test_private_keys_in_every_writing(name):
+    key = private_keys()[name]
+    text = b64(key)
+    lines = [text[k : k + 64] for k in range(0, len(text), 64)]
+    for shown in (text, key.hex(), key.hex().upper(), base64.urlsafe_b64encode(key).decode()):
+        assert confirmed(f"x {shown} y") == [("der", 2, 2 + len(shown))]
+    for end in ("\n", "\r\n"):
+        shown = end.join(lines)
+        assert confirmed(f"see:\n{shown}{end}and so on") == [("der", 5, 5 + len(shown))] and confirmed(f"see:\n{shown}{end}{end}word") == [("der", 5, 5 + len(shown))]
+    for body in ("\n".join(lines), "\\n".join(lines), "Comment: a key\n\n" + "\n".join(lines), text):
+        block = f"-----BEGIN X PRIVATE KEY-----\n{body}\n-----END X PRIVATE KEY-----"
+        assert confirmed(f"é{block}.") == [("pem", 1, 1 + len(block))]
+
+
+def test_long_pem_bodies_and_headers():
+    inner = b"".join([der(2, b"\x00"), *(der(2, bytes([1] * 20_000)) for _ in range(8))])
+    key = b"\x30\x83" + len(inner).to_bytes(3, "big") + inner
+    block = f"-----BEGIN RSA PRIVATE KEY-----\n{b64(key)}\n-----END RSA PRIVATE KEY-----"
+    assert len(block) > 200_000 and confirmed(block) == [("pem", 0, len(block))]
+    locked = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00\n\n{b64(bytes(range(64)))}\n-----END RSA PRIVATE KEY-----"
+    assert confirmed(locked) == [("pem", 0, len(locked))] and confirmed(locked.replace("DEK-Info: ", "Other: ")) == []
+    assert confirmed(block.replace("END RSA", "END DSA")) == [("der", 32, 32 + len(b64(key)))] and confirmed(block.replace("END", "BEGIN"))[:1] == [("der", 32, 32 + len(b64(key)))]
+
+
+def test_public_keys_are_not_secrets():
+    for data in public_things().values():
+        text = b64(data)
+        assert confirmed(text) == [] and confirmed(data.hex()) == [] and confirmed(f"-----BEGIN PRIVATE KEY-----\n{text}\n-----END PRIVATE KEY-----") == []
+    assert confirmed("ssh-ed25519 " + b64(field(b"ssh-ed25519") + field(bytes(32)))) == [] and confirmed("ssh-rsa " + b64(field(b"ssh-rsa") + field(b"\x01\x00\x01") + field(bytes(257)))) == []
+    for data in (ssh_file(public=False), ssh_file(private=13), ssh_file() + b"xyz", ssh_file()[:-8], b"openssh-key-v1\x00" + bytes(60)):
+        assert confirmed(b64(data)) == []
+    assert confirmed(b64(ssh_file())) == [("ssh", 0, len(b64(ssh_file())))] and confirmed(ssh_file().hex().upper())[0][0] == "ssh"
+
+
+def test_secret_scan_is_linear():
+    import time
+
+    began = time.process_time()
+    key = b64(private_keys()["ec"])
+    for text in ("eyJ" * 10**6, "eyJ" * 10**5 + "." + "eyJ" * 10**5, "eyJhbGciOiJ." * 10**5, "-----BEGIN PRIVATE KEY-----" * 40_000, "M" * 10**6, ("M" * 64 + "\n") * 10_000, f"{key} " * 5000):
+        found = secret_scan.spans(text)
+        assert len(found) == (5000 if text.startswith(key) else 0)
+    assert time.process_time() - began < 20
 
 
 def test_secret_on_odd_rows(odd, empty):
@@ -327,13 +464,85 @@ def test_every_linked_pair_shares_a_key():
             b = np.unique(np.concatenate([rng.permutation(a)[gone:], rng.integers(0, 2**63, more).astype(np.uint64)]))
             both = len(np.intersect1d(a, b))
             if 100 * both >= 85 * (len(a) + len(b) - both) and (len(a) != len(b) or (a != b).any()):
-                x, y = (np.concatenate(ngram_join._keys(s, rule, edges)) for s in (a, b))
+                x, y = (np.concatenate([k for k, _ in ngram_join._keys(s, rule, edges)]) for s in (a, b))
                 assert len(np.intersect1d(x, y)), (size, gone, more)
                 u, v = (ngram_join._parity(s).view(np.uint64) for s in (a, b))
                 if len(u) == len(v):
                     assert np.bitwise_count(u ^ v).sum() <= len(np.setxor1d(a, b))
 
 
+def test_linked_pairs_meet_without_common_keys():
+    """With any keys known as common, two linked sets still have an even key in common, or an odd one of the same hub."""
+    rule, rng = ngram_join.Rule(4, 85), np.random.default_rng(12)
+    edges, left_out, odd = rule.edges(), 0, 0
+    for size in [6, 12, 20, 40, 150, 600]:
+        for _ in range(40):
+            a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            gone = rng.integers(0, rule.most(2 * len(a)) + 1)
+            b = rng.permutation(a)[gone:]
+            b.sort()
+            if 100 * len(b) < 85 * len(a):
+                continue
+            keys = [ngram_join._keys(s, rule, edges) for s in (a, b)]
+            every = np.unique(np.concatenate([k for own in keys for k, _ in own]) & ~np.uint64(1))
+            some = np.sort(rng.permutation(every)[: rng.integers(0, len(every) + 1)])
+            common = ngram_join.Common(some, rng.integers(16, 19, len(some)), np.arange(len(some)) + 10)
+            x, y = ({int(v) if v % 2 == 0 else -1 - int((v & np.uint64(2 * ngram_join.COMMON - 1)) >> np.uint64(1)) for k, free in own for v in common.dealt(k, free, f)} for own, f in zip(keys, (-5, 7), strict=True))
+            assert x & y, (size, gone)
+            left_out += len({int(v) for k, _ in keys[0] for v in k}) - len(x)
+            odd += sum(v < 0 for v in x)
+    assert left_out > 100 and odd > 100
+
+
+def test_common_keys_change_no_result(spark, monkeypatch):
+    """Sets that share a line, of which the keys are known as common, are joined as without that."""
+    rng = random.Random(3)
+    line = [f"c{k}" for k in range(12)]
+    rows = []
+    for k in range(300):
+        own = line + [f"w{rng.randint(0, 40 if k % 2 else 4000)}" for _ in range(rng.randint(4, 40))]
+        rows.append((k, " ".join(own)))
+        if k % 3 == 0:
+            rows.append((1000 + k, " ".join([*own, "more"])))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    plain = {tuple(r) for r in ngram_join.similar_documents(df, words=4, percent=85).collect()}
+    held = []
+
+    def every(base):
+        edges, sets = ngram_join.Rule(4, 85).edges(), {}
+        for own in ngram_join.shingle_sets(pa.array([t for _, t in rows]), 4):
+            for keys, _ in ngram_join._keys(own, ngram_join.Rule(4, 85), edges):
+                for v in keys & ~np.uint64(1):
+                    sets.setdefault(int(v), set()).add(ngram_join.fingerprint(own))
+        some = sorted(v for v, s in sets.items() if len(s) > 1)
+        held.append(len(some))
+        return ngram_join.Common(np.array(some, np.uint64), np.array([len(sets[v]) for v in some]), np.array([min(sets[v]) for v in some]))
+
+    monkeypatch.setattr(ngram_join, "_common", every)
+    assert {tuple(r) for r in ngram_join.similar_documents(df, words=4, percent=85).collect()} == plain
+    assert held[0] > 50 and {r[:1] + r[2:] for r in plain} == {(k, v[1]) for k, v in linked(rows, 4, 85).items()}
+
+
+def test_word_hashes_over_borders_of_runs():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdEFGHé") for _ in range(n)) for n in (1, 2, 3, 4095, 4096, 4097, 70_000, 140_000)]
+    texts = [" ".join(rng.choice(words[:3]) if rng.random() < 0.999 else rng.choice(words) for _ in range(rng.randint(0, 4000))) + rng.choice(["", " ", "\n"]) for _ in range(60)]
+    texts += [words[-1], "", words[-1].lower(), words[-2] + "\t" + words[-2]]
+    one = {}
+    for t in texts:
+        for w in t.lower().split():
+            if w not in one:
+                flat = np.frombuffer(w.encode(), np.uint8)
+                one[w] = int(ngram_join.word_hashes(flat, np.array([0, len(flat)]))[1][0])
+    assert len({*one.values()}) == len(one)
+    flat, offsets = ngram_join.string_bytes(pa.array(texts))
+    starts, hashes = ngram_join.word_hashes(flat, offsets)
+    first = np.searchsorted(starts, offsets)
+    for k, t in enumerate(texts):
+        # only A-Z are lower-cased, and the other letters here have no upper case
+        assert hashes[first[k] : first[k + 1]].tolist() == [one[w] for w in t.lower().split()]
+
+
 def test_join_on_odd_rows(odd, empty):
     got = ngram_join.similar_documents(odd, words=4, percent=85).collect()
     assert len(got) == len(ODD)
@@ -387,7 +596,7 @@ def test_search_ties_and_blocks(spark):
     df = spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(x)], "vec_id long, embedding array<double>")
     vectors = vector_topk.whole_vectors(df, "vec_id", "embedding", 256)
     got = {}
-    for r in vector_topk.exact_topk(vectors, vectors.where("vec_id % 50 = 0"), 5, query_rows=3, candidate_rows=90).collect():
+    for r in vector_topk.exact_topk(vectors, vectors.where("vec_id % 50 = 0"), 5, tile=90 * 16 * 8).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["score"], r["vec_id"])
     whole = np.floor(256 * x).astype(int)
     for q in range(0, 400, 50):
@@ -395,6 +604,42 @@ def test_search_ties_and_blocks(spark):
         assert [got[q][i + 1] for i in range(5)] == [(-s, k) for s, k in best]
 
 
+def searched(x, k=5, step=50):
+    """Brute force over whole numbers."""
+    whole = np.floor(256 * x).astype(np.int64)
+    out = {}
+    for q in range(0, len(x), step):
+        score = whole @ whole[q]
+        score[q] = np.iinfo(np.int64).min
+        out[q] = [(int(score[i]), int(i)) for i in np.lexsort((np.arange(len(x)), -score))[:k]]
+    return out
+
+
+@pytest.mark.parametrize("kind", ["waves", "clusters", "noise"])
+def test_search_dismisses_pairs_level_by_level(spark, monkeypatch, kind):
+    rng, monkey = np.random.default_rng(9), monkeypatch
+    monkey.setattr(vector_topk, "CELL_ROWS", 200)
+    if kind == "waves":  # neighbouring components are alike
+        x = np.cumsum(rng.normal(0, 1, (2000, 64)), axis=1)
+    elif kind == "clusters":
+        x = rng.normal(0, 1, (20, 64))[rng.integers(0, 20, 2000)] + rng.normal(0, 0.03, (2000, 64))
+    else:
+        x = rng.normal(0, 1, (2000, 64))
+    x /= np.sqrt((x**2).sum(axis=1, keepdims=True))
+    df = spark.createDataFrame([(k, r.tolist()) for k, r in enumerate(x)], "vec_id long, embedding array<double>")
+    vectors = vector_topk.checkpointed(vector_topk.whole_vectors(df, "vec_id", "embedding", 256))
+    queries_ = vectors.where("vec_id % 50 = 0")
+    got = {}
+    for r in vector_topk.exact_topk(vectors, queries_).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append((r["score"], r["vec_id"]))
+    assert got == searched(x)
+    left = [r["pairs"] for r in vector_topk.survivors(vectors, queries_).orderBy("level").collect()]
+    every = len(x) * 40
+    assert len(left) == 5 and all(a >= b for a, b in zip(left, left[1:]))
+    # of waves a coarse level leaves little, of clusters most cells aren't visited at all, and of noise only the finest level dismisses
+    assert left[3] < 0.2 * every if kind == "waves" else left[0] < 0.3 * every if kind == "clusters" else left[4] < 0.7 * every
+
+
 def test_search_of_nothing(spark):
     empty = spark.createDataFrame([], VECTORS)
     assert vector_topk.topk_query(empty).count() == 0 and vector_dedup.near_vectors(empty).count() == 0
@@ -470,10 +715,10 @@ def test_packing_tokens_equal_the_tokenizers():
 
 
 def test_packing_on_odd_rows(odd, empty):
-    got = packing.pack(odd.where("doc_id is not null")).collect()
+    got = packing.pack(odd).collect()
     texts = {r[0]: r[1] for r in ODD}
-    packed_rows(packing.pack(odd.where("doc_id <> 6")).collect(), texts)
-    assert {r["doc_id"] for r in got} == {k for k in texts if k is not None} and sum(r["doc_id"] == 6 and r["start"] == 0 for r in got) == 2
+    packed_rows(packing.pack(odd.where("doc_id is null or doc_id <> 6")).collect(), texts)
+    assert {r["doc_id"] for r in got} == {*texts} and sum(r["doc_id"] == 6 and r["start"] == 0 for r in got) == 2
     assert sum(r["length"] for r in got if r["doc_id"] == 1) == 1 and packing.pack(empty).count() == 0
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 import pytest
-from test_llm import linked, packed_rows, pii_base
+from test_llm import ODD, linked, packed_rows, pii_base
 
 STAGES = dict(corpus_pipeline.STAGES)
 
@@ -49,3 +49,18 @@ def test_stages_of_nothing(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, sf_dir).count() == 0
+
+
+def test_stages_of_odd_rows(spark, sf_dir):
+    """Nulls in every column, no id, no text, repeated rows and a very long text among the documents, through all stages."""
+    found = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [tuple(dict(zip(("doc_id", "text", "lang", "source", "n_chars"), r, strict=False)).get(c) for c in found.columns) for r in ODD]
+    docs = found.union(spark.createDataFrame(rows, found.schema))
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, docs, sf_dir).collect()
+        if name == "language_id":
+            ids = [r["doc_id"] for r in made]
+            assert ids.count(None) == 1  # its text has letters
+        docs = spark.createDataFrame(made, found.schema) if name != "packing" else docs
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert len({(r["sequence_id"], r["offset"]) for r in made}) == len(made) and {r["doc_id"] for r in made} == {*texts}

@@ -7,6 +7,7 @@ by expectation maximisation on words and their counts, again over all segmentati
 
 from __future__ import annotations
 
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -23,8 +24,8 @@ SAMPLE_ROWS, ROUNDS = 400, 3
 PARTS = 16
 #: Words whose scores a Python worker keeps, and bytes of text that it takes at once.
 KNOWN_WORDS, SLICE = 120_000, 2 << 20
-#: Longest piece and longest run of letters scored at once; longer runs are scored in parts.
-PIECE, RUN = 8, 32
+#: Runs of more letters are scored in lock step, with a window of the forward sums, and aren't kept. Those of the sample are learned from in parts of LEARNED letters.
+RUN, LEARNED, TOGETHER = 32, 256, 256
 FLOOR, EVIDENCE = 1e-7, 25.0
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
@@ -40,13 +41,13 @@ def vocabulary_path() -> str:
 
 
 def vocabulary(path: str) -> list[str]:
-    """The vocabulary's pieces of letters, with or without the mark of a word's begin, of up to PIECE characters."""
+    """The vocabulary's pieces of letters, with or without the mark of a word's begin."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     special = {i for i in range(model.get_piece_size()) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i)}
     found = {model.id_to_piece(i).lower() for i in range(model.get_piece_size()) if i not in special}
-    return sorted(p for p in found if 1 <= len(p) <= PIECE and (p == MARK or LETTERS.fullmatch(p.removeprefix(MARK))))
+    return sorted(p for p in found if p and (p == MARK or LETTERS.fullmatch(p.removeprefix(MARK))))
 
 
 def _key(codes: np.ndarray) -> np.ndarray:
@@ -67,13 +68,13 @@ class Segmenter:
             own = np.flatnonzero(sizes == n)
             keys[own] = _key(np.frombuffer("".join(pieces[k] for k in own).encode("utf-32-le"), np.uint32).reshape(len(own), n))
         self.find = Lookup(keys, np.arange(1, len(pieces) + 1), -1)
-        self.size = len(pieces) + 1
+        self.size, self.longest = len(pieces) + 1, int(sizes.max(initial=1))
 
     def spans(self, codes: np.ndarray):
         """codes (n, L) -> for each end and length the piece of each word, as (begin, end, ids)."""
         for end in range(1, codes.shape[1] + 1):
             h = np.zeros(len(codes), np.uint64)
-            for begin in range(end - 1, max(-1, end - PIECE - 1), -1):
+            for begin in range(end - 1, max(-1, end - self.longest - 1), -1):
                 h = mix(h * _MULT + codes[:, begin].astype(np.uint64) + np.uint64(1))
                 ids = self.find(h)
                 if begin == end - 1:
@@ -81,6 +82,19 @@ class Segmenter:
                 if (ids >= 0).any():
                     yield begin, end, ids
 
+    def ending(self, codes: np.ndarray, n: int) -> np.ndarray:
+        """codes (rows, longest - 1 + n), 0 where there is no letter -> for each length, row and one of the last n places the
+        piece of that length that ends there."""
+        out = np.full((self.longest, len(codes), n), -1, np.int32)
+        h, there = np.zeros((len(codes), n), np.uint64), np.ones((len(codes), n), bool)
+        for k in range(self.longest):
+            part = codes[:, self.longest - 1 - k : self.longest - 1 - k + n]
+            there &= part > 0
+            h = mix(h * _MULT + part.astype(np.uint64) + np.uint64(1))
+            found = self.find(h.ravel()).reshape(h.shape)
+            out[k] = np.where(there, np.maximum(found, 0) if k == 0 else found, -1)
+        return out
+
 
 def segmenter_of(pieces: list[str]) -> Segmenter:
     """One for each vocabulary and Python worker."""
@@ -109,10 +123,16 @@ class Model:
     probability: np.ndarray
 
     def scores(self, words: list[str]) -> np.ndarray:
-        """log P(word) in each language."""
+        """log P(word) in each language, over all segmentations."""
+        sizes = np.array([len(w) for w in words])
+        if (sizes > RUN).any():
+            out = np.zeros((len(words), len(self.languages)))
+            for own, score in ((np.flatnonzero(sizes <= RUN), self.scores), (np.flatnonzero(sizes > RUN), self.long_scores)):
+                if len(own):
+                    out[own] = score([words[k] for k in own])
+            return out
         segmenter = segmenter_of(self.pieces)
-        table = np.concatenate([self.probability, np.zeros((1, len(self.languages)))]) if not hasattr(self, "_table") else self._table
-        self._table = table
+        table = self.table()
         out = np.zeros((len(words), len(self.languages)), np.float32)
         for own, codes in by_length(words):
             for a in range(0, len(own), 8192):
@@ -128,13 +148,63 @@ class Model:
                 out[own[a : a + 8192]] = np.log(forward[-1])
         return out
 
+    def table(self) -> np.ndarray:
+        """Probabilities with a row of zeros at the end, for no piece."""
+        if not hasattr(self, "_table"):
+            self._table = np.concatenate([self.probability, np.zeros((1, len(self.languages)))])
+        return self._table
+
+    def long_scores(self, words: list[str]) -> np.ndarray:
+        """As scores, for words of any length: all words go on by one letter at a time, the forward sums are kept as far back as a piece can
+        reach, and their scale is taken out after each letter."""
+        order = sorted(range(len(words)), key=lambda k: -len(words[k]))
+        out = np.zeros((len(words), len(self.languages)))
+        for a in range(0, len(order), TOGETHER):
+            out[order[a : a + TOGETHER]] = self._in_step(words, order[a : a + TOGETHER])
+        return out
+
+    def _in_step(self, words: list[str], order: list[int]) -> np.ndarray:
+        segmenter, table = segmenter_of(self.pieces), self.table()
+        back = segmenter.longest
+        sizes = np.array([len(words[k]) + 1 for k in order])
+        raw = [np.frombuffer((MARK + words[k]).encode("utf-32-le", "surrogatepass"), np.uint32) for k in order]
+        window = np.zeros((back, len(order), len(self.languages)))  # by how far back
+        window[0] = 1
+        total = np.zeros((len(order), len(self.languages)))
+        at = 0
+        while at < sizes[0]:
+            live = int((sizes > at).sum())
+            n = int(min(sizes[0] - at, max(1, 65536 // (live * back))))
+            codes = np.zeros((live, back - 1 + n), np.uint32)
+            for k in range(live):
+                a, b = max(0, at - back + 1), min(at + n, sizes[k])
+                codes[k, a - (at - back + 1) : b - (at - back + 1)] = raw[k][a:b]
+            ids = segmenter.ending(codes, n)
+            for step in range(n):
+                live = int((sizes > at + step).sum())
+                new = (window[:, :live] * table[ids[:, :live, step]]).sum(axis=0)
+                total[:live] += np.log(new)
+                window[1:, :live] = window[:-1, :live] / new
+                window[0, :live] = 1
+            at += n
+        return total
+
 
 def runs(text: str) -> list[str]:
-    """Lower-cased runs of letters, those over RUN characters in parts."""
-    found = LETTERS.findall(text.lower())
-    if len(text) > RUN and max(map(len, found), default=0) > RUN:
-        found = [w[a : a + RUN] for w in found for a in range(0, len(w), RUN)]
-    return found
+    """Lower-cased runs of letters."""
+    return LETTERS.findall(text.lower())
+
+
+def _logs(spans: list, length: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of the forward and backward sums of n words at each place."""
+    forward, backward = np.zeros((2, length + 1, n))
+    for at, own in itertools.groupby(spans, key=lambda s: s[1]):
+        before = forward[at - 1]
+        forward[at] = before + np.log(sum(np.exp(forward[b] - before) * p for b, _, _, p in own))
+    for at, own in itertools.groupby(sorted(spans, key=lambda s: -s[0]), key=lambda s: s[0]):
+        after = backward[at + 1]
+        backward[at] = after + np.log(sum(np.exp(backward[e] - after) * p for _, e, _, p in own))
+    return forward, backward
 
 
 def _expected(model: Model, languages: dict[str, int]):
@@ -148,14 +218,9 @@ def _expected(model: Model, languages: dict[str, int]):
             n = batch.column(2).to_numpy().astype(float)
             for own, codes in by_length(batch.column(1).to_pylist()):
                 spans = [(b, e, np.maximum(ids, 0), model.probability[np.maximum(ids, 0), lang[own]] * (ids >= 0)) for b, e, ids in segmenter.spans(codes)]
-                forward, backward = np.zeros((2, codes.shape[1] + 1, len(own)))
-                forward[0] = backward[-1] = 1
-                for b, e, _, p in spans:
-                    forward[e] += forward[b] * p
-                for b, e, _, p in sorted(spans, key=lambda s: -s[1]):
-                    backward[b] += backward[e] * p
+                forward, backward = _logs(spans, codes.shape[1], len(own))
                 for b, e, ids, p in spans:
-                    np.add.at(total, (ids, lang[own]), n[own] * forward[b] * p * backward[e] / forward[-1])
+                    np.add.at(total, (ids, lang[own]), n[own] * p * np.exp(forward[b] + backward[e] - forward[-1]))
         piece, which = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(piece.astype(np.int64)), pa.array(which.astype(np.int64)), pa.array(total[piece, which])], ["piece", "language", "uses"])
 
@@ -166,7 +231,7 @@ def _counted(batches):
     for rows in slices(batches, SLICE):
         lang, word = [], []
         for code, text in zip(rows.column(0).to_pylist(), rows.column(1), strict=True):
-            own = runs(text.as_py() or "")
+            own = [w[a : a + LEARNED] for w in runs(text.as_py() or "") for a in range(0, len(w), LEARNED)]
             lang += [code] * len(own)
             word += own
         yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(word, pa.string())], ["lang", "word"])
@@ -211,15 +276,21 @@ def _predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
         _cache["scores"] = []
     words = [runs(t.as_py() or "") for t in texts]
     new = list({w for own in words for w in own if w not in place})
+    long = [w for w in new if len(w) > RUN]
+    new = [w for w in new if len(w) <= RUN] if long else new
     if new:
         place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
         _cache["scores"] = [np.concatenate([*_cache["scores"], model.scores(new)])]
+    scores = _cache["scores"][0] if _cache["scores"] else np.zeros((0, len(model.languages)), np.float32)
+    if long:
+        place = place | {w: len(place) + k for k, w in enumerate(long)}
+        scores = np.concatenate([scores, model.scores(long)])
     counts = np.array([len(own) for own in words])
     some = counts > 0
     total = np.zeros((len(words), len(model.languages)))
     if some.any():
         flat = np.fromiter((place[w] for own in words for w in own), np.int64, counts.sum())
-        total[some] = np.add.reduceat(_cache["scores"][0][flat].astype(np.float64), (np.cumsum(counts) - counts)[some], axis=0)
+        total[some] = np.add.reduceat(scores[flat].astype(np.float64), (np.cumsum(counts) - counts)[some], axis=0)
     total *= np.minimum(1, EVIDENCE / np.maximum(counts, 1))[:, None]
     share = np.exp(total - total.max(axis=1, keepdims=True))
     share /= share.sum(axis=1, keepdims=True)

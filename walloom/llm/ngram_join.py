@@ -26,11 +26,17 @@ from pyspark.sql import functions as F
 from .common import broadcast_if_small, checkpointed, mix, slices, stored, string_bytes
 from .components import components, roots
 
-BASE = np.uint64(0x9E3779B97F4A7C55)
-INVERSE = np.uint64(pow(0x9E3779B97F4A7C55, -1, 2**64))
 BITS = 1024
-SLICE = 2 << 20
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+SLICE = 512 << 10
+#: Bytes that are hashed at once, and places in a word that have a factor of their own; further ones mix in the number of the round.
+CHUNK, PLACES = 64 << 10, 4096
+#: One set in so many shows which keys are common: those that LEAST of the sample have, the COMMON most common ones (a power of two).
+SAMPLE, LEAST, COMMON = 64, 16, 1 << 16
+_GAP = np.isin(np.arange(256), [32, *range(9, 14)])
+_LOWER = np.arange(256, dtype=np.uint64) + np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), 32, 0).astype(np.uint64)
+#: A number for each byte, equal for both cases of A-Z and 0 for white space; and an odd factor for each place in a word.
+_VALUE = np.where(_GAP, np.uint64(0), mix(_LOWER + np.uint64(0x5BD1E995)))
+_FACTOR = mix(np.arange(PLACES, dtype=np.uint64) + np.uint64(0x9E3779B97F4A7C55)) | np.uint64(1)
 
 
 @dataclass(frozen=True)
@@ -53,33 +59,41 @@ class Rule:
         return np.array(out, np.int64)
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
-        for k, base in enumerate((BASE, INVERSE)):
-            _powers[k] = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, base, np.uint64))])
-    return _powers[0], _powers[1]
+def word_hashes(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and hashes of the words of texts laid end to end, by runs of CHUNK bytes with the open word carried over, so that
+    working memory doesn't grow with a text. A word's hash is the sum of its bytes' numbers times the factors of their places."""
+    starts, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    open_at, last, inside = 0, np.zeros(1, np.uint64), False
+    for a in range(0, len(flat), CHUNK):
+        value = _VALUE[flat[a : a + CHUNK]]
+        member = value != 0
+        begins = member.copy()
+        begins[1:] &= ~member[:-1]
+        begins[0] &= not inside
+        border = offsets[np.searchsorted(offsets, a) : np.searchsorted(offsets, a + len(value))] - a
+        begins[border] = member[border]
+        at = np.flatnonzero(begins)
+        place = np.arange(len(value)) - np.concatenate([[open_at - a], at])[np.cumsum(begins)]
+        value *= _FACTOR[place % PLACES]
+        far = np.flatnonzero(place >= PLACES)
+        if len(far):
+            value[far] *= mix((place[far] // PLACES).astype(np.uint64)) | np.uint64(1)
+        head = at[0] if len(at) else len(value)
+        last += value[:head].sum(dtype=np.uint64)
+        inside = bool(member[-1])
+        if len(at):
+            own = np.add.reduceat(value, at)
+            hashes += [last, own[:-1]]
+            last, open_at = own[-1:].copy(), a + int(at[-1])
+            starts.append(at + a)
+    found = np.concatenate(starts)
+    return found, mix(np.concatenate([*hashes, last])[1:] + np.uint64(0xD6E8FEB86659FD93)) if len(found) else np.zeros(0, np.uint64)
 
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
     """Per text the sorted distinct 64-bit hashes of its shingles of lower-cased words; all of a whole column at once."""
     flat, offsets = string_bytes(texts)
-    low = flat + np.where((flat >= 65) & (flat <= 90), np.uint8(32), np.uint8(0))
-    gap = (flat == 32) | ((flat >= 9) & (flat <= 13))
-    member = ~gap
-    begins = member.copy()
-    begins[1:] &= gap[:-1]
-    inner = offsets[1:-1][offsets[1:-1] < len(flat)]
-    begins[inner] = member[inner]
-    starts = np.flatnonzero(begins)
-    ends_mark = member.copy()
-    ends_mark[:-1] &= gap[1:]
-    last = inner[inner > 0] - 1
-    ends_mark[last] = member[last]
-    ends = np.flatnonzero(ends_mark) + 1
-    power, inverse = _power(len(flat) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * power[: len(flat)])])
-    word = mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    starts, word = word_hashes(flat, offsets)
     first = np.searchsorted(starts, offsets)
     shingle = np.zeros(max(0, len(word) - words + 1), np.uint64)
     for k in range(words):
@@ -143,12 +157,13 @@ def spare_segments(most: int, least: int) -> int:
     return extra
 
 
-def _keys(own: np.ndarray, rule: Rule, edges: np.ndarray, trials: int = 16) -> list[np.ndarray]:
-    """Join keys of a set in its own size band and, where larger sets of the next band can link, there too.
+def _keys(own: np.ndarray, rule: Rule, edges: np.ndarray, trials: int = 16) -> list[tuple[np.ndarray, int]]:
+    """Join keys of a set in its own size band and, where larger sets of the next band can link, there too; and how many of them the set can do without.
 
     A band has D + 1 segments and a few more. A pair that agrees in no segment but empty ones has more empty
     segments than those few in both of its sets: such sets, and only they, give the keys of a further trial with other hashes too; after
-    the last trial they share one key, so no pair is missed.
+    the last trial they share one key, so no pair is missed. A set with fewer empty segments than those few shares, with each set that it links
+    with, at least one more key than the difference: it may leave out so many of its keys, if all sets leave out by one order.
     """
     size, out = len(own), []
     band = int(np.searchsorted(edges, size, side="right")) - 1
@@ -160,30 +175,67 @@ def _keys(own: np.ndarray, rule: Rule, edges: np.ndarray, trials: int = 16) -> l
         for trial in range(trials + 1):
             salt = np.uint64((k * 64 + trial) * 0x9E3779B97F4A7C15 % 2**64)
             if trial == trials:
-                out.append(mix(np.array([salt])))
+                out.append((mix(np.array([salt])), 0))
                 break
             number, word = _segments(own, most + 1 + spare, trial)
-            out.append(mix(word ^ mix(number + salt)))
-            if most + 1 + spare - len(number) <= spare:
+            free = len(number) - most - 1
+            out.append((mix(word ^ mix(number + salt)), max(0, free)))
+            if free >= 0:
                 break
     return out
 
 
+@dataclass(frozen=True)
+class Common:
+    """Keys, sorted, that very many sets have: how many of the sample have them, and one set of those."""
+
+    key: np.ndarray
+    count: np.ndarray
+    hub: np.ndarray
+
+    def dealt(self, keys: np.ndarray, free: int, own: int) -> np.ndarray:
+        """Keys as they are shuffled: even ones to meet under, and odd ones, spread by the set, that name the hub's place instead of
+        gathering all sets in one task. The most common `free` of them are left out."""
+        keys = keys & ~np.uint64(1)
+        if not len(self.key):
+            return keys
+        at = np.minimum(np.searchsorted(self.key, keys), len(self.key) - 1)
+        found = np.flatnonzero(self.key[at] == keys)
+        if not len(found):
+            return keys
+        order = found[np.lexsort((keys[found], self.count[at[found]]))]
+        left = order[: max(0, len(order) - free)]
+        spread = mix(keys[left] ^ np.uint64(own % 2**64)) & ~np.uint64(2 * COMMON - 1)
+        return np.concatenate([np.delete(keys, found), spread | (at[left].astype(np.uint64) << np.uint64(1)) | np.uint64(1)])
+
+
 def _described(rule: Rule):
     def run(batches):
+        edges = rule.edges()
         for rows in slices(batches, SLICE):
             sets = shingle_sets(rows.column(1), rule.words)
             n = pa.array([len(own) for own in sets], pa.int64())
-            mark = pa.array([fingerprint(own) if len(own) else None for own in sets], pa.int64())
+            mark = [fingerprint(own) if len(own) else None for own in sets]
             sketch = pa.array([_parity(own) if len(own) else None for own in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([rows.column(0), n, mark, sketch], ["doc_id", "n", "set", "sketch"])
+            keys = [np.concatenate([k for k, _ in _keys(own, rule, edges)]) & ~np.uint64(1) if len(own) and f % SAMPLE == 0 else None for own, f in zip(sets, mark, strict=True)]
+            sampled = pa.array([k if k is None else k.view(np.int64) for k in keys], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([rows.column(0), n, pa.array(mark, pa.int64()), sketch, sampled], ["doc_id", "n", "set", "sketch", "sampled"])
 
     return run
 
 
-def _keyed(rule: Rule):
+def _common(base: DataFrame) -> Common:
+    """The most common keys by the sampled sets. Which ones are known as common changes the work only, never the result."""
+    sampled = base.where("sampled is not null").select("set", F.explode("sampled").alias("key")).distinct()
+    found = sampled.groupBy("key").agg(F.count("*").alias("n"), F.min("set").alias("hub")).where(F.col("n") >= LEAST).orderBy(F.desc("n"), "key").limit(COMMON).toArrow()
+    key = found["key"].to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    return Common(key[order], found["n"].to_numpy()[order], found["hub"].to_numpy()[order])
+
+
+def _keyed(rule: Rule, shared):
     def run(batches):
-        edges = rule.edges()
+        edges, common = rule.edges(), shared.value
         for rows in slices(batches, SLICE):
             key, mark, seen = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], set()
             for own in shingle_sets(rows.column(0), rule.words):
@@ -191,7 +243,7 @@ def _keyed(rule: Rule):
                 if f is None or f in seen:
                     continue
                 seen.add(f)
-                found = _keys(own, rule, edges)
+                found = [common.dealt(k, free, f) for k, free in _keys(own, rule, edges)]
                 key += found
                 mark += [np.full(len(k), f) for k in found]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key).view(np.int64)), pa.array(np.concatenate(mark))], ["key", "set"])
@@ -199,24 +251,30 @@ def _keyed(rule: Rule):
     return run
 
 
-def _mates(batches):
-    """Rows sorted by (key, set) -> (a, b): the first set of each key with each other one."""
-    key_before, first_before, last_before = None, None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        key, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        at = np.flatnonzero(new)
-        first = own[at[np.cumsum(new) - 1]]
-        if key_before == key[0]:
-            head = at[1] if len(at) > 1 else len(key)
-            first = first.copy()
-            first[:head] = first_before
-        key_before, first_before = key[-1], first[-1]
-        far = own != first
-        pairs = np.unique(np.stack([first[far], own[far]], axis=1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+def _mates(shared):
+    """Rows sorted by (key, set) -> (a, b): the first set of each even key with each other one, the hub of each odd key with each."""
+
+    def run(batches):
+        hub = shared.value.hub
+        key_before, first_before = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, own = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            new = np.concatenate([[True], key[1:] != key[:-1]])
+            at = np.flatnonzero(new)
+            first = own[at[np.cumsum(new) - 1]]
+            if key_before == key[0]:
+                first[: at[1] if len(at) > 1 else len(key)] = first_before
+            key_before, first_before = key[-1], first[-1]
+            odd = np.flatnonzero(key & 1)
+            if len(odd):
+                first[odd] = hub[(key[odd] & (2 * COMMON - 1)) >> 1]
+            far = own != first
+            pairs = np.unique(np.stack([first[far], own[far]], axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return run
 
 
 def _verified(rule: Rule):
@@ -261,17 +319,15 @@ def _verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, rule: Rule,
 def _unresolved(rule: Rule, block: int = 512):
     """Members of one hub, or of two tiles of them -> pairs in different components that the short sketch doesn't dismiss.
 
-    Sketches are compared width by width: sets that link have widths equal or next to each other. A pair that several hubs
-    hold comes from the least of them only.
+    Sketches are compared width by width: sets that link have widths equal or next to each other.
     """
 
     def run(key, table):
-        hub, ti, tj = (k.as_py() for k in key)
+        _, ti, tj = (k.as_py() for k in key)
         own, part, n, here = (table[c].to_numpy() for c in ("b", "component", "n", "here"))
         lists = table["sketch"].combine_chunks()
         offset, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
         width = np.diff(offset)
-        hubs = table["hubs"].combine_chunks()
         found = [np.zeros((0, 2), np.int64)]
 
         def bits(rows: np.ndarray, least: int) -> np.ndarray:
@@ -296,10 +352,8 @@ def _unresolved(rule: Rule, block: int = 512):
                         for a in range(0, len(x), 1 << 14):
                             u, v = x[a : a + (1 << 14)], y[a : a + (1 << 14)]
                             near = np.bitwise_count(x_bits[p + u] ^ y_bits[q + v]).sum(axis=1) <= most[u, v]
-                            pairs = [(k, m) for k, m in zip(i[u[near]].tolist(), j[v[near]].tolist(), strict=True) if min({*hubs[k].as_py()} & {*hubs[m].as_py()}) == hub]
-                            if pairs:
-                                k, m = np.array(pairs).T
-                                found.append(np.stack([np.minimum(own[k], own[m]), np.maximum(own[k], own[m])], axis=1))
+                            k, m = i[u[near]], j[v[near]]
+                            found.append(np.stack([np.minimum(own[k], own[m]), np.maximum(own[k], own[m])], axis=1))
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -310,7 +364,8 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     """-> (doc_id, n_shingles, component_id) for every row; component_id is the smallest id reached by links, itself included.
 
     Rows whose sets are equal are one class, known by a 64-bit fingerprint, and only classes are compared. Keys are made in a
-    pass of their own, as a table of them would outweigh the texts; they meet by a shuffle; of the classes under one key, each is paired with the first (never all with all). Pairs are verified on
+    pass of their own, as a table of them would outweigh the texts; they meet by a shuffle; of the classes under one key, each is paired with the first (never all with all).
+    Keys that a sample shows to be common are left out by the sets that can do without them, and those that stay are dealt evenly. Pairs are verified on
     whole sets, first one pair for each class; where the links found so far leave members of a hub in different components, all
     pairs of that hub's members that are still apart pass the short sketch in tiles, and what it doesn't dismiss is verified too.
     So every two classes that share a key end up verified or in one component, and no link is lost.
@@ -319,10 +374,11 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     """
     rule = Rule(words, percent)
     texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    base = stored(texts.mapInArrow(_described(rule), "doc_id long, n long, set long, sketch array<long>"))
+    base = stored(texts.mapInArrow(_described(rule), "doc_id long, n long, set long, sketch array<long>, sampled array<long>"))
     classes = checkpointed(base.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("head"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
-    keyed = texts.select("text").mapInArrow(_keyed(rule), "key long, set long").repartition("key").sortWithinPartitions("key", "set")
-    mates = checkpointed(keyed.mapInArrow(_mates, "a long, b long").distinct())
+    shared = documents.sparkSession.sparkContext.broadcast(_common(base))  # COMMON keys at most
+    keyed = texts.select("text").mapInArrow(_keyed(rule, shared), "key long, set long").repartition("key").sortWithinPartitions("key", "set")
+    mates = checkpointed(keyed.mapInArrow(_mates(shared), "a long, b long").distinct())
 
     side = lambda c: classes.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
     a, b = F.col("sketch_a"), F.col("sketch_b")
@@ -339,8 +395,7 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     open_hubs = labelled.where("of_a <> of_b").select("a").distinct()
     members = labelled.join(open_hubs, "a", "left_semi")
     members = members.select("a", "b", F.col("of_b").alias("component")).union(members.select("a", F.col("a").alias("b"), F.col("of_a").alias("component")).distinct())
-    hubs = members.groupBy("b").agg(F.collect_list("a").alias("hubs"))  # at most as many as a document has keys
-    members = checkpointed(members.join(hubs, "b").join(classes.select(F.col("set").alias("b"), "n", "sketch"), "b"))
+    members = checkpointed(members.join(classes.select(F.col("set").alias("b"), "n", "sketch"), "b"))
     sized = members.groupBy("a").agg(F.ceil(F.count("*") / tile).cast("int").alias("m"))
     here = F.pmod(F.xxhash64("b"), F.col("m")).cast("int")
     dealt = members.join(sized, "a").withColumn("here", here).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))

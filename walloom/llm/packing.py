@@ -183,7 +183,7 @@ def _packed(length: int, linear: float, quadratic: float):
         first = int(full.sum())
         used = max(count, int(s.max(initial=-1)) + 1)
         more = poured([tuple(r.values()) for r in table.filter(pa.array(spare)).select([*names, "ids"]).to_pylist()], holes, length, used)
-        columns = [np.concatenate([table[c].to_numpy()[full], table[c].to_numpy()[rest], np.array([r[k] for r in more], np.int64)]) for k, c in enumerate(names)]
+        columns = [pa.chunked_array([*table[c].filter(pa.array(full)).chunks, *table[c].filter(pa.array(rest)).chunks, pa.array([r[k] for r in more], pa.int64())]) for k, c in enumerate(names)]
         sequence = np.concatenate([np.arange(first), s + first, np.array([r[5] + first for r in more], np.int64)])
         place = np.concatenate([np.zeros(first, np.int64), offset, np.array([r[6] for r in more], np.int64)])
         group = int(table["part"][0].as_py()) << 40
@@ -198,14 +198,15 @@ def pack(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
 
     A document's tokens (with end_id after them) fill whole sequences of their own as far as they go; what is left is packed with the
     rests of other documents. One rest in FILLER is held back and then cut to fill the room that the others leave, so that
-    every group has one sequence with padding at most. Rests are dealt by a hash of the document into groups of about group_rows documents, and
-    each group is packed by itself in one task of bounded memory; sequence ids are unique over all groups. Every
+    every group has one sequence with padding at most. Pieces are dealt by a hash of the document, the piece and the part of the input that it comes
+    from into groups of about group_rows documents, so that an id which very many rows repeat is in many groups too; each group is packed
+    by itself in one task of bounded memory; sequence ids are unique over all groups. Every
     other piece has its checksum from the tokenising pass, so only the fillers' ids are shuffled. A null text is an empty one: its end id alone.
-    Rows that repeat an id are packed each; no rows give no rows. doc_id must be a whole number.
+    Rows that repeat an id, or have none, are packed each; no rows give no rows. doc_id must be a whole number or null.
     """
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     groups = max(1, -(-rows.select("doc_id").count() // group_rows))
     pieces = rows.mapInArrow(_pieces(path or vocabulary_path(), length, end_id), PIECES + ", ids binary")
-    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(groups)))
+    dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.spark_partition_id()), F.lit(groups)))
     schema = PIECES + ", sequence_id long, offset long"
     return dealt.groupBy("part").applyInArrow(_packed(length, linear, quadratic), schema)

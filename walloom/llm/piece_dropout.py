@@ -22,7 +22,9 @@ from .common import Lookup, mix, slices, string_bytes
 
 MARK = "▁"
 NONE = np.int32(2**30)
-WIDE = 48
+#: Words of more characters go through an agenda; units that a worker keeps; places that one pass of the lock step holds.
+WIDE, KNOWN, BLOCK = 48, 200_000, 1 << 20
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 _models: dict = {}
 _cached: dict = {}
 
@@ -65,6 +67,11 @@ class Pieces:
                     right.append(b)
                     made.append(rank[i])
         self.merge = Lookup(self.pair(np.array(left), np.array(right)), np.array(made), int(NONE))
+        long = [p for p in self.ids if len(p) > 1]
+        self.longest = max(map(len, long))
+        self.ranks, self.none = (np.uint16, np.uint16(65535)) if n < 65535 else (np.int32, NONE)
+        #: Ranks of pieces by a hash of their characters, for all spans of many words at once.
+        self.ranked = Lookup(np.array([self.spelling(p) for p in long], np.uint64), np.array([rank[self.ids[p]] for p in long]), int(NONE))
         inside = {c for p in self.ids if len(p) > 1 for c in p}
         fixed = "".join(re.escape(c) for c in inside if c != MARK)
         #: A unit that no merge can leave: characters that no longer piece has stand alone, and a mark only begins pieces.
@@ -77,7 +84,14 @@ class Pieces:
     def pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix((a.astype(np.uint64) + np.uint64(1)) * np.uint64(1 << 24) + b.astype(np.uint64) + np.uint64(1))
 
-    def spelled(self, unit: str, ids: list[int]) -> list[int]:
+    @staticmethod
+    def spelling(piece: str) -> int:
+        h = np.zeros(1, np.uint64)
+        for c in piece:
+            h = mix(h * _STEP + np.uint64(ord(c) + 1))
+        return int(h[0])
+
+    def spelled(self, ids: list[int]) -> list[int]:
         """Ids with the bytes of characters that are no piece; those are given as -1 - code point."""
         out: list[int] = []
         for i in ids:
@@ -95,20 +109,18 @@ def pieces(path: str) -> Pieces:
 
 
 def _place(begin, middle, end) -> np.ndarray:
-    return (begin.astype(np.uint64) << np.uint64(40)) + (middle.astype(np.uint64) << np.uint64(20)) + end.astype(np.uint64)
+    """A number for the merge of [begin, middle) with [middle, end), mixed."""
+    begin, middle, end = (np.asarray(x, np.uint64) for x in (begin, middle, end))
+    return mix(np.atleast_1d((begin << np.uint64(40)) + (middle << np.uint64(20)) + end) + np.uint64(0x1D8E4E27C47D124F))
 
 
-def _skips(key: np.ndarray, begin, middle, end, rate: float) -> np.ndarray:
-    """The keyed hash: whether the merge of [begin, middle) with [middle, end) is skipped."""
-    place = (np.atleast_1d(np.asarray(begin, np.uint64)) << np.uint64(40)) + (np.atleast_1d(np.asarray(middle, np.uint64)) << np.uint64(20)) + np.atleast_1d(np.asarray(end, np.uint64))
-    return mix(key ^ mix(place + np.uint64(0x1D8E4E27C47D124F))) >> np.uint64(11) < np.uint64(int(rate * 2**53))
+#: Those of the merges in words of up to WIDE characters.
+_PLACES = _place(np.arange(WIDE)[:, None, None], np.arange(WIDE + 1)[:, None], np.arange(WIDE + 1))
 
 
-def _unit_keys(units: list[str], seed: int, variant: int) -> np.ndarray:
-    raw = [u.encode("utf-8", "surrogatepass") for u in units]
-    a = np.fromiter(map(zlib.crc32, raw), np.uint64, len(units))
-    b = np.fromiter(map(zlib.adler32, raw), np.uint64, len(units))
-    return mix((a << np.uint64(32)) + b + mix(np.full(1, seed * 1_000_003 + variant, np.int64).view(np.uint64)))
+def _skips(key: np.ndarray, place: np.ndarray, rate: float) -> np.ndarray:
+    """The keyed hash: whether a merge is skipped. Keys and places are mixed numbers already."""
+    return (key ^ place) * _STEP < np.uint64(min(int(rate * 2**64), 2**64 - 1))
 
 
 def _symbols(model: Pieces, unit: str) -> list[int]:
@@ -136,10 +148,10 @@ def _agenda(model: Pieces, unit: str, key: np.ndarray, rate: float, trace: list
         r, a, b, stop, x, y = heapq.heappop(todo)
         if not alive[a] or not alive[b] or after[a] != b or end[b] != stop or ids[a] != x or ids[b] != y:
             continue
-        if rate and bool(_skips(key, a, b, stop, rate)[0]):
+        if rate and bool(_skips(key, _place(a, b, stop), rate)[0]):
             continue
         if trace is not None:
-            trace.append((a << 40) + (b << 20) + stop)
+            trace.append((a, b, stop))
         ids[a], alive[b], after[a], end[a] = int(model.rank_id[r]), False, after[b], stop
         if after[b] < n:
             before[after[b]] = a
@@ -147,94 +159,66 @@ def _agenda(model: Pieces, unit: str, key: np.ndarray, rate: float, trace: list
     return [ids[k] for k in range(n) if alive[k]]
 
 
-def _steps(model: Pieces, units: list[str], keys: np.ndarray, rate: float, barred: np.ndarray | None = None, trace: list | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Units of equal length together: in each step every unit makes its best merge that isn't skipped. Comes out as
-    (places of units, their ids as a matrix), by the number of ids. barred: for each unit the places of merges that are skipped, instead of by the hash.
-    trace: where each step's units and the places of their merges go."""
+def _spans(model: Pieces, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Of words of equal length: ids of their characters (-1 - code for those that are no piece), and for [begin, end) the rank of
+    the piece spelled so, by (word, begin, end)."""
     n, width = len(units), len(units[0])
     codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, width)
     known, back = np.unique(codes, return_inverse=True)
     ids = np.array([model.ids.get(chr(c), -1 - int(c)) for c in known], np.int32)[back].reshape(n, width)
-    edge = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
-
-    def ranks(a, b, begin, middle, end, key, bar):
-        r = model.merge(model.pair(np.maximum(a, 0), np.maximum(b, 0)))
-        bad = (a < 0) | (b < 0)
+    rank = np.full((n, width, width + 1), model.none, model.ranks)
+    for begin in range(width - 1):
+        h = mix(codes[:, begin].astype(np.uint64) + np.uint64(1))
+        fine = ids[:, begin] >= 0
+        for end in range(begin + 2, min(width, begin + model.longest) + 1):
+            h = mix(h * _STEP + codes[:, end - 1].astype(np.uint64) + np.uint64(1))
+            fine = fine & (ids[:, end - 1] >= 0)
+            found = model.ranked(h)
+            rank[:, begin, end] = np.where(fine & (found < NONE), found, model.none)
+    return ids, rank
+
+
+def _steps(model: Pieces, ids: np.ndarray, span: np.ndarray, which: np.ndarray, keys: np.ndarray, rate: float, trace: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences of words of one length together (which: their places in the tables of `_spans`): in each step every one makes its best merge
+    that isn't skipped. Comes out as the ids of all occurrences end to end, and how many each has. trace: where each step's occurrences
+    and the mixed places of their merges go."""
+    n, width = len(which), ids.shape[1]
+    flat, row_of, none = span.ravel(), which * (width * (width + 1)), model.none
+    stop = np.tile(np.arange(1, width + 1), (n, 1))  # of the symbol that begins at a place
+    before = np.tile(np.arange(-1, width - 1), (n, 1))  # where the symbol before it begins
+    whole = np.ones((n, width), bool)
+
+    def ranks(rows, begin, middle, end):
+        found = flat[row_of[rows] + begin * (width + 1) + end]
         if rate:
-            bad |= _skips(key, begin, middle, end, rate)
-        if barred is not None:
-            place = _place(begin, middle, end)
-            for k in range(barred.shape[1]):
-                bad |= place == bar[..., k]
-        return np.where(bad, NONE, r)
-
-    rank = ranks(ids[:, :-1], ids[:, 1:], edge[:, :-2], edge[:, 1:-1], edge[:, 2:], keys[:, None], barred[:, None] if barred is not None else None) if width > 1 else np.zeros((n, 0), np.int32)
-    out: list = []
+            found = np.where(_skips(keys[rows], _PLACES[begin, middle, end], rate), none, found)
+        return found
+
+    rank = np.full((n, width), none, model.ranks)
+    for k in range(width - 1):
+        rank[:, k] = ranks(slice(None), k, k + 1, k + 2)
     rows = np.arange(n)
-    while True:
-        best = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(rows), int)
-        live = rank[np.arange(len(rows)), best] < NONE if rank.shape[1] else np.zeros(len(rows), bool)
-        if not live.all():
-            out.append((rows[~live], ids[~live]))
-        if not live.any():
-            return out
-        rows, best, ids, edge, rank = rows[live], best[live], ids[live], edge[live], rank[live]
-        all_rows = np.arange(len(rows))
+    while len(rows):
+        best = rank[rows].argmin(axis=1)
+        live = rank[rows, best] < none
+        rows, a = rows[live], best[live]
+        b = stop[rows, a]
+        c = stop[rows, b]
         if trace is not None:
-            trace.append((rows, _place(edge[all_rows, best], edge[all_rows, best + 1], edge[all_rows, best + 2])))
-        ids[all_rows, best] = model.rank_id[rank[all_rows, best]]
-        cols = np.arange(ids.shape[1] - 1)
-        ids = np.take_along_axis(ids, cols + (cols > best[:, None]), axis=1)
-        cols = np.arange(edge.shape[1] - 1)
-        edge = np.take_along_axis(edge, cols + (cols > best[:, None]), axis=1)
-        cols = np.arange(rank.shape[1] - 1)
-        rank = np.take_along_axis(rank, cols + (cols >= best[:, None]), axis=1)
-        for at in (best - 1, best):
-            own = np.flatnonzero((at >= 0) & (at < rank.shape[1]))
-            p = at[own]
-            rank[own, p] = ranks(ids[own, p], ids[own, p + 1], edge[own, p], edge[own, p + 1], edge[own, p + 2], keys[rows[own]], barred[rows[own]] if barred is not None else None)
-
-
-def encode_units(model: Pieces, units: list[str], seed: int, variant: int, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all units end to end, and how many each unit has, with keys made of the units."""
-    return encode_keyed(model, units, _unit_keys(units, seed, variant), rate)
-
-
-def encode_keyed(model: Pieces, units: list[str], keys: np.ndarray, rate: float, barred: np.ndarray | None = None, traces: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all units end to end, and how many each unit has. barred: as in _steps, for units of up to WIDE characters. traces: where units
-    and the places of their merges go, each unit's in the order in which they are made."""
-    sizes = np.array([len(u) for u in units])
-    blocks: list[tuple[np.ndarray, np.ndarray]] = []
-    for width in np.unique(sizes):
-        own = np.flatnonzero(sizes == width)
-        if width > WIDE:
-            for k, i in enumerate(own):
-                made: list[int] = []
-                blocks.append((own[k : k + 1], np.array([_agenda(model, units[i], keys[i : i + 1], rate, made)], np.int32)))
-                if traces is not None:
-                    traces.append((np.full(len(made), i), np.array(made, np.uint64)))
-            continue
-        for a in range(0, len(own), 8192):
-            part = own[a : a + 8192]
-            steps: list | None = None if traces is None else []
-            blocks += [(part[at], ids) for at, ids in _steps(model, [units[k] for k in part], keys[part], rate, None if barred is None else barred[part], steps)]
-            if traces is not None:
-                traces += [(part[rows], place) for rows, place in steps or []]
-    spelled: dict[int, list[int]] = {}
-    counts = np.zeros(len(units), np.int64)
-    for at, ids in blocks:
-        counts[at] = ids.shape[1]
-        for k in np.flatnonzero((ids < 0).any(axis=1)):
-            spelled[int(at[k])] = model.spelled(units[at[k]], ids[k].tolist())
-            counts[at[k]] = len(spelled[int(at[k])])
-    begin = np.cumsum(counts) - counts
-    flat = np.zeros(int(counts.sum()), np.int32)
-    for at, ids in blocks:
-        fine = (ids >= 0).all(axis=1)
-        flat[begin[at[fine]][:, None] + np.arange(ids.shape[1])] = ids[fine]
-    for k, ids in spelled.items():
-        flat[begin[k] : begin[k] + len(ids)] = ids
-    return flat, counts
+            trace.append((rows, _PLACES[a, b, c]))
+        stop[rows, a], rank[rows, b], rank[rows, a], whole[rows, b] = c, none, none, False
+        own = np.flatnonzero(c < width)
+        r, x, y = rows[own], a[own], c[own]
+        before[r, y] = x
+        rank[r, x] = ranks(r, x, y, stop[r, y])
+        own = np.flatnonzero(a > 0)
+        r, x = rows[own], a[own]
+        p = before[r, x]
+        rank[r, p] = ranks(r, p, x, c[own])
+    r, a = np.nonzero(whole)
+    c = stop[r, a]
+    rank_of = flat[row_of[r] + a * (width + 1) + c]
+    return np.where(c - a == 1, ids[which[r], a], model.rank_id[np.minimum(rank_of, len(model.rank_id) - 1)]), whole.sum(axis=1)
 
 
 def _ranges(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -244,78 +228,88 @@ def _ranges(begin: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class Known:
-    """What merges of units come to, in a Python worker: nodes of a tree for each unit. The root is the unit without a skip; a child is
-    its parent with one more merge skipped, the first that an occurrence skips. A node has the ids that come out and the
-    merges that an occurrence has yet to be asked about. So the hash is of the occurrence, and only what doesn't depend on it is kept."""
+    """Units that a Python worker has seen: their spans' ranks, what they come to without a skip, and the merges that an occurrence is then asked
+    about. An occurrence that skips none of those comes to the same; the others go through the merges themselves. So the hash
+    is of the occurrence, and only what doesn't depend on it is kept."""
 
     def __init__(self, model: Pieces):
         self.model = model
         literal = model.byte_id[np.frombuffer(MARK.encode(), np.uint8)].astype(np.int32)
+        self.units, self.number = [LITERAL], {LITERAL: 0}
+        self.size, self.row = np.full(1, WIDE + 1), np.zeros(1, np.int64)
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.flat, self.counts, self.begin = literal, np.array([len(literal)]), np.zeros(1, np.int64)
         self.asked, self.n_asked, self.from_ = np.zeros(0, np.uint64), np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.root: dict[str, int] = {LITERAL: 0}
-        self.child: dict[tuple[int, int], int] = {}
-        self.unit, self.bars, self.done = [LITERAL], [()], [0]
 
-    def add(self, units: list[str], bars: list[tuple], done: list[int]) -> np.ndarray:
-        """New nodes: units, the merges that are skipped, and how many merges of each have been asked about. All have as many bars."""
+    def _merged(self, of: np.ndarray, keys: np.ndarray, rate: float, traces: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of occurrences of units end to end, and how many each has. traces: where occurrences and the mixed places of their merges
+        go, each one's in the order in which they are made."""
+        sizes = self.size[of]
+        blocks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for width in np.unique(sizes):
+            own = np.flatnonzero(sizes == width)
+            if width > WIDE:
+                for i in own:
+                    made: list[tuple[int, int, int]] = []
+                    found = np.array(_agenda(self.model, self.units[of[i]], keys[i : i + 1], rate, made), np.int32)
+                    blocks.append((own[own == i], found, np.array([len(found)])))
+                    if traces is not None and made:
+                        traces.append((np.full(len(made), i), _place(*zip(*made, strict=True))))
+                continue
+            for a in range(0, len(own), BLOCK // int(width)):
+                part = own[a : a + BLOCK // int(width)]
+                steps: list | None = None if traces is None else []
+                blocks.append((part, *_steps(self.model, *self.tables[int(width)], self.row[of[part]], keys[part], rate, steps)))
+                if traces is not None:
+                    traces += [(part[rows], place) for rows, place in steps or []]
+        counts = np.zeros(len(of), np.int64)
+        for k, (own, ids, n) in enumerate(blocks):
+            if (ids < 0).any():  # characters that are no piece become bytes
+                spelled = [self.model.spelled(ids[e - m : e].tolist()) for e, m in zip(np.cumsum(n), n, strict=True)]
+                n = np.array([len(x) for x in spelled])
+                blocks[k] = (own, np.array([x for one in spelled for x in one], np.int32), n)
+            counts[own] = n
+        begin = np.cumsum(counts) - counts
+        flat = np.zeros(int(counts.sum()), np.int32)
+        for own, ids, n in blocks:
+            flat[_ranges(begin[own], n)] = ids
+        return flat, counts
+
+    def add(self, units: list[str]) -> None:
+        sizes, row = np.fromiter(map(len, units), np.int64, len(units)), np.zeros(len(units), np.int64)
+        for width in np.unique(sizes[sizes <= WIDE]).tolist():
+            own = np.flatnonzero(sizes == width)
+            made = [_spans(self.model, [units[k] for k in own[a : a + BLOCK // width**2]]) for a in range(0, len(own), BLOCK // width**2)]
+            had = [self.tables[width]] if width in self.tables else []
+            row[own] = (len(had[0][0]) if had else 0) + np.arange(len(own))
+            self.tables[width] = tuple(np.concatenate(x) for x in zip(*had, *made, strict=True))
+        first = len(self.units)
+        self.units += units
+        self.number.update(zip(units, range(first, len(self.units)), strict=True))
+        self.size, self.row = np.concatenate([self.size, sizes]), np.concatenate([self.row, row])
         traces: list = []
-        barred = np.array(bars, np.uint64).reshape(len(units), -1) if bars and bars[0] else None
-        flat, counts = encode_keyed(self.model, units, np.zeros(len(units), np.uint64), 0.0, barred, traces)
-        rows = np.concatenate([r for r, _ in traces]) if traces else np.zeros(0, np.int64)
-        place = np.concatenate([p for _, p in traces]) if traces else np.zeros(0, np.uint64)
-        order = np.argsort(rows, kind="stable")
-        made = np.bincount(rows, minlength=len(units))
-        at = np.cumsum(made) - made
-        skip = np.array(done, np.int64)
-        own = _ranges(at + skip, made - skip)
-        new = np.arange(len(self.unit), len(self.unit) + len(units))
+        flat, counts = self._merged(np.arange(first, len(self.units)), np.zeros(len(units), np.uint64), 0.0, traces)
+        rows = np.concatenate([np.zeros(0, np.int64), *(r for r, _ in traces)])
+        place = np.concatenate([np.zeros(0, np.uint64), *(p for _, p in traces)])
         self.flat, self.counts = np.concatenate([self.flat, flat]), np.concatenate([self.counts, counts])
-        self.asked, self.n_asked = np.concatenate([self.asked, place[order][own]]), np.concatenate([self.n_asked, made - skip])
+        self.asked = np.concatenate([self.asked, place[np.argsort(rows, kind="stable")]])
+        self.n_asked = np.concatenate([self.n_asked, np.bincount(rows, minlength=len(units))])
         self.begin, self.from_ = np.cumsum(self.counts) - self.counts, np.cumsum(self.n_asked) - self.n_asked
-        self.unit += units
-        self.bars += bars
-        self.done += done
-        return new
-
-    def first_skip(self, nodes: np.ndarray, keys: np.ndarray, rate: float) -> np.ndarray:
-        """Of each occurrence, which of its node's merges it skips first; -1 for none."""
-        counts = self.n_asked[nodes]
-        place = self.asked[_ranges(self.from_[nodes], counts)]
-        hit = np.flatnonzero(mix(np.repeat(keys, counts) ^ mix(place + np.uint64(0x1D8E4E27C47D124F))) >> np.uint64(11) < np.uint64(int(rate * 2**53)))
-        whose = np.repeat(np.arange(len(nodes)), counts)[hit]
-        which, first = np.unique(whose, return_index=True)
-        out = np.full(len(nodes), -1, np.int64)
-        out[which] = hit[first] - (np.cumsum(counts) - counts)[which]
-        return out
 
-    def encode(self, units: list[str], keys: np.ndarray, rate: float, levels: int = 4) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all occurrences end to end, and how many each has. Those that skip more than `levels` merges go through the merges themselves."""
-        new = list({u for u in units if u not in self.root})
+    def encode(self, units: list[str], keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all occurrences end to end, and how many each has."""
+        new = list({u for u in units if u not in self.number})
         if new:
-            self.root.update(zip(new, self.add(new, [()] * len(new), [0] * len(new)).tolist(), strict=True))
-        node = np.fromiter(map(self.root.__getitem__, units), np.int64, len(units))
-        left, rest = (np.arange(len(units)) if rate else np.zeros(0, np.int64)), [np.zeros(0, np.int64)]
-        for level in range(levels + 1):
-            if not len(left):
-                break
-            first = self.first_skip(node[left], keys[left], rate)
-            left, first = left[first >= 0], first[first >= 0]
-            wide = np.array([level == levels or len(units[i]) > WIDE for i in left], bool)
-            rest.append(left[wide])
-            left, first = left[~wide], first[~wide]
-            pairs = list(zip(node[left].tolist(), first.tolist(), strict=True))
-            missing = list({x for x in pairs if x not in self.child})
-            if missing:
-                bars = [(*self.bars[n], int(self.asked[self.from_[n] + k])) for n, k in missing]
-                made = self.add([self.unit[n] for n, _ in missing], bars, [self.done[n] + k for n, k in missing])
-                self.child.update(zip(missing, made.tolist(), strict=True))
-            node[left] = np.fromiter(map(self.child.__getitem__, pairs), np.int64, len(pairs))
-        own = np.concatenate(rest)
-        flat, counts = self.flat, self.counts[node]
-        begin = self.begin[node]
+            self.add(new)
+        of = np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
+        own = np.zeros(0, np.int64)
+        if rate:
+            n = self.n_asked[of]
+            hit = _skips(np.repeat(keys, n), self.asked[_ranges(self.from_[of], n)], rate)
+            own = np.unique(np.repeat(np.arange(len(units)), n)[hit])
+        flat, counts, begin = self.flat, self.counts[of], self.begin[of]
         if len(own):
-            more, sizes = encode_keyed(self.model, [units[i] for i in own], keys[own], rate)
+            more, sizes = self._merged(of[own], keys[own], rate)
             begin[own], counts[own] = len(flat) + np.cumsum(sizes) - sizes, sizes
             flat = np.concatenate([flat, more])
         return flat[_ranges(begin, counts)], counts
@@ -327,7 +321,7 @@ def _encoded(path: str, seed: int, rate: float):
     def run(batches):
         model = pieces(path)
         for rows in slices(batches, 2 << 20):
-            if key not in _cached or len(_cached[key].unit) > 300_000:
+            if key not in _cached or len(_cached[key].units) > KNOWN:
                 _cached[key] = Known(model)
             split = [_units(model, t.as_py()) if t.is_valid and len(t.as_py()) else [] for t in rows.column(1)]
             n_units = np.array([len(units) for units in split])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
 
@@ -16,14 +17,22 @@ from pyspark.sql import functions as F
 from .common import slices, string_bytes
 
 BASE = ("assign", "access", "hex")
-#: After the base kinds: a PEM block, a DER structure, an SSH key blob, a signed token.
+#: After the base kinds: a PEM block, a DER structure, an SSH key file, a signed token.
 KINDS = (*BASE, "pem", "der", "ssh", "jwt")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
-PEM = re.compile(r"-----BEGIN ([A-Z ]{0,40}PRIVATE KEY)-----([A-Za-z0-9+/=\s]{16,65536})-----END \1-----")
-TOKEN = re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{4,}\.[A-Za-z0-9_-]{8,}")
+BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
+HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*: ")
+DOTTED = re.compile(r"[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)+")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
+FOLLOWING = re.compile(r"\r?\n([A-Za-z0-9+/_-]+={0,2})(?![A-Za-z0-9+/_=-])")
+_IN_RUN = re.compile(r"[A-Za-z0-9+/_=-]")
+ANY_HEX = re.compile(r"[0-9A-Fa-f]{48,}")
+#: Fixed value: how an SSH private key file begins.
+CONTAINER = b"openssh-key-v1\x00"
+#: Least length of the lines of a base64 text that is broken into lines.
+LINE = 40
 LONG_RUN = 24
 WORDS = ("passw", "secret", "token", "api")
 _RUN = np.zeros(256, bool)
@@ -46,39 +55,82 @@ def element(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
+def elements(data: bytes, at: int = 0, end: int | None = None) -> list[tuple[int, int, int]] | None:
+    """The elements that fill a stretch of data exactly, or None."""
+    end, out = len(data) if end is None else end, []
+    while at < end:
+        found = element(data, at, end)
+        if not found or found[0] & 0x1F == 0x1F or found[0] == 0:
+            return None
+        out.append(found)
+        at = found[2]
+    return out
+
+
 def nested(data: bytes) -> bool:
-    """Whether data is one DER SEQUENCE of two elements or more whose lengths fill their parents exactly."""
-    top = element(data, 0, len(data))
-    if not top or top[0] != 0x30 or top[2] != len(data) or len(data) < 24:
+    """Whether data is one DER SEQUENCE whose lengths, and those of all that it holds, fill their parents exactly."""
+    top = elements(data)
+    if not top or len(top) > 1 or top[0][0] != 0x30:
         return False
-    todo, children = [(top[1], top[2], 0)], 0
+    todo = [(*top[0][1:], 0)]
     while todo:
         at, end, depth = todo.pop()
-        while at < end:
-            found = element(data, at, end)
-            if not found or found[0] & 0x1F == 0x1F or found[0] == 0:
-                return False
-            children += depth == 0
-            if found[0] & 0x20:
-                if depth > 16:
-                    return False
-                todo.append((found[1], found[2], depth + 1))
-            at = found[2]
-    return children >= 2
-
-
-def ssh_blob(data: bytes) -> bool:
-    """An OpenSSH private key file, or length-prefixed fields that begin with a key algorithm and fill the data."""
-    if data.startswith(b"openssh-key-v1\x00"):
-        return True
-    at, fields = 0, []
-    while at + 4 <= len(data) and len(fields) < 16:
-        n = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 + n > len(data):
+        inner = elements(data, at, end)
+        if inner is None or depth > 16:
             return False
-        fields.append(data[at + 4 : at + 4 + n])
-        at += 4 + n
-    return at == len(data) and len(fields) >= 2 and bool(re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", fields[0]))
+        todo += [(a, b, depth + 1) for tag, a, b in inner if tag & 0x20]
+    return True
+
+
+def private_der(data: bytes) -> bool:
+    """Whether DER bytes are a private key: the whole numbers of an RSA or DSA key, an elliptic curve's version and secret, a version with an
+    algorithm and the key in an octet string (which must be a key's DER where the algorithm is RSA), or an algorithm with an encrypted key. Public keys and
+    certificates hold bit strings or other fields and aren't."""
+    if len(data) < 24 or not nested(data):
+        return False
+    fields = elements(data, *elements(data)[0][1:])
+    tags = [t for t, _, _ in fields]
+    inside = lambda k: [t for t, _, _ in elements(data, *fields[k][1:]) or ()]
+    version = int.from_bytes(data[fields[0][1] : fields[0][2]], "big") if tags[:1] == [2] else None
+    if version is not None and set(tags) == {2}:
+        return (len(tags) == 9 and version in (0, 1)) or (len(tags) == 6 and version == 0)
+    if tags[:2] == [2, 4] and version == 1:
+        return all(t in (0xA0, 0xA1) for t in tags[2:])
+    if tags[:3] == [2, 0x30, 4] and version in (0, 1):
+        return inside(1)[:1] == [6] and all(t in (0xA0, 0xA1, 0x81) for t in tags[3:])
+    return tags == [0x30, 4] and inside(0)[:1] == [6] and fields[1][2] - fields[1][1] >= 16
+
+
+def ssh_container(data: bytes) -> bool:
+    """Whether bytes are an OpenSSH private key file: names of cipher and derivation, the derivation's options, as many public keys as are
+    announced, each of named fields, and the private part, with lengths that fill it exactly."""
+    if not data.startswith(CONTAINER):
+        return False
+
+    def fields(at: int, end: int, n: int | None) -> tuple[list[bytes], int] | None:
+        out: list[bytes] = []
+        while at < end if n is None else len(out) < n:
+            size = int.from_bytes(data[at : at + 4], "big")
+            if at + 4 + size > end or at + 4 > end:
+                return None
+            out.append(data[at + 4 : at + 4 + size])
+            at += 4 + size
+        return out, at
+
+    head = fields(len(CONTAINER), len(data), 3)
+    if not head or head[1] + 4 > len(data) or not re.fullmatch(rb"[a-z0-9@.-]+", head[0][0]) or not re.fullmatch(rb"[a-z0-9-]+", head[0][1]):
+        return False
+    n, at = int.from_bytes(data[head[1] : head[1] + 4], "big"), head[1] + 4
+    rest = fields(at, len(data), n + 1) if 1 <= n <= 16 else None
+    if not rest or rest[1] != len(data) or len(rest[0][-1]) < 16 or len(rest[0][-1]) % 8:
+        return False
+    public = [x for x in rest[0][:-1] if len(x) < 8 or not re.match(rb"(ssh|ecdsa|sk)-", x[4:])]
+    return not public
+
+
+def key_kind(data: bytes | None) -> int:
+    """The place in KINDS of what decoded bytes are, or 0."""
+    return 0 if not data else 4 if private_der(data) else 5 if ssh_container(data) else 0
 
 
 def decoded(text: str) -> bytes | None:
@@ -90,13 +142,80 @@ def decoded(text: str) -> bytes | None:
         return None
 
 
-def signed_token(text: str) -> bool:
+def signed_token(head: str, body: str) -> bool:
     """Header and payload decode to JSON objects, and the header names an algorithm."""
     try:
-        head, body = (json.loads(decoded(x) or b"") for x in text.split(".")[:2])
+        one, two = (json.loads(decoded(x) or b"") for x in (head, body))
     except (ValueError, RecursionError):
         return False
-    return isinstance(head, dict) and isinstance(body, dict) and isinstance(head.get("alg"), str)
+    return isinstance(one, dict) and isinstance(two, dict) and isinstance(one.get("alg"), str)
+
+
+def tokens(text: str):
+    """Signed tokens: three parts with dots between, of which the first two decode. Each part is decoded twice at most, however long a run of parts is."""
+    for m in DOTTED.finditer(text):
+        parts, at, free = m[0].split("."), m.start(), m.start()
+        for k, part in enumerate(parts):
+            begin = part.find("eyJ")
+            if k + 2 < len(parts) and begin >= 0 and at >= free and len(part) - begin >= 11 and len(parts[k + 1]) >= 4 and len(parts[k + 2]) >= 8 and signed_token(part[begin:], parts[k + 1]):
+                free = at + len(part) + len(parts[k + 1]) + len(parts[k + 2]) + 2
+                yield at + begin, free
+            at += len(part) + 1
+
+
+def pem_blocks(text: str):
+    """(start, end, body) of the blocks between markers of one label; a block ends before the next one begins."""
+    found = [*BEGIN.finditer(text)]
+    for m, after in zip(found, [*found[1:], None], strict=False):
+        stop = after.start() if after else len(text)
+        end = text.find(f"-----END {m[1]}-----", m.end(), stop)
+        if end >= 0:
+            yield m.start(), end + len(m[1]) + 14, text[m.end() : end]
+
+
+def pem_key(body: str) -> bool:
+    """Whether a block's body decodes to a key. Header lines may come first; those of an encrypted body make it bytes in whole cipher blocks. Lines may end in an
+    escape of a line's end, as in quoted strings."""
+    lines = body.replace("\\r", "\n").replace("\\n", "\n").split("\n")
+    headers = [x for x in lines if HEADER.match(x.strip())]
+    data = decoded("".join("".join(x for x in lines if not HEADER.match(x.strip())).split()))
+    if data and any(x.strip().startswith("DEK-Info:") for x in headers):
+        return len(data) >= 16 and len(data) % 8 == 0
+    return bool(key_kind(data))
+
+
+def wrapped(text: str, m: re.Match) -> tuple[int, str] | None:
+    """Where a DER structure that begins in a base64 line ends, and its base64 put together: lines of one length and a last one
+    that is no longer. How many lines there are follows from the length that the structure itself states, so no others are read."""
+    top = decoded(m[0][:12])
+    if not top or len(top) < 8 or top[0] != 0x30:
+        return None
+    width = top[1] & 0x7F if top[1] >= 0x80 else 0
+    size = 2 + width + (int.from_bytes(top[2 : 2 + width], "big") if width else top[1])
+    line, gap = len(m[0]), 2 if text.startswith("\r\n", m.end()) else 1
+    if line < LINE or width > 4 or not text.startswith(("\n", "\r\n"), m.end()):
+        return None
+    for chars in {-(-size // 3) * 4, -(-size * 4 // 3)}:  # with padding and without
+        full = (chars - 1) // line
+        end = m.start() + chars + full * gap
+        if full and end <= len(text) and text[end - (chars - full * line) - 1] == "\n" and not _IN_RUN.match(text, end):
+            lines = text[m.start() : end].split("\n" if gap == 1 else "\r\n")
+            if len(lines) == full + 1 and all(len(x) == line for x in lines[:-1]):
+                return end, "".join(lines)
+    return None
+
+
+def file_lines(text: str, m: re.Match) -> list[tuple[int, str]]:
+    """What an SSH key file that begins in a base64 line may be: with the lines after it of the same length and perhaps a last one that is shorter, longest first."""
+    out, joined, end = [(m.end(), m[0])], [m[0]], m.end()
+    while len(m[0]) >= LINE and len(joined[-1]) == len(m[0]):
+        line = FOLLOWING.match(text, end)
+        if not line or len(line[1]) > len(m[0]):
+            break
+        joined.append(line[1])
+        out.append((line.end(), ""))
+        end = line.end()
+    return [(e, "".join(joined[: k + 1])) for k, (e, _) in [*enumerate(out)][:-3:-1]]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -108,27 +227,35 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
-    """Spans whose decoded bytes have the structure of a key or a signed token."""
-    found, taken = [], []
-    for m in PEM.finditer(text):
-        data = decoded("".join(m[2].split()))
-        if data and (nested(data) or ssh_blob(data)):
-            found.append((m.start(), 3, m.end()))
-            taken.append((m.start(), m.end()))
-    for m in TOKEN.finditer(text):
-        if signed_token(m[0]):
-            found.append((m.start(), 6, m.end()))
-            taken.append((m.start(), m.end()))
+    """Spans whose decoded bytes have the structure of a private key or a signed token. Every step is linear in the text."""
+    found = [(a, 3, b) for a, b, body in pem_blocks(text) if pem_key(body)] + [(a, 6, b) for a, b in tokens(text)]
+    taken = sorted((a, b) for a, _, b in found)
+    starts, until = [a for a, _ in taken], 0
+
+    def held(start: int, end: int) -> bool:
+        """PEM blocks and tokens don't cross, so the last one that begins before the end is enough."""
+        k = bisect.bisect_left(starts, end) - 1
+        return k >= 0 and taken[k][1] > start
+
     for m in BASE64.finditer(text):
-        if any(a < m.end() and m.start() < b for a, b in taken):
+        if m.start() < until or held(m.start(), m.end()):
+            continue
+        if m[0].startswith("b3BlbnNz"):  # how an SSH key file begins
+            tried = file_lines(text, m)
+        elif m[0][0] == "M":  # how a SEQUENCE begins
+            tried = [x for x in ((m.end(), m[0]), wrapped(text, m)) if x]
+        else:
             continue
-        data = decoded(m[0])
-        kind = data and (4 if nested(data) else 5 if ssh_blob(data) else 0)
+        for end, whole in tried:
+            kind = key_kind(decoded(whole))
+            if kind:
+                found.append((m.start(), kind, end))
+                until = end
+                break
+    for m in ANY_HEX.finditer(text):
+        kind = 0 if len(m[0]) % 2 else key_kind(bytes.fromhex(m[0]))
         if kind:
             found.append((m.start(), kind, m.end()))
-    for m in HEX.finditer(text):
-        if len(m[0]) % 2 == 0 and nested(bytes.fromhex(m[0])):
-            found.append((m.start(), 4, m.end()))
     return found
 
 
@@ -168,8 +295,8 @@ def find_secrets(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     A cheap vectorised pass over whole batches sets aside texts that have neither a keyword nor a long unbroken run; the
     patterns then read the rest whole. Base kinds are reported as matched; the added kinds only when their bytes decode
-    and parse: PEM and bare base64 or hex as DER with nested lengths that fill exactly, SSH blobs by their fields, signed tokens by
-    the JSON of header and payload. Null or empty texts have no spans; repeated rows each give a row.
+    and parse: PEM blocks, base64 (in one run or in lines of one length) and hex in either case as the DER of a private key with nested lengths that fill exactly, or as an
+    SSH key file by its fields; signed tokens by the JSON of header and payload. Public keys and certificates aren't reported. Null or empty texts have no spans; repeated rows each give a row.
     """
     rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(_scan, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, found {SPANS}")
