@@ -217,7 +217,7 @@ def _described(rule: Rule):
             n = pa.array([len(own) for own in sets], pa.int64())
             mark = [fingerprint(own) if len(own) else None for own in sets]
             sketch = pa.array([_parity(own) if len(own) else None for own in sets], pa.list_(pa.int64()))
-            keys = [np.concatenate([k for k, _ in _keys(own, rule, edges)]) & ~np.uint64(1) if len(own) and f % SAMPLE == 0 else None for own, f in zip(sets, mark, strict=True)]
+            keys = [np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in _keys(own, rule, edges))]) & ~np.uint64(1) if len(own) and f % SAMPLE == 0 else None for own, f in zip(sets, mark, strict=True)]
             sampled = pa.array([k if k is None else k.view(np.int64) for k in keys], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([rows.column(0), n, pa.array(mark, pa.int64()), sketch, sampled], ["doc_id", "n", "set", "sketch", "sampled"])
 
