@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_folder, stored
 
-__all__ = ["Lookup", "broadcast_if_small", "checkpoint_folder", "checkpointed", "mix", "slices", "stored", "string_bytes", "table"]
+__all__ = ["Lookup", "broadcast_if_small", "checkpoint_folder", "checkpointed", "frugal", "mix", "slices", "stored", "string_bytes", "table", "worker_cache"]
 
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
@@ -27,6 +29,30 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_caches: dict[str, dict] = {}
+
+
+def worker_cache(operator: str) -> dict:
+    """What a Python worker keeps for an operator from task to task. Workers outlive their stage, so what they kept for others is dropped."""
+    for other in [name for name in _caches if name != operator]:
+        del _caches[other]
+    return _caches.setdefault(operator, {})
+
+
+def frugal(run, operator: str):
+    """A task's function that hands the memory of past batches back, which Arrow's pool would keep as long as the worker lives."""
+
+    def task(batches):
+        worker_cache(operator)
+        for out in run(batches):
+            yield out
+            pa.default_memory_pool().release_unused()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+
+    return task
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values (uint64 in and out)."""
     x = x ^ (x >> np.uint64(30))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Lookup, checkpointed, mix, slices
+from .common import Lookup, checkpointed, frugal, mix, slices, worker_cache
 
 #: At most so many labelled documents of each language are learned from, those of the least hash.
 SAMPLE_ROWS, ROUNDS = 400, 3
@@ -30,8 +30,6 @@ FLOOR, EVIDENCE = 1e-7, 25.0
 LETTERS = re.compile(r"[^\W\d_]+")
 MARK = "▁"
 _MULT = np.uint64(0x9E3779B97F4A7C15)
-_cache: dict = {}
-_segmenters: dict = {}
 
 
 def vocabulary_path() -> str:
@@ -99,9 +97,10 @@ class Segmenter:
 def segmenter_of(pieces: list[str]) -> Segmenter:
     """One for each vocabulary and Python worker."""
     key = (len(pieces), hash(tuple(pieces)))
-    if key not in _segmenters:
-        _segmenters[key] = Segmenter(pieces)
-    return _segmenters[key]
+    held = worker_cache("language_id")
+    if held.get("vocabulary") != key:
+        held.update(vocabulary=key, segmenter=Segmenter(pieces))
+    return held["segmenter"]
 
 
 def by_length(words: list[str]):
@@ -247,7 +246,7 @@ def train(labelled: DataFrame, path: str | None = None, sample_rows: int = SAMPL
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = ids.withColumn("place", F.row_number().over(order)).where(F.col("place") <= sample_rows).select("doc_id", "lang").distinct()
     texts = labelled.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")  # sample_rows a language
-    counts = checkpointed(texts.mapInArrow(_counted, "lang string, word string").groupBy("lang", "word").agg(F.count("*").alias("n")).coalesce(PARTS))
+    counts = checkpointed(texts.mapInArrow(frugal(_counted, "language_id"), "lang string, word string").groupBy("lang", "word").agg(F.count("*").alias("n")).coalesce(PARTS))
     names = sorted(r[0] for r in counts.select("lang").distinct().collect())
     if not names:
         return None
@@ -256,7 +255,7 @@ def train(labelled: DataFrame, path: str | None = None, sample_rows: int = SAMPL
     start = np.repeat((30.0**-size / (30.0**-size).sum())[:, None], len(names), axis=1)
     model = Model(names, pieces, start)
     for _ in range(rounds):
-        uses = counts.mapInArrow(_expected(model, {x: k for k, x in enumerate(names)}), "piece long, language long, uses double").groupBy("piece", "language").agg(F.sum("uses").alias("uses")).toArrow()
+        uses = counts.mapInArrow(frugal(_expected(model, {x: k for k, x in enumerate(names)}), "language_id"), "piece long, language long, uses double").groupBy("piece", "language").agg(F.sum("uses").alias("uses")).toArrow()
         total = np.full(start.shape, 1e-3)
         total[uses["piece"].to_numpy(), uses["language"].to_numpy()] += uses["uses"].to_numpy()
         probability = np.maximum(total / total.sum(axis=0), FLOOR)
@@ -267,21 +266,21 @@ def train(labelled: DataFrame, path: str | None = None, sample_rows: int = SAMPL
 
 def _predict(model: Model, texts: pa.Array) -> tuple[list[str], np.ndarray]:
     """Language and score of each text. Words' scores are kept from batch to batch, a bounded number of them."""
-    if _cache.get("of") is not model:
-        _cache.clear()
-        _cache.update(of=model, place={}, scores=[])
-    place: dict[str, int] = _cache["place"]
+    held = worker_cache("language_id")
+    if held.get("of") is not model:
+        held.update(of=model, place={}, scores=[])
+    place: dict[str, int] = held["place"]
     if len(place) > KNOWN_WORDS:
         place.clear()
-        _cache["scores"] = []
+        held["scores"] = []
     words = [runs(t.as_py() or "") for t in texts]
     new = list({w for own in words for w in own if w not in place})
     long = [w for w in new if len(w) > RUN]
     new = [w for w in new if len(w) <= RUN] if long else new
     if new:
         place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
-        _cache["scores"] = [np.concatenate([*_cache["scores"], model.scores(new)])]
-    scores = _cache["scores"][0] if _cache["scores"] else np.zeros((0, len(model.languages)), np.float32)
+        held["scores"] = [np.concatenate([*held["scores"], model.scores(new)])]
+    scores = held["scores"][0] if held["scores"] else np.zeros((0, len(model.languages)), np.float32)
     if long:
         place = place | {w: len(place) + k for k, w in enumerate(long)}
         scores = np.concatenate([scores, model.scores(long)])
@@ -322,7 +321,7 @@ def keep_identified(documents: DataFrame, model: Model | None, text_col: str = "
     if model is None:
         return documents.limit(0)
     shared = documents.sparkSession.sparkContext.broadcast(model)  # one number for each piece and language
-    return documents.mapInArrow(_kept(shared, text_col, least), documents.schema)
+    return documents.mapInArrow(frugal(_kept(shared, text_col, least), "language_id"), documents.schema)
 
 
 def identify(documents: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -335,7 +334,7 @@ def identify(documents: DataFrame, model: Model | None, id_col: str = "doc_id",
     if model is None:
         return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
     shared = documents.sparkSession.sparkContext.broadcast(model)  # one number for each piece and language
-    return rows.mapInArrow(_predicted(shared), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
+    return rows.mapInArrow(frugal(_predicted(shared), "language_id"), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, lang_pred string, score double")
 
 
 def held_out():

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, checkpointed, mix, slices, stored, string_bytes
+from .common import broadcast_if_small, checkpointed, frugal, mix, slices, stored, string_bytes
 from .components import components, roots
 
 BITS = 1024
@@ -313,7 +313,7 @@ def _verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, rule: Rule,
     need = checkpointed(roles.join(classes.select(F.col("set").alias("node"), "head"), "node"))
     rows = texts.join(broadcast_if_small(need, need.count()), F.col("doc_id") == F.col("head"))
     rows = rows.select("a", "salt", "role", "node", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-    return checkpointed(rows.mapInArrow(_verified(rule), "a long, b long, linked boolean").distinct())
+    return checkpointed(rows.mapInArrow(frugal(_verified(rule), "ngram_join"), "a long, b long, linked boolean").distinct())
 
 
 def _unresolved(rule: Rule, block: int = 512):
@@ -374,10 +374,10 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     """
     rule = Rule(words, percent)
     texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    base = stored(texts.mapInArrow(_described(rule), "doc_id long, n long, set long, sketch array<long>, sampled array<long>"))
+    base = stored(texts.mapInArrow(frugal(_described(rule), "ngram_join"), "doc_id long, n long, set long, sketch array<long>, sampled array<long>"))
     classes = checkpointed(base.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("head"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
     shared = documents.sparkSession.sparkContext.broadcast(_common(base))  # COMMON keys at most
-    keyed = texts.select("text").mapInArrow(_keyed(rule, shared), "key long, set long").repartition("key").sortWithinPartitions("key", "set")
+    keyed = texts.select("text").mapInArrow(frugal(_keyed(rule, shared), "ngram_join"), "key long, set long").repartition("key").sortWithinPartitions("key", "set")
     mates = checkpointed(keyed.mapInArrow(_mates(shared), "a long, b long").distinct())
 
     side = lambda c: classes.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))

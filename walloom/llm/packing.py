@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import frugal, slices, worker_cache
 
 LENGTH = 1024
 #: Cost of a piece of n tokens: LINEAR * n + QUADRATIC * n^2, the second for attention within the piece.
@@ -22,7 +22,6 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: One document in so many keeps the ids of its rest, which may then be cut anywhere to fill what room others leave.
 FILLER = 16
 _TWO_SPACES = re.compile(r"\s\s")
-_encoders: dict = {}
 
 
 def vocabulary_path() -> str:
@@ -38,7 +37,8 @@ def _encoder(path: str):
     only where two white-space characters meet. Files of another form, and texts that hold a special token's string,
     go through tokenizers itself.
     """
-    if path not in _encoders:
+    held = worker_cache("packing")
+    if path not in held:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -53,7 +53,7 @@ def _encoder(path: str):
         slow = lambda text: plain.encode(text, add_special_tokens=False).ids
         parts = [spec["pre_tokenizer"]] if spec["pre_tokenizer"] else []
         if spec["model"]["type"] != "BPE" or spec["normalizer"] or [p["type"] for p in parts] != ["ByteLevel"] or parts[0]["add_prefix_space"] or not parts[0].get("use_regex", True):
-            _encoders[path] = slow
+            held[path] = slow
             return slow
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
@@ -68,8 +68,8 @@ def _encoder(path: str):
                 return slow(text)
             return (full if _TWO_SPACES.search(text) else simple).encode_ordinary(text)
 
-        _encoders[path] = encode
-    return _encoders[path]
+        held[path] = encode
+    return held[path]
 
 
 def _pieces(path: str, length: int, end_id: int):
@@ -206,7 +206,7 @@ def pack(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     """
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     groups = max(1, -(-rows.select("doc_id").count() // group_rows))
-    pieces = rows.mapInArrow(_pieces(path or vocabulary_path(), length, end_id), PIECES + ", ids binary")
+    pieces = rows.mapInArrow(frugal(_pieces(path or vocabulary_path(), length, end_id), "packing"), PIECES + ", ids binary")
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.spark_partition_id()), F.lit(groups)))
     schema = PIECES + ", sequence_id long, offset long"
     return dealt.groupBy("part").applyInArrow(_packed(length, linear, quadratic), schema)

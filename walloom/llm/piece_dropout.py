@@ -18,15 +18,13 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Lookup, mix, slices, string_bytes
+from .common import Lookup, frugal, mix, slices, string_bytes, worker_cache
 
 MARK = "▁"
 NONE = np.int32(2**30)
 #: Words of more characters go through an agenda; units that a worker keeps; places that one pass of the lock step holds.
 WIDE, KNOWN, BLOCK = 48, 200_000, 1 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_models: dict = {}
-_cached: dict = {}
 
 
 def vocabulary_path() -> str:
@@ -103,9 +101,10 @@ class Pieces:
 
 
 def pieces(path: str) -> Pieces:
-    if path not in _models:
-        _models[path] = Pieces(path)
-    return _models[path]
+    held = worker_cache("piece_dropout")
+    if path not in held:
+        held[path] = Pieces(path)
+    return held[path]
 
 
 def _place(begin, middle, end) -> np.ndarray:
@@ -316,17 +315,16 @@ class Known:
 
 
 def _encoded(path: str, seed: int, rate: float):
-    key = (path,)
-
     def run(batches):
-        model = pieces(path)
+        model, key = pieces(path), f"units of {path}"
+        held = worker_cache("piece_dropout")
         for rows in slices(batches, 2 << 20):
-            if key not in _cached or len(_cached[key].units) > KNOWN:
-                _cached[key] = Known(model)
+            if key not in held or len(held[key].units) > KNOWN:
+                held[key] = Known(model)
             split = [_units(model, t.as_py()) if t.is_valid and len(t.as_py()) else [] for t in rows.column(1)]
             n_units = np.array([len(units) for units in split])
             keys = _occurrence_keys(rows.column(2).to_numpy(), n_units, seed)
-            ids, counts = _cached[key].encode([u for units in split for u in units], keys, rate)
+            ids, counts = held[key].encode([u for units in split for u in units], keys, rate)
             ends = np.concatenate([[0], np.cumsum(counts)])[np.concatenate([[0], np.cumsum(n_units)])]
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(ids))], ["doc_id", "ids"])
 
@@ -398,13 +396,13 @@ def encode(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty text has no ids. Words of up to WIDE characters go through merges in lock step, longer ones through an agenda.
     """
     rows = documents.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.xxhash64(F.col(id_col)).alias("h"))
-    return rows.mapInArrow(_encoded(path or vocabulary_path(), seed, rate), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return rows.mapInArrow(frugal(_encoded(path or vocabulary_path(), seed, rate), "piece_dropout"), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", path: str | None = None) -> DataFrame:
     """-> (doc_id, text) for every row: the inverse of encode for any rate, seed and variant. Null or no ids: an empty text."""
     rows = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
-    return rows.mapInArrow(_decoded(path or vocabulary_path()), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
+    return rows.mapInArrow(frugal(_decoded(path or vocabulary_path()), "piece_dropout"), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text string")
 
 
 def _digested(path: str, inner):
@@ -427,4 +425,4 @@ def round_trip(documents: DataFrame, seed: int = 0, rate: float = 0.1) -> DataFr
     """Encode and decode every text: (doc_id, n_ids, ids_crc32, text_crc32, n_decoded_chars), the last two of the decoded text."""
     path = vocabulary_path()
     rows = documents.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
-    return rows.mapInArrow(_digested(path, _encoded(path, seed, rate)), "doc_id long, n_ids long, ids_crc32 long, text_crc32 long, n_decoded_chars long")
+    return rows.mapInArrow(frugal(_digested(path, _encoded(path, seed, rate)), "piece_dropout"), "doc_id long, n_ids long, ids_crc32 long, text_crc32 long, n_decoded_chars long")

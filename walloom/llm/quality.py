@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, slices, stored, string_bytes
+from .common import broadcast_if_small, frugal, slices, stored, string_bytes
 
 #: Bound of the labelled documents that are learned from, those of the least hash. Unlabelled ones have none.
 LABELLED_ROWS = 6000
@@ -188,7 +188,7 @@ class SparkPool:
             some = (p >= sure) | (1 - p >= sure)
             labels = dict(zip(self.codes[some].tolist(), (p[some] >= 0.5).astype(float).tolist(), strict=True))
             return SparkLesson(self.table, labels, float(self.counts[some].sum())) if labels else None
-        found = self.table.mapInArrow(_told(teacher, sure), "code int, y double, n double").groupBy("code", "y").agg(F.sum("n").alias("n")).toArrow()
+        found = self.table.mapInArrow(frugal(_told(teacher, sure), "quality"), "code int, y double, n double").groupBy("code", "y").agg(F.sum("n").alias("n")).toArrow()
         return Lesson(code_features(found["code"].to_numpy()), found["y"].to_numpy(), found["n"].to_numpy()) if len(found) else None
 
 
@@ -202,7 +202,7 @@ class SparkLesson:
 
     def sums(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = self.table.where(F.col("code").isin(list(self.labels)))
-        parts = rows.mapInArrow(_part_sums(self.labels, w), "place int, line binary")
+        parts = rows.mapInArrow(frugal(_part_sums(self.labels, w), "quality"), "place int, line binary")
         found = parts.groupBy("place").applyInArrow(_added, "place int, line binary").toArrow()
         whole = np.zeros((len(w), len(w) + 1))
         for place, line in zip(found["place"].to_pylist(), found["line"].to_pylist(), strict=True):
@@ -343,7 +343,7 @@ def train(documents: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED
     ids = rows.select("doc_id").where("doc_id is not null")
     known = ids.join(given, "doc_id").select("doc_id", "y").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled_rows)
     sample = rows.join(broadcast_if_small(known, labelled_rows), "doc_id").select("text", "source", "lang", "n_chars", "y")
-    table = sample.mapInArrow(_featured, "y int, text array<float>, meta array<float>").toArrow()
+    table = sample.mapInArrow(frugal(_featured, "quality"), "y int, text array<float>, meta array<float>").toArrow()
     y = table["y"].to_numpy()
     if len({*y.tolist()}) < 2 or len(y) < 10:
         return None
@@ -351,7 +351,7 @@ def train(documents: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED
     text, meta = unpack("text"), unpack("meta")
     order = np.lexsort((*text.T[:8], *meta.T[:8], y))  # the same rows in the same order, however Spark dealt them
     order = order[np.random.default_rng(7).permutation(len(order))]
-    featured = rows.where("doc_id is not null").mapInArrow(_pooled, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, code int, text binary")
+    featured = rows.where("doc_id is not null").mapInArrow(frugal(_pooled, "quality"), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, code int, text binary")
     pool = featured.join(broadcast_if_small(given.select("doc_id"), given.count()), "doc_id", "left_anti").select("code", "text")
     return exchange((text[order], meta[order]), y[order], SparkPool(stored(pool)))
 
@@ -367,7 +367,7 @@ def score(documents: DataFrame, model: Model | None) -> DataFrame:
         half = F.lit(0.5)
         return rows.select("doc_id", half.alias("text_score"), half.alias("meta_score"), half.alias("quality_score"), F.lit(True).alias("kept"))
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_score double, meta_score double, quality_score double"
-    return rows.mapInArrow(_scored(model), schema).withColumn("kept", F.col("quality_score") >= 0.5)
+    return rows.mapInArrow(frugal(_scored(model), "quality"), schema).withColumn("kept", F.col("quality_score") >= 0.5)
 
 
 def _kept(model: Model):
@@ -380,7 +380,7 @@ def _kept(model: Model):
 
 def keep_good(documents: DataFrame, model: Model | None) -> DataFrame:
     """The rows, with all their columns, of quality_score >= 0.5; all of them without a model."""
-    return documents if model is None else documents.mapInArrow(_kept(model), documents.schema)
+    return documents if model is None else documents.mapInArrow(frugal(_kept(model), "quality"), documents.schema)
 
 
 def quality_of(documents: DataFrame, labels: DataFrame) -> DataFrame:
