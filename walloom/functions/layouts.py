@@ -9,6 +9,8 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,16 +18,29 @@ _POINT = "struct<x:double,y:double>"
 _RANGE = "struct<lower:{0},lower_inc:boolean,upper:{0},upper_inc:boolean,lower_inf:boolean,upper_inf:boolean,empty:boolean>"
 
 
-def _float(code: str):
-    def decode(values: pd.Series) -> pd.Series:
-        some = values.notna().to_numpy()
-        out = np.full(len(values), np.nan)
-        out[some] = np.frombuffer(b"".join(values[some]), code)
-        return pd.Series(np.where(some, out.astype(object), None))
+def _float(code: str, kind: pa.DataType):
+    """A whole column of floats from its bytes; values of another length fail."""
+    width = np.dtype(code).itemsize
+
+    def decode(values: pa.Array) -> pa.Array:
+        fixed = values.fill_null(b"\0" * width).cast(pa.binary(width))
+        flat = np.frombuffer(fixed.buffers()[1], code)[fixed.offset : fixed.offset + len(fixed)] if len(fixed) else np.zeros(0)
+        return pa.array(flat.astype(code[1:]), kind, mask=values.is_null().to_numpy(zero_copy_only=False))
 
     return decode
 
 
+def _float_bytes(code: str):
+    width = np.dtype(code).itemsize
+
+    def encode(values: pa.Array) -> pa.Array:
+        flat = values.fill_null(0).to_numpy(zero_copy_only=False).astype(code)
+        fixed = pa.Array.from_buffers(pa.binary(width), len(values), [None, pa.py_buffer(flat.tobytes())])
+        return pc.if_else(values.is_valid(), fixed.cast(pa.binary()), pa.scalar(None, pa.binary()))
+
+    return encode
+
+
 def numeric_text(data: bytes) -> str | None:
     """Digits in base 10000 with a weight, a sign and a scale, as a plain decimal text; NaN and infinities as such."""
     n, weight, sign, scale = struct.unpack(">HhHH", data[:8])
@@ -153,8 +168,7 @@ LAYOUTS: dict[str, tuple[str, Callable]] = {
 def decoder(kind: str) -> Callable[[Column], Column]:
     """Column of bytes -> column of values, for float4, float8, the layouts, and `x[]` for arrays of bytes elements."""
     if kind in ("float4", "float8"):
-        code = ">f4" if kind == "float4" else ">f8"
-        return F.pandas_udf(_float(code), "float" if kind == "float4" else "double")
+        return F.arrow_udf(_float(">f4", pa.float32()), "float") if kind == "float4" else F.arrow_udf(_float(">f8", pa.float64()), "double")
     if kind.endswith("[]"):
         return _udf(array_elements, "array<binary>")
     spark_type, one = LAYOUTS[kind]
@@ -258,8 +272,7 @@ def _names(spark_type: str) -> list[str]:
 def encoder(kind: str, element_oid: int = 0) -> Callable[[Column], Column]:
     """Column of values -> column of bytes, for float4, float8, numeric (as text) and arrays of bytes."""
     if kind in ("float4", "float8"):
-        code = ">f" if kind == "float4" else ">d"
-        return _udf(lambda v: struct.pack(code, v), "binary")
+        return F.arrow_udf(_float_bytes(">f4" if kind == "float4" else ">f8"), "binary")
     if kind == "numeric":
         return _udf(numeric_bytes, "binary")
     if kind.endswith("[]"):

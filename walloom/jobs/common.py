@@ -16,10 +16,10 @@ def session(name: str) -> SparkSession:
     return spark
 
 
-def messages(spark: SparkSession, path: str) -> DataFrame:
-    """Messages of landed frames (slot, seq, payload), with or without a header. They are decoded once and stored: descriptions,
+def messages(spark: SparkSession, landed: str | DataFrame) -> DataFrame:
+    """Messages of landed frames (slot, seq, payload), a path or a table, with or without a header. They are decoded once and stored: descriptions,
     outcomes and changes are then read from the table."""
-    log = spark.read.parquet(path).select("slot", "seq", "payload")
+    log = (spark.read.parquet(landed) if isinstance(landed, str) else landed).select("slot", "seq", "payload")
     tag = F.decode(F.substring("payload", 1, 1), "ISO-8859-1")
     bare = log.where(~tag.isin("w", "k"))
     data, _ = frames.split_frames(log)

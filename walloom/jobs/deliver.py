@@ -15,7 +15,7 @@ from walloom.jobs import common
 from walloom.operators import rows, transactions
 
 
-def deliver(spark, path: str, registry: rows.Registry | None = None) -> DataFrame:
+def deliver(spark, path: str | DataFrame, registry: rows.Registry | None = None) -> DataFrame:
     """A truncate is a row for each of its tables, with neither a new row nor an old one. Values of types that have a decoder neither
     here nor in the registry fail, because a map would leave them out unseen."""
     found = common.messages(spark, path)

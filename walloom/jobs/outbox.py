@@ -11,7 +11,7 @@ from walloom.jobs import common
 from walloom.operators import changes
 
 
-def outbox(spark, path: str, prefix: str) -> DataFrame:
+def outbox(spark, path: str | DataFrame, prefix: str) -> DataFrame:
     """Transactional messages count when their transaction has committed; others at once."""
     found = common.messages(spark, path)
     wanted = changes.logical_messages(found, prefix)

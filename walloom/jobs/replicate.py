@@ -20,7 +20,7 @@ def decoders(kinds: dict[str, str]) -> dict:
     return {kind: layouts.decoder(kind) for kind in kinds.values() if kind in ("float4", "float8", *layouts.LAYOUTS) or kind.endswith("[]")}
 
 
-def replicate(spark, path: str, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None) -> DataFrame:
+def replicate(spark, path: str | DataFrame, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None) -> DataFrame:
     """registry: type -> decoder of a column of bytes, added to those of the built-in types or in place of them."""
     found = common.messages(spark, path)
     changes = common.described(found, common.committed(found)).withColumn("table", F.concat_ws(".", "namespace", "name")).where(F.col("table") == table)

@@ -27,6 +27,12 @@ def lag(commits: DataFrame, slot: str = "slot") -> DataFrame:
     )
 
 
+def behind(alive: DataFrame, commits: DataFrame, slot: str = "slot") -> DataFrame:
+    """How far each slot's confirmed position is behind what its server says in keep-alives(slot, lsn, system_clock); all of it where nothing is confirmed."""
+    said = alive.groupBy(slot).agg(F.max("lsn").alias("server_lsn"), F.max("system_clock").alias("server_clock"))
+    return said.join(confirmed(commits, slot), slot, "left").select(slot, "server_lsn", "server_clock", (F.col("server_lsn") - F.coalesce("confirmed_lsn", F.lit(0))).alias("lag_bytes"))
+
+
 def caught_up(commits: DataFrame, target: int) -> DataFrame:
     return commits.agg((F.max("tx_end_lsn") >= target).alias("caught_up"))
 
