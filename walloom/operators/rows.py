@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -94,5 +95,17 @@ def truncate_targets(truncates: DataFrame, relations: DataFrame, as_of: Callable
     return as_of(each, relations.select("slot", "seq", "rel_oid", "namespace", "name"), ["slot", "rel_oid"])
 
 
+def delimited(columns: list[str], delimiter: str = ",") -> Column:
+    """A row as a line of delimited text: a null is nothing, an empty text is quoted, and so is what holds the delimiter, a quote or a line's end."""
+    special = "[" + re.escape(delimiter) + '"\\r\\n]'
+
+    def field(c: str) -> Column:
+        text = F.col(c).cast("string")
+        quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(text.isNull(), F.lit("")).when((text == "") | text.rlike(special), quoted).otherwise(text)
+
+    return F.array_join(F.array(*(field(c) for c in columns)), delimiter)
+
+
 def message_text(messages: DataFrame) -> DataFrame:
     return messages.where("type = 'message'").withColumn("text", F.decode("content", "UTF-8"))
