@@ -799,6 +799,94 @@ def test_url_templates_reject_by_purity(spark):
     assert got["/ads/25"] == "block" and got["/news/25"] == "allow" and got["/ads/1"] == "block"
 
 
+def tree_by_hand(pages: list[tuple[str, str, str | None]]) -> dict[tuple[str, str], float]:
+    """(host, shape, label) of pages -> the purity of each (host, shape), node by node."""
+    u = url_templates
+    counts: dict = {}
+    for host, shape, label in pages:
+        n = counts.setdefault((host, shape), [0, 0, 0])
+        n[0], n[1], n[2] = n[0] + 1, n[1] + (label == "block"), n[2] + (label is not None)
+    total = lambda rows: [sum(r[2][k] for r in rows) for k in range(3)]
+    smooth = lambda rows, prior: (total(rows)[1] + u.WEIGHT * prior) / (total(rows)[2] + u.WEIGHT)
+    every = [(h, s.split("/")[1:], n, s) for (h, s), n in counts.items()]
+    overall, out = total(every)[1] / max(1, total(every)[2]), {}
+
+    def alike(a, b, depth):
+        if a["known"] != b["known"] or a["top"] != b["top"]:
+            return False
+        overlap = sum(min(a["children"].get(c, 0) / a["n"], b["children"].get(c, 0) / b["n"]) for c in a["children"])
+        error = math.sqrt(0.25 / max(1, a["labelled"]) + 0.25 / max(1, b["labelled"]))
+        return overlap >= u.OVERLAP and abs(a["phi"] - b["phi"]) <= u.Z * error
+
+    def node(rows, prior, depth):
+        pages = total(rows)[0]
+        ends = [r for r in rows if len(r[1]) <= depth or pages < u.LEAST_PAGES or len(rows) == 1]
+        for left in {len(r[1]) - depth for r in ends}:
+            own = [r for r in ends if len(r[1]) - depth == left]
+            out.update({(h, s): smooth(own, prior) for h, _, _, s in own})
+        rows = [r for r in rows if r not in ends]
+        by_seg: dict = {}
+        for r in rows:
+            by_seg.setdefault(r[1][depth], []).append(r)
+        branches: dict = {}
+        for seg, own in by_seg.items():
+            n = total(own)[0]
+            branches.setdefault("*" if n < u.LEAST_PAGES or n < u.LEAST_SHARE * pages else seg, []).extend(own)
+        known = []
+        for seg, own in branches.items():
+            n, block, labelled = total(own)
+            children: dict = {}
+            for r in own:
+                c = r[1][depth + 1] if len(r[1]) > depth + 1 else ""
+                children[c] = children.get(c, 0) + r[2][0]
+            known.append({"seg": seg, "rows": own, "n": n, "labelled": labelled, "known": labelled > 0, "children": children, "top": max(children, key=lambda c: (children[c], c)), "phi": math.asin(math.sqrt(block / max(1, labelled)))})
+        known.sort(key=lambda b: (b["known"], b["top"], b["phi"], b["seg"]))
+        classes: list = []
+        for k, b in enumerate(known):
+            if k and alike(b, known[k - 1], depth):
+                classes[-1].extend(b["rows"])
+            else:
+                classes.append([*b["rows"]])
+        for own in classes:
+            node(own, smooth(own, prior), depth + 1)
+
+    for host in {h for h, _, _, _ in every}:
+        own = [r for r in every if r[0] == host]
+        node(own, smooth(own, overall), 0)
+    return out
+
+
+def _pages(spark, sf_dir):
+    """The given pages, and hosts with deep paths, wildcards over names, branches with and without labels, and odd rows."""
+    rng = random.Random(3)
+    more = [f"http://deep.org/{'/'.join(rng.choice('ab') for _ in range(rng.randint(1, 7)))}" for _ in range(300)]
+    more += [f"http://shop.org/{rng.choice(['en', 'de', 'fr'])}/{''.join(rng.choices('abcdefgh', k=6))}/{rng.choice(['reviews', 'offers', 'ads'])}/{k % 40}" for k in range(400)]
+    more += ["http://long.org/" + "a/" * 3000 + "b", "http://long.org/" + "a/" * 3000 + "c", "http://one.org/x/y/z", "", "no url", None, None]
+    given = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return given.union(spark.createDataFrame([(10**6 + k if k % 50 else None, x) for k, x in enumerate(more)], given.schema))
+
+
+RULES = (*url_templates.RULES, url_templates.Rule("block", "deep.org/a/b/a/"), url_templates.Rule("allow", "deep.org/b/"), url_templates.Rule("block", "shop.org/en/a"), url_templates.Rule("allow", "shop.org/de/b"))
+
+
+@pytest.mark.parametrize("rules", [url_templates.RULES, RULES], ids=["given", "more"])
+def test_url_filter_equals_brute_force(spark, sf_dir, rules):
+    pages = _pages(spark, sf_dir).withColumns({"host": F.lit("x"), "node": F.lit(1), "rule": F.lit("y")})
+    verdict_of = {r.text: r.verdict for r in rules}
+    if rules is RULES:
+        pages = pages.where("url NOT LIKE '%long.org%' OR url IS NULL")
+    got = url_templates.judge(pages, rules=rules).withColumn("shape", url_templates.shape(F.col("path"))).collect()
+    purity = tree_by_hand([(r["host"], r["shape"], verdict_of.get(r["rule"])) for r in got])
+    assert len(got) == pages.count()
+    for r in got:
+        p = purity[r["host"], r["shape"]]
+        assert r["verdict"] == (verdict_of[r["rule"]] if r["rule"] else "block" if p >= url_templates.REJECT else "allow"), r
+        assert r["purity"] is None if p < url_templates.REJECT else r["purity"] == pytest.approx(p)
+    if rules is RULES:
+        decided = [r for r in got if r["rule"] is None and r["verdict"] == "block"]
+        assert decided and any(r["host"] == "shop.org" for r in decided)
+
+
 def test_url_shapes(spark):
     df = spark.createDataFrame([("/en/123/",), ("/en/123.html",), ("/a/0123456789abcdef0123",), ("/a/b2c",), ("",)], "p string")
     assert [r[0] for r in df.select(url_templates.shape(F.col("p"))).collect()] == ["/en/{n}/", "/en/{n}.html", "/a/{h}", "/a/{x}", ""]

@@ -1,8 +1,8 @@
 """URL filtering by rules and by a tree of path templates, with DataFrame expressions only.
 
 Per host, segments of a path that vary become wildcards: numbers, hashes and tokens by their form, and values too rare under
-their parent by count. Branches of a host whose children and block shares are alike are merged into one class. Templates
-are judged by the share of blocked pages among their labelled ones (those that a rule fits), smoothed towards their class, host and
+their parent by count. At every level, branches whose children and blocked shares are alike are merged. Templates
+are judged by the share of blocked pages among their labelled ones (those that a rule fits), smoothed level by level towards the nodes above them, their host and
 the whole table, and rejected from one half on.
 """
 
@@ -10,17 +10,19 @@ from __future__ import annotations
 
 import string
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, checkpointed
 
-DEPTH = 3
 #: A value stays literal if it has this many pages and this share of its parent's.
 LEAST_PAGES, LEAST_SHARE = 3, 0.02
-#: Weight of the prior in pages, steps in which shares are compared, and the purity at which a template is rejected.
-WEIGHT, STEPS, REJECT = 8.0, 4, 0.5
+#: Weight of the prior in labelled pages, and the purity at which a template is rejected.
+WEIGHT, REJECT = 8.0, 0.5
+#: Branches are merged if their children overlap by this and their shares are within so many standard errors.
+OVERLAP, Z = 0.5, 1.96
 
 
 @dataclass(frozen=True)
@@ -65,46 +67,76 @@ def shape(path: Column) -> Column:
     return F.regexp_replace(out, r"(?<=/)[^/.{]*[0-9][^/.{]*(?=[/.]|$)", "{x}")
 
 
-def _tree(shapes: DataFrame) -> DataFrame:
-    """(host, shape, n, block, labelled) -> the same with t, the generalised segments."""
-    parts = F.split("shape", "/")
-    for d in range(1, DEPTH + 1):
-        shapes = shapes.withColumn(f"s{d}", F.coalesce(F.get(parts, F.lit(d)), F.lit("")))
-    shapes = shapes.withColumn("tail", F.when(F.size(parts) > DEPTH + 1, F.lit("/**")).otherwise(F.lit("")))
-    for d in range(1, DEPTH + 1):
-        parent = ["host", *(f"s{k}" for k in range(1, d))]
-        counts = shapes.groupBy(*parent, f"s{d}").agg(F.sum("n").alias("own"))
-        total = counts.groupBy(*parent).agg(F.sum("own").alias("all"))
-        rare = counts.join(total, parent).where((F.col("own") < LEAST_PAGES) | (F.col("own") < LEAST_SHARE * F.col("all"))).select(*parent, f"s{d}", F.lit(True).alias("rare"))
-        shapes = shapes.join(rare, [*parent, f"s{d}"], "left").withColumn(f"s{d}", F.when(F.col("rare"), F.lit("*")).otherwise(F.col(f"s{d}"))).drop("rare")
-    rest = F.concat_ws("/", *(f"s{k}" for k in range(2, DEPTH + 1)))
-    return shapes.select("host", "shape", "n", "block", "labelled", F.col("s1").alias("branch"), F.concat(rest, "tail").alias("rest"))
-
-
-def _merged(tree: DataFrame) -> DataFrame:
-    """Adds the class of each branch: branches of one host with the same coarse shares of children and of blocked pages."""
-    branch = tree.groupBy("host", "branch").agg(F.sum("n").alias("all"), F.sum("block").alias("blocked"))
-    child = tree.groupBy("host", "branch", "rest").agg(F.sum("n").alias("own"))
-    coarse = F.round(STEPS * F.col("own") / F.col("all")).cast("int")
-    children = child.join(branch, ["host", "branch"]).withColumn("q", coarse).where("q > 0")  # at most 2 * STEPS a branch
-    children = children.groupBy("host", "branch").agg(F.array_sort(F.collect_list(F.struct("rest", "q"))).alias("children"))
-    alike = branch.join(children, ["host", "branch"], "left").select("host", "branch", F.xxhash64(F.col("children"), F.round(STEPS * F.col("blocked") / F.col("all"))).alias("class"))
-    return tree.join(alike, ["host", "branch"])
-
-
-def rejected_templates(pages: DataFrame) -> DataFrame:
-    """pages(host, shape, label) -> (host, shape, purity) of the templates to reject."""
+def _segments(rows: DataFrame, depth: int) -> DataFrame:
+    """Adds the segment that each shape has next, `*` for those that are rare under their node, and the one behind it."""
+    rows = rows.withColumn("seg", F.get("parts", F.lit(depth)))
+    own = rows.groupBy("host", "node", "seg").agg(F.sum("n").alias("own"), F.first("all").alias("all"))
+    rare = own.where((F.col("own") < LEAST_PAGES) | (F.col("own") < LEAST_SHARE * F.col("all"))).select("host", "node", "seg", F.lit(True).alias("rare"))
+    seg = F.when(F.col("rare"), F.lit("*")).otherwise(F.col("seg"))
+    return rows.join(rare, ["host", "node", "seg"], "left").withColumn("seg", seg).withColumn("child", F.coalesce(F.get("parts", F.lit(depth + 1)), F.lit(""))).drop("rare")
+
+
+def _classes(rows: DataFrame) -> DataFrame:
+    """(host, node, seg, class): branches of a node in order of their commonest child and blocked share, cut where one and the next are not alike.
+
+    Two branches are alike if their children's distributions overlap by OVERLAP and their blocked shares among labelled pages do not differ by more than Z
+    standard errors (of the shares' arcsines). A branch without labels is like other such branches only. A node has 1 / LEAST_SHARE + 1 branches at most.
+    """
+    children = rows.groupBy("host", "node", "seg", "child").agg(*(F.sum(c).alias(c) for c in ("n", "block", "labelled")))
+    branch = children.groupBy("host", "node", "seg").agg(
+        F.sum("n").alias("pages"), F.sum("block").alias("block"), F.sum("labelled").alias("labelled"), F.max_by("child", F.struct("n", "child")).alias("top")
+    )
+    share = F.col("block") / F.greatest(F.col("labelled"), F.lit(1))
+    branch = branch.select("host", "node", "seg", "pages", "labelled", "top", F.asin(F.sqrt(share)).alias("phi"), (F.col("labelled") > 0).alias("known"))
+    order = Window.partitionBy("host", "node").orderBy("known", "top", "phi", "seg")
+    before = F.lag(F.struct("seg", "pages", "labelled", "top", "phi", "known")).over(order)
+    branch = checkpointed(branch.withColumn("before", before))
+    part = lambda seg, name: children.select("host", "node", F.col("seg").alias(seg), "child", F.col("n").alias(name))
+    pair = branch.select("host", "node", "seg", "pages", F.col("before.seg").alias("other"), F.col("before.pages").alias("other_pages")).where("other is not null")
+    both = pair.join(part("seg", "here"), ["host", "node", "seg"]).join(part("other", "there"), ["host", "node", "other", "child"])
+    overlap = both.groupBy("host", "node", "seg").agg(F.sum(F.least(F.col("here") / F.col("pages"), F.col("there") / F.col("other_pages"))).alias("overlap"))
+    error = F.sqrt(0.25 / F.greatest(F.col("labelled"), F.lit(1)) + 0.25 / F.greatest(F.col("before.labelled"), F.lit(1)))
+    alike = (F.col("known") == F.col("before.known")) & (F.col("top") == F.col("before.top")) & (F.col("overlap") >= OVERLAP) & (F.abs(F.col("phi") - F.col("before.phi")) <= Z * error)
+    cut = F.when(F.coalesce(alike, F.lit(False)), 0).otherwise(1)
+    numbered = branch.join(overlap, ["host", "node", "seg"], "left").withColumn("class", F.sum(cut).over(order))
+    return numbered.select("host", "node", "seg", "class")
+
+
+def template_purity(pages: DataFrame) -> DataFrame:
+    """pages(host, shape, label) -> (host, shape, purity), the purity of the template that each shape belongs to.
+
+    The tree of a host is built level by level, all hosts and nodes together: segments that are rare under their node become `*`, alike branches become one node, whose
+    prior is its blocked share among labelled pages, smoothed towards that of the node above (the host's, and at the top that of all labelled pages). A node
+    that has one shape, or so few pages that every further segment would be rare, needs no further level, so there are as many levels as the deepest
+    branching has. What ends at a node with the same number of wildcards behind it is one template.
+    """
     count = lambda value: F.sum(F.when(F.col("label") == value, 1).otherwise(0))
     shapes = checkpointed(pages.groupBy("host", "shape").agg(F.count("*").alias("n"), count("block").alias("block"), F.count("label").alias("labelled")))
-    tree = checkpointed(_merged(_tree(shapes)))
-    sums = [F.sum(c).alias(c) for c in ("n", "block", "labelled")]
-    everything = tree.agg(F.sum("block").alias("b"), F.sum("n").alias("n")).first()
-    overall = (everything["b"] or 0) / max(everything["n"] or 0, 1)
-    host = tree.groupBy("host").agg(*sums).select("host", ((F.col("block") + WEIGHT * overall) / (F.col("n") + WEIGHT)).alias("p_host"))
-    group = tree.groupBy("host", "class").agg(*sums).join(host, "host").select("host", "class", ((F.col("block") + WEIGHT * F.col("p_host")) / (F.col("labelled") + WEIGHT)).alias("p_class"))
-    template = tree.groupBy("host", "class", "rest").agg(*sums).join(group, ["host", "class"])
-    template = template.select("host", "class", "rest", ((F.col("block") + WEIGHT * F.col("p_class")) / (F.col("labelled") + WEIGHT)).alias("purity")).where(F.col("purity") >= REJECT)
-    return tree.join(template, ["host", "class", "rest"]).select("host", "shape", "purity")
+    smoothed = lambda prior: (F.sum("block") + WEIGHT * prior) / (F.sum("labelled") + WEIGHT)
+    every = shapes.agg(F.sum("block").alias("block"), F.sum("labelled").alias("labelled")).first()
+    overall = F.lit((every["block"] or 0) / max(every["labelled"] or 0, 1))
+    hosts = shapes.groupBy("host").agg(smoothed(overall).alias("prior"))
+    parts = F.split(F.substring("shape", 2, 1 << 30), "/")
+    open_ = shapes.join(hosts, "host").withColumn("parts", F.when(F.col("shape") == "", F.array().cast("array<string>")).otherwise(parts)).withColumn("node", F.xxhash64("host"))
+    closed, depth = [], 0
+    while True:
+        nodes = open_.groupBy("host", "node").agg(F.sum("n").alias("all"), F.count("*").alias("shapes"))
+        open_ = checkpointed(open_.join(nodes, ["host", "node"]).withColumn("left", F.size("parts") - depth))
+        ends = (F.col("left") <= 0) | (F.col("all") < LEAST_PAGES) | (F.col("shapes") == 1)
+        closed.append(open_.where(ends).select("host", "shape", "node", "left", "prior", "block", "labelled"))
+        rows = _segments(open_.where(~ends), depth)
+        if rows.isEmpty():
+            break
+        rows = checkpointed(rows.drop("all", "shapes", "left"))
+        classes = checkpointed(_classes(rows))
+        rows = rows.join(broadcast_if_small(classes, classes.count(), 100_000), ["host", "node", "seg"])
+        priors = rows.groupBy("host", "node", "class").agg(smoothed(F.first("prior")).alias("p"))
+        rows = rows.join(priors, ["host", "node", "class"])
+        open_ = rows.select("host", "shape", "parts", "n", "block", "labelled", F.col("p").alias("prior"), F.xxhash64("node", "class").alias("node"))
+        depth += 1
+    done = checkpointed(reduce(DataFrame.union, closed))
+    purity = done.groupBy("host", "node", "left").agg(smoothed(F.first("prior")).alias("purity"))
+    return done.join(purity, ["host", "node", "left"]).select("host", "shape", "purity")
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -122,7 +154,7 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     for rule in rules:
         verdict = F.when(F.col("rule") == rule.text, F.lit(rule.verdict)).otherwise(verdict)
     rows = rows.select("*", verdict.alias("label"), shape(F.col("path")).alias("shape"))
-    rejected = checkpointed(rejected_templates(rows))
+    rejected = checkpointed(template_purity(rows).where(F.col("purity") >= REJECT))
     joined = rows.join(broadcast_if_small(rejected, rejected.count(), 100_000), ["host", "shape"], "left")
     decided = F.coalesce("label", F.when(F.col("purity").isNotNull(), F.lit("block")).otherwise(F.lit("allow")))
     return joined.select("page_id", "host", "path", "rule", decided.alias("verdict"), "purity")
