@@ -24,7 +24,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 BEGIN = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,40}PRIVATE KEY)-----")
 HEADER = re.compile(r"[A-Za-z][A-Za-z0-9-]*: ")
-DOTTED = re.compile(r"[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)+")
+DOTTED = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]++)++")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 FOLLOWING = re.compile(r"\r?\n([A-Za-z0-9+/_-]+={0,2})(?![A-Za-z0-9+/_=-])")
 _IN_RUN = re.compile(r"[A-Za-z0-9+/_=-]")
