@@ -610,8 +610,8 @@ def searched(x, k=5, step=50):
     out = {}
     for q in range(0, len(x), step):
         score = whole @ whole[q]
-        score[q] = np.iinfo(np.int64).min
-        out[q] = [(int(score[i]), int(i)) for i in np.lexsort((np.arange(len(x)), -score))[:k]]
+        others = np.delete(np.arange(len(x)), q)
+        out[q] = [(int(score[i]), int(i)) for i in others[np.lexsort((others, -score[others]))][:k]]
     return out
 
 
