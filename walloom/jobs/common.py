@@ -16,33 +16,63 @@ def session(name: str) -> SparkSession:
     return spark
 
 
+def bare(landed: DataFrame) -> DataFrame:
+    """Landed frames (slot, seq, payload) without their headers; keep-alives fall out."""
+    log = landed.select("slot", "seq", "payload")
+    tag = F.decode(F.substring("payload", 1, 1), "ISO-8859-1")
+    data, _ = frames.split_frames(log)
+    return log.where(~tag.isin("w", "k")).unionByName(data.select("slot", "seq", "payload"))
+
+
 def messages(spark: SparkSession, landed: str | DataFrame) -> DataFrame:
     """Messages of landed frames (slot, seq, payload), a path or a table, with or without a header. They are decoded once and stored: descriptions,
     outcomes and changes are then read from the table."""
-    log = (spark.read.parquet(landed) if isinstance(landed, str) else landed).select("slot", "seq", "payload")
-    tag = F.decode(F.substring("payload", 1, 1), "ISO-8859-1")
-    bare = log.where(~tag.isin("w", "k"))
-    data, _ = frames.split_frames(log)
-    return stored(frames.messages(bare.unionByName(data.select("slot", "seq", "payload"))))
+    return stored(frames.messages(bare(spark.read.parquet(landed) if isinstance(landed, str) else landed)))
+
+
+def with_transactions(found: DataFrame) -> DataFrame:
+    """Messages with `tx`: of a plain transaction the position of its begin, so an attempt that broke off and came again is
+    two; of a streamed one its negative id."""
+    opened = F.when(F.col("type") == "begin", F.col("seq"))
+    log = transactions.carry_forward(found, opened, "begin_seq").withColumn("tx", F.when(F.col("stream_xid") >= 0, -F.col("stream_xid")).otherwise(F.col("begin_seq")))
+    return log.withColumn("tx", F.when(F.col("type").isin("stream_start", "stream_commit", "stream_abort"), -F.col("xid")).otherwise(F.col("tx")))
 
 
 def committed(found: DataFrame) -> DataFrame:
     """Changes of committed transactions, plain and streamed, with (tx, commit_seq, commit_lsn, tx_end_lsn, commit_timestamp).
 
-    A plain transaction is known by the position of its begin, so an attempt that broke off and came again is two; a streamed
-    one by its id. Changes of aborted transactions and subtransactions, and of those without an outcome, are left out.
+    Changes of aborted transactions and subtransactions, and of those without an outcome, are left out. Of a streamed
+    transaction that was sent again, the copy counts that its first commit ends.
     """
-    opened = F.when(F.col("type") == "begin", F.col("seq"))
-    log = transactions.carry_forward(found, opened, "begin_seq").withColumn("tx", F.when(F.col("stream_xid") >= 0, -F.col("stream_xid")).otherwise(F.col("begin_seq")))
-    log = log.withColumn("tx", F.when(F.col("type").isin("stream_commit", "stream_abort"), -F.col("xid")).otherwise(F.col("tx")))
+    log = with_transactions(found)
     ends = log.where(F.col("type").isin("commit", "stream_commit")).select("slot", "tx", F.col("seq").alias("commit_seq"), "commit_lsn", "tx_end_lsn", "commit_timestamp")
     first = ends.groupBy("slot", "commit_lsn").agg(F.min("commit_seq").alias("commit_seq"))
     ends = ends.join(first, ["slot", "commit_lsn", "commit_seq"], "left_semi")
+    starts = log.where("type = 'stream_start' AND segment = 'first'").select("slot", "tx", F.col("seq").alias("started"))
+    copies = ends.where("tx < 0").select("slot", "tx", "commit_seq").join(starts, ["slot", "tx"]).where("started < commit_seq").groupBy("slot", "tx", "commit_seq").agg(F.max("started").alias("started"))
+    ends = ends.join(copies, ["slot", "tx", "commit_seq"], "left")
     aborts = log.where("type = 'stream_abort'").select("slot", F.col("tx").alias("tx"), F.col("xid").alias("top"), F.col("subtransaction_xid").alias("xid"))
     changes = log.where(F.col("type").isin("insert", "update", "delete", "truncate", "message")).select("slot", "seq", "tx", "xid", "type", "rel_oid", "oids", "old_kind", "old_tuple", "new_tuple", "prefix", "content", "transactional")
     changes = changes.join(aborts.where("top = xid").select("slot", "tx"), ["slot", "tx"], "left_anti")
     changes = changes.join(aborts.where("top <> xid").select("slot", "tx", "xid"), ["slot", "tx", "xid"], "left_anti")
-    return changes.join(ends, ["slot", "tx"])
+    return changes.join(ends, ["slot", "tx"]).where("seq < commit_seq AND (started IS NULL OR seq > started)").drop("started")
+
+
+def undecided(found: DataFrame) -> DataFrame:
+    """What a later batch still needs of the messages so far: those of transactions without an outcome, and the descriptions
+    of tables that are valid now or at a change that is kept.
+
+    A plain transaction that a later begin of its slot broke off has no outcome to come.
+    """
+    log = with_transactions(found)
+    over = log.where((F.col("type").isin("commit", "stream_commit")) | ((F.col("type") == "stream_abort") & (F.col("xid") == F.col("subtransaction_xid"))))
+    last = log.groupBy("slot").agg(F.max("begin_seq").alias("last_begin"))
+    kinds = F.col("type").isin("begin", "stream_start", "stream_abort", "insert", "update", "delete", "truncate") | ((F.col("type") == "message") & F.col("transactional"))
+    kept = log.where(kinds & F.col("tx").isNotNull()).join(over.select("slot", "tx"), ["slot", "tx"], "left_anti").join(last, "slot").where("tx < 0 OR tx = last_begin")
+    kept = stored(kept.select(*found.columns))
+    oldest = kept.groupBy("slot").agg(F.min("seq").alias("oldest"))
+    known = progress.validity(found.where("type = 'relation'"), ["slot", "rel_oid"]).join(oldest, "slot", "left")
+    return kept.unionByName(known.where("valid_to IS NULL OR valid_to > oldest").select(*found.columns))
 
 
 def described(found: DataFrame, changes: DataFrame) -> DataFrame:

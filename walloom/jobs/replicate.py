@@ -20,11 +20,12 @@ def decoders(kinds: dict[str, str]) -> dict:
     return {kind: layouts.decoder(kind) for kind in kinds.values() if kind in ("float4", "float8", *layouts.LAYOUTS) or kind.endswith("[]")}
 
 
-def replicate(spark, path: str | DataFrame, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None) -> DataFrame:
-    """registry: type -> decoder of a column of bytes, added to those of the built-in types or in place of them."""
-    found = common.messages(spark, path)
-    changes = common.described(found, common.committed(found)).withColumn("table", F.concat_ws(".", "namespace", "name")).where(F.col("table") == table)
-    changes = apply.after_truncate(changes, changes.where("type = 'truncate'"), "table", ["commit_seq", "seq"])
+#: The order in which changes apply; a row that moves is a delete (part 0) and an insert (part 1).
+ORDER = ["commit_seq", "seq", "part"]
+
+
+def keyed(changes: DataFrame, keys: list[str], kinds: dict[str, str], registry: dict | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """Described changes of one table as typed rows with their key, in ORDER, and the columns' marks of large values that weren't sent."""
     known = {**decoders(kinds), **(registry or {})}
     value = [F.struct(*rows.typed(F.col(f"{c}_tuple"), kinds, known)).alias(c) for c in ("new", "old")]
     log = changes.select(F.col("type").alias("op"), "commit_seq", "seq", "old_kind", *value, rows.unchanged(F.col("new_tuple"), F.col("attributes")).alias("unchanged"))
@@ -35,8 +36,24 @@ def replicate(spark, path: str | DataFrame, table: str, keys: list[str], kinds:
     before = [F.when((F.col("op") == "update") & F.col("old_kind").isNotNull(), held(k)).alias(f"old_{k}") for k in keys]
     flags = [F.coalesce(F.array_contains("unchanged", c), F.lit(False)).alias(f"{c}_unchanged") for c in values]
     log = log.select("op", "commit_seq", "seq", *key, *before, *(F.col("new")[c].alias(c) for c in values), *flags)
-    log = apply.moved_keys(log, keys, [f"old_{k}" for k in keys], values)
-    return apply.latest_state(log, keys, values, ["commit_seq", "seq", "part"], {c: f"{c}_unchanged" for c in values})
+    return apply.moved_keys(log, keys, [f"old_{k}" for k in keys], values), {c: f"{c}_unchanged" for c in values}
+
+
+def of_table(changes: DataFrame, table: str) -> DataFrame:
+    """Changes of one table, named with its schema."""
+    return changes.withColumn("table", F.concat_ws(".", "namespace", "name")).where(F.col("table") == table)
+
+
+def after_truncates(changes: DataFrame) -> DataFrame:
+    return apply.after_truncate(changes, changes.where("type = 'truncate'"), "table", ["commit_seq", "seq"])
+
+
+def replicate(spark, path: str | DataFrame, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None) -> DataFrame:
+    """registry: type -> decoder of a column of bytes, added to those of the built-in types or in place of them."""
+    found = common.messages(spark, path)
+    changes = after_truncates(of_table(common.described(found, common.committed(found)), table))
+    log, marked = keyed(changes, keys, kinds, registry)
+    return apply.latest_state(log, keys, list(marked), ORDER, marked)
 
 
 def main(frames: str, table: str, keys: str, kinds: str, out: str) -> None:

@@ -30,7 +30,7 @@ def latest_state(changes: DataFrame, keys: list[str], columns: list[str], order:
     """
     marked = marked or {}
     position = F.struct(*order)
-    at = lambda c: F.when((F.col("op") != "delete") & (~F.col(marked[c]) if c in marked else F.lit(True)), position)
+    at = lambda c: F.when((F.col("op") != "delete") & (~F.coalesce(F.col(marked[c]), F.lit(False)) if c in marked else F.lit(True)), position)
     state = changes.groupBy(*keys).agg(
         F.max_by("op", position).alias("__op"),
         *(F.max_by(F.struct(F.col(c).alias("v")), at(c)).alias(c) for c in columns),
@@ -52,14 +52,14 @@ def net_rows(changes: DataFrame, columns: list[str], sign: Column) -> DataFrame:
     return net.select(*columns, F.explode(F.sequence(F.lit(1), F.col("__n").cast("int"))).alias("copy"))
 
 
-def merge(base: DataFrame, changes: DataFrame, keys: list[str], columns: list[str], order: list[str]) -> DataFrame:
+def merge(base: DataFrame, changes: DataFrame, keys: list[str], columns: list[str], order: list[str], marked: dict[str, str] | None = None) -> DataFrame:
     """A base table with changes applied: the base's rows are the oldest inserts of one aggregate over both.
 
-    order columns that the base lacks are null there, and nulls come first.
+    order columns and marks that the base lacks are null there; nulls come first, and what isn't marked counts.
     """
     snapshot = base.select(*keys, *columns, F.lit("insert").alias("op"))
-    both = snapshot.unionByName(changes.select(*keys, *columns, "op", *order), allowMissingColumns=True)
-    return latest_state(both, keys, columns, order)
+    both = snapshot.unionByName(changes.select(*keys, *columns, "op", *order, *(marked or {}).values()), allowMissingColumns=True)
+    return latest_state(both, keys, columns, order, marked)
 
 
 def quoted(value: Column) -> Column:

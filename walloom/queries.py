@@ -436,7 +436,7 @@ TABLE = {"user_id": "int8", "event_type": "text", "value": "float8", "props": "j
 
 
 def state_frames(spark, d) -> DataFrame:
-    """The change log as the frames that a server would send: see _FRAMES. Every transaction carries a message, and after each comes one at once, with a header, and a keep-alive."""
+    """The change log as the frames that a server would send, commit positions rising: see _FRAMES. Every transaction carries a message, and after each comes one at once, with a header, and a keep-alive."""
     log = derived(spark, d).withColumn("kind", F.when(F.col("xid") % 8 == 3, "streamed").when(F.col("xid") % 8 == 7, "aborted").when(F.col("xid") % 8 == 5, "partly").otherwise("plain"))
     plain, none, oid = F.col("kind") == "plain", (F.lit(None).cast("binary"), None), F.lit(16931)
     user = (wire.encode_value(F.col("user_id"), "int8"), None)
@@ -458,7 +458,7 @@ def state_frames(spark, d) -> DataFrame:
         at(65, F.when(plain, frames.commit(lsn_at, end, micros)).otherwise(frames.stream_stop()), F.lit(True)),
         at(66, frames.stream_abort(x, x + 2**31), F.col("kind") == "partly"),
         at(67, frames.stream_abort(x, x, lsn_at, micros), F.col("kind") == "aborted"),
-        at(198, frames.stream_commit(x, lsn_at + 1, end + 1, micros), F.col("kind").isin("streamed", "partly")),
+        at(198, frames.stream_commit(x, lsn_at + 4097, end + 4097, micros), F.col("kind").isin("streamed", "partly")),
         at(80, frames.begin(lsn_at + 2, micros, x + 2**30), cut), at(81, frames.truncate(F.array(oid)), cut), at(82, frames.commit(lsn_at + 2, end + 2, micros), cut),
         at(90, frames.wal(lsn_at, end, micros, frames.message(lsn_at, F.lit("now"), said, F.lit(False))), F.lit(True)),
         at(95, F.concat(F.encode(F.lit("k"), "UTF-8"), wire.int_bytes(end, 8), wire.int_bytes(micros, 8), wire.int_bytes(F.lit(1), 1)), F.lit(True)),
@@ -500,7 +500,7 @@ def outbox_at_once(spark, d):
  SELECT 'relation' AS type, -1 AS seq, NULL AS xid, NULL AS lsn UNION ALL SELECT 'begin', xid * 128, xid, commit_lsn FROM t WHERE kind = 'plain' UNION ALL SELECT 'commit', xid * 128 + 65, NULL, commit_lsn FROM t WHERE kind = 'plain'
  UNION ALL SELECT 'stream_start', xid * 128, xid, NULL FROM t WHERE kind <> 'plain' UNION ALL SELECT 'stream_stop', xid * 128 + 65, NULL, NULL FROM t WHERE kind <> 'plain'
  UNION ALL SELECT 'stream_abort', xid * 128 + 66, xid, NULL FROM t WHERE kind = 'partly' UNION ALL SELECT 'stream_abort', xid * 128 + 67, xid, commit_lsn FROM t WHERE kind = 'aborted'
- UNION ALL SELECT 'stream_commit', xid * 128 + 198, xid, commit_lsn + 1 FROM t WHERE kind IN ('streamed', 'partly')
+ UNION ALL SELECT 'stream_commit', xid * 128 + 198, xid, commit_lsn + 4097 FROM t WHERE kind IN ('streamed', 'partly')
  UNION ALL SELECT 'begin', xid * 128 + 80, xid + 1073741824, commit_lsn + 2 FROM t JOIN m ON xid = x UNION ALL SELECT 'truncate', xid * 128 + 81, NULL, NULL FROM t JOIN m ON xid = x UNION ALL SELECT 'commit', xid * 128 + 82, NULL, commit_lsn + 2 FROM t JOIN m ON xid = x
  UNION ALL SELECT 'message', xid * 128 + 2, CASE WHEN kind <> 'plain' THEN xid END, commit_lsn FROM t UNION ALL SELECT 'message', xid * 128 + 90, NULL, commit_lsn FROM t
  UNION ALL SELECT op, xid * 128 + (seq % 8) * 8 + 4, CASE WHEN kind = 'plain' THEN NULL WHEN kind = 'partly' AND seq % 4 = 1 THEN xid + 2147483648 ELSE xid END, NULL FROM c) GROUP BY type""")
@@ -638,7 +638,15 @@ def count_where(spark, d):
 @query(LOG + _STATE.format("log"))
 def stream_replica(spark, d):
     """The same table as latest_state, kept by a stream over the log in several batches."""
-    return replica.run_to_end(spark, derived(spark, d), KEYS, VALUES, {"props": "props_toasted"})
+    table = replica.Replica(replica.folder(spark), KEYS, VALUES, {"props": "props_toasted"}, buckets=8)
+    return replica.run_to_end(spark, derived(spark, d), table, "commit_lsn")
+
+
+@query(_FRAMES + ", s AS (SELECT k.* EXCLUDE (seq), commit_seq * 256 + (seq % 8) AS seq FROM k, cut WHERE commit_seq > cut.pos + 82) " + _STATE.format("s"))
+def stream_frames(spark, d):
+    """The same table as replicate_frames, from frames that arrive in pieces: a piece ends inside transactions, and the tables' description comes in the first only."""
+    table = replica.FrameReplica(replica.folder(spark), "public.user_state", KEYS, TABLE, buckets=8)
+    return replica.run_to_end(spark, state_frames(spark, d), table, "seq", replica.Decoder(replica.folder(spark), table))
 
 
 @query(LOG + _STREAMED + "SELECT seq, xid, op, user_id, subxid FROM s WHERE xid % 8 NOT IN (3, 7) AND " + _KEPT)

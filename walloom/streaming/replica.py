@@ -1,4 +1,4 @@
-"""Streams over a change log: a replica table kept batch by batch, and streamed transactions held until their outcome."""
+"""Streams over a change log: frames decoded batch by batch, a replica table kept, and streamed transactions held until their outcome."""
 
 from __future__ import annotations
 
@@ -9,8 +9,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.types import StructType
 
-from ..session import checkpoint_folder
+from ..jobs import common, replicate
+from ..operators import apply
+from ..session import checkpoint_folder, stored
+from ..sources import frames
 
 
 def folder(spark: SparkSession) -> str:
@@ -19,47 +23,118 @@ def folder(spark: SparkSession) -> str:
 
 
 class Replica:
-    """A table that a stream keeps: each batch of changes is merged into the last version and written as the next.
+    """A table that a stream keeps, in buckets of its keys: each batch of changes is merged into the buckets that it touches, and only those are
+    written anew. A manifest of one row a bucket says which batch wrote it last.
 
-    A version is named by its batch, so a batch that runs again after a failure (the log is delivered at least once) reads
-    the same version and writes the same rows. Transactions at or before the confirmed position are dropped, so a log that is sent
+    What a batch writes is named by the batch, so one that runs again after a failure (the log is delivered at least once) reads
+    the same rows and writes the same. Transactions at or before the confirmed position are dropped, so a log that is sent
     again changes nothing. Progress is a row written at the end of each batch. If applying a batch fails, the stream fails
-    before anything is confirmed.
+    before anything is confirmed. Batches come in commit order. Choose `buckets` so that one holds some hundred megabytes;
+    it is fixed for the life of the table. Buckets that a newer batch has replaced stay until the folder's owner clears them.
     """
 
-    def __init__(self, path: str, keys: list[str], columns: list[str], marked: dict[str, str] | None = None):
+    def __init__(self, path: str, keys: list[str], columns: list[str], marked: dict[str, str] | None = None, order: list[str] | None = None, buckets: int = 64):
         self.path, self.keys, self.columns, self.marked = path, keys, columns, marked or {}
+        self.order, self.buckets, self.last = order or ["commit_lsn", "seq"], buckets, -1
 
-    def version(self, batch: int) -> str:
-        return f"{self.path}/rows/batch={batch}"
-
-    def _read(self, spark: SparkSession, batch: int) -> DataFrame | None:
-        return spark.read.parquet(self.version(batch)) if batch >= 0 else None
+    def manifest(self, spark: SparkSession, batch: int) -> dict[int, int]:
+        """Bucket -> the batch that wrote it last; at most `buckets` rows."""
+        if batch < 0:
+            return {}
+        return {r["bucket"]: r["version"] for r in spark.read.parquet(f"{self.path}/manifest/batch={batch}").collect()}
 
     def position(self, spark: SparkSession, batch: int) -> int:
         if batch < 0:
             return -1
         return spark.read.parquet(f"{self.path}/progress/batch={batch}").first()["confirmed_lsn"]
 
+    def _rows(self, spark: SparkSession, versions: dict[int, int], schema: StructType) -> DataFrame:
+        if not versions:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*(f"{self.path}/rows/batch={v}/bucket={b}" for b, v in sorted(versions.items())))
+
+    def apply(self, log: DataFrame, batch: int, emptied: bool = False) -> None:
+        """Merge a batch's changes into the table; emptied: it was truncated before them."""
+        spark = log.sparkSession
+        log = stored(log.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")))
+        touched = {r["bucket"] for r in log.select("bucket").distinct().collect()}
+        schema = log.select(*self.keys, *self.columns).schema
+        versions = {} if emptied else self.manifest(spark, batch - 1)
+        before = self._rows(spark, {b: v for b, v in versions.items() if b in touched}, schema)
+        merged = apply.merge(before, log, self.keys, self.columns, self.order, self.marked)
+        merged = merged.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+        home = f"{self.path}/rows/batch={batch}"
+        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(home)
+        written = {r["bucket"] for r in spark.read.schema(f"{merged.schema.simpleString()[7:-1].replace(':', ' ')}").parquet(home).select("bucket").distinct().collect()}
+        versions = {**{b: v for b, v in versions.items() if b not in touched}, **dict.fromkeys(written, batch)}
+        spark.createDataFrame(sorted(versions.items()), "bucket int, version int").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/batch={batch}")
+        self.schema, self.last = schema, batch
+
     def __call__(self, changes: DataFrame, batch: int) -> None:
-        spark = changes.sparkSession
-        before, confirmed = self._read(spark, batch - 1), self.position(spark, batch - 1)
-        new = changes.where(F.col("commit_lsn") > confirmed).dropDuplicates(["commit_lsn", "seq"]).select(*self.keys, *self.columns, *self.marked.values(), "op", "seq", "commit_lsn")
-        state = F.struct(F.col("seq"))
-        if before is not None:
-            new = before.unionByName(new.drop("commit_lsn"), allowMissingColumns=True)
-        at = lambda c: F.when((F.col("op") != "delete") & (~F.coalesce(F.col(self.marked[c]), F.lit(False)) if c in self.marked else F.lit(True)), state)
-        kept = new.groupBy(*self.keys).agg(
-            F.max_by("op", state).alias("op"), F.max("seq").alias("seq"),
-            *(F.max_by(F.struct(F.col(c).alias("v")), at(c)).alias(c) for c in self.columns),
-        )
-        rows = kept.select(*self.keys, *(F.col(c)["v"].alias(c) for c in self.columns), "op", "seq")
-        rows.write.mode("overwrite").parquet(self.version(batch))
+        """Changes with op, the keys, columns and marks, and the order's columns, among them commit_lsn."""
+        confirmed = self.position(changes.sparkSession, batch - 1)
+        self.apply(changes.where(F.col("commit_lsn") > confirmed).select(*self.keys, *self.columns, *self.marked.values(), "op", *self.order), batch)
         last = changes.agg(F.greatest(F.coalesce(F.max("commit_lsn"), F.lit(confirmed)), F.lit(confirmed)).cast("bigint").alias("confirmed_lsn"))
         last.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/progress/batch={batch}")
 
-    def table(self, spark: SparkSession, batch: int) -> DataFrame:
-        return spark.read.parquet(self.version(batch)).where("op <> 'delete'").select(*self.keys, *self.columns)
+    def table(self, spark: SparkSession, batch: int | None = None) -> DataFrame:
+        return self._rows(spark, self.manifest(spark, self.last if batch is None else batch), self.schema)
+
+
+class FrameReplica(Replica):
+    """A replica of one table, fed by `Decoder`: typed rows, truncates, rows that move to another key."""
+
+    def __init__(self, path: str, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None, buckets: int = 64):
+        columns = [c for c in kinds if c not in keys]
+        super().__init__(path, keys, columns, {c: f"{c}_unchanged" for c in columns}, replicate.ORDER, buckets)
+        self.name, self.kinds, self.registry = table, kinds, registry
+
+    def __call__(self, changes: DataFrame, batch: int) -> None:
+        own = replicate.of_table(changes, self.name)
+        log, _ = replicate.keyed(replicate.after_truncates(own).where("type <> 'truncate'"), self.keys, self.kinds, self.registry)
+        self.apply(log, batch, emptied=not own.where("type = 'truncate'").isEmpty())
+
+
+class Decoder:
+    """Turns batches of landed frames into committed changes with their tables' descriptions, and hands each batch of them to a handler.
+
+    What a batch needs of those before it is kept in tables named by the batch: the last frame of each slot that opens or ends
+    a block, from which the next frames are read on; messages of transactions that have no outcome yet, with the
+    descriptions that they and later changes need; the last position that was committed of each slot, so that transactions sent again
+    are dropped. All three are written after the handler returns: if it fails, the stream fails, and the batch
+    runs again from the same state. Held messages are as many as open transactions have, whatever came before.
+    """
+
+    def __init__(self, path: str, handler: Callable[[DataFrame, int], None]):
+        self.path, self.handler = path, handler
+
+    def _read(self, spark: SparkSession, name: str, batch: int) -> DataFrame | None:
+        return spark.read.parquet(f"{self.path}/{name}/batch={batch}") if batch >= 0 else None
+
+    def _write(self, rows: DataFrame, name: str, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
+
+    def __call__(self, landed: DataFrame, batch: int) -> None:
+        spark = landed.sparkSession
+        bare = common.bare(landed)
+        marker, held, done = (self._read(spark, name, batch - 1) for name in ("marker", "held", "done"))
+        log = bare if marker is None else bare.unionByName(marker)
+        found = frames.messages(log)
+        if marker is not None:
+            found = found.join(marker.select("slot", "seq"), ["slot", "seq"], "left_anti")
+        found = stored(found if held is None else found.unionByName(held))
+        changes = common.committed(found)
+        ends = changes.groupBy("slot").agg(F.max("commit_lsn").alias("commit_lsn"))
+        if done is not None:
+            before = done.withColumnRenamed("commit_lsn", "done_lsn")
+            changes = changes.join(before, "slot", "left").where("done_lsn IS NULL OR commit_lsn > done_lsn").drop("done_lsn")
+            ends = ends.unionByName(done).groupBy("slot").agg(F.max("commit_lsn").alias("commit_lsn"))
+        self.handler(stored(common.described(found, changes)), batch)
+        tag = F.decode(F.substring("payload", 1, 1), "ISO-8859-1")
+        opens = [frames.LETTER[k] for k in ("begin", "commit", "stream_start", "stream_stop", "stream_commit", "stream_abort")]
+        self._write(log.where(tag.isin(opens)).groupBy("slot").agg(F.max_by("payload", "seq").alias("payload"), F.max("seq").alias("seq")).select("slot", "seq", "payload"), "marker", batch)
+        self._write(common.undecided(found), "held", batch)
+        self._write(ends, "done", batch)
 
 
 def follow(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -69,25 +144,24 @@ def follow(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpo
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def land(log: DataFrame, order: str, path: str, files: int) -> None:
-    """Write a log as files that arrive one after the other, each of a range of positions."""
-    ends = log.agg(F.min(order), F.max(order)).first()
-    low, high = (ends[0] or 0), (ends[1] or 0)
-    part = F.least(F.floor((F.col(order) - low) * files / (high - low + 1)), F.lit(files - 1))
-    log = log.withColumn("__part", part)
-    for k in range(files):
-        log.where(F.col("__part") == k).drop("__part").coalesce(1).sortWithinPartitions(order).write.mode("append").parquet(path)
+def turns(log: DataFrame, order: str, path: str, count: int) -> Iterator[int]:
+    """Write a log in pieces, each a range of positions, and stop after each, so that a stream can be run over what is there."""
+    log = stored(log)
+    low, high = (x or 0 for x in log.agg(F.min(order), F.max(order)).first())
+    step = (high - low) // count + 1
+    for k in range(count):
+        own = (F.col(order) >= low + k * step) & (F.col(order) < low + (k + 1) * step)
+        log.where(own if k < count - 1 else F.col(order) >= low + k * step).write.mode("append").parquet(path)
+        yield k
 
 
-def run_to_end(spark: SparkSession, log: DataFrame, keys: list[str], columns: list[str], marked: dict[str, str], files: int = 3) -> DataFrame:
-    """Land a log as files in commit order, follow them in several batches, and return the replica."""
+def run_to_end(spark: SparkSession, log: DataFrame, replica: Replica, order: str, handler: Callable[[DataFrame, int], None] | None = None, pieces: int = 3) -> DataFrame:
+    """Land a log piece by piece, run a stream over it after each from where it stopped, and return the replica."""
     home = folder(spark)
-    land(log, "commit_lsn", f"{home}/log", files)
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/log")
-    replica = Replica(f"{home}/table", keys, columns, marked)
-    query = follow(stream, replica, f"{home}/checkpoint")
-    query.awaitTermination()
-    return replica.table(spark, query.lastProgress["batchId"] if query.lastProgress else 0)
+    for _ in turns(log, order, f"{home}/log", pieces):
+        stream = spark.readStream.schema(log.schema).parquet(f"{home}/log")
+        follow(stream, handler or replica, f"{home}/checkpoint").awaitTermination()
+    return replica.table(spark)
 
 
 class Held(StatefulProcessor):
@@ -127,18 +201,17 @@ def committed(stream: DataFrame) -> DataFrame:
     return stream.groupBy("xid").transformWithStateInPandas(Held(), "seq long, xid long, op string, user_id long, subxid long", "Append", "None")
 
 
-def committed_to_end(spark: SparkSession, events: DataFrame, files: int = 2) -> DataFrame:
-    """Land changes and outcomes as files, run the stateful stream over them, and return what it has released."""
+def committed_to_end(spark: SparkSession, events: DataFrame, pieces: int = 2) -> DataFrame:
+    """Land changes and outcomes piece by piece, run the stateful stream over them, and return what it has released."""
     home = folder(spark)
     events = events.select("seq", "xid", "op", "user_id", "subxid", "kind")
-    land(events, "seq", f"{home}/log", files)
-    before = {k: spark.conf.get(k, None) for k in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.shuffle.partitions")}
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/log")
-        query = committed(stream).writeStream.format("parquet").option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start()
-        query.awaitTermination()
+        for _ in turns(events, "seq", f"{home}/log", pieces):
+            stream = spark.readStream.schema(events.schema).parquet(f"{home}/log")
+            committed(stream).writeStream.format("parquet").option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     finally:
-        for k, v in before.items():
-            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+        spark.conf.set(provider, before) if before is not None else spark.conf.unset(provider)
     return spark.read.schema("seq long, xid long, op string, user_id long, subxid long").parquet(f"{home}/out")
