@@ -316,8 +316,24 @@ def _verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, rule: Rule,
     return checkpointed(rows.mapInArrow(frugal(_verified(rule), "ngram_join"), "a long, b long, linked boolean").distinct())
 
 
-def _unresolved(rule: Rule, block: int = 512):
-    """Members of one hub, or of two tiles of them -> pairs in different components that the short sketch doesn't dismiss.
+#: Before every pair that is left is verified, components are joined by FEW pairs of each, TURNS times.
+FEW, TURNS = 4, 2
+
+
+def _few(rows: np.ndarray, turn: int, few: int) -> np.ndarray:
+    """Of pairs (a, b, component of a, component of b), those that are among the `few` least of one of their components, by a hash of pair and turn."""
+    pair = rows[:, :2].view(np.uint64)
+    order = mix(mix(pair[:, 0] + np.uint64(turn)) ^ pair[:, 1])
+    of, at = rows[:, 2:].T.ravel(), np.tile(np.arange(len(rows)), 2)
+    by = np.lexsort((order[at], of))
+    first = np.flatnonzero(np.concatenate([[True], of[by][1:] != of[by][:-1]]))
+    place = np.arange(len(by)) - np.repeat(first, np.diff([*first, len(by)]))
+    return rows[np.unique(at[by][place < few])]
+
+
+def _unresolved(rule: Rule, turn: int | None = None, few: int = FEW, block: int = 512):
+    """Members of one hub, or of two tiles of them -> pairs in different components that the short sketch doesn't dismiss: a few for each
+    component, or all where turn is None.
 
     Sketches are compared width by width: sets that link have widths equal or next to each other.
     """
@@ -328,7 +344,7 @@ def _unresolved(rule: Rule, block: int = 512):
         lists = table["sketch"].combine_chunks()
         offset, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
         width = np.diff(offset)
-        found = [np.zeros((0, 2), np.int64)]
+        found = [np.zeros((0, 4), np.int64)]
 
         def bits(rows: np.ndarray, least: int) -> np.ndarray:
             w = int(width[rows[0]])
@@ -353,7 +369,10 @@ def _unresolved(rule: Rule, block: int = 512):
                             u, v = x[a : a + (1 << 14)], y[a : a + (1 << 14)]
                             near = np.bitwise_count(x_bits[p + u] ^ y_bits[q + v]).sum(axis=1) <= most[u, v]
                             k, m = i[u[near]], j[v[near]]
-                            found.append(np.stack([np.minimum(own[k], own[m]), np.maximum(own[k], own[m])], axis=1))
+                            k, m = np.where(own[k] < own[m], k, m), np.where(own[k] < own[m], m, k)
+                            found.append(np.stack([own[k], own[m], part[k], part[m]], axis=1))
+                            if turn is not None and len(k):
+                                found = [_few(np.unique(np.concatenate(found), axis=0), turn, few)]
         pairs = np.unique(np.concatenate(found), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
@@ -366,8 +385,9 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     Rows whose sets are equal are one class, known by a 64-bit fingerprint, and only classes are compared. Keys are made in a
     pass of their own, as a table of them would outweigh the texts; they meet by a shuffle; of the classes under one key, each is paired with the first (never all with all).
     Keys that a sample shows to be common are left out by the sets that can do without them, and those that stay are dealt evenly. Pairs are verified on
-    whole sets, first one pair for each class; where the links found so far leave members of a hub in different components, all
-    pairs of that hub's members that are still apart pass the short sketch in tiles, and what it doesn't dismiss is verified too.
+    whole sets, first one pair for each class; where the links found so far leave members of a hub in different components, the
+    pairs of that hub's members that are still apart pass the short sketch in tiles, and what it doesn't dismiss is verified too: first a few pairs of each component, which
+    join most of a large group of near copies, then all that are left.
     So every two classes that share a key end up verified or in one component, and no link is lost.
     A null or empty text, or one without words, has n_shingles 0 and is linked with nothing; a null id never is
     the smallest.
@@ -387,23 +407,25 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     near = mates.join(side("a"), "a").join(side("b"), "b").where(F.abs(F.col("n_a") - F.col("n_b")) <= most).where(F.size(a).between(F.size(b) / 2, F.size(b) * 2) & (apart <= most))
     first = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     checked = _verify(first, classes, texts, rule)
-    links = checked.where("linked").select("a", "b")
-    parts = checkpointed(components(links))
+    parts = checkpointed(components(checked.where("linked").select("a", "b")))
 
     of = lambda df, c: df.join(parts.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")), c, "left").withColumn(f"of_{c}", F.coalesce(f"of_{c}", c))
-    labelled = of(of(mates, "a"), "b")
-    open_hubs = labelled.where("of_a <> of_b").select("a").distinct()
-    members = labelled.join(open_hubs, "a", "left_semi")
-    members = members.select("a", "b", F.col("of_b").alias("component")).union(members.select("a", F.col("a").alias("b"), F.col("of_a").alias("component")).distinct())
-    members = checkpointed(members.join(classes.select(F.col("set").alias("b"), "n", "sketch"), "b"))
-    sized = members.groupBy("a").agg(F.ceil(F.count("*") / tile).cast("int").alias("m"))
-    here = F.pmod(F.xxhash64("b"), F.col("m")).cast("int")
-    dealt = members.join(sized, "a").withColumn("here", here).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    dealt = dealt.withColumn("ti", F.least("here", "o")).withColumn("tj", F.greatest("here", "o")).drop("o", "m")
-    rest = dealt.groupBy("a", "ti", "tj").applyInArrow(_unresolved(rule), "a long, b long").distinct()
-    rest = checkpointed(rest.join(checked.select("a", "b"), ["a", "b"], "left_anti"))
-    more = _verify(rest, classes, texts, rule).where("linked").select("a", "b")
-    parts = components(links.union(more))
+    for turn in (*range(TURNS), None):
+        labelled = of(of(mates, "a"), "b")
+        open_hubs = labelled.where("of_a <> of_b").select("a").distinct()
+        members = labelled.join(open_hubs, "a", "left_semi")
+        members = members.select("a", "b", F.col("of_b").alias("component")).union(members.select("a", F.col("a").alias("b"), F.col("of_a").alias("component")).distinct())
+        members = checkpointed(members.join(classes.select(F.col("set").alias("b"), "n", "sketch"), "b"))
+        sized = members.groupBy("a").agg(F.ceil(F.count("*") / tile).cast("int").alias("m"))
+        here = F.pmod(F.xxhash64("b"), F.col("m")).cast("int")
+        dealt = members.join(sized, "a").withColumn("here", here).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
+        dealt = dealt.withColumn("ti", F.least("here", "o")).withColumn("tj", F.greatest("here", "o")).drop("o", "m")
+        rest = checkpointed(dealt.groupBy("a", "ti", "tj").applyInArrow(_unresolved(rule, turn), "a long, b long").distinct())
+        if rest.isEmpty():
+            break
+        more = _verify(rest.join(checked.select("a", "b"), ["a", "b"], "left_anti"), classes, texts, rule)
+        checked = checked.union(more)
+        parts = checkpointed(components(checked.where("linked").select("a", "b")))
 
     named = classes.select("set", "head").join(parts, F.col("set") == F.col("node"), "left").select("set", "head", F.coalesce("component", "set").alias("part"))
     least = named.groupBy("part").agg(F.min("head").alias("component_id"))
