@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import language_id, ngram_join, packing, piece_dropout, pii, quality, secret_scan, url_templates, vector_dedup, vector_topk
+from . import decontamination, language_id, ngram_join, packing, piece_dropout, pii, quality, secret_scan, url_templates, vector_dedup, vector_topk
 from .common import table
 
 
@@ -47,6 +47,10 @@ def op10_vector_dedup(spark, sf_dir):
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op13_decontamination(spark, sf_dir):
+    return decontamination.contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 def queries():
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
@@ -73,4 +77,14 @@ def oracle_sql():
  both_ways AS (SELECT l.vec_id AS a, r.vec_id AS b FROM n l JOIN n r ON l.vec_id <> r.vec_id WHERE list_cosine_similarity(l.v, r.v) >= 0.9), {_REACH.format("vec_id")},
  links AS (SELECT a, COUNT(*) AS k FROM both_ways GROUP BY a)
  SELECT vec_id, CAST(coalesce(k, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept FROM n JOIN part ON vec_id = part.a LEFT JOIN links ON vec_id = links.a"""
-    return {"op5_ngram_join": join, "op6_exact_topk": search, "op10_vector_dedup": near}
+    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    leaks = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents), b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {words} AS w FROM benchmark),
+ g AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 10 THEN [w] ELSE list_transform(range(1, len(w) - 8), lambda i: w[i:i+9]) END) AS g FROM b),
+ lengths AS (SELECT DISTINCT len(g) AS n FROM g),
+ x AS (SELECT r, n, unnest(range(1, len(w) - n + 2)) AS i, unnest(list_transform(range(1, len(w) - n + 2), lambda i: w[i:i+n-1])) AS g FROM d, lengths WHERE len(w) >= n),
+ hits AS (SELECT DISTINCT r, i, n, x.g FROM x JOIN (SELECT DISTINCT g FROM g) k ON x.g = k.g),
+ n AS (SELECT r, COUNT(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+ items AS (SELECT r, list_sort(list(DISTINCT item_id)) AS items FROM hits JOIN g ON hits.g = g.g WHERE item_id IS NOT NULL GROUP BY r)
+ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN items ON d.r = items.r"""
+    return {"op13_decontamination": leaks, "op5_ngram_join": join, "op6_exact_topk": search, "op10_vector_dedup": near}
