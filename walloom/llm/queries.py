@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, language_id, ngram_join, packing, piece_dropout, pii, quality, secret_scan, url_templates, vector_dedup, vector_topk
+from . import decontamination, language_id, ngram_join, packing, periodic_runs, piece_dropout, pii, quality, secret_scan, url_templates, vector_codes, vector_dedup, vector_topk
 from .common import table
 
 
@@ -47,6 +47,15 @@ def op10_vector_dedup(spark, sf_dir):
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
 
 
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes.code_query(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return periodic_runs.run_digests(documents.withColumn("text", periodic_runs.repeated(documents["text"], documents["doc_id"])))
+
+
 def op13_decontamination(spark, sf_dir):
     return decontamination.contamination(table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "benchmark", "item_id", "text"))
 
@@ -60,6 +69,41 @@ _REACH = """reach AS (SELECT {0} AS a, {0} AS b FROM n UNION SELECT r.a, e.b FRO
  part AS (SELECT a, MIN(b) AS component_id FROM reach GROUP BY a)"""
 
 
+def _rounds_sql(rounds=6):
+    """Lloyd rounds one after the other, each as three tables: distances to the codebooks' entries give codes, and these the next codebooks."""
+    nearest = """a{0} AS MATERIALIZED (SELECT r, m, arg_min(e, {{'d': d, 'e': e}}) AS e, MIN(d) AS d FROM (SELECT r, p.m, c.e,
+  CAST(list_sum(list_transform(range(1, len(p) + 1), lambda i: CAST(p[i] - c[i] AS HUGEINT) * (p[i] - c[i]))) AS HUGEINT) AS d FROM parts p JOIN c{0} c ON p.m = c.m) GROUP BY r, m)"""
+    moved = """c{1} AS MATERIALIZED (SELECT c.m, c.e, coalesce(n.c, c.c) AS c FROM c{0} c LEFT JOIN (SELECT m, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c
+  FROM (SELECT p.m, a.e, i, CAST(SUM(p.p[i]) AS HUGEINT) AS s, COUNT(*) AS n FROM parts p JOIN a{0} a ON p.r = a.r AND p.m = a.m, range(1, (SELECT MAX(len(p)) FROM parts) + 1) t(i) GROUP BY p.m, a.e, i)
+  GROUP BY m, e) n ON c.m = n.m AND c.e = n.e)"""
+    steps = ", ".join(f"{nearest.format(k)}, {moved.format(k, k + 1)}" for k in range(rounds))
+    return f"""WITH v AS (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ parts AS MATERIALIZED (SELECT r, m, v[m * len(v) // 8 + 1 : (m + 1) * len(v) // 8] AS p FROM v, range(8) t(m)),
+ c0 AS MATERIALIZED (SELECT m, r - 1 AS e, p AS c FROM parts WHERE r <= 16), {steps}, {nearest.format(rounds)},
+ coded AS (SELECT r, string_agg(printf('%02x', CAST(e AS INTEGER)), '' ORDER BY m) AS code, CAST(SUM(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+ books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY m, e)) AS h FROM c{rounds})
+ SELECT vec_id, code, error, CAST(SUM(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM v JOIN coded USING (r), books"""
+
+
+_RUNS = r"""WITH bytes AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_concat([ascii(c) + 256], repeat([-1], 8)))) AS steps FROM documents),
+ hashed AS (SELECT r, doc_id, regexp_extract_all(t, '[^ 	-]+') AS w,
+  xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(steps, lambda x: CAST(x AS BIGINT))), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x - 256) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295) AS h FROM bytes),
+ planted AS (SELECT r, doc_id, w, len(w) AS n, h, h // 10 AS g FROM hashed),
+ d AS MATERIALIZED (SELECT r, doc_id, n, CASE WHEN h % 10 <> 0 OR n = 0 THEN w ELSE list_transform(range(0, n), lambda i: CASE WHEN i < g % n THEN w[i + 1] ELSE w[g % n + (i - g % n) % (1 + (n - g % n) // (3 + g % 8)) + 1] END) END AS w FROM planted),
+ x AS MATERIALIZED (SELECT r, n, unnest(range(0, n)) AS i, unnest(w) AS w FROM d),
+ pairs AS (SELECT a.r, b.i - a.i AS p, a.i FROM x a JOIN x b ON a.r = b.r AND a.w = b.w AND a.i < b.i AND 4 * (b.i - a.i) <= a.n),
+ stretches AS (SELECT r, p, MIN(i) AS s, COUNT(*) + p AS l FROM (SELECT r, p, i, i - row_number() OVER (PARTITION BY r, p ORDER BY i) AS k FROM pairs) GROUP BY r, p, k HAVING COUNT(*) + p >= greatest(6, 4 * p)),
+ runs AS MATERIALIZED (SELECT r, s, l, MIN(p) AS p FROM stretches GROUP BY r, s, l),
+ best AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY CAST(l AS DOUBLE) / p DESC, s, p) AS k FROM runs),
+ listed AS (SELECT r, COUNT(*) AS c, string_agg(concat(s, ',', l, ',', p, chr(10)), '' ORDER BY s, p) AS t FROM runs GROUP BY r),
+ gone AS (SELECT DISTINCT r, unnest(range(s + p, s + l)) AS i FROM runs),
+ kept AS (SELECT r, string_agg(w, ' ' ORDER BY i) AS t FROM x ANTI JOIN gone USING (r, i) GROUP BY r)
+ SELECT doc_id, CAST(coalesce(c, 0) AS BIGINT) AS n_runs, CAST(s AS BIGINT) AS start, CAST(l AS BIGINT) AS length, CAST(p AS BIGINT) AS period, CAST(1000 * l // p AS BIGINT) AS exponent_milli,
+  sha256(coalesce(listed.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+ FROM d LEFT JOIN (SELECT * FROM best WHERE k = 1) b ON d.r = b.r LEFT JOIN listed ON d.r = listed.r LEFT JOIN kept ON d.r = kept.r"""
+
+
 def oracle_sql():
     join = f"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
  s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
@@ -87,4 +131,4 @@ def oracle_sql():
  items AS (SELECT r, list_sort(list(DISTINCT item_id)) AS items FROM hits JOIN g ON hits.g = g.g WHERE item_id IS NOT NULL GROUP BY r)
  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
   sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN items ON d.r = items.r"""
-    return {"op13_decontamination": leaks, "op5_ngram_join": join, "op6_exact_topk": search, "op10_vector_dedup": near}
+    return {"op11_vector_codes": _rounds_sql(), "op12_periodic_runs": _RUNS, "op13_decontamination": leaks, "op5_ngram_join": join, "op6_exact_topk": search, "op10_vector_dedup": near}
