@@ -219,7 +219,7 @@ def _described(rule: Rule):
             sketch = pa.array([_parity(own) if len(own) else None for own in sets], pa.list_(pa.int64()))
             keys = [np.concatenate([np.zeros(0, np.uint64), *(k for k, _ in _keys(own, rule, edges))]) & ~np.uint64(1) if len(own) and f % SAMPLE == 0 else None for own, f in zip(sets, mark, strict=True)]
             sampled = pa.array([k if k is None else k.view(np.int64) for k in keys], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([rows.column(0), n, pa.array(mark, pa.int64()), sketch, sampled], ["doc_id", "n", "set", "sketch", "sampled"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), n, pa.array(mark, pa.int64()), sketch, sampled, rows.column(2)], ["doc_id", "n", "set", "sketch", "sampled", "alone"])
 
     return run
 
@@ -303,16 +303,20 @@ def _verified(rule: Rule):
     return run
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, rule: Rule, group: int = 64) -> DataFrame:
-    """pairs(a, b) of sets -> (a, b, linked). Members go to their hub in groups of about `group`, each with its own copy of
+def _verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, alone: DataFrame | None, rule: Rule, group: int = 64) -> DataFrame:
+    """pairs(a, b) of sets -> (a, b, linked). A class's text is that of its least id; of a class without ids it is found by the text's own hash, in `alone`. Members go to their hub in groups of about `group`, each with its own copy of
     the hub's text, so a hub with very many members is work for many tasks."""
     sized = pairs.groupBy("a").agg(F.ceil(F.count("*") / group).alias("groups"))
     salted = pairs.join(sized, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("groups")))
     hubs = salted.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("node"))
     roles = hubs.union(salted.select("a", "salt", F.lit(1), "b"))
-    need = checkpointed(roles.join(classes.select(F.col("set").alias("node"), "head"), "node"))
-    rows = texts.join(broadcast_if_small(need, need.count()), F.col("doc_id") == F.col("head"))
-    rows = rows.select("a", "salt", "role", "node", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
+    need = checkpointed(roles.join(classes.select(F.col("set").alias("node"), "head", "alone"), "node"))
+    named = need.where("head is not null").drop("alone")
+    wanted = ["a", "salt", "role", "node", "text"]
+    rows = texts.join(broadcast_if_small(named, named.count()), F.col("doc_id") == F.col("head")).select(*wanted)
+    if alone is not None:
+        rows = rows.union(alone.join(need.where("head is null").drop("head"), "alone").select(*wanted))
+    rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
     return checkpointed(rows.mapInArrow(frugal(_verified(rule), "ngram_join"), "a long, b long, linked boolean").distinct())
 
 
@@ -389,13 +393,16 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     pairs of that hub's members that are still apart pass the short sketch in tiles, and what it doesn't dismiss is verified too: first a few pairs of each component, which
     join most of a large group of near copies, then all that are left.
     So every two classes that share a key end up verified or in one component, and no link is lost.
-    A null or empty text, or one without words, has n_shingles 0 and is linked with nothing; a null id never is
-    the smallest.
+    A null or empty text, or one without words, has n_shingles 0 and is linked with nothing. A row without an id links like any other, but a null id never is
+    the smallest: its component_id is null only where it reaches no row with an id.
     """
     rule = Rule(words, percent)
     texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    base = stored(texts.mapInArrow(frugal(_described(rule), "ngram_join"), "doc_id long, n long, set long, sketch array<long>, sampled array<long>"))
-    classes = checkpointed(base.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("head"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    mine = texts.withColumn("alone", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    base = stored(mine.mapInArrow(frugal(_described(rule), "ngram_join"), "doc_id long, n long, set long, sketch array<long>, sampled array<long>, alone long"))
+    classes = checkpointed(base.where("set is not null").groupBy("set").agg(F.min("doc_id").alias("head"), F.min("alone").alias("alone"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    # texts without an id, one of each, where a class has no other
+    alone = None if classes.where("head is null").isEmpty() else stored(mine.where("doc_id is null").groupBy("alone").agg(F.first("text").alias("text")))
     shared = documents.sparkSession.sparkContext.broadcast(_common(base))  # COMMON keys at most
     keyed = texts.select("text").mapInArrow(frugal(_keyed(rule, shared), "ngram_join"), "key long, set long").repartition("key").sortWithinPartitions("key", "set")
     mates = checkpointed(keyed.mapInArrow(_mates(shared), "a long, b long").distinct())
@@ -406,7 +413,7 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     most = F.floor((100 - percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent))
     near = mates.join(side("a"), "a").join(side("b"), "b").where(F.abs(F.col("n_a") - F.col("n_b")) <= most).where(F.size(a).between(F.size(b) / 2, F.size(b) * 2) & (apart <= most))
     first = near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    checked = _verify(first, classes, texts, rule)
+    checked = _verify(first, classes, texts, alone, rule)
     parts = checkpointed(components(checked.where("linked").select("a", "b")))
 
     of = lambda df, c: df.join(parts.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")), c, "left").withColumn(f"of_{c}", F.coalesce(f"of_{c}", c))
@@ -423,7 +430,7 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
         rest = checkpointed(dealt.groupBy("a", "ti", "tj").applyInArrow(_unresolved(rule, turn), "a long, b long").distinct())
         if rest.isEmpty():
             break
-        more = _verify(rest.join(checked.select("a", "b"), ["a", "b"], "left_anti"), classes, texts, rule)
+        more = _verify(rest.join(checked.select("a", "b"), ["a", "b"], "left_anti"), classes, texts, alone, rule)
         checked = checked.union(more)
         parts = checkpointed(components(checked.where("linked").select("a", "b")))
 
