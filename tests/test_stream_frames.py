@@ -22,7 +22,7 @@ def test_batches_that_end_inside_transactions(spark, log):  # noqa: F811
     for k, piece in enumerate(pieces(spark, log, 5, 13)):
         decoder(piece, k)
     decoder(piece, k)  # a batch that runs again
-    assert sorted(tuple(r) for r in table.table(spark).collect()) == [(3, "c"), (5, None)]
+    assert sorted(tuple(r) for r in table.table(spark).collect()) == [(3, "c"), (5, "a")]
     held = decoder._read(spark, "held", 2).groupBy("type").count().collect()
     assert {r["type"]: r["count"] for r in held} == {"relation": 1, "stream_start": 1, "insert": 1}  # the pending one and the description
 
@@ -33,7 +33,7 @@ def test_the_whole_log_again_changes_nothing(spark, log):  # noqa: F811
     whole = spark.read.parquet(log)
     decoder(whole, 0)
     decoder(whole.withColumn("seq", F.col("seq") + 100), 1)
-    assert sorted(tuple(r) for r in table.table(spark).collect()) == [(3, "c"), (5, None)]
+    assert sorted(tuple(r) for r in table.table(spark).collect()) == [(3, "c"), (5, "a")]
 
 
 def test_a_truncate_in_a_later_batch(spark, wide_log):  # noqa: F811
@@ -67,7 +67,7 @@ def test_a_handler_that_fails_confirms_nothing(spark, log):  # noqa: F811
     assert sorted(tuple(r) for r in table.table(spark).collect()) == [(1, "a"), (2, "b")]
     broken[0] = False
     run()
-    assert sorted(tuple(r) for r in table.table(spark).collect()) == [(3, "c"), (5, None)]
+    assert sorted(tuple(r) for r in table.table(spark).collect()) == [(3, "c"), (5, "a")]
 
 
 def test_batches_at_intervals(spark):
@@ -92,3 +92,44 @@ def test_a_streamed_transaction_that_was_sent_again_counts_once(spark):
     found = common.messages(spark, landed)
     assert [r["seq"] for r in common.committed(found).collect()] == [5]
     assert replicate.replicate(spark, landed, "public.t", ["id"], {"id": "int4"}).count() == 1
+
+
+def test_a_stream_without_its_checkpoint_goes_on(spark, log):  # noqa: F811
+    """A new process: other objects over the same folders, an empty checkpoint, the whole log landed again."""
+    source, kept, states = replica.folder(spark), replica.folder(spark), replica.folder(spark)
+
+    def run():
+        table = replica.FrameReplica(kept, "public.t", ["id"], KINDS, buckets=4)
+        stream = spark.readStream.schema("slot string, seq long, payload binary").parquet(source)
+        replica.follow(stream, replica.Decoder(states, table), replica.folder(spark)).awaitTermination()
+        return replica.Replica(kept, ["id"], ["s"])
+
+    first, second = pieces(spark, log, 8)
+    first.write.parquet(source)
+    assert sorted(tuple(r) for r in run().table(spark).collect()) == [(1, "a"), (2, "b")]
+    second.write.mode("append").parquet(source)
+    again = run()
+    assert sorted(tuple(r) for r in again.table(spark).collect()) == [(3, "c"), (5, "a")] and again.position(spark) == 300
+    before = again.state(spark)
+    assert run().state(spark)["written"] == before["written"]  # nothing was new
+    again.forget(spark)
+    assert sorted(tuple(r) for r in again.table(spark).collect()) == [(3, "c"), (5, "a")] and len(replica.versions_at(spark, f"{kept}/state")) == 2
+
+
+def test_messages_of_an_open_transaction_are_written_once(spark):
+    from walloom.functions import wire
+
+    lit = F.lit
+    row = lambda k: frames.tuple_bytes([(wire.encode_value(lit(k).cast("int"), "int4"), None)])
+    parts = [frames.relation(7, "public", "t", "d", [("id", "int4", True)])]
+    for k in range(6):
+        parts += [frames.stream_start(lit(9), lit(k == 0)), frames.insert(lit(7), row(k), xid=lit(9)), frames.stream_stop()]
+    parts.append(frames.stream_commit(lit(9), lit(300), lit(308), lit(0)))
+    landed = spark.range(1).select(F.posexplode(F.array(*parts)).alias("seq", "payload")).select(lit("s").alias("slot"), F.col("seq").cast("bigint"), "payload")
+    table = replica.FrameReplica(replica.folder(spark), "public.t", ["id"], {"id": "int4"}, buckets=2)
+    decoder = replica.Decoder(replica.folder(spark), table, parts=3)
+    for k in range(7):
+        decoder(landed.where((F.col("seq") >= 3 * k + (k > 0)) & (F.col("seq") < 3 * k + 4)), k)
+    inserts = [decoder._read(spark, "held", k).where("type = 'insert'").count() for k in range(7)]
+    assert inserts[:3] == [1, 1, 1] and max(inserts) <= 5 and sum(inserts) < 1 + 2 + 3 + 4 + 5 + 6  # together once there are more than three parts
+    assert inserts[-1] == 0 and sorted(r["id"] for r in table.table(spark).collect()) == list(range(6))

@@ -1,4 +1,5 @@
-"""Values whose layout Spark's expressions can't read, decoded and encoded a batch at a time with numpy."""
+"""Types whose layout Spark's expressions can't read: one registry of their ids, Spark types, decoders and encoders, over whole columns; and, for
+fields in records, decoders of single values."""
 
 from __future__ import annotations
 
@@ -6,41 +7,20 @@ import json
 import struct
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import columns, wire
+
 _POINT = "struct<x:double,y:double>"
 _RANGE = "struct<lower:{0},lower_inc:boolean,upper:{0},upper_inc:boolean,lower_inf:boolean,upper_inf:boolean,empty:boolean>"
 
 
-def _float(code: str, kind: pa.DataType):
-    """A whole column of floats from its bytes; values of another length fail."""
-    width = np.dtype(code).itemsize
-
-    def decode(values: pa.Array) -> pa.Array:
-        fixed = values.fill_null(b"\0" * width).cast(pa.binary(width))
-        flat = np.frombuffer(fixed.buffers()[1], code)[fixed.offset : fixed.offset + len(fixed)] if len(fixed) else np.zeros(0)
-        return pa.array(flat.astype(code[1:]), kind, mask=values.is_null().to_numpy(zero_copy_only=False))
-
-    return decode
-
-
-def _float_bytes(code: str):
-    width = np.dtype(code).itemsize
-
-    def encode(values: pa.Array) -> pa.Array:
-        flat = values.fill_null(0).to_numpy(zero_copy_only=False).astype(code)
-        fixed = pa.Array.from_buffers(pa.binary(width), len(values), [None, pa.py_buffer(flat.tobytes())])
-        return pc.if_else(values.is_valid(), fixed.cast(pa.binary()), pa.scalar(None, pa.binary()))
-
-    return encode
-
-
 def numeric_text(data: bytes) -> str | None:
     """Digits in base 10000 with a weight, a sign and a scale, as a plain decimal text; NaN and infinities as such."""
     n, weight, sign, scale = struct.unpack(">HhHH", data[:8])
@@ -143,7 +123,7 @@ def array_bytes(elements: list, oid: int) -> bytes:
 
 
 _INT = lambda data: int.from_bytes(data, "big", signed=True)
-#: type -> (Spark type, decoder of one value's bytes)
+#: type -> (Spark type, decoder of one value's bytes), for fields in records
 LAYOUTS: dict[str, tuple[str, Callable]] = {
     "numeric": ("string", numeric_text),
     "inet": ("struct<address:string,type:string,netmask:int>", _inet),
@@ -165,116 +145,307 @@ LAYOUTS: dict[str, tuple[str, Callable]] = {
 }
 
 
-def decoder(kind: str) -> Callable[[Column], Column]:
-    """Column of bytes -> column of values, for float4, float8, the layouts, and `x[]` for arrays of bytes elements."""
-    if kind in ("float4", "float8"):
-        return F.arrow_udf(_float(">f4", pa.float32()), "float") if kind == "float4" else F.arrow_udf(_float(">f8", pa.float64()), "double")
-    if kind.endswith("[]"):
-        return _udf(array_elements, "array<binary>")
-    spark_type, one = LAYOUTS[kind]
-    return _udf(one, spark_type)
-
-
 #: Type ids of the layouts, and of arrays with their elements' type.
 OIDS = {
     "float4": 700, "float8": 701, "numeric": 1700, "inet": 869, "cidr": 650, "point": 600, "lseg": 601, "path": 602, "box": 603, "polygon": 604, "line": 628,
     "circle": 718, "int4range": 3904, "numrange": 3906, "tsrange": 3908, "tstzrange": 3910, "daterange": 3912, "int8range": 3926, "tsvector": 3614, "record": 2249,
     "bit": 1560, "varbit": 1562,
 }
-_ARRAYS = {1000: 16, 1005: 21, 1007: 23, 1016: 20, 1028: 26, 1009: 25, 1015: 1043, 1014: 1042, 1003: 19, 199: 114, 1021: 700, 1022: 701, 1231: 1700, 2951: 2950}
+ARRAYS = {
+    1000: "bool", 1001: "bytea", 1002: "char", 1003: "name", 1005: "int2", 1007: "int4", 1009: "text", 1014: "bpchar", 1015: "varchar", 1016: "int8", 1017: "point", 1018: "lseg", 1019: "path", 1020: "box",
+    1021: "float4", 1022: "float8", 1027: "polygon", 1028: "oid", 1041: "inet", 1115: "timestamp", 1182: "date", 1183: "time", 1185: "timestamptz", 1231: "numeric", 199: "json", 2951: "uuid", 3221: "pg_lsn", 3807: "jsonb",
+    651: "cidr", 719: "circle", 629: "line", 1561: "bit", 1563: "varbit", 3905: "int4range", 3907: "numrange", 3909: "tsrange", 3911: "tstzrange", 3913: "daterange", 3927: "int8range",
+}
 
 
-def _bits(data: bytes) -> str:
-    return "".join(f"{b:08b}" for b in data[4:])[: int.from_bytes(data[:4], "big")]
+@dataclass(frozen=True)
+class Type:
+    """A type of values: its id, the Spark type of its columns, and what reads and writes a whole column of them. A user's own types are given as more of these."""
+
+    oid: int
+    spark: str
+    decode: columns.Decode
+    encode: Callable[[pa.Array], pa.Array] | None = None
+
+
+def _each(one: Callable[[bytes], object], kind: pa.DataType) -> columns.Decode:
+    """Layouts that hold parts of different kinds, value by value."""
+    return lambda b: pa.array([None if d is None else one(d) for d in b.binary().to_pylist()], kind)
+
+
+_INET = "struct<address:string,type:string,netmask:int>"
+_TSVECTOR = pa.list_(pa.struct([("text", pa.string()), ("entries", pa.list_(pa.struct([("position", pa.int32()), ("weight", pa.string())])))]))
+_RECORD = pa.list_(pa.struct([("pos", pa.int32()), ("oid", pa.int64()), ("value", pa.string())]))
+
+
+def _tsvector_bytes(values: pa.Array) -> pa.Array:
+    def one(words: list[dict] | None) -> bytes | None:
+        if words is None:
+            return None
+        entry = lambda w: b"".join(struct.pack(">H", "DCBA".index(e["weight"]) << 14 | e["position"]) for e in w["entries"])
+        return struct.pack(">i", len(words)) + b"".join(w["text"].encode() + b"\0" + struct.pack(">H", len(w["entries"])) + entry(w) for w in words)
+
+    return pa.array([one(v) for v in values.to_pylist()], pa.binary())
+
+
+def _record_bytes(values: pa.Array) -> pa.Array:
+    def one(parts: list[dict] | None) -> bytes | None:
+        if parts is None:
+            return None
+        field = lambda p: struct.pack(">Ii", p["oid"], -1) if p["value"] is None else struct.pack(">Ii", p["oid"], len(p["value"]) // 2) + bytes.fromhex(p["value"])
+        return struct.pack(">i", len(parts)) + b"".join(map(field, parts))
+
+    return pa.array([one(v) for v in values.to_pylist()], pa.binary())
+
+
+def _bit_bytes(values: pa.Array) -> pa.Array:
+    one = lambda t: None if t is None else struct.pack(">i", len(t)) + (int(t.ljust(-(-len(t) // 8) * 8, "0"), 2).to_bytes(-(-len(t) // 8), "big") if t else b"")
+    return pa.array([one(t) for t in values.to_pylist()], pa.binary())
+
+
+def _types() -> dict[str, Type]:
+    whole = {"int2": (2, pa.int16(), "smallint"), "int4": (4, pa.int32(), "int"), "int8": (8, pa.int64(), "bigint"), "money": (8, pa.int64(), "bigint"), "time": (8, pa.int64(), "bigint"), "pg_lsn": (8, pa.int64(), "bigint")}
+    out = {kind: Type(wire.OID[kind], spark, columns.whole(w, arrow), columns.whole_bytes(w)) for kind, (w, arrow, spark) in whole.items()}
+    out |= {kind: Type(wire.OID[kind], "bigint", columns.whole(4, pa.int64(), signed=False), columns.whole_bytes(4)) for kind in ("oid", "xid")}
+    out |= {kind: Type(wire.OID[kind], "string", columns.text, columns.text_bytes) for kind in ("text", "varchar", "bpchar", "name", "json", "char")}
+    days = lambda v: columns.whole_bytes(4)(pc.subtract(v.cast(pa.int32()).cast(pa.int64()), columns.EPOCH_DAYS))
+    micros = lambda v: columns.whole_bytes(8)(pc.subtract(v.cast(pa.timestamp("us", v.type.tz)).cast(pa.int64()), wire.EPOCH_MICROS))
+    out |= {
+        "bool": Type(16, "boolean", columns.boolean, lambda v: columns.whole_bytes(1)(v.cast(pa.int8()))),
+        "bytea": Type(17, "binary", columns.blob, lambda v: v.cast(pa.binary())),
+        "jsonb": Type(3802, "string", columns.jsonb, lambda v: pc.binary_join_element_wise(pa.scalar(b"\x01"), columns.text_bytes(v), b"")),
+        "uuid": Type(2950, "string", columns.uuid, lambda v: pa.array([None if x is None else uuid.UUID(x).bytes for x in v.to_pylist()], pa.binary())),
+        "date": Type(1082, "date", columns.date, days),
+        "timestamp": Type(1114, "timestamp_ntz", columns.moment(None), micros),
+        "timestamptz": Type(1184, "timestamp", columns.moment("UTC"), micros),
+        "float4": Type(700, "float", columns.real(4), columns.real_bytes(4)),
+        "float8": Type(701, "double", columns.real(8), columns.real_bytes(8)),
+        "numeric": Type(1700, "string", columns.numeric, columns.numeric_bytes),
+        "inet": Type(869, _INET, columns.inet, columns.inet_bytes),
+        "cidr": Type(650, _INET, columns.inet, columns.inet_bytes),
+        "point": Type(600, _POINT, columns.fields(x=0, y=8), columns.fields_bytes("x", "y")),
+        "line": Type(628, "struct<a:double,b:double,c:double>", columns.fields(a=0, b=8, c=16), columns.fields_bytes("a", "b", "c")),
+        "circle": Type(718, "struct<x:double,y:double,r:double>", columns.fields(x=0, y=8, r=16), columns.fields_bytes("x", "y", "r")),
+        "lseg": Type(601, f"array<{_POINT}>", columns.corners, columns.points_bytes("none")),
+        "box": Type(603, f"array<{_POINT}>", columns.corners, columns.points_bytes("none")),
+        "polygon": Type(604, f"array<{_POINT}>", columns.polygon, columns.points_bytes("number")),
+        "path": Type(602, f"struct<open:boolean,points:array<{_POINT}>>", columns.path, columns.points_bytes("path")),
+        "tsvector": Type(3614, LAYOUTS["tsvector"][0], _each(_tsvector, _TSVECTOR), _tsvector_bytes),
+        "record": Type(2249, LAYOUTS["record"][0], _each(_record, _RECORD), _record_bytes),
+        "bit": Type(1560, "string", columns.bits, _bit_bytes),
+        "varbit": Type(1562, "string", columns.bits, _bit_bytes),
+    }
+    for kind, bound in {"int4range": "int4", "int8range": "int8", "daterange": "int4", "tsrange": "int8", "tstzrange": "int8"}.items():
+        width = 4 if bound == "int4" else 8
+        out[kind] = Type(OIDS[kind], _RANGE.format("bigint"), columns.range_of(columns.whole(width, pa.int64())), columns.range_bytes(columns.whole_bytes(width)))
+    out["numrange"] = Type(OIDS["numrange"], _RANGE.format("string"), columns.range_of(columns.numeric), columns.range_bytes(columns.numeric_bytes))
+    return out
 
 
-def _scalar(oid: int) -> Callable[[bytes], object]:
-    """The decoder of an array's element."""
-    if oid == 16:
-        return lambda d: d != b"\x00"
-    if oid in (20, 21, 23):
-        return _INT
-    if oid == 26:
-        return lambda d: int.from_bytes(d, "big")
-    if oid in (700, 701):
-        return lambda d: _plain_float(oid, d)
-    if oid == 1700:
-        return numeric_text
-    if oid == 2950:
-        return lambda d: str(uuid.UUID(bytes=d))
-    return bytes.decode
+TYPES = _types()
+#: Types that `shown` reads; expressions read the others.
+SHOWN = (*OIDS,)
+
+
+def oid_of(kind: str, types: dict[str, Type] | None = None) -> int:
+    """The id of a type by its name; `x[]`, of any depth, is an array of x."""
+    known = {**TYPES, **(types or {})}
+    element = kind.rstrip("[]")
+    if element == kind:
+        return known[kind].oid if kind in known else wire.OID[kind]
+    found = [oid for oid, name in ARRAYS.items() if name == element]
+    if not found:
+        raise ValueError(f"no array type of {element}")
+    return found[0]
+
+
+#: The type in which a Spark column goes out where none is named.
+_BY_SPARK = {"boolean": "bool", "smallint": "int2", "int": "int4", "bigint": "int8", "float": "float4", "double": "float8", "string": "text", "binary": "bytea", "date": "date", "timestamp": "timestamptz", "timestamp_ntz": "timestamp"}
+
+
+def kind_of(spark_type: str) -> str:
+    """The type in which a column of a Spark type goes out: the widest that holds it without loss."""
+    if spark_type.startswith("decimal"):
+        return "numeric"
+    if spark_type.startswith("array<"):
+        return kind_of(spark_type[6:-1]) + "[]"
+    by_struct = {t.spark: kind for kind, t in TYPES.items() if t.spark.startswith("struct") and kind not in ("cidr", "int4range", "daterange", "tsrange", "tstzrange")}
+    found = {**by_struct, **_BY_SPARK}.get(spark_type)
+    if found is None:
+        raise ValueError(f"no type for {spark_type}")
+    return found
+
+
+def decoder(kind: str, types: dict[str, Type] | None = None) -> Callable[[Column], Column]:
+    """Column of bytes -> column of values. `x[]` are lists of x, `x[][]` lists of lists, and so on: an array of other dimensions fails; `x[*]` takes any, as
+    struct<lengths, lower, elements>. `[]` alone gives the elements' bytes."""
+    known = {**TYPES, **(types or {})}
+    if kind.endswith("[*]"):
+        element = known[kind[:-3]] if kind != "[*]" else known["bytea"]
+
+        def parts(values: pa.Array) -> pa.Array:
+            found = columns.Arrays(columns.Bytes.of(values))
+            return found.parts(element.decode(found.elements))
+
+        return F.arrow_udf(parts, f"struct<lengths:array<int>,lower:array<int>,elements:array<{element.spark}>>")
+    name = kind.rstrip("[]")
+    element, depth = known[name or "bytea"], (len(kind) - len(name)) // 2
+
+    def run(values: pa.Array) -> pa.Array:
+        b = columns.Bytes.of(values)
+        if not depth:
+            return element.decode(b)
+        found = columns.Arrays(b)
+        return found.nested(element.decode(found.elements), depth)
+
+    return F.arrow_udf(run, "array<" * depth + element.spark + ">" * depth)
+
+
+def encoder(kind: str, element_oid: int = 0, types: dict[str, Type] | None = None) -> Callable[[Column], Column]:
+    """Column of values -> column of bytes; lists, lists of lists and so on for `x[]`, `x[][]`. element_oid: the id that arrays name for their elements,
+    where it isn't that of the type."""
+    known = {**TYPES, **(types or {})}
+    name = kind.rstrip("[]")
+    depth = (len(kind) - len(name)) // 2
+    if (name or "bytea") not in known or known[name or "bytea"].encode is None:
+        raise ValueError(f"no encoder for {kind}")
+    element = known[name or "bytea"]
+    oid = element_oid or element.oid
+
+    def run(values: pa.Array) -> pa.Array:
+        values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+        return columns.array_bytes(values, element.encode, oid, depth) if depth else element.encode(values)
+
+    return F.arrow_udf(run, "binary")
+
+
+# ---- texts of any type, and fields in records
+
+
+def _bits(data: bytes) -> str:
+    return "".join(f"{b:08b}" for b in data[4:])[: int.from_bytes(data[:4], "big")]
 
 
 def _plain_float(oid: int, data: bytes):
     value = struct.unpack(">f" if oid == 700 else ">d", data)[0]
-    shown = float(str(np.float32(value))) if oid == 700 else value
-    return shown if np.isfinite(shown) else str(shown).replace("inf", "Infinity").replace("nan", "NaN")
+    return _plain(float(str(np.float32(value))) if oid == 700 else value)
 
 
-def _as_json(value) -> str | None:
-    return None if value is None else json.dumps(value, ensure_ascii=False)
+def _plain(value):
+    """A value as JSON can hold it."""
+    if isinstance(value, float) and not np.isfinite(value):
+        return str(value).replace("inf", "Infinity").replace("nan", "NaN")
+    if isinstance(value, dict):
+        return {k: _plain(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [_plain(v) for v in value]
+    if isinstance(value, bytes):
+        return "\\x" + value.hex()
+    return value.isoformat() if hasattr(value, "isoformat") else value
 
 
-def _texts() -> dict[int, Callable[[bytes], str | None]]:
-    out: dict[int, Callable] = {OIDS[kind]: lambda d, one=one: _as_json(one(d)) for kind, (_, one) in LAYOUTS.items()}
-    out |= {oid: lambda d, oid=oid: str(_plain_float(oid, d)) for oid in (700, 701)}
-    out |= {OIDS["numeric"]: numeric_text, OIDS["cidr"]: out[OIDS["inet"]], OIDS["bit"]: _bits, OIDS["varbit"]: _bits}
+def as_json(value) -> str | None:
+    return None if value is None else json.dumps(value, ensure_ascii=False)
 
-    def array(data: bytes, one: Callable) -> str | None:
-        elements = array_elements(data)
-        return None if elements is None else _as_json([None if e is None else one(e) for e in elements])
 
-    return out | {oid: lambda d, one=_scalar(of): array(d, one) for oid, of in _ARRAYS.items()}
+def nest(flat: list, lengths: list[int]) -> list:
+    """Elements of an array as lists in lists."""
+    for n in reversed(lengths[1:]):
+        flat = [flat[k : k + n] for k in range(0, len(flat), n)] if n else []
+    return flat
 
 
-def shown(values: Column, oids: Column) -> Column:
-    """Texts of a tuple's binary values, by their types, for the types of this module (numbers as such, the rest as JSON); null for
-    the other values. A tuple is read in one call, since a lambda can't hold a Python function. An array of several dimensions is its bytes."""
+def array_plain(data: bytes, one: Callable[[bytes], object]) -> list:
+    """An array of any dimensions from its bytes."""
+    dims = int.from_bytes(data[:4], "big")
+    lengths = [int.from_bytes(data[12 + 8 * d : 16 + 8 * d], "big") for d in range(dims)]
+    out, at = [], 12 + 8 * dims
+    for _ in range(int(np.prod(lengths)) if dims else 0):
+        n = struct.unpack(">i", data[at : at + 4])[0]
+        out.append(None if n < 0 else one(data[at + 4 : at + 4 + n]))
+        at += 4 + max(n, 0)
+    return nest(out, lengths)
 
-    def run(tuples: pd.Series, types: pd.Series) -> pd.Series:
-        texts = _texts()
 
-        def one(v, oid) -> str | None:
-            if v["kind"] != "b" or oid not in texts:
-                return None
-            found = texts[oid](v["data"])
-            return "\\x" + bytes(v["data"]).hex() if found is None else found
+def scalar(oid: int) -> Callable[[bytes], object] | None:
+    """The decoder of one value of a built-in type to what JSON can hold; None for a type that isn't known."""
+    if oid in (700, 701):
+        return lambda d: _plain_float(oid, d)
+    if oid == 1700:
+        return numeric_text
+    if oid == 16:
+        return lambda d: d != b"\x00"
+    if oid in ARRAYS:
+        element = scalar(TYPES[ARRAYS[oid]].oid)
+        return lambda d: array_plain(d, element)
+    by_oid = {t.oid: t for t in TYPES.values()}
+    if oid in by_oid:
+        t = by_oid[oid]
+        return lambda d: _plain(t.decode(columns.Bytes.of(pa.array([d], pa.binary()))).to_pylist()[0])
+    return None
 
-        return pd.Series([None if t is None or o is None else [one(v, int(oid)) for v, oid in zip(t, o)] for t, o in zip(tuples, types, strict=True)], dtype=object)
 
-    return F.pandas_udf(run, "array<string>")(values, oids)
+def _number_texts(width: int) -> columns.Decode:
+    def run(b: columns.Bytes) -> pa.Array:
+        flat = columns.real(width)(b).fill_null(0).to_numpy(zero_copy_only=False).astype(str)
+        return pa.array(flat, pa.string(), mask=b.null())
 
+    return run
 
-def _udf(one: Callable, spark_type: str):
-    if spark_type.startswith("struct"):
-        names = [part.split(":")[0] for part in spark_type[7:-1].split(",")] if spark_type.count("<") == 1 else _names(spark_type)
 
-        def run(values: pd.Series) -> pd.DataFrame:
-            rows = [None if d is None else one(d) for d in values]
-            return pd.DataFrame({n: pd.Series([None if r is None else r[n] for r in rows], dtype=object) for n in names})
+def _json_texts(t: Type) -> columns.Decode:
+    return lambda b: pa.array([as_json(_plain(v)) for v in t.decode(b).to_pylist()], pa.string())
 
-        return F.pandas_udf(run, spark_type)
 
-    def plain(values: pd.Series) -> pd.Series:
-        return pd.Series([None if d is None else one(d) for d in values], dtype=object)
+def _array_texts(t: Type) -> columns.Decode:
+    def run(b: columns.Bytes) -> pa.Array:
+        found = columns.Arrays(b)
+        flat, ends = [_plain(v) for v in t.decode(found.elements).to_pylist()], np.cumsum(found.counts)
+        row = lambda k: as_json(nest(flat[ends[k] - found.counts[k] : ends[k]], found.lengths[k, : found.dims[k]].tolist()))
+        return pa.array([row(k) if found.valid[k] else None for k in range(len(b))], pa.string())
 
-    return F.pandas_udf(plain, spark_type)
+    return run
 
 
-def _names(spark_type: str) -> list[str]:
-    from pyspark.sql.types import StructType, _parse_datatype_string
+def _texts() -> dict[int, columns.Decode]:
+    out = {TYPES[kind].oid: _json_texts(TYPES[kind]) for kind in OIDS}
+    out |= {TYPES[kind].oid: TYPES[kind].decode for kind in ("numeric", "bit", "varbit")}
+    return out | {700: _number_texts(4), 701: _number_texts(8)} | {oid: _array_texts(TYPES[kind]) for oid, kind in ARRAYS.items()}
 
-    found = _parse_datatype_string(spark_type)
-    assert isinstance(found, StructType)
-    return found.names
 
+def shown(values: Column, oids: Column, sent: Column | None = None, at: Column | None = None, graph=None) -> Column:
+    """Texts of a tuple's binary values, by their types, for the types of this module (numbers as such, the rest as JSON); null for
+    the other values. All values of one type in a batch are read together. sent, at, graph: the ids as they were sent, the change's position and the
+    graph of user types, by which records and arrays of user types are read."""
 
-def encoder(kind: str, element_oid: int = 0) -> Callable[[Column], Column]:
-    """Column of values -> column of bytes, for float4, float8, numeric (as text) and arrays of bytes."""
-    if kind in ("float4", "float8"):
-        return F.arrow_udf(_float_bytes(">f4" if kind == "float4" else ">f8"), "binary")
-    if kind == "numeric":
-        return _udf(numeric_bytes, "binary")
-    if kind.endswith("[]"):
-        return _udf(lambda v: array_bytes(list(v), element_oid), "binary")
-    raise ValueError(f"no encoder for {kind}")
+    def run(tuples: pa.Array, types: pa.Array, *more: pa.Array) -> pa.Array:
+        tuples, types, *more = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (tuples, types, *more))
+        texts = _texts()
+        valid = (pc.is_valid(tuples).to_numpy(zero_copy_only=False)) & (pc.is_valid(types).to_numpy(zero_copy_only=False))
+        n, m = (np.where(valid, pc.list_value_length(x).fill_null(0).to_numpy(zero_copy_only=False), 0).astype(np.int64) for x in (tuples, types))
+        row = np.repeat(np.arange(len(valid)), n)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        flat = tuples.values.take(pa.array(tuples.offsets.to_numpy()[:-1][row] + place))
+        has = place < m[row]
+        ids = lambda x: np.where(has, x.values.fill_null(0).to_numpy(zero_copy_only=False)[np.where(has, x.offsets.to_numpy()[:-1][row] + place, 0)] if len(x.values) else 0, 0)
+        oid = ids(types)
+        binary = pc.equal(flat.field("kind"), "b").fill_null(False).to_numpy(zero_copy_only=False)
+        data, parts, left = columns.Bytes.of(flat.field("data")), [], np.ones(len(row), bool)
+        if graph is not None:
+            own, position = ids(more[0]), more[1].to_numpy(zero_copy_only=False)[row] if len(row) else np.zeros(0)
+            user = np.flatnonzero(binary & graph.composed(own, oid))
+            left[user] = False
+            found = [as_json(graph.plain(int(own[k]), bytes(data.flat[data.start[k] : data.start[k] + data.size[k]]), int(position[k]))) for k in user]
+            parts.append((user, pa.array(found, pa.string())))
+        for o in np.unique(oid[binary & left]).tolist():
+            if o in texts:
+                rows = np.flatnonzero(binary & left & (oid == o))
+                left[rows] = False
+                parts.append((rows, texts[o](data.part(rows))))
+        rest = np.flatnonzero(left)
+        parts.append((rest, pa.nulls(len(rest), pa.string())))
+        whole = columns._scattered(parts, pa.string())
+        return columns._lists(n, whole, valid)
+
+    more = [sent, at] if graph is not None else []
+    return F.arrow_udf(run, "array<string>")(values, oids, *more)

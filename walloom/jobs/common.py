@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import progress, transactions
+from ..functions.usertypes import TypeGraph
+from ..operators import catalog, progress, transactions
 from ..sources import frames
-from ..session import ship, stored
+from ..session import broadcast_if_small, ship, stored
 
 
 def session(name: str) -> SparkSession:
@@ -42,25 +43,27 @@ def committed(found: DataFrame) -> DataFrame:
     """Changes of committed transactions, plain and streamed, with (tx, commit_seq, commit_lsn, tx_end_lsn, commit_timestamp).
 
     Changes of aborted transactions and subtransactions, and of those without an outcome, are left out. Of a streamed
-    transaction that was sent again, the copy counts that its first commit ends.
+    transaction that was sent again, the copy counts that its first commit ends. Outcomes are stored and measured, and sent to the changes where they are few:
+    then changes stay where they lie.
     """
     log = with_transactions(found)
-    ends = log.where(F.col("type").isin("commit", "stream_commit")).select("slot", "tx", F.col("seq").alias("commit_seq"), "commit_lsn", "tx_end_lsn", "commit_timestamp")
+    outcomes = stored(log.where(F.col("type").isin("commit", "stream_commit", "stream_abort") | (F.col("segment") == "first")).select("slot", "seq", "tx", "xid", "type", "subtransaction_xid", "commit_lsn", "tx_end_lsn", "commit_timestamp"))
+    ends = outcomes.where(F.col("type").isin("commit", "stream_commit")).select("slot", "tx", F.col("seq").alias("commit_seq"), "commit_lsn", "tx_end_lsn", "commit_timestamp")
     first = ends.groupBy("slot", "commit_lsn").agg(F.min("commit_seq").alias("commit_seq"))
     ends = ends.join(first, ["slot", "commit_lsn", "commit_seq"], "left_semi")
-    starts = log.where("type = 'stream_start' AND segment = 'first'").select("slot", "tx", F.col("seq").alias("started"))
+    starts = outcomes.where("type = 'stream_start'").select("slot", "tx", F.col("seq").alias("started"))
     copies = ends.where("tx < 0").select("slot", "tx", "commit_seq").join(starts, ["slot", "tx"]).where("started < commit_seq").groupBy("slot", "tx", "commit_seq").agg(F.max("started").alias("started"))
-    ends = ends.join(copies, ["slot", "tx", "commit_seq"], "left")
-    aborts = log.where("type = 'stream_abort'").select("slot", F.col("tx").alias("tx"), F.col("xid").alias("top"), F.col("subtransaction_xid").alias("xid"))
+    ends = broadcast_if_small(stored(ends.join(copies, ["slot", "tx", "commit_seq"], "left")))
+    aborts = outcomes.where("type = 'stream_abort'").select("slot", "tx", F.col("xid").alias("top"), F.col("subtransaction_xid").alias("xid"))
+    whole, part = (broadcast_if_small(stored(x)) for x in (aborts.where("top = xid").select("slot", "tx").distinct(), aborts.where("top <> xid").select("slot", "tx", "xid").distinct()))
     changes = log.where(F.col("type").isin("insert", "update", "delete", "truncate", "message")).select("slot", "seq", "tx", "xid", "type", "rel_oid", "oids", "old_kind", "old_tuple", "new_tuple", "prefix", "content", "transactional")
-    changes = changes.join(aborts.where("top = xid").select("slot", "tx"), ["slot", "tx"], "left_anti")
-    changes = changes.join(aborts.where("top <> xid").select("slot", "tx", "xid"), ["slot", "tx", "xid"], "left_anti")
+    changes = changes.join(whole, ["slot", "tx"], "left_anti").join(part, ["slot", "tx", "xid"], "left_anti")
     return changes.join(ends, ["slot", "tx"]).where("seq < commit_seq AND (started IS NULL OR seq > started)").drop("started")
 
 
-def undecided(found: DataFrame) -> DataFrame:
-    """What a later batch still needs of the messages so far: those of transactions without an outcome, and the descriptions
-    of tables that are valid now or at a change that is kept.
+def undecided(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What a later batch still needs of the messages so far: (those of transactions without an outcome, with their tx; the descriptions
+    of tables that are valid now or at a change that is kept).
 
     A plain transaction that a later begin of its slot broke off has no outcome to come.
     """
@@ -68,17 +71,23 @@ def undecided(found: DataFrame) -> DataFrame:
     over = log.where((F.col("type").isin("commit", "stream_commit")) | ((F.col("type") == "stream_abort") & (F.col("xid") == F.col("subtransaction_xid"))))
     last = log.groupBy("slot").agg(F.max("begin_seq").alias("last_begin"))
     kinds = F.col("type").isin("begin", "stream_start", "stream_abort", "insert", "update", "delete", "truncate") | ((F.col("type") == "message") & F.col("transactional"))
-    kept = log.where(kinds & F.col("tx").isNotNull()).join(over.select("slot", "tx"), ["slot", "tx"], "left_anti").join(last, "slot").where("tx < 0 OR tx = last_begin")
-    kept = stored(kept.select(*found.columns))
+    kept = log.where(kinds & F.col("tx").isNotNull()).join(broadcast_if_small(stored(over.select("slot", "tx").distinct())), ["slot", "tx"], "left_anti").join(F.broadcast(last), "slot").where("tx < 0 OR tx = last_begin")  # a row a slot
+    kept = stored(kept.select(*found.columns, "tx"))
     oldest = kept.groupBy("slot").agg(F.min("seq").alias("oldest"))
-    known = progress.validity(found.where("type = 'relation'"), ["slot", "rel_oid"]).join(oldest, "slot", "left")
-    return kept.unionByName(known.where("valid_to IS NULL OR valid_to > oldest").select(*found.columns))
+    known = progress.validity(found.where("type = 'relation'"), ["slot", "rel_oid"]).join(F.broadcast(oldest), "slot", "left")
+    return kept, known.where("valid_to IS NULL OR valid_to > oldest").select(*found.columns)
 
 
-def described(found: DataFrame, changes: DataFrame) -> DataFrame:
-    """Changes with the description of their table at that point; a truncate is a row for each of its tables, in their order."""
+def described(found: DataFrame, changes: DataFrame, graph: TypeGraph | None = None) -> DataFrame:
+    """Changes with the description of their table at that point; a truncate is a row for each of its tables, in their order.
+
+    graph: of user types, by which attributes name the built-in types as which they are read (see `catalog.resolved`)."""
     plain = F.col("type") != "truncate"
     targets = F.when(plain, F.array("rel_oid")).otherwise(F.col("oids"))
     changes = changes.select(*(c for c in changes.columns if c not in ("rel_oid", "oids")), F.posexplode(targets).alias("target", "rel_oid"))
     known = found.where("type = 'relation'").select("slot", "seq", "rel_oid", "namespace", "name", "attributes")
+    if graph is None:
+        known = known.withColumn("attributes", F.transform("attributes", lambda a: a.withField("sent_oid", a["type_oid"])))
+    else:
+        known = catalog.resolved(known, graph)
     return progress.as_of(changes, known, ["slot", "rel_oid"])

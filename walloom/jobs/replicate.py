@@ -10,14 +10,26 @@ import sys
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from walloom.functions import layouts
+from walloom.functions import layouts, usertypes
 from walloom.jobs import common
-from walloom.operators import apply, rows
+from walloom.operators import apply, catalog, rows
 
 
 def decoders(kinds: dict[str, str]) -> dict:
     """Decoders of the layouts among a table's types."""
-    return {kind: layouts.decoder(kind) for kind in kinds.values() if kind in ("float4", "float8", *layouts.LAYOUTS) or kind.endswith("[]")}
+    return {kind: layouts.decoder(kind) for kind in kinds.values() if kind in layouts.OIDS or kind.endswith("]")}
+
+
+def built_in(kinds: dict[str, str], graph: usertypes.TypeGraph) -> tuple[dict[str, str], dict]:
+    """A table's types with those of the database's own by what they are read as, and decoders for composites and arrays of them, which become JSON."""
+    out, own = {}, {}
+    for column, kind in kinds.items():
+        oid = None if kind in usertypes.NAMES.values() else graph.named(kind)
+        read = graph.read(oid, usertypes.LAST) if oid is not None else None
+        if read in (usertypes.RECORD, usertypes.RECORDS):
+            own[kind] = lambda d, oid=oid: usertypes.texts(graph, oid)(d, F.col("seq"))
+        out[column] = usertypes.NAMES.get(read, kind) if oid is not None and kind not in own else kind
+    return out, own
 
 
 #: The order in which changes apply; a row that moves is a delete (part 0) and an insert (part 1).
@@ -48,12 +60,16 @@ def after_truncates(changes: DataFrame) -> DataFrame:
     return apply.after_truncate(changes, changes.where("type = 'truncate'"), "table", ["commit_seq", "seq"])
 
 
-def replicate(spark, path: str | DataFrame, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None) -> DataFrame:
-    """registry: type -> decoder of a column of bytes, added to those of the built-in types or in place of them."""
+def replicate(spark, path: str | DataFrame, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None, types: DataFrame | None = None) -> DataFrame:
+    """registry: type -> decoder of a column of bytes, added to those of the built-in types or in place of them. types: the database's own types, as
+    `catalog.type_graph` takes them; kinds may name them. A moved row keeps its large values, whether they were sent or not."""
+    graph = catalog.type_graph(types) if types is not None else None
+    kinds, own = built_in(kinds, graph) if graph else (kinds, {})
     found = common.messages(spark, path)
-    changes = after_truncates(of_table(common.described(found, common.committed(found)), table))
-    log, marked = keyed(changes, keys, kinds, registry)
-    return apply.latest_state(log, keys, list(marked), ORDER, marked)
+    changes = after_truncates(of_table(common.described(found, common.committed(found), graph), table))
+    log, marked = keyed(changes, keys, kinds, {**own, **(registry or {})})
+    old_keys = [f"old_{k}" for k in keys]
+    return apply.latest_state(apply.with_moved_values(log, keys, old_keys, ORDER, marked) if marked else log, keys, list(marked), ORDER, marked)
 
 
 def main(frames: str, table: str, keys: str, kinds: str, out: str) -> None:

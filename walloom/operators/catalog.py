@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from ..functions.usertypes import LAST, TypeGraph, Version
 
 #: Commands whose tags carry a number of rows.
 COUNTED = ("INSERT", "DELETE", "UPDATE", "MERGE", "SELECT", "MOVE", "FETCH", "COPY")
@@ -39,20 +43,64 @@ def named_fields(fields: Column) -> Column:
     return F.transform_keys(fields, lambda k, _: F.coalesce(names[k], F.lit("unknown")))
 
 
-def base_types(types: DataFrame, attributes: DataFrame, depth: int = 32) -> DataFrame:
-    """Each attribute's type resolved through domains to a base type; composites read as records and enums as text.
+#: Fields that hold numbers.
+NUMBERS = ("position", "internal_position", "line")
+
+
+def error_fields(fields: Column) -> list[Column]:
+    """A column for each field of an error or notice, from a map of one-letter codes: texts, but for places and lines, which are whole numbers. What isn't sent is null."""
+    return [(fields[code].try_cast("int") if name in NUMBERS else fields[code]).alias(name) for code, name in FIELDS.items()]
+
+
+def type_graph(types: DataFrame, most: int = 200_000) -> TypeGraph:
+    """A catalog's types(type_oid, kind, base_oid) as a graph; further columns: seq (the position from which a row holds; all of the log where it
+    is left out), namespace, name, element_oid (of an array), fields array<struct<name, type_oid>> (of a composite).
+
+    A catalog is as large as a schema, not as its data: beyond `most` rows it is taken for something else and refused.
+    """
+    long = lambda c, default=0: F.coalesce(F.col(c).cast("bigint"), F.lit(default)) if c in types.columns else F.lit(default)
+    text = lambda c: F.col(c) if c in types.columns else F.lit(None).cast("string")
+    fields = F.col("fields") if "fields" in types.columns else F.lit(None).cast("array<struct<name:string,type_oid:bigint>>")
+    rows = types.select("type_oid", "kind", long("base_oid").alias("base"), long("element_oid").alias("element"), long("seq", -(2**62)).alias("seq"), F.concat_ws(".", text("namespace"), text("name")).alias("name"), fields.alias("fields")).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a catalog of more than {most} types")
+    out: dict[int, list[Version]] = {}
+    for r in sorted(rows, key=lambda r: r["seq"]):
+        out.setdefault(r["type_oid"], []).append(Version(r["seq"], r["kind"], r["name"], r["base"], r["element"], tuple((f["name"], f["type_oid"]) for f in r["fields"] or ())))
+    return TypeGraph(out)
+
+
+def base_types(types: DataFrame, attributes: DataFrame) -> DataFrame:
+    """Each attribute with resolved_oid, its type resolved through domains to a base type, however long the chain; composites read as records and enums as text."""
+    graph = type_graph(types)
+    reads = [(oid, graph.read(oid, LAST)) for oid in graph.versions]
+    known = attributes.sparkSession.createDataFrame(reads, "type_oid long, __read long")
+    joined = attributes.join(F.broadcast(known), "type_oid", "left")  # a row a type, counted
+    return joined.withColumn("resolved_oid", F.coalesce("__read", "type_oid")).drop("__read").select(*attributes.columns, "resolved_oid")
+
+
+RESOLVED = "array<struct<name:string,type_oid:bigint,typmod:int,is_key:boolean,sent_oid:bigint>>"
+
+
+def resolved(relations: DataFrame, graph: TypeGraph, order: str = "seq", keys: tuple[str, ...] = ("slot", "rel_oid")) -> DataFrame:
+    """Table descriptions whose attributes name the built-in types as which they are read, with the ids that were sent as sent_oid.
 
-    types(type_oid, kind, base_oid): a catalog snapshot, of a size fixed by the schema. A domain over a domain is followed to its end.
+    A type may change while its table's description stays: then the description comes again at that position. Descriptions are read a few at a
+    time, where they lie.
     """
-    types = types.select("type_oid", "kind", "base_oid").cache()
-    known = attributes.withColumn("resolved_oid", F.col("type_oid"))
-    hop = F.broadcast(types.where("kind = 'd'").select(F.col("type_oid").alias("__from"), F.col("base_oid").alias("__to")))
-    for _ in range(depth):
-        known = known.join(hop, F.col("resolved_oid") == F.col("__from"), "left")
-        if known.where("__to is not null").isEmpty():
-            known = known.drop("__from", "__to")
-            break
-        known = known.withColumn("resolved_oid", F.coalesce("__to", "resolved_oid")).drop("__from", "__to")
-    kind = F.broadcast(types.select(F.col("type_oid").alias("resolved_oid"), "kind"))
-    read = F.when(F.col("kind") == "c", 2249).when(F.col("kind") == "e", 25).otherwise(F.col("resolved_oid"))
-    return known.join(kind, "resolved_oid", "left").withColumn("resolved_oid", read).drop("kind")
+    spans = relations.withColumn("__to", F.lead(order).over(Window.partitionBy(*keys).orderBy(order)))
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                end = row.pop("__to")
+                sent, seq = row["attributes"] or [], row[order]
+                places = {seq}.union(*(graph.changes(a["type_oid"], seq, LAST if end is None else end) for a in sent))
+                for at in sorted(places):
+                    out.append({**row, order: at, "attributes": [{**a, "type_oid": graph.read(a["type_oid"], at), "sent_oid": a["type_oid"]} for a in sent]})
+            yield pa.RecordBatch.from_pylist(out, schema=target)
+
+    kinds = relations.withColumn("attributes", F.lit(None).cast(RESOLVED)).schema
+    target = to_arrow_schema(kinds)
+    return spans.mapInArrow(run, kinds)

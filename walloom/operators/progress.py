@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small, stored
+from . import asof
+
 
 def confirmed(commits: DataFrame, slot: str = "slot") -> DataFrame:
     """The greatest confirmed position of each slot."""
@@ -42,12 +45,21 @@ def validity(relations: DataFrame, keys: list[str], order: str = "seq") -> DataF
     return relations.withColumn("valid_to", F.lead(order).over(Window.partitionBy(*keys).orderBy(order)))
 
 
-def as_of(changes: DataFrame, relations: DataFrame, keys: list[str], order: str = "seq", most: int = 1_000_000) -> DataFrame:
-    """Each change with the description of its table that is the latest before it.
+def without_repeats(relations: DataFrame, keys: list[str], order: str = "seq") -> DataFrame:
+    """Versions that differ from the one before them: a server describes a table again in each session, mostly with nothing new."""
+    said = F.struct(*(c for c in relations.columns if c not in (*keys, order)))
+    before = F.lag(F.struct(said.alias("said"))).over(Window.partitionBy(*keys).orderBy(order))
+    return relations.withColumn("__before", before).where(F.col("__before").isNull() | ~F.col("__before")["said"].eqNullSafe(said)).drop("__before")
+
+
+def as_of(changes: DataFrame, relations: DataFrame, keys: list[str], order: str = "seq", most: int = asof.MOST) -> DataFrame:
+    """Each change with the description of its table that is the latest before it; changes before their table's first one fall out.
 
-    Descriptions are few, and their number is checked before they are broadcast; beyond the bound the join is by the keys.
+    Versions that say nothing new are left out, and the others get a number. A change finds the number of its version by its position (see `asof.latest_at`), so that a table
+    with very many versions costs no more than one with few, and then joins its version by that number. Descriptions are broadcast where
+    they are counted and measured to be small; else that join shuffles.
     """
-    spans = validity(relations, keys, order).withColumnRenamed(order, "valid_from")
-    spans = F.broadcast(spans) if relations.count() <= most else spans
-    joined = changes.join(spans, keys)
-    return joined.where((F.col(order) >= F.col("valid_from")) & (F.col("valid_to").isNull() | (F.col(order) < F.col("valid_to")))).drop("valid_from", "valid_to")
+    versions = stored(without_repeats(relations, keys, order).withColumn("__version", F.monotonically_increasing_id()))
+    numbered = asof.latest_at(changes, versions, keys, order, "__version", "__version", most=most)
+    said = versions.drop(*keys, order)
+    return numbered.join(broadcast_if_small(said), "__version").drop("__version")

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import wire
+from ..functions import layouts, usertypes, wire
 
 #: Decoders that a user adds or replaces: type id -> column of bytes to column of text.
 Registry = dict[int, Callable[[Column], Column]]
@@ -21,6 +21,21 @@ WIRE: Registry = {
 }
 
 
+def known_oids(registry: Registry | None = None, graph: usertypes.TypeGraph | None = None) -> list[int]:
+    """Types whose values `shown`, `WIRE`, `layouts.shown`, a registry or a graph of user types can read."""
+    return sorted({17, *(wire.OID[k] for k in _SHOWN), *WIRE, *layouts.OIDS.values(), *layouts.ARRAYS, *(registry or {}), *((usertypes.RECORDS,) if graph else ())})
+
+
+def unknown_values(attributes: Column, values: Column, known: list[int]) -> Column:
+    """The binary values of a tuple whose type can't be read: array<struct<column, oid, data>>, with the id that was sent."""
+
+    def one(a: Column, v: Column) -> Column:
+        sent = F.coalesce(a["sent_oid"], a["type_oid"])
+        return F.when((v["kind"] == "b") & ~a["type_oid"].isin(known), F.struct(a["name"].alias("column"), sent.alias("oid"), v["data"].alias("data")))
+
+    return F.coalesce(F.array_compact(F.zip_with(attributes, values, one)), F.array().cast("array<struct<column:string,oid:bigint,data:binary>>"))
+
+
 def shown(value: Column, oid: Column, registry: Registry | None = None, failfast: bool = True) -> Column:
     """A tuple's value as text: text values as they are, binary ones by their type. A type without a decoder is an error, or null."""
     data = value["data"]

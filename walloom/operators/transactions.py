@@ -4,22 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
+from . import asof
 
-def carry_forward(log: DataFrame, marker: Column, name: str, slot: str = "slot", order: str = "seq", rows: int = 1_000_000) -> DataFrame:
+
+def carry_forward(log: DataFrame, marker: Column, name: str, slot: str = "slot", order: str = "seq", rows: int = 1_000_000, most: int = asof.MOST) -> DataFrame:
     """Adds the last non-null `marker` at or before each row, by position in its slot.
 
-    One window over a whole slot would be one task. Here the log is cut by position into buckets of at most `rows`; each
-    bucket is filled by itself, and the last marker of each earlier bucket comes in from a table of one row a bucket.
-    That table is what runs in order, `rows` times smaller than the log.
+    Rows with a marker are taken out as (slot, position, marker), without those that repeat the one before them in their bucket of `rows` positions; up to
+    `most` of them are sent to the rows, so that the log itself stays where it is. Markers that aren't whole numbers, and more of them than that, are filled in
+    by buckets of positions, which shuffles the log.
     """
-    held = log.withColumn("__bucket", F.floor(F.col(order) / rows)).withColumn("__marker", F.when(marker.isNotNull(), F.struct(marker.alias("value"))))
-    inside = F.last("__marker", ignorenulls=True).over(Window.partitionBy(slot, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    last = held.groupBy(slot, "__bucket").agg(F.max_by("__marker", F.when(F.col("__marker").isNotNull(), F.col(order))).alias("__last"))
-    before = Window.partitionBy(slot).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.select(slot, "__bucket", F.last("__last", ignorenulls=True).over(before).alias("__carry")).where("__carry is not null")
-    filled = held.withColumn("__inside", inside).join(carry, [slot, "__bucket"], "left")
-    return filled.withColumn(name, F.coalesce("__inside", "__carry")["value"]).drop("__bucket", "__marker", "__inside", "__carry")
+    kind = log.select(marker.alias("m")).schema["m"].dataType
+    if not isinstance(kind, IntegralType):
+        held = log.withColumn("__marker", F.when(marker.isNotNull(), F.struct(marker.alias("value"))))
+        return asof.filled(held, [slot], order, "__marker", rows).withColumn(name, F.col("__filled")["value"]).drop("__marker", "__filled")
+    marks = log.select(slot, order, marker.alias("__mark")).where("__mark is not null")
+    before = F.lag("__mark").over(Window.partitionBy(slot, F.floor(F.col(order) / rows)).orderBy(order))
+    marks = marks.withColumn("__before", before).where("__before is null or __before <> __mark")
+    found = asof.latest_at(log, marks, [slot], order, "__mark", name, rows, most)
+    return found.withColumn(name, F.col(name).cast(kind))
 
 
 def pair_begin_commit(begins: DataFrame, commits: DataFrame, slot: str = "slot") -> DataFrame:

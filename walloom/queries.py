@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .functions import layouts, lsn, wire
+from .functions import layouts, lsn, usertypes, wire
 from .jobs import common, deliver, outbox, replicate
 from .operators import apply, catalog, changes, progress, rows, transactions, verify
+from .session import stored
 from .sources import frames
 from .sources.derived import CHANGES, read
 from .sources.derived import changes as derived
@@ -401,6 +402,40 @@ def values_roundtrip_layouts(spark, d):
     return read_back.select("l_orderkey", "l_linenumber", "quantity", "price", "price_text", F.array_join(F.transform("e", lambda x: F.decode(x, "UTF-8")), ",").alias("elements"))
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_linenumber || ',-;' || (l_orderkey % 100) || ',' || l_linenumber AS matrix, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) || ',-' AS prices,
+ CASE WHEN l_orderkey % 3 = 0 THEN '2x2' ELSE '1' END AS lengths, CASE WHEN l_orderkey % 3 = 0 THEN 4 ELSE 1 END AS n_elements FROM lineitem""")
+def values_arrays(spark, d):
+    """Arrays with nulls in one and two dimensions there and back, and a column of arrays of different dimensions."""
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
+    n, none = F.col("l_linenumber").cast("int"), F.lit(None)
+    lines = read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.array(F.array(n, none.cast("int")), F.array((F.col("l_orderkey") % 100).cast("int"), n)).alias("m"), F.array(price, none.cast("string")).alias("p"), F.array(n).alias("a"))
+    packed = lines.select("l_orderkey", "l_linenumber", layouts.encoder("int4[][]")("m").alias("m"), layouts.encoder("numeric[]")("p").alias("p"), layouts.encoder("int4[]")("a").alias("a"))
+    mixed = packed.withColumn("a", F.when(F.col("l_orderkey") % 3 == 0, F.col("m")).otherwise(F.col("a")))
+    back = mixed.select("l_orderkey", "l_linenumber", layouts.decoder("int4[][]")("m").alias("m"), layouts.decoder("numeric[]")("p").alias("p"), layouts.decoder("int4[*]")("a").alias("a"))
+    return back.select("l_orderkey", "l_linenumber", F.array_join(F.transform("m", lambda r: F.array_join(r, ",", "-")), ";").alias("matrix"), F.array_join("p", ",", "-").alias("prices"), F.array_join("a.lengths", "x").alias("lengths"), F.size("a.elements").alias("n_elements"))
+
+
+@query("""SELECT event_id, '10.' || (user_id % 256) || '.0.' || (event_id % 256) AS address, 24 AS netmask, CAST(user_id AS DOUBLE) AS x, value AS y, user_id AS lower, CASE WHEN event_id % 5 = 0 THEN NULL ELSE user_id + event_id END AS upper, event_id % 5 = 0 AS unbounded,
+ event_type AS word, 3 AS place, 20 AS field_oid, lpad(lower(format('{:X}', user_id)), 16, '0') AS field, event_id % 2 = 0 AS flag, CASE WHEN event_id % 2 = 0 THEN '101' ELSE '0000000011' END AS bits FROM events""")
+def values_layouts(spark, d):
+    """Addresses, points, ranges, search vectors, records and bit strings there and back."""
+    e = read(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    one, byte = F.col("event_id"), lambda c: (F.col(c) % 256).cast("string")
+    open_, upper = one % 5 == 0, F.when(one % 5 != 0, F.col("user_id") + one)
+    built = {
+        "inet": F.struct(F.concat(F.lit("10."), byte("user_id"), F.lit(".0."), byte("event_id")).alias("address"), F.lit("inet4").alias("type"), F.lit(24).alias("netmask")),
+        "point": F.struct(F.col("user_id").cast("double").alias("x"), F.col("value").alias("y")),
+        "int8range": F.struct(F.col("user_id").alias("lower"), F.lit(True).alias("lower_inc"), upper.alias("upper"), F.lit(False).alias("upper_inc"), F.lit(False).alias("lower_inf"), open_.alias("upper_inf"), F.lit(False).alias("empty")),
+        "tsvector": F.array(F.struct(F.col("event_type").alias("text"), F.array(F.struct(F.lit(3).alias("position"), F.lit("A").alias("weight"))).alias("entries"))),
+        "record": F.array(F.struct(F.lit(0).alias("pos"), F.lit(20).cast("bigint").alias("oid"), F.lower(F.lpad(F.hex("user_id"), 16, "0")).alias("value"))),
+        "bool": one % 2 == 0, "varbit": F.when(one % 2 == 0, "101").otherwise("0000000011"),
+    }
+    packed = e.select("event_id", *(layouts.encoder(kind)(value).alias(kind) for kind, value in built.items()))
+    b = packed.select("event_id", *(layouts.decoder(kind)(kind).alias(kind) for kind in built))
+    word, field = F.get("tsvector", F.lit(0)), F.get("record", F.lit(0))
+    return b.select("event_id", "inet.address", "inet.netmask", "point.x", "point.y", "int8range.lower", "int8range.upper", F.col("int8range.upper_inf").alias("unbounded"), word["text"].alias("word"), F.get(word["entries"], F.lit(0))["position"].alias("place"), field["oid"].alias("field_oid"), field["value"].alias("field"), F.col("bool").alias("flag"), F.col("varbit").alias("bits"))
+
+
 @query("SELECT event_id, event_id % 2 = 0 AS flag, user_id AS number, ts AS at FROM events")
 def values_text(spark, d):
     e = read(spark, d, "events")
@@ -465,7 +500,7 @@ def state_frames(spark, d) -> DataFrame:
     ]
     markers = tx.select(F.explode(F.array_compact(F.array(*parts))).alias("f")).select("f.*")
     about = spark.range(1).select(F.lit(-1).cast("bigint").alias("seq"), frames.relation(16931, "public", "user_state", "d", [(n, k, n == "user_id") for n, k in TABLE.items()]).alias("payload"))
-    return changed.union(markers).union(about).select(F.lit("s").alias("slot"), "seq", "payload")
+    return stored(changed.union(markers).union(about).select(F.lit("s").alias("slot"), "seq", "payload"))
 
 
 @query(_FRAMES + ", s AS (SELECT k.* EXCLUDE (seq), commit_seq * 256 + (seq % 8) AS seq FROM k, cut WHERE commit_seq > cut.pos + 82) " + _STATE.format("s"))
@@ -520,6 +555,116 @@ def keepalive_lag(spark, d):
     return progress.behind(alive, done).withColumn("server_clock", F.col("server_clock").cast("timestamp_ntz"))
 
 
+# ---- the database's own types
+
+#: The log as a table whose columns are of an enum, a domain over a domain over jsonb, a composite with the enum in it, and an array of the enum. A transaction has 16 positions from
+#: xid * 16. From the middle of the log on the composite's first field has another name, though the table isn't described again.
+_USER = LOG + ", m AS (SELECT MAX(xid) // 2 AS x FROM log) "
+_PLACE = """CASE WHEN xid < x THEN '{"n": ' ELSE '{"number": ' END || user_id || ', "kind": "' || event_type || '"}'"""
+PROFILE = {"user_id": "int8", "mood": "mood", "doc": "doc", "place": "place", "tags": "_mood"}
+
+
+def user_type_frames(spark, d, unknown: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(frames, catalog). unknown: the table has a column of a type that nobody knows, set in every seventh change."""
+    log = derived(spark, d)
+    middle = (log.agg(F.max("xid")).first()[0] or 0) // 2 * 16
+    x, oid, none = F.col("xid"), F.lit(16931), (F.lit(None).cast("binary"), None)
+    user, mood = wire.encode_value(F.col("user_id"), "int8"), wire.encode_value(F.col("event_type"), "text")
+    number = lambda n: wire.int_bytes(F.lit(n), 4)
+    tags = F.concat(*(number(n) for n in (1, 1, 70001, 2, 1)), wire.int_bytes(F.length(mood), 4), mood, number(-1))
+    values = [user, mood, wire.encode_value(F.col("props"), "jsonb"), usertypes.record_bytes([(20, user), (70001, mood)]), tags]
+    values += [F.when(F.col("seq") % 7 == 0, F.encode(F.concat(F.lit("Nick "), F.col("user_id")), "UTF-8"))] if unknown else []
+    new, old = frames.tuple_bytes([(v, None) for v in values]), frames.tuple_bytes([(user, None), *[none] * (len(values) - 1)])
+    body = F.when(F.col("op") == "insert", frames.insert(oid, new)).when(F.col("op") == "update", frames.update(oid, new)).otherwise(frames.delete(oid, old))
+    changed = log.select((x * 16 + F.col("seq") % 8 + 1).alias("seq"), body.alias("payload"))
+    tx = log.groupBy("xid", "commit_lsn", "tx_end_lsn").agg(wire.timestamp_to_micros(F.max("commit_timestamp")).alias("micros"))
+    ends = F.array(F.struct((x * 16).alias("seq"), frames.begin(F.col("commit_lsn"), F.col("micros"), x).alias("payload")), F.struct((x * 16 + 10).alias("seq"), frames.commit(F.col("commit_lsn"), F.col("tx_end_lsn"), F.col("micros")).alias("payload")))
+    oids = {"user_id": 20, "mood": 70001, "doc": 70003, "place": 70004, "tags": 70005} | ({"nick": 70010} if unknown else {})
+    said = [frames.type_message(F.lit(o), F.lit("public"), F.lit(n)) for n, o in (("mood", 70001), ("doc", 70003), ("place", 70004))]
+    about = [*said, frames.relation(16931, "public", "profile", "d", [(n, o, n == "user_id") for n, o in oids.items()])]
+    first = spark.range(1).select(F.posexplode(F.array(*about)).alias("k", "payload")).select((F.col("k") - 9).cast("bigint").alias("seq"), "payload")
+    fields = [("kind", 70001)]
+    types = [(-10, 70001, "e", 0, 0, "mood", None), (-10, 70002, "d", 3802, 0, "raw", None), (-10, 70003, "d", 70002, 0, "doc", None), (-10, 70004, "c", 0, 0, "place", [("n", 20), *fields]), (middle, 70004, "c", 0, 0, "place", [("number", 20), *fields]), (-10, 70005, "b", 0, 70001, "_mood", None)]
+    catalog_ = spark.createDataFrame([(*t[:5], "public", *t[5:]) for t in types], "seq long, type_oid long, kind string, base_oid long, element_oid long, namespace string, name string, fields array<struct<name:string,type_oid:bigint>>")
+    whole = changed.union(tx.select(F.explode(ends).alias("f")).select("f.*")).union(first)
+    return stored(whole.select(F.lit("s").alias("slot"), "seq", "payload")), catalog_
+
+
+@query(_USER + f"""SELECT user_id, arg_max_null(event_type, seq) FILTER (op <> 'delete') AS mood, arg_max_null(props, seq) FILTER (op <> 'delete') AS doc, arg_max({_PLACE}, seq) FILTER (op <> 'delete') AS place,
+ arg_max(event_type || ',-', seq) FILTER (op <> 'delete') AS tags FROM log, m GROUP BY user_id HAVING arg_max(op, seq) <> 'delete'""")
+def replicate_user_types(spark, d):
+    landed, types = user_type_frames(spark, d)
+    found = replicate.replicate(spark, landed, "public.profile", KEYS, PROFILE, types=types)
+    return found.withColumn("tags", F.array_join("tags", ",", "-"))
+
+
+_DELIVERED = f"""SELECT xid * 16 + 10 AS commit_seq, ROW_NUMBER() OVER (PARTITION BY xid ORDER BY seq) AS n, op AS type, user_id, CASE WHEN op <> 'delete' THEN event_type END AS mood, props AS doc,
+ CASE WHEN op <> 'delete' THEN {_PLACE} END AS place, CASE WHEN op <> 'delete' THEN '["' || event_type || '", null]' END AS tags, seq FROM log, m"""
+
+
+def _profile(found: DataFrame) -> DataFrame:
+    row = F.coalesce("new_row", "old_row")
+    return found.select("commit_seq", F.col("n").cast("bigint").alias("n"), "type", row["user_id"].cast("bigint").alias("user_id"), *(row[c].alias(c) for c in ("mood", "doc", "place", "tags")))
+
+
+@query(_USER + "SELECT * EXCLUDE (seq) FROM (" + _DELIVERED + ")")
+def deliver_user_types(spark, d):
+    landed, types = user_type_frames(spark, d)
+    return _profile(deliver.deliver(spark, landed, types=types))
+
+
+@query(_USER + "SELECT * EXCLUDE (seq) FROM (" + _DELIVERED + ") WHERE type = 'delete' OR seq % 7 <> 0")
+def deliver_known(spark, d):
+    """Changes whose every value can be read, with their numbers among all changes of their transaction."""
+    landed, types = user_type_frames(spark, d, unknown=True)
+    return _profile(deliver.split(spark, landed, types=types)[0])
+
+
+@query(_USER + """SELECT 's' AS slot, xid * 16 + seq % 8 + 1 AS seq, xid * 16 + 10 AS commit_seq, 'profile' AS name, 'new' AS row, 'nick' AS "column", 70010 AS oid, 'Nick ' || user_id AS data FROM log WHERE op <> 'delete' AND seq % 7 = 0""")
+def deliver_set_aside(spark, d):
+    """The values that can't be read, with the ids of their types and their bytes."""
+    landed, types = user_type_frames(spark, d, unknown=True)
+    aside = deliver.split(spark, landed, types=types)[1]
+    return aside.select("slot", "seq", "commit_seq", "name", "row", "column", "oid", F.decode("data", "UTF-8").alias("data"))
+
+
+_MOVES = ", k AS (SELECT *, COUNT(*) FILTER (op = 'update' AND seq % 5 = 0) OVER (PARTITION BY user_id ORDER BY seq) AS moves FROM log) "
+
+
+@query(LOG + _MOVES + _STATE.format("k").replace("SELECT user_id,", "SELECT user_id + 1000000 * MAX(moves) AS user_id,"))
+def moved_large_values(spark, d):
+    """Every fifth update moves its row to a new key, so that rows move again and again, and large values aren't sent along: they follow their rows."""
+    before = Window.partitionBy("user_id").orderBy("seq")
+    moved = (F.col("op") == "update") & (F.col("seq") % 5 == 0)
+    log = derived(spark, d).withColumn("moves", F.count(F.when(moved, 1)).over(before))
+    at = lambda n: F.col("user_id") + 1000000 * n
+    log = log.select("seq", "op", F.when(moved, at(F.col("moves") - 1)).alias("old_user_id"), at(F.col("moves")).alias("user_id"), *VALUES, "props_toasted")
+    order, marked = ["seq", "part"], {"props": "props_toasted"}
+    parts = apply.moved_keys(log, "user_id", "old_user_id", VALUES)
+    return apply.latest_state(apply.with_moved_values(parts, KEYS, ["old_user_id"], order, marked, rows=512), KEYS, VALUES, order, marked)
+
+
+@query("SELECT event_id AS seq, event_type AS origin, event_id * 16 AS lsn FROM events")
+def decoded_origins(spark, d):
+    """Messages that name where a transaction comes from."""
+    log = read(spark, d, "events").select(F.lit("s").alias("slot"), F.col("event_id").alias("seq"), frames.origin(F.col("event_id") * 16, F.col("event_type")).alias("payload"))
+    return frames.messages(log).where("type = 'origin'").select("seq", F.col("name").alias("origin"), F.col("commit_lsn").alias("lsn"))
+
+
+@query("SELECT event_id AS seq, 100000 + user_id AS oid, 'public' AS namespace, event_type AS name FROM events")
+def decoded_types(spark, d):
+    """Messages that name a user's type."""
+    log = read(spark, d, "events").select(F.lit("s").alias("slot"), F.col("event_id").alias("seq"), frames.type_message(100000 + F.col("user_id"), F.lit("public"), F.col("event_type")).alias("payload"))
+    return frames.messages(log).where("type = 'type'").select("seq", F.col("rel_oid").alias("oid"), "namespace", "name")
+
+
+@query("SELECT event_id AS seq, 'v' || (event_id // 3) AS columns FROM events")
+def relation_many_versions(spark, d):
+    """A table that is described anew before every third change, and again in between with nothing new: each change has its own version."""
+    e = read(spark, d, "events").select(F.col("event_id").alias("seq"), F.lit(16931).cast("bigint").alias("rel_oid"), F.concat(F.lit("v"), F.floor(F.col("event_id") / 3)).alias("columns"))
+    return progress.as_of(e.select("seq", "rel_oid"), e.where("seq % 3 <> 2").select("rel_oid", "seq", "columns"), ["rel_oid"]).select("seq", "columns")
+
+
 # ---- consumers
 
 
@@ -536,6 +681,20 @@ def sql_statements(spark, d):
     return derived(spark, d).select("seq", apply.statements(derived(spark, d), "public.user_state", KEYS, ["event_type"], literal).alias("statement"))
 
 
+@query(LOG + """, s AS (SELECT xid, seq, ROW_NUMBER() OVER (PARTITION BY xid ORDER BY seq) AS n, CASE WHEN seq % 50 = 0 THEN 'TRUNCATE TABLE public.user_state, audit.log RESTART IDENTITY' WHEN op = 'insert' THEN 'INSERT INTO public.user_state (user_id) VALUES (' || user_id || ')'
+ WHEN op = 'update' THEN 'UPDATE public.user_state SET user_id = ' || user_id || ' WHERE user_id = ' || user_id ELSE 'DELETE FROM public.user_state WHERE user_id = ' || user_id END AS t FROM log)
+ SELECT xid, CAST((n - 1) // 3 AS BIGINT) AS part, COUNT(*) AS n_statements, string_agg(t || ';', chr(10) ORDER BY n) AS batch FROM s GROUP BY xid, (n - 1) // 3""")
+def statement_batches(spark, d):
+    """Statements of each transaction, truncates among them, in batches of three at most."""
+    log = transactions.positions(derived(spark, d).select("xid", "seq", "op", "user_id"), ["xid"], "seq")
+    user = F.col("user_id").cast("string")
+    plain = apply.statements(log, "public.user_state", KEYS, [], {"user_id": user})
+    update = F.concat(F.lit("UPDATE public.user_state SET user_id = "), user, F.lit(" WHERE user_id = "), user)
+    cut = apply.truncate_statement(F.array(F.lit("public.user_state"), F.lit("audit.log")), F.lit(False), F.lit(True))
+    said = F.when(F.col("seq") % 50 == 0, cut).when(F.col("op") == "update", update).otherwise(plain)
+    return apply.statement_batches(log.withColumn("statement", said), ["xid"], most=3)
+
+
 @query(LOG + "SELECT DISTINCT user_id FROM log")
 def changed_keys(spark, d):
     return changes.changed_keys(derived(spark, d), KEYS)
@@ -553,6 +712,15 @@ def replica_diff(spark, d):
     return verify.differences(source, replica_rows)
 
 
+@query("SELECT o_orderkey, o_orderstatus, 'left' AS side FROM orders WHERE o_orderkey % 1000 = 1 UNION ALL SELECT o_orderkey, 'Z', 'right' FROM orders WHERE o_orderkey % 1000 = 1")
+def replica_tree_diff(spark, d):
+    """A table and its replica, each kept with its tree of digests: the comparison reads the digests and the rows of leaves that differ."""
+    source = read(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    copy = source.withColumn("o_orderstatus", F.when(F.col("o_orderkey") % 1000 == 1, "Z").otherwise(F.col("o_orderstatus")))
+    one = verify.Tree.build(source, replica.folder(spark))
+    return one.differences(verify.Tree.build(copy, replica.folder(spark), one.depth), spark)
+
+
 @query("SELECT 'orders' AS side, NOT EXISTS (SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer) AS subset UNION ALL SELECT 'customer', NOT EXISTS (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders)")
 def subset_check(spark, d):
     """Whether each side's customers are among the other's: customers without orders make the second one false."""
@@ -589,6 +757,16 @@ def sqlstate_names(spark, d):
     return catalog.named_states(errors, spark.createDataFrame(_STATES, "error_code string, condition string")).select("event_id", "error_code", "condition")
 
 
+@query("SELECT event_id, 'ERROR' AS severity, '23505' AS error_code, event_type AS message, CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 100 AS INTEGER) END AS position, CAST(user_id % 1000 AS INTEGER) AS line FROM events WHERE event_type = 'error'")
+def error_fields(spark, d):
+    """The fields of errors by name; places and lines are numbers."""
+    e = read(spark, d, "events").where("event_type = 'error'")
+    pair = lambda code, value: F.struct(F.lit(code).alias("code"), value.cast("string").alias("value"))
+    parts = [pair("V", F.lit("ERROR")), pair("C", F.lit("23505")), pair("M", F.col("event_type")), F.when(F.col("event_id") % 3 != 0, pair("P", F.col("event_id") % 100)), pair("L", F.col("user_id") % 1000)]
+    sent = F.map_from_entries(F.array_compact(F.array(*parts)))
+    return e.select("event_id", *catalog.error_fields(sent)).select("event_id", "severity", "error_code", "message", "position", "line")
+
+
 # ---- queries that users send through the client
 
 
@@ -615,6 +793,12 @@ def top_k(spark, d):
     return read(spark, d, "part").orderBy(F.desc("p_retailprice"), F.asc("p_name"), "p_partkey").limit(10).select("p_partkey", F.trim("p_name").alias("name"), "p_retailprice")
 
 
+@query("SELECT p_partkey, upper(left(p_name, 1)) || lower(substr(p_name, 2)) AS title FROM (SELECT p_partkey, regexp_replace(trim(p_name), ' ', '-', 'g') AS p_name FROM part)")
+def titles(spark, d):
+    """A text function of reports: words with a capital letter, here of names whose words are joined to one."""
+    return read(spark, d, "part").select("p_partkey", F.initcap(F.regexp_replace(F.trim("p_name"), " ", "-")).alias("title"))
+
+
 @query("""SELECT event_id || ',' || CASE WHEN event_id % 7 = 0 THEN '' ELSE user_id::VARCHAR END || ',' || event_type || ',' || CASE WHEN contains(props, '"') OR contains(props, ',') THEN '"' || replace(props, '"', '""') || '"' WHEN props = '' THEN '""' ELSE COALESCE(props, '') END AS value FROM events""")
 def csv_lines(spark, d):
     e = read(spark, d, "events").select("event_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id")).alias("user_id"), "event_type", "props")
@@ -649,14 +833,27 @@ def stream_frames(spark, d):
     return replica.run_to_end(spark, state_frames(spark, d), table, "seq", replica.Decoder(replica.folder(spark), table))
 
 
-@query(LOG + _STREAMED + "SELECT seq, xid, op, user_id, subxid FROM s WHERE xid % 8 NOT IN (3, 7) AND " + _KEPT)
+@query(LOG + _STREAMED + "SELECT slot, seq, xid, op, user_id, subxid FROM s, (VALUES ('a', 3), ('b', 5)) v(slot, gone) WHERE xid % 8 NOT IN (gone, 7) AND (slot = 'b' OR " + _KEPT + ")")
 def stream_committed(spark, d):
-    """The same rows as committed_streamed, held in state until each transaction's outcome arrives."""
-    log, commits, aborts = _streamed(spark, d)
+    """Streamed changes held in state until each transaction's outcome arrives, of two slots with the same transaction ids: in the second other transactions abort, and no subtransactions."""
+    log, _, aborts = _streamed(spark, d)
     last = F.lit(1 << 50).cast("bigint")
-    events = verify.together(
-        log.withColumn("kind", F.lit("change")),
-        commits.select(last.alias("seq"), "xid", F.lit("commit").alias("kind")),
-        aborts.select((last - 1).alias("seq"), "xid", "subxid", F.lit("abort").alias("kind")),
-    )
-    return replica.committed_to_end(spark, events)
+    ids = log.select("xid").distinct()
+    slots = []
+    for slot, gone in (("a", 3), ("b", 5)):
+        ended = aborts if slot == "a" else ids.where("xid % 8 = 5").select("xid", F.col("xid").alias("subxid"))
+        slots += [
+            log.withColumn("kind", F.lit("change")).withColumn("slot", F.lit(slot)),
+            ids.where(f"xid % 8 NOT IN ({gone}, 7)").select(last.alias("seq"), "xid", F.lit("commit").alias("kind"), F.lit(slot).alias("slot")),
+            ended.select((last - 1).alias("seq"), "xid", "subxid", F.lit("abort").alias("kind"), F.lit(slot).alias("slot")),
+        ]
+    return replica.committed_to_end(spark, verify.together(*slots))
+
+
+@query(LOG + "SELECT xid, commit_lsn, op, user_id, CAST(ROW_NUMBER() OVER (PARTITION BY xid ORDER BY seq) AS INTEGER) AS n FROM log")
+def stream_unique(spark, d):
+    """A stream in which every tenth transaction comes twice, each change once."""
+    log = transactions.positions(derived(spark, d).select("xid", "commit_lsn", "commit_timestamp", "seq", "op", "user_id"), ["xid"], "seq")
+    log = log.withColumn("commit_timestamp", F.col("commit_timestamp").cast("timestamp"))
+    again = log.where("xid % 10 = 0").withColumn("seq", F.col("seq") + 20)
+    return replica.unique_to_end(spark, log.union(again), ["commit_lsn", "n"], "commit_timestamp", "3650 days", "seq").select("xid", "commit_lsn", "op", "user_id", "n")

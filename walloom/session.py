@@ -10,6 +10,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _shipped: set[str] = set()
 
@@ -43,3 +44,9 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, most: int = 32 << 20) -> DataFrame:
+    """A stored table, broadcast where its rows are measured to take at most so many bytes as JSON; else Spark shuffles both sides of the join."""
+    size = df.agg(F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()[0] if df.columns else 0
+    return F.broadcast(df) if (size or 0) <= most else df

@@ -12,7 +12,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import wire
+from ..functions import layouts, wire
 from ..operators.transactions import carry_forward
 
 #: The letters of the message kinds.
@@ -47,11 +47,11 @@ def origin(lsn: Column, name: Column) -> Column:
     return F.concat(letter("origin"), wire.int_bytes(lsn, 8), wire.cstring(name))
 
 
-def relation(oid: int, namespace: str, name: str, identity: str, attributes: list[tuple[str, str, bool]], xid: Column | None = None) -> Column:
-    """attributes: (name, type, key)."""
+def relation(oid: int, namespace: str, name: str, identity: str, attributes: list[tuple[str, str | int, bool]], xid: Column | None = None) -> Column:
+    """attributes: (name, type or its id, key)."""
     parts = [letter("relation"), *([wire.int_bytes(xid, 4)] if xid is not None else []), wire.int_bytes(F.lit(oid), 4), wire.cstring(F.lit(namespace)), wire.cstring(F.lit(name)), F.encode(F.lit(identity), "UTF-8"), wire.int_bytes(F.lit(len(attributes)), 2)]
     for column, kind, key in attributes:
-        parts += [wire.int_bytes(F.lit(int(key)), 1), wire.cstring(F.lit(column)), wire.int_bytes(F.lit(wire.OID[kind]), 4), wire.int_bytes(F.lit(-1), 4)]
+        parts += [wire.int_bytes(F.lit(int(key)), 1), wire.cstring(F.lit(column)), wire.int_bytes(F.lit(kind if isinstance(kind, int) else layouts.oid_of(kind)), 4), wire.int_bytes(F.lit(-1), 4)]
     return F.concat(*parts)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -9,10 +10,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegralType, StructType
 
 from ..jobs import common, replicate
-from ..operators import apply
+from ..operators import apply, catalog
 from ..session import checkpoint_folder, stored
 from ..sources import frames
 
@@ -22,119 +23,194 @@ def folder(spark: SparkSession) -> str:
     return f"{checkpoint_folder(spark)}/stream-{uuid.uuid4().hex}"
 
 
+def versions_at(spark: SparkSession, path: str) -> list[int]:
+    """Versions that were written to their end under a folder, in order. Only names are read."""
+    jvm = spark.sparkContext._jvm
+    home = jvm.org.apache.hadoop.fs.Path(path)
+    store = home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(home):
+        return []
+    found = [x.getPath().getName() for x in store.listStatus(home)]
+    return sorted(int(n[8:]) for n in found if n.startswith("version=") and store.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS")))
+
+
 class Replica:
     """A table that a stream keeps, in buckets of its keys: each batch of changes is merged into the buckets that it touches, and only those are
-    written anew. A manifest of one row a bucket says which batch wrote it last.
+    written anew.
 
-    What a batch writes is named by the batch, so one that runs again after a failure (the log is delivered at least once) reads
-    the same rows and writes the same. Transactions at or before the confirmed position are dropped, so a log that is sent
-    again changes nothing. Progress is a row written at the end of each batch. If applying a batch fails, the stream fails
-    before anything is confirmed. Batches come in commit order. Choose `buckets` so that one holds some hundred megabytes;
-    it is fixed for the life of the table. Buckets that a newer batch has replaced stay until the folder's owner clears them.
+    Each batch writes a new version of the table: the rows of the buckets that it touched, and at the end one row of state with the version that each bucket was last written in, the
+    confirmed position of each slot, and the rows' schema. The newest complete state is the table: a
+    process with nothing but the path goes on from there, and what a failed batch wrote is never seen. Changes at or before their slot's
+    confirmed position are dropped, so a batch that runs again, a transaction that is sent again, or a stream that begins anew without its checkpoint change nothing.
+    Batches come in commit order. Choose `buckets` so that one holds some hundred megabytes; it is fixed for the life of the table. `forget` removes what newer versions replaced.
     """
 
     def __init__(self, path: str, keys: list[str], columns: list[str], marked: dict[str, str] | None = None, order: list[str] | None = None, buckets: int = 64):
         self.path, self.keys, self.columns, self.marked = path, keys, columns, marked or {}
-        self.order, self.buckets, self.last = order or ["commit_lsn", "seq"], buckets, -1
-
-    def manifest(self, spark: SparkSession, batch: int) -> dict[int, int]:
-        """Bucket -> the batch that wrote it last; at most `buckets` rows."""
-        if batch < 0:
-            return {}
-        return {r["bucket"]: r["version"] for r in spark.read.parquet(f"{self.path}/manifest/batch={batch}").collect()}
-
-    def position(self, spark: SparkSession, batch: int) -> int:
-        if batch < 0:
-            return -1
-        return spark.read.parquet(f"{self.path}/progress/batch={batch}").first()["confirmed_lsn"]
-
-    def _rows(self, spark: SparkSession, versions: dict[int, int], schema: StructType) -> DataFrame:
-        if not versions:
+        self.order, self.buckets = order or ["commit_lsn", "seq"], buckets
+        self.old_keys: list[str] = []
+
+    def state(self, spark: SparkSession, batch: int | None = None) -> dict:
+        """The newest state, or the newest that a batch of this number left: version, batch, schema, written {bucket: version}, confirmed {slot: position}."""
+        for version in reversed(versions_at(spark, f"{self.path}/state")):
+            found = spark.read.parquet(f"{self.path}/state/version={version}").first().asDict(True)
+            if batch is None or found["batch"] == batch:
+                return {**found, "version": version}
+        return {"version": -1, "batch": -1, "schema": None, "written": {}, "confirmed": {}}
+
+    def position(self, spark: SparkSession, batch: int | None = None) -> int:
+        """The least of the slots' confirmed positions, after which a log has to be sent again to lose nothing; -1 before the first."""
+        return min(self.state(spark, batch)["confirmed"].values(), default=-1)
+
+    def _rows(self, spark: SparkSession, written: dict[int, int], schema: StructType) -> DataFrame:
+        if not written:
             return spark.createDataFrame([], schema)
-        return spark.read.schema(schema).parquet(*(f"{self.path}/rows/batch={v}/bucket={b}" for b, v in sorted(versions.items())))
+        return spark.read.schema(schema).parquet(*(f"{self.path}/rows/version={v}/bucket={b}" for b, v in sorted(written.items())))
 
-    def apply(self, log: DataFrame, batch: int, emptied: bool = False) -> None:
-        """Merge a batch's changes into the table; emptied: it was truncated before them."""
+    def apply(self, log: DataFrame, batch: int, emptied: bool = False, confirmed: dict | None = None) -> None:
+        """Merge a batch's changes into the table; emptied: it was truncated before them. confirmed: positions of slots, added to those that are known."""
         spark = log.sparkSession
+        before = self.state(spark)
+        version = before["version"] + 1
         log = stored(log.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")))
-        touched = {r["bucket"] for r in log.select("bucket").distinct().collect()}
+        touched = {r["bucket"] for r in log.select("bucket").distinct().collect()}  # at most `buckets` rows
         schema = log.select(*self.keys, *self.columns).schema
-        versions = {} if emptied else self.manifest(spark, batch - 1)
-        before = self._rows(spark, {b: v for b, v in versions.items() if b in touched}, schema)
-        merged = apply.merge(before, log, self.keys, self.columns, self.order, self.marked)
-        merged = merged.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
-        home = f"{self.path}/rows/batch={batch}"
-        merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(home)
-        written = {r["bucket"] for r in spark.read.schema(f"{merged.schema.simpleString()[7:-1].replace(':', ' ')}").parquet(home).select("bucket").distinct().collect()}
-        versions = {**{b: v for b, v in versions.items() if b not in touched}, **dict.fromkeys(written, batch)}
-        spark.createDataFrame(sorted(versions.items()), "bucket int, version int").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/manifest/batch={batch}")
-        self.schema, self.last = schema, batch
+        written = {} if emptied else before["written"]
+        if touched:
+            old = self._rows(spark, {b: v for b, v in written.items() if b in touched}, schema)
+            merged = apply.merge(old, log, self.keys, self.columns, self.order, self.marked, self.old_keys)
+            merged = merged.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+            home = f"{self.path}/rows/version={version}"
+            merged.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(home)
+            full = set(buckets_at(spark, home))
+            written = {**{b: v for b, v in written.items() if b not in touched}, **dict.fromkeys(full, version)}
+        row = (batch, schema.json(), written, {**before["confirmed"], **(confirmed or {})})
+        spark.createDataFrame([row], "batch long, schema string, written map<int,long>, confirmed map<string,long>").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/state/version={version}")
+
+    def new(self, changes: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+        """Changes behind what is confirmed, and the positions that they confirm; a log without slots is one slot."""
+        spark = changes.sparkSession
+        changes = changes if "slot" in changes.columns else changes.withColumn("slot", F.lit(""))
+        known = spark.createDataFrame(list(self.state(spark)["confirmed"].items()), "slot string, done_lsn long")  # a row a slot
+        changes = changes.join(F.broadcast(known), "slot", "left").where("done_lsn IS NULL OR commit_lsn > done_lsn").drop("done_lsn")
+        ends = changes.groupBy("slot").agg(F.max("commit_lsn").alias("lsn")).collect()
+        return changes, {r["slot"]: r["lsn"] for r in ends}
 
     def __call__(self, changes: DataFrame, batch: int) -> None:
         """Changes with op, the keys, columns and marks, and the order's columns, among them commit_lsn."""
-        confirmed = self.position(changes.sparkSession, batch - 1)
-        self.apply(changes.where(F.col("commit_lsn") > confirmed).select(*self.keys, *self.columns, *self.marked.values(), "op", *self.order), batch)
-        last = changes.agg(F.greatest(F.coalesce(F.max("commit_lsn"), F.lit(confirmed)), F.lit(confirmed)).cast("bigint").alias("confirmed_lsn"))
-        last.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/progress/batch={batch}")
+        changes, ends = self.new(changes)
+        self.apply(changes.select(*self.keys, *self.columns, *self.marked.values(), "op", *self.order), batch, confirmed=ends)
 
     def table(self, spark: SparkSession, batch: int | None = None) -> DataFrame:
-        return self._rows(spark, self.manifest(spark, self.last if batch is None else batch), self.schema)
+        """The rows as the newest batch, or one of this number, left them. A table that no batch has written fails."""
+        found = self.state(spark, batch)
+        if found["schema"] is None:
+            raise ValueError(f"nothing was written to {self.path}")
+        return self._rows(spark, found["written"], StructType.fromJson(json.loads(found["schema"])))
+
+    def forget(self, spark: SparkSession, keep: int = 2) -> None:
+        """Remove states but the last `keep`, and the buckets' files that none of those names."""
+        jvm = spark.sparkContext._jvm
+        where = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+        store = where(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        versions = versions_at(spark, f"{self.path}/state")
+        kept = [spark.read.parquet(f"{self.path}/state/version={v}").first()["written"] for v in versions[-keep:]]
+        used = {(v, b) for written in kept for b, v in written.items()}
+        for v in versions[:-keep]:
+            store.delete(where(f"{self.path}/state/version={v}"), True)
+        newest = versions[-1] if versions else -1
+        for v in (v for v in versions_at(spark, f"{self.path}/rows") if v <= newest):
+            for b in buckets_at(spark, f"{self.path}/rows/version={v}"):
+                if (v, b) not in used:
+                    store.delete(where(f"{self.path}/rows/version={v}/bucket={b}"), True)
+
+
+def buckets_at(spark: SparkSession, path: str) -> list[int]:
+    """Buckets that have files under a folder. Only names are read."""
+    home = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = home.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [int(n[7:]) for n in (x.getPath().getName() for x in store.listStatus(home)) if n.startswith("bucket=")]
 
 
 class FrameReplica(Replica):
-    """A replica of one table, fed by `Decoder`: typed rows, truncates, rows that move to another key."""
+    """A replica of one table, fed by `Decoder`: typed rows, truncates, rows that move to another key. types: the database's own types, as `catalog.type_graph` takes them."""
 
-    def __init__(self, path: str, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None, buckets: int = 64):
+    def __init__(self, path: str, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None, buckets: int = 64, types: DataFrame | None = None):
+        self.graph = catalog.type_graph(types) if types is not None else None
+        self.kinds, own = replicate.built_in(kinds, self.graph) if self.graph else (kinds, {})
+        self.name, self.registry = table, {**own, **(registry or {})}
         columns = [c for c in kinds if c not in keys]
         super().__init__(path, keys, columns, {c: f"{c}_unchanged" for c in columns}, replicate.ORDER, buckets)
-        self.name, self.kinds, self.registry = table, kinds, registry
+        self.old_keys = [f"old_{k}" for k in keys]
 
     def __call__(self, changes: DataFrame, batch: int) -> None:
+        changes, ends = self.new(changes)
         own = replicate.of_table(changes, self.name)
         log, _ = replicate.keyed(replicate.after_truncates(own).where("type <> 'truncate'"), self.keys, self.kinds, self.registry)
-        self.apply(log, batch, emptied=not own.where("type = 'truncate'").isEmpty())
+        self.apply(log, batch, emptied=not own.where("type = 'truncate'").isEmpty(), confirmed=ends)
 
 
 class Decoder:
     """Turns batches of landed frames into committed changes with their tables' descriptions, and hands each batch of them to a handler.
 
-    What a batch needs of those before it is kept in tables named by the batch: the last frame of each slot that opens or ends
-    a block, from which the next frames are read on; messages of transactions that have no outcome yet, with the
-    descriptions that they and later changes need; the last position that was committed of each slot, so that transactions sent again
-    are dropped. All three are written after the handler returns: if it fails, the stream fails, and the batch
-    runs again from the same state. Held messages are as many as open transactions have, whatever came before.
+    What a batch needs of those before it is kept in tables of a version each, the last of which is written after the handler has returned: if it fails, the stream fails, and the batch runs again from the same state; a
+    stream that begins anew without its checkpoint goes on from it too, since frames at or before a slot's last place are dropped.
+
+    * marker: the last frame of each slot that opens or ends a block, from which the next frames are read on;
+    * held: messages of transactions that have no outcome yet, and the table descriptions that they and later changes need. A batch writes only its own messages; `parts` names the batches
+      whose messages may still be needed, and `open` the transactions. When parts are many, the messages that are needed are written together. Descriptions are written by each batch;
+    * done: for each slot the last place, and the last position that was committed, so that transactions sent again are dropped.
     """
 
-    def __init__(self, path: str, handler: Callable[[DataFrame, int], None]):
-        self.path, self.handler = path, handler
+    def __init__(self, path: str, handler: Callable[[DataFrame, int], None], types: DataFrame | None = None, parts: int = 16):
+        self.path, self.handler, self.parts = path, handler, parts
+        self.graph = catalog.type_graph(types) if types is not None else getattr(handler, "graph", None)
 
-    def _read(self, spark: SparkSession, name: str, batch: int) -> DataFrame | None:
-        return spark.read.parquet(f"{self.path}/{name}/batch={batch}") if batch >= 0 else None
+    def _read(self, spark: SparkSession, name: str, version: int) -> DataFrame:
+        return spark.read.parquet(f"{self.path}/{name}/version={version}")
 
-    def _write(self, rows: DataFrame, name: str, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{name}/batch={batch}")
+    def _write(self, rows: DataFrame, name: str, version: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{name}/version={version}")
 
     def __call__(self, landed: DataFrame, batch: int) -> None:
         spark = landed.sparkSession
+        last = max(versions_at(spark, f"{self.path}/done"), default=None)
+        version = 0 if last is None else last + 1
         bare = common.bare(landed)
-        marker, held, done = (self._read(spark, name, batch - 1) for name in ("marker", "held", "done"))
-        log = bare if marker is None else bare.unionByName(marker)
-        found = frames.messages(log)
-        if marker is not None:
-            found = found.join(marker.select("slot", "seq"), ["slot", "seq"], "left_anti")
-        found = stored(found if held is None else found.unionByName(held))
+        if last is None:
+            log, before = bare, None
+        else:
+            marker, done = self._read(spark, "marker", last), self._read(spark, "done", last)
+            bare = bare.join(F.broadcast(done.select("slot", "last_seq")), "slot", "left").where("last_seq IS NULL OR seq > last_seq").drop("last_seq")  # a row a slot
+            log = bare.unionByName(marker)
+            parts = [r["part"] for r in self._read(spark, "parts", last).collect()]  # a few numbers
+            open_ = self._read(spark, "open", last)
+            held = spark.read.parquet(*(f"{self.path}/held/version={v}" for v in parts))  # the last one is among them
+            before = held.where("type <> 'relation'").join(open_, ["slot", "tx"], "left_semi").unionByName(held.where((F.col("type") == "relation") & (F.col("part") == last))).drop("tx")
+        fresh = frames.messages(log)
+        if last is not None:
+            fresh = fresh.join(F.broadcast(marker.select("slot", "seq")), ["slot", "seq"], "left_anti")
+        fresh = fresh.withColumn("part", F.lit(version).cast("bigint"))
+        found = stored(fresh if before is None else fresh.unionByName(before))
         changes = common.committed(found)
-        ends = changes.groupBy("slot").agg(F.max("commit_lsn").alias("commit_lsn"))
-        if done is not None:
-            before = done.withColumnRenamed("commit_lsn", "done_lsn")
-            changes = changes.join(before, "slot", "left").where("done_lsn IS NULL OR commit_lsn > done_lsn").drop("done_lsn")
-            ends = ends.unionByName(done).groupBy("slot").agg(F.max("commit_lsn").alias("commit_lsn"))
-        self.handler(stored(common.described(found, changes)), batch)
+        ends = found.groupBy("slot").agg(F.max("seq").alias("last_seq")).join(changes.groupBy("slot").agg(F.max("commit_lsn").alias("commit_lsn")), "slot", "left")
+        if last is not None:
+            was = done.select("slot", F.col("commit_lsn").alias("done_lsn"))
+            changes = changes.join(F.broadcast(was), "slot", "left").where("done_lsn IS NULL OR commit_lsn > done_lsn").drop("done_lsn")
+            ends = ends.unionByName(done).groupBy("slot").agg(F.max("last_seq").alias("last_seq"), F.max("commit_lsn").alias("commit_lsn"))
+        self.handler(stored(common.described(found, changes, self.graph)), batch)
+
         tag = F.decode(F.substring("payload", 1, 1), "ISO-8859-1")
         opens = [frames.LETTER[k] for k in ("begin", "commit", "stream_start", "stream_stop", "stream_commit", "stream_abort")]
-        self._write(log.where(tag.isin(opens)).groupBy("slot").agg(F.max_by("payload", "seq").alias("payload"), F.max("seq").alias("seq")).select("slot", "seq", "payload"), "marker", batch)
-        self._write(common.undecided(found), "held", batch)
-        self._write(ends, "done", batch)
+        self._write(log.where(tag.isin(opens)).groupBy("slot").agg(F.max_by("payload", "seq").alias("payload"), F.max("seq").alias("seq")).select("slot", "seq", "payload"), "marker", version)
+        kept, known = common.undecided(found)
+        mine = {r["part"] for r in kept.select("part").distinct().collect()}  # a number a batch
+        together = len(mine) > self.parts
+        kept_now = kept.withColumn("part", F.lit(version).cast("bigint")) if together else kept.where(F.col("part") == version)
+        self._write(kept_now.unionByName(known.withColumn("part", F.lit(version).cast("bigint")), allowMissingColumns=True), "held", version)
+        self._write(spark.createDataFrame([(v,) for v in sorted({version} if together else mine | {version})], "part long"), "parts", version)
+        self._write(kept.select("slot", "tx").distinct(), "open", version)
+        self._write(ends, "done", version)
 
 
 def follow(stream: DataFrame, handler: Callable[[DataFrame, int], None], checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -165,46 +241,77 @@ def run_to_end(spark: SparkSession, log: DataFrame, replica: Replica, order: str
 
 
 class Held(StatefulProcessor):
-    """Changes of one streamed transaction, held in state until it commits; aborted subtransactions are left out."""
+    """Changes of one streamed transaction of a slot, held in state until it commits. Those of aborted subtransactions are left out, and a transaction that aborts is forgotten.
+
+    columns: of the changes, as given; nothing is known of them. Changes are released as state is read, a block at a time, so that memory doesn't grow with a transaction.
+    """
+
+    def __init__(self, columns: StructType, block: int = 10_000):
+        self.columns, self.block = columns, block
+        whole = [isinstance(f.dataType, IntegralType) for f in columns]  # pandas holds whole numbers with nulls among them as floats
+        self.plain = [(lambda v: None if v is None or v != v else int(v)) if w else (lambda v: None if v is None or v is pd.NaT or v != v else v) for w in whole]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.changes = handle.getListState("changes", "seq long, op string, user_id long, subxid long")
-        self.aborted = handle.getListState("aborted", "subxid long")
+        self.changes = handle.getListState("changes", self.columns)
+        self.aborted = handle.getMapState("aborted", "subxid long", "aborted boolean")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
-        done = False
+        done = gone = False
+        names, sub = self.columns.names, self.columns.names.index("subxid")
         for part in rows:
-            change = part[part["kind"] == "change"]
-            if len(change):
-                self.changes.appendList([(int(s), o, int(u), int(x)) for s, o, u, x in change[["seq", "op", "user_id", "subxid"]].itertuples(index=False)])
-            abort = part[part["kind"] == "abort"]
-            if len(abort):
-                self.aborted.appendList([(int(x),) for x in abort["subxid"]])
+            for x in part.loc[part["kind"] == "abort", "subxid"]:
+                gone |= int(x) == key[1]
+                self.aborted.updateValue((int(x),), (True,))
+            change = part.loc[part["kind"] == "change", names]
+            for a in range(0, len(change), self.block):
+                cut = change.iloc[a : a + self.block]
+                self.changes.appendList([tuple(one(v) for one, v in zip(self.plain, row, strict=True)) for row in cut.itertuples(index=False, name=None)])
             done |= bool((part["kind"] == "commit").any())
-        gone = {x for (x,) in self.aborted.get()} if self.aborted.exists() else set()
-        if key[0] in gone:
-            self.changes.clear()
-            self.aborted.clear()
-        elif done:
-            kept = [(s, key[0], o, u, x) for s, o, u, x in (self.changes.get() if self.changes.exists() else ()) if x not in gone]
-            self.changes.clear()
-            self.aborted.clear()
-            for a in range(0, len(kept), 10_000):
-                yield pd.DataFrame(kept[a : a + 10_000], columns=["seq", "xid", "op", "user_id", "subxid"])
+        if not gone and not done:
+            return
+        if not gone and self.changes.exists():
+            block, aborted = [], {k[0] for k in self.aborted.keys()} if self.aborted.exists() else set()
+            for row in self.changes.get():
+                if row[sub] not in aborted:
+                    block.append(tuple(row))
+                if len(block) == self.block:
+                    yield pd.DataFrame(block, columns=names)
+                    block = []
+            if block:
+                yield pd.DataFrame(block, columns=names)
+        self.changes.clear()
+        self.aborted.clear()
 
     def close(self) -> None:
         pass
 
 
 def committed(stream: DataFrame) -> DataFrame:
-    """stream(seq, xid, op, user_id, subxid, kind) -> changes of transactions whose commit has arrived."""
-    return stream.groupBy("xid").transformWithStateInPandas(Held(), "seq long, xid long, op string, user_id long, subxid long", "Append", "None")
+    """stream(slot, xid, subxid, kind, ...) -> changes of transactions whose commit has arrived, with all their columns. kind: change, commit or abort, of which the
+    last names in subxid what it ends: the transaction where that is xid."""
+    columns = StructType([f for f in stream.schema if f.name != "kind"])
+    return stream.groupBy("slot", "xid").transformWithStateInPandas(Held(columns), columns, "Append", "None")
+
+
+def unique(stream: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
+    """A stream in which rows come more than once, with the first copy of each: a copy is known as one if it comes while event time is within `delay` of the first's, which bounds the
+    state. keys: what names a row, such as (slot, commit_lsn, n)."""
+    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+
+
+def unique_to_end(spark: SparkSession, log: DataFrame, keys: list[str], time: str, delay: str, order: str, pieces: int = 3) -> DataFrame:
+    """Land a log piece by piece, run `unique` over it, and return what comes out."""
+    home = folder(spark)
+    for _ in turns(log, order, f"{home}/log", pieces):
+        found = unique(spark.readStream.schema(log.schema).parquet(f"{home}/log"), keys, time, delay)
+        found.writeStream.format("parquet").option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(log.schema).parquet(f"{home}/out")
 
 
 def committed_to_end(spark: SparkSession, events: DataFrame, pieces: int = 2) -> DataFrame:
     """Land changes and outcomes piece by piece, run the stateful stream over them, and return what it has released."""
     home = folder(spark)
-    events = events.select("seq", "xid", "op", "user_id", "subxid", "kind")
+    columns = StructType([f for f in events.schema if f.name != "kind"])
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider, None)
     spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
@@ -214,4 +321,4 @@ def committed_to_end(spark: SparkSession, events: DataFrame, pieces: int = 2) ->
             committed(stream).writeStream.format("parquet").option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     finally:
         spark.conf.set(provider, before) if before is not None else spark.conf.unset(provider)
-    return spark.read.schema("seq long, xid long, op string, user_id long, subxid long").parquet(f"{home}/out")
+    return spark.read.schema(columns).parquet(f"{home}/out")
