@@ -47,17 +47,29 @@ def _stars(batches, most: int = 1 << 20):
         yield out()
 
 
+#: Edges that one task of a step takes, about. A step of few edges so leaves few files, however many partitions the session's shuffles have.
+EDGES = 1 << 18
+
+
+def fitted(df: DataFrame, rows: int, per: int = EDGES) -> DataFrame:
+    """The rows in as few partitions as hold about `per` each; never in more than there are."""
+    return df.coalesce(max(1, -(-rows // per)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """edges(a, b longs) -> (node, component): for each node of an edge, the smallest node it reaches.
 
-    Each task first reduces its own edges to stars. Then large-star and small-star steps alternate until nothing
+    Each task first reduces its own edges to stars, and does so again where what is left is one task's work. Then large-star and small-star steps alternate until nothing
     changes: every node is moved to its least neighbour, so that chains shorten by a factor each time. Each step is
     an aggregate with map-side combine and a join that AQE can split when one node has very many neighbours. No edges give no rows; loops and repeated edges
     change nothing.
     """
     edges = edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b")
     edges = checkpointed(edges.mapInArrow(_stars, "a long, b long"))
-    mark = None
+    rows, mark = edges.count(), None
+    edges = fitted(edges, rows)
+    if rows <= EDGES:  # all in one task: it may as well reduce what the tasks before it left
+        edges = checkpointed(edges.mapInArrow(_stars, "a long, b long"))
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy(F.col("a").alias("n")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -65,7 +77,7 @@ def components(edges: DataFrame) -> DataFrame:
         large = large.where("a <> b").distinct()
         least = large.groupBy(F.col("a").alias("n")).agg(F.min("b").alias("m"))
         small = large.join(least, F.col("a") == F.col("n")).select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        edges = checkpointed(small.where("a <> b").distinct())
+        edges = checkpointed(fitted(small.where("a <> b").distinct(), rows))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == mark:
             break

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, checkpointed, frugal, mix, slices, stored, string_bytes
-from .components import components, roots
+from .components import components, fitted, roots
 
 BITS = 1024
 SLICE = 512 << 10
@@ -311,13 +311,15 @@ def _verify(pairs: DataFrame, classes: DataFrame, texts: DataFrame, alone: DataF
     hubs = salted.select("a", "salt").distinct().select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("node"))
     roles = hubs.union(salted.select("a", "salt", F.lit(1), "b"))
     need = checkpointed(roles.join(classes.select(F.col("set").alias("node"), "head", "alone"), "node"))
+    need = fitted(need, need.count())
     named = need.where("head is not null").drop("alone")
     wanted = ["a", "salt", "role", "node", "text"]
     rows = texts.join(broadcast_if_small(named, named.count()), F.col("doc_id") == F.col("head")).select(*wanted)
     if alone is not None:
         rows = rows.union(alone.join(need.where("head is null").drop("head"), "alone").select(*wanted))
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-    return checkpointed(rows.mapInArrow(frugal(_verified(rule), "ngram_join"), "a long, b long, linked boolean").distinct())
+    found = checkpointed(rows.mapInArrow(frugal(_verified(rule), "ngram_join"), "a long, b long, linked boolean").distinct())
+    return fitted(found, found.count())
 
 
 #: Before every pair that is left is verified, components are joined by FEW pairs of each, TURNS times.
@@ -406,6 +408,7 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
     shared = documents.sparkSession.sparkContext.broadcast(_common(base))  # COMMON keys at most
     keyed = texts.select("text").mapInArrow(frugal(_keyed(rule, shared), "ngram_join"), "key long, set long").repartition("key").sortWithinPartitions("key", "set")
     mates = checkpointed(keyed.mapInArrow(_mates(shared), "a long, b long").distinct())
+    mates = fitted(mates, mates.count())
 
     side = lambda c: classes.select(F.col("set").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
     a, b = F.col("sketch_a"), F.col("sketch_b")
@@ -423,13 +426,15 @@ def similar_documents(documents: DataFrame, id_col: str = "doc_id", text_col: st
         members = labelled.join(open_hubs, "a", "left_semi")
         members = members.select("a", "b", F.col("of_b").alias("component")).union(members.select("a", F.col("a").alias("b"), F.col("of_a").alias("component")).distinct())
         members = checkpointed(members.join(classes.select(F.col("set").alias("b"), "n", "sketch"), "b"))
+        members = fitted(members, members.count(), 1 << 14)
         sized = members.groupBy("a").agg(F.ceil(F.count("*") / tile).cast("int").alias("m"))
         here = F.pmod(F.xxhash64("b"), F.col("m")).cast("int")
         dealt = members.join(sized, "a").withColumn("here", here).withColumn("o", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
         dealt = dealt.withColumn("ti", F.least("here", "o")).withColumn("tj", F.greatest("here", "o")).drop("o", "m")
         rest = checkpointed(dealt.groupBy("a", "ti", "tj").applyInArrow(_unresolved(rule, turn), "a long, b long").distinct())
-        if rest.isEmpty():
+        if not (pairs := rest.count()):
             break
+        rest = fitted(rest, pairs)
         more = _verify(rest.join(checked.select("a", "b"), ["a", "b"], "left_anti"), classes, texts, alone, rule)
         checked = checked.union(more)
         parts = checkpointed(components(checked.where("linked").select("a", "b")))
