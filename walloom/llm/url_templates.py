@@ -2,8 +2,8 @@
 
 Per host, segments of a path that vary become wildcards: numbers, hashes and tokens by their form, and values too rare under
 their parent by count. At every level, branches whose children and blocked shares are alike are merged. Templates
-are judged by the share of blocked pages among their labelled ones (those that a rule fits), smoothed level by level towards the nodes above them, their host and
-the whole table, and rejected from one half on.
+are judged by the share of blocked pages among their labelled ones (those that a rule fits), smoothed level by level towards the nodes above them and their host, and a
+host's towards a share under which nothing is rejected: so a template is rejected, from one half on, only by labels of its own, of its branch or of its host.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from .common import broadcast_if_small, checkpointed
 
 #: A value stays literal if it has this many pages and this share of its parent's.
 LEAST_PAGES, LEAST_SHARE = 3, 0.02
-#: Weight of the prior in labelled pages, and the purity at which a template is rejected.
-WEIGHT, REJECT = 8.0, 0.5
+#: Weight of the prior in labelled pages, the prior of a host, and the purity at which a template is rejected. Labels come from rules, most of which block, so
+#: their share over all hosts says nothing about a host that has none.
+WEIGHT, NEUTRAL, REJECT = 8.0, 0.25, 0.5
 #: Branches are merged if their children overlap by this and their shares are within so many standard errors.
 OVERLAP, Z = 0.5, 1.96
 
@@ -67,13 +68,13 @@ def shape(path: Column) -> Column:
     return F.regexp_replace(out, r"(?<=/)[^/.{]*[0-9][^/.{]*(?=[/.]|$)", "{x}")
 
 
-def _segments(rows: DataFrame, depth: int) -> DataFrame:
+def _segments(rows: DataFrame) -> DataFrame:
     """Adds the segment that each shape has next, `*` for those that are rare under their node, and the one behind it."""
-    rows = rows.withColumn("seg", F.get("parts", F.lit(depth)))
+    rows = rows.withColumn("seg", F.get("parts", F.lit(0)))
     own = rows.groupBy("host", "node", "seg").agg(F.sum("n").alias("own"), F.first("all").alias("all"))
     rare = own.where((F.col("own") < LEAST_PAGES) | (F.col("own") < LEAST_SHARE * F.col("all"))).select("host", "node", "seg", F.lit(True).alias("rare"))
     seg = F.when(F.col("rare"), F.lit("*")).otherwise(F.col("seg"))
-    return rows.join(rare, ["host", "node", "seg"], "left").withColumn("seg", seg).withColumn("child", F.coalesce(F.get("parts", F.lit(depth + 1)), F.lit(""))).drop("rare")
+    return rows.join(rare, ["host", "node", "seg"], "left").withColumn("seg", seg).withColumn("child", F.coalesce(F.get("parts", F.lit(1)), F.lit(""))).drop("rare")
 
 
 def _classes(rows: DataFrame) -> DataFrame:
@@ -106,39 +107,50 @@ def template_purity(pages: DataFrame) -> DataFrame:
     """pages(host, shape, label) -> (host, shape, purity), the purity of the template that each shape belongs to.
 
     The tree of a host is built level by level, all hosts and nodes together: segments that are rare under their node become `*`, alike branches become one node, whose
-    prior is its blocked share among labelled pages, smoothed towards that of the node above (the host's, and at the top that of all labelled pages). A node
-    that has one shape, or so few pages that every further segment would be rare, needs no further level, so there are as many levels as the deepest
-    branching has. What ends at a node with the same number of wildcards behind it is one template.
+    prior is its blocked share among labelled pages, smoothed towards that of the node above (the host's, and at the top NEUTRAL). A node
+    that has one shape, or so few pages that every further segment would be rare, needs no further level; and levels at which all shapes of a node go on alike are
+    passed in one step, with the prior that their smoothing would give. So there are as many rounds as branchings lie one under the other, however long paths are.
+    What ends at a node with the same number of wildcards behind it is one template.
     """
     count = lambda value: F.sum(F.when(F.col("label") == value, 1).otherwise(0))
     shapes = checkpointed(pages.groupBy("host", "shape").agg(F.count("*").alias("n"), count("block").alias("block"), F.count("label").alias("labelled")))
     smoothed = lambda prior: (F.sum("block") + WEIGHT * prior) / (F.sum("labelled") + WEIGHT)
-    every = shapes.agg(F.sum("block").alias("block"), F.sum("labelled").alias("labelled")).first()
-    overall = F.lit((every["block"] or 0) / max(every["labelled"] or 0, 1))
-    hosts = shapes.groupBy("host").agg(smoothed(overall).alias("prior"))
+    hosts = shapes.groupBy("host").agg(smoothed(F.lit(NEUTRAL)).alias("prior"))
     parts = F.split(F.substring("shape", 2, 1 << 30), "/")
     open_ = shapes.join(hosts, "host").withColumn("parts", F.when(F.col("shape") == "", F.array().cast("array<string>")).otherwise(parts)).withColumn("node", F.xxhash64("host"))
-    closed, depth = [], 0
+    closed = []
     while True:
-        nodes = open_.groupBy("host", "node").agg(F.sum("n").alias("all"), F.count("*").alias("shapes"))
-        open_ = checkpointed(open_.join(nodes, ["host", "node"]).withColumn("left", F.size("parts") - depth))
-        ends = (F.col("left") <= 0) | (F.col("all") < LEAST_PAGES) | (F.col("shapes") == 1)
+        nodes = open_.groupBy("host", "node").agg(F.sum("n").alias("all"), F.count("*").alias("shapes"), F.sum("block").alias("blocks"), F.sum("labelled").alias("labels"), F.min("parts").alias("low"), F.max("parts").alias("high"))
+        ended = (F.col("all") < LEAST_PAGES) | (F.col("shapes") == 1)
+        nodes = nodes.select("host", "node", "all", "blocks", "labels", ended.alias("ended"), F.when(ended, 0).otherwise(_common_prefix(F.col("low"), F.col("high"))).alias("skip"))
+        open_ = open_.join(nodes, ["host", "node"])
+        share = F.col("blocks") / F.greatest(F.col("labels"), F.lit(1))
+        passed = share + (F.col("prior") - share) * F.pow(WEIGHT / (F.col("labels") + WEIGHT), F.col("skip"))
+        open_ = open_.withColumn("prior", F.when((F.col("skip") > 0) & (F.col("labels") > 0), passed).otherwise(F.col("prior"))).withColumn("parts", F.when(F.col("skip") > 0, F.slice("parts", F.col("skip") + 1, F.size("parts"))).otherwise(F.col("parts")))
+        open_ = checkpointed(open_.withColumn("left", F.size("parts")).drop("blocks", "labels", "skip"))
+        ends = (F.col("left") <= 0) | F.col("ended")
         closed.append(open_.where(ends).select("host", "shape", "node", "left", "prior", "block", "labelled"))
-        rows = _segments(open_.where(~ends), depth)
+        rows = _segments(open_.where(~ends))
         if rows.isEmpty():
             break
-        rows = checkpointed(rows.drop("all", "shapes", "left"))
+        rows = checkpointed(rows.drop("all", "ended", "left"))
         classes = checkpointed(_classes(rows))
         rows = rows.join(broadcast_if_small(classes, classes.count(), 100_000), ["host", "node", "seg"])
         priors = rows.groupBy("host", "node", "class").agg(smoothed(F.first("prior")).alias("p"))
         rows = rows.join(priors, ["host", "node", "class"])
-        open_ = rows.select("host", "shape", "parts", "n", "block", "labelled", F.col("p").alias("prior"), F.xxhash64("node", "class").alias("node"))
-        depth += 1
+        open_ = rows.select("host", "shape", F.slice("parts", F.lit(2), F.size("parts")).alias("parts"), "n", "block", "labelled", F.col("p").alias("prior"), F.xxhash64("node", "class").alias("node"))
     done = checkpointed(reduce(DataFrame.union, closed))
     purity = done.groupBy("host", "node", "left").agg(smoothed(F.first("prior")).alias("purity"))
     return done.join(purity, ["host", "node", "left"]).select("host", "shape", "purity")
 
 
+def _common_prefix(low: Column, high: Column) -> Column:
+    """How many first elements two arrays share: of the least and the greatest of some arrays, those that all share."""
+    n = F.least(F.size(low), F.size(high))
+    differs = F.array_position(F.zip_with(F.slice(low, F.lit(1), n), F.slice(high, F.lit(1), n), lambda a, b: a == b), F.lit(False))
+    return F.when(differs > 0, differs.cast("int") - 1).otherwise(n)
+
+
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """-> (page_id, host, path, rule, verdict, purity) for every row; purity is that of a rejected template, else null.
 
