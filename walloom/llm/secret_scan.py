@@ -55,6 +55,11 @@ def element(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
+#: Ids of schemes that encrypt a key by a password, and of what a container of keys is around (data, or signed data).
+SCHEMES = {*(bytes.fromhex("2a864886f70d0105") + bytes([k]) for k in (1, 3, 4, 6, 10, 11, 13)), *(bytes.fromhex("2a864886f70d010c01") + bytes([k]) for k in range(1, 7))}
+CONTENTS = {bytes.fromhex("2a864886f70d0107") + bytes([k]) for k in (1, 2)}
+
+
 def elements(data: bytes, at: int = 0, end: int | None = None) -> list[tuple[int, int, int]] | None:
     """The elements that fill a stretch of data exactly, or None."""
     end, out = len(data) if end is None else end, []
@@ -72,20 +77,20 @@ def nested(data: bytes) -> bool:
     top = elements(data)
     if not top or len(top) > 1 or top[0][0] != 0x30:
         return False
-    todo = [(*top[0][1:], 0)]
+    todo = [top[0][1:]]
     while todo:
-        at, end, depth = todo.pop()
+        at, end = todo.pop()
         inner = elements(data, at, end)
-        if inner is None or depth > 16:
+        if inner is None:
             return False
-        todo += [(a, b, depth + 1) for tag, a, b in inner if tag & 0x20]
+        todo += [(a, b) for tag, a, b in inner if tag & 0x20]
     return True
 
 
 def private_der(data: bytes) -> bool:
     """Whether DER bytes are a private key: the whole numbers of an RSA or DSA key, an elliptic curve's version and secret, a version with an
-    algorithm and the key in an octet string (which must be a key's DER where the algorithm is RSA), or an algorithm with an encrypted key. Public keys and
-    certificates hold bit strings or other fields and aren't."""
+    algorithm and the key in an octet string (which must be a key's DER where the algorithm is RSA), a scheme of encryption by password with its parameters and an encrypted key, or
+    a container of keys (version 3 around data). Public keys and certificates hold bit strings or other fields and aren't, and neither is a digest behind the name of its algorithm."""
     if len(data) < 24 or not nested(data):
         return False
     fields = elements(data, *elements(data)[0][1:])
@@ -98,7 +103,10 @@ def private_der(data: bytes) -> bool:
         return all(t in (0xA0, 0xA1) for t in tags[2:])
     if tags[:3] == [2, 0x30, 4] and version in (0, 1):
         return inside(1)[:1] == [6] and all(t in (0xA0, 0xA1, 0x81) for t in tags[3:])
-    return tags == [0x30, 4] and inside(0)[:1] == [6] and fields[1][2] - fields[1][1] >= 16
+    named = lambda k: next((data[a:b] for t, a, b in elements(data, *fields[k][1:]) or () if t == 6), b"")
+    if tags[:2] == [2, 0x30] and version == 3:
+        return inside(1) == [6, 0xA0] and named(1) in CONTENTS and tags[2:] in ([], [0x30])
+    return tags == [0x30, 4] and inside(0) == [6, 0x30] and named(0) in SCHEMES and fields[1][2] - fields[1][1] >= 8
 
 
 def ssh_container(data: bytes) -> bool:
