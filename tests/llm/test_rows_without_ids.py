@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from walloom.llm import ngram_join
+from walloom.llm import ngram_join, vector_dedup
 
 WORDS = [f"w{k}" for k in range(60)]
 
@@ -27,3 +27,11 @@ def test_rows_without_ids_link(spark, ids, copies):
     linked = sorted((str(r["doc_id"]), r["component_id"]) for r in got if r["n_shingles"] == 57)
     assert linked == sorted((str(i), least) for i in ids for _ in range(copies))
     assert sorted(((r["n_shingles"], r["component_id"]) for r in got if r["n_shingles"] < 57), key=str) == [(0, 9), (0, None), (2, None)]
+
+
+def test_vectors_without_ids_and_with_repeated_ones(spark):
+    rows = [(None, [1.0, 0.0]), (5, [1.0, 0.01]), (5, [0.0, 1.0]), (7, [0.0, 1.0]), (None, [0.5, -0.5]), (None, [0.5, -0.5]), (None, None), (9, None), (9, [1.0, 0.02])]
+    got = vector_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((tuple(r) for r in got), key=str) == sorted([
+        (None, 2, 5, False), (5, 2, 5, True), (9, 2, 5, False), (5, 1, 5, True), (7, 1, 5, False), (None, 1, None, True), (None, 1, None, True), (None, 0, None, True), (9, 0, 9, True),
+    ], key=str)

@@ -136,39 +136,42 @@ def batches_and_end(batches):
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9, tile: int = 4096,
                  tables: int = TABLES, projections: int = PROJECTIONS, cell: float = CELL, seed: int = SEED) -> DataFrame:
-    """-> (vec_id, n_links, component_id, kept), one row per distinct id.
+    """-> (vec_id, n_links, component_id, kept), one row for each row.
 
     Equal vectors are one class with a count. Each class goes to one bucket per table; a bucket of more than `tile` classes
     is cut into tiles, and each pair of tiles is work of its own, so no bucket is ever held whole. All pairs of
     a bucket are compared by exact cosine in double precision inside the task; a pair counts in the first table that
-    joins it only, so link counts add up without a table of pairs. Only counts and a spanning forest leave the task.
+    joins it only, so link counts add up without a table of pairs. Only counts and a spanning forest leave the task. Buckets that hold one class are
+    left out before vectors are dealt.
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing (n_links 0, a
-    component of their own); vectors of different lengths never link; of rows that repeat an id the least vector stays;
-    rows without an id are left out.
+    component of their own); vectors of different lengths never link. Rows that repeat an id, or have none, are vectors like any other: they link, count and
+    come out each; a null id is never the smallest, and such a row isn't kept unless it reaches no row with an id, when its component_id is null and kept is true.
     """
     v = F.col(vector_col)
     fit = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.when(fit_of(fit), v).alias("v")).where("vec_id is not null")
-    rows = checkpointed(rows.groupBy("vec_id").agg(F.min("v").alias("v")))
-    classes = checkpointed(rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("vec_id"), F.count("*").alias("copies"), F.max("vec_id").alias("last")))
+    rows = checkpointed(vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.when(fit_of(fit), v).alias("v")))
+    classes = rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"))
+    classes = checkpointed(classes.select(F.monotonically_increasing_id().alias("vec_id"), "v", "least", "copies"))  # written, so that a class keeps its number
     hashed = classes.select("vec_id", "v", "copies").mapInArrow(_hashed(tables, projections, cell, seed), f"vec_id long, {_typed(rows)}, copies long, keys array<long>")
+    hashed = checkpointed(hashed)
+    counted = hashed.select(F.posexplode("keys").alias("tbl", "key")).groupBy("tbl", "key").agg(F.count("*").alias("rows")).where("rows > 1")
+    shared = checkpointed(counted.select("tbl", "key", F.ceil(F.col("rows") / tile).cast("int").alias("m")))
     dealt = hashed.select("*", F.posexplode("keys").alias("tbl", "key"))
-    counted = dealt.groupBy("tbl", "key").agg(F.count("*").alias("rows")).where(F.col("rows") > tile)
-    hot = checkpointed(counted.select("tbl", "key", F.ceil(F.col("rows") / tile).cast("int").alias("m")))
-    dealt = dealt.withColumn("keys", F.slice("keys", F.lit(1), F.col("tbl"))).join(broadcast_if_small(hot, hot.count()), ["tbl", "key"], "left")
-    here = F.pmod(F.xxhash64("vec_id"), F.coalesce("m", F.lit(1))).cast("int")
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.coalesce("m", F.lit(1)) - 1), lambda o: F.struct(F.least("here", o).alias("ti"), F.greatest("here", o).alias("tj"))))
+    dealt = dealt.withColumn("keys", F.slice("keys", F.lit(1), F.col("tbl"))).join(broadcast_if_small(shared, shared.count()), ["tbl", "key"])
+    here = F.pmod(F.xxhash64("vec_id"), F.col("m")).cast("int")
+    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda o: F.struct(F.least("here", o).alias("ti"), F.greatest("here", o).alias("tj"))))
     dealt = dealt.withColumn("here", here).select("tbl", "key", "vec_id", "v", "copies", "keys", "here", pair.alias("t")).select("*", "t.ti", "t.tj").drop("t")
     dealt = dealt.repartition("tbl", "key", "ti", "tj").sortWithinPartitions("tbl", "key", "ti", "tj")
     found = checkpointed(dealt.mapInArrow(_linked(cosine), "a long, b long, n long, edge boolean"))
     links = found.where("not edge").groupBy(F.col("a").alias("head")).agg(F.sum("n").alias("n"))
     parts = components(found.where("edge").select("a", "b"))
-    heads = classes.join(links, F.col("vec_id") == F.col("head"), "left").join(parts, F.col("vec_id") == F.col("node"), "left").select("v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id"))
-    return (
-        rows.join(heads, "v", "left")
-        .select("vec_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
-        .withColumn("kept", F.col("vec_id") == F.col("component_id"))
-    )
+    heads = classes.join(links, F.col("vec_id") == F.col("head"), "left").join(parts, F.col("vec_id") == F.col("node"), "left")
+    heads = checkpointed(heads.select("v", "least", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("part")))
+    least = heads.groupBy("part").agg(F.min("least").alias("component_id"))
+    named = heads.join(least, "part").select("v", "n_links", "component_id")
+    linked = rows.where("v is not null").join(named, "v").select("vec_id", "n_links", "component_id")
+    every = linked.union(rows.where("v is null").select("vec_id", F.lit(0).cast("long"), "vec_id"))
+    return every.withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 
 
 def _typed(rows: DataFrame) -> str:
