@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from walloom import queries
 from walloom.functions import columns, layouts, usertypes, wire
 from walloom.jobs import deliver, replicate
-from walloom.operators import apply, asof, catalog, progress, rows, transactions, verify
+from walloom.operators import apply, asof, catalog, changes, progress, rows, transactions, verify
 from walloom.sources import frames
 from walloom.streaming import replica
 
@@ -254,3 +254,37 @@ def test_wire_and_columns_agree(spark):
 
 def test_known_types_cover_the_registry():
     assert {t.oid for t in layouts.TYPES.values()} <= set(rows.known_oids()) | {wire.OID["xid"]}
+
+
+@pytest.mark.parametrize("rows_", [20, 10**6])
+def test_histories_of_hot_keys(spark, rows_):
+    """One key holds most changes; buckets and windows give the same."""
+    log = spark.range(300).select(F.col("id").alias("seq"), F.when(F.col("id") % 4 == 0, F.col("id") % 7).otherwise(F.lit(None)).alias("k"), F.when(F.col("id") % 3 != 0, F.col("id")).alias("v"), (F.col("id") % 5 == 1).alias("unsent"))
+    order = {r["seq"]: r for r in log.collect()}
+    before = {r["seq"]: r["old_v"] for r in changes.previous_versions(log, ["k"], ["v"], "seq", rows=rows_).collect()}
+    known = {r["seq"]: r["v"] for r in changes.filled(log, ["k"], {"v": "unsent"}, "seq", rows=rows_).collect()}
+    for seq, row in order.items():
+        own = [r for s, r in order.items() if s <= seq and r["k"] == row["k"]]
+        sent = [r["v"] for r in own if not r["unsent"]]
+        assert before[seq] == (own[-2]["v"] if len(own) > 1 else None) and known[seq] == (sent[-1] if sent else None)
+
+
+def test_conditions_from_the_servers_list(spark, tmp_path):
+    path = tmp_path / "codes.txt"
+    path.write_text("# codes\nSection: Class 23 - Integrity\n23505    E    ERRCODE_UNIQUE_VIOLATION                  unique_violation\n23506 E ERRCODE_OTHER unique_violation_two\n23505    E    ERRCODE_AGAIN    again\n00000    S    ERRCODE_SUCCESSFUL_COMPLETION\n01008    W    ERRCODE_WARNING    implicit_zero_bit_padding\n")
+    assert {tuple(r) for r in catalog.states(spark, str(path)).collect()} == {("23505", "unique-violation"), ("23506", "unique-violation-two"), ("01008", "implicit-zero-bit-padding")}
+
+
+def test_one_registry_for_both_jobs(spark):
+    own = {"celsius": layouts.Type(80001, "double", lambda b: pa.compute.divide(columns.whole(4, pa.int64())(b).cast(pa.float64()), 10.0))}
+    lit, t = F.lit, F.lit(0)
+    row = frames.tuple_bytes([(wire.encode_value(lit(1), "int4"), None), (wire.int_bytes(lit(215), 4), None)])
+    parts = [frames.begin(lit(100), t, lit(1)), frames.relation(7, "public", "t", "d", [("id", "int4", True), ("heat", 80001, False)]), frames.insert(lit(7), row), frames.commit(lit(100), lit(108), t)]
+    landed = spark.range(1).select(F.posexplode(F.array(*parts)).alias("seq", "payload")).select(lit("s").alias("slot"), F.col("seq").cast("bigint"), "payload")
+    assert [tuple(r) for r in replicate.replicate(spark, landed, "public.t", ["id"], {"id": "int4", "heat": "celsius"}, own).collect()] == [(1, 21.5)]
+    assert [r["new_row"] for r in deliver.deliver(spark, landed, own).collect()] == [{"id": "1", "heat": "21.5"}]
+
+
+def test_delivery_shuffles_tuples_once(spark, sf_dir):
+    plan = queries.deliver_frames(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert len([line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]) == 1 and "rangepartitioning(commit_seq" in plan

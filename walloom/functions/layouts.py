@@ -407,20 +407,25 @@ def _array_texts(t: Type) -> columns.Decode:
     return run
 
 
-def _texts() -> dict[int, columns.Decode]:
+def _own_texts(t: Type) -> columns.Decode:
+    """Texts of a user's own type: strings as they are, the rest as JSON."""
+    return lambda b: pa.array([x if x is None or isinstance(x, str) else as_json(_plain(x)) for x in t.decode(b).to_pylist()], pa.string())
+
+
+def _texts(own: dict[str, Type] | None = None) -> dict[int, columns.Decode]:
     out = {TYPES[kind].oid: _json_texts(TYPES[kind]) for kind in OIDS}
     out |= {TYPES[kind].oid: TYPES[kind].decode for kind in ("numeric", "bit", "varbit")}
-    return out | {700: _number_texts(4), 701: _number_texts(8)} | {oid: _array_texts(TYPES[kind]) for oid, kind in ARRAYS.items()}
+    return out | {700: _number_texts(4), 701: _number_texts(8)} | {oid: _array_texts(TYPES[kind]) for oid, kind in ARRAYS.items()} | {t.oid: _own_texts(t) for t in (own or {}).values()}
 
 
-def shown(values: Column, oids: Column, sent: Column | None = None, at: Column | None = None, graph=None) -> Column:
+def shown(values: Column, oids: Column, sent: Column | None = None, at: Column | None = None, graph=None, own: dict[str, Type] | None = None) -> Column:
     """Texts of a tuple's binary values, by their types, for the types of this module (numbers as such, the rest as JSON); null for
     the other values. All values of one type in a batch are read together. sent, at, graph: the ids as they were sent, the change's position and the
-    graph of user types, by which records and arrays of user types are read."""
+    graph of user types, by which records and arrays of user types are read. own: types that a user adds, or puts in place of those of this module."""
 
     def run(tuples: pa.Array, types: pa.Array, *more: pa.Array) -> pa.Array:
         tuples, types, *more = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (tuples, types, *more))
-        texts = _texts()
+        texts = _texts(own)
         valid = (pc.is_valid(tuples).to_numpy(zero_copy_only=False)) & (pc.is_valid(types).to_numpy(zero_copy_only=False))
         n, m = (np.where(valid, pc.list_value_length(x).fill_null(0).to_numpy(zero_copy_only=False), 0).astype(np.int64) for x in (tuples, types))
         row = np.repeat(np.arange(len(valid)), n)
@@ -432,10 +437,10 @@ def shown(values: Column, oids: Column, sent: Column | None = None, at: Column |
         binary = pc.equal(flat.field("kind"), "b").fill_null(False).to_numpy(zero_copy_only=False)
         data, parts, left = columns.Bytes.of(flat.field("data")), [], np.ones(len(row), bool)
         if graph is not None:
-            own, position = ids(more[0]), more[1].to_numpy(zero_copy_only=False)[row] if len(row) else np.zeros(0)
-            user = np.flatnonzero(binary & graph.composed(own, oid))
+            was, position = ids(more[0]), more[1].to_numpy(zero_copy_only=False)[row] if len(row) else np.zeros(0)
+            user = np.flatnonzero(binary & graph.composed(was, oid))
             left[user] = False
-            found = [as_json(graph.plain(int(own[k]), bytes(data.flat[data.start[k] : data.start[k] + data.size[k]]), int(position[k]))) for k in user]
+            found = [as_json(graph.plain(int(was[k]), bytes(data.flat[data.start[k] : data.start[k] + data.size[k]]), int(position[k]))) for k in user]
             parts.append((user, pa.array(found, pa.string())))
         for o in np.unique(oid[binary & left]).tolist():
             if o in texts:

@@ -6,8 +6,9 @@ One row a change with its number in the transaction, rather than one list a tran
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from walloom.functions import layouts
@@ -17,32 +18,39 @@ from walloom.session import stored
 from walloom.sources import frames
 
 
-def _delivered(spark, path: str | DataFrame, registry: rows.Registry | None, types: DataFrame | None) -> DataFrame:
+#: What users add: by a type's id a decoder of a column of bytes to a column of text, of expressions only; or by its name a `layouts.Type`, as `replicate` takes it too.
+Registry = dict[int | str, Callable[[Column], Column] | layouts.Type]
+
+
+def _delivered(spark, path: str | DataFrame, registry: Registry | None, types: DataFrame | None) -> DataFrame:
     """Every committed change of a table with its rows as maps, its number in its transaction, and `unknown`: its values that can't be read."""
     graph = catalog.type_graph(types) if types is not None else None
+    own = {name: t for name, t in (registry or {}).items() if isinstance(t, layouts.Type)}
+    by_oid = {oid: one for oid, one in (registry or {}).items() if oid not in own}
     found = common.messages(spark, path)
     changes = common.described(found, common.committed(found).where("type <> 'message'"), graph)
+    # ranged by commit once: a transaction is in one range, so numbering it shuffles nothing more
+    changes = transactions.positions(changes.repartitionByRange("commit_seq"), ["slot", "commit_seq", "tx"], F.struct("seq", "target"))
     each = lambda f: F.transform("attributes", lambda a: a[f])
     for c in ("new", "old"):
-        changes = changes.withColumn(f"{c}_texts", layouts.shown(F.col(f"{c}_tuple"), each("type_oid"), each("sent_oid"), F.col("seq"), graph))
-    known, decoders = rows.known_oids(registry, graph), {**rows.WIRE, **(registry or {})}
+        changes = changes.withColumn(f"{c}_texts", layouts.shown(F.col(f"{c}_tuple"), each("type_oid"), each("sent_oid"), F.col("seq"), graph, own))
+    known, decoders = rows.known_oids({**by_oid, **{t.oid: None for t in own.values()}}, graph), {**rows.WIRE, **by_oid}
     side = lambda c: F.transform(rows.unknown_values(F.col("attributes"), F.coalesce(f"{c}_tuple", F.array().cast(frames.TUPLE)), known), lambda v: F.struct(F.lit(c).alias("row"), v["column"].alias("column"), v["oid"].alias("oid"), v["data"].alias("data")))
     new, old = (rows.row_map(F.col("attributes"), F.col(f"{c}_tuple"), decoders, failfast=False, texts=F.col(f"{c}_texts")) for c in ("new", "old"))
-    numbered = transactions.positions(changes, ["slot", "tx"], F.struct("seq", "target"))
-    return numbered.select("slot", "seq", "commit_seq", "n", "commit_lsn", "tx_end_lsn", "commit_timestamp", "type", "namespace", "name", new.alias("new_row"), old.alias("old_row"), F.concat(side("new"), side("old")).alias("unknown"))
+    return changes.select("slot", "seq", "commit_seq", "n", "commit_lsn", "tx_end_lsn", "commit_timestamp", "type", "namespace", "name", new.alias("new_row"), old.alias("old_row"), F.concat(side("new"), side("old")).alias("unknown"))
 
 
-def deliver(spark, path: str | DataFrame, registry: rows.Registry | None = None, types: DataFrame | None = None) -> DataFrame:
+def deliver(spark, path: str | DataFrame, registry: Registry | None = None, types: DataFrame | None = None) -> DataFrame:
     """A truncate is a row for each of its tables, with neither a new row nor an old one. types: the database's own types, as `catalog.type_graph` takes them:
     enums come out as texts, domains as what they are over, composites as JSON. Values of types that have a decoder neither
     here nor in the registry fail, because a map would leave them out unseen; `split` sets them aside."""
     every = _delivered(spark, path, registry, types)
     first = F.element_at("unknown", 1)
     known = F.when(F.size("unknown") > 0, F.raise_error(F.concat(F.lit("no decoder for type "), first["oid"].cast("string"), F.lit(" of column "), first["column"])).cast("boolean")).otherwise(F.lit(True))
-    return transactions.in_commit_order(every.where(known).drop("unknown", "seq"), "commit_seq", "n")
+    return every.where(known).drop("unknown", "seq").sortWithinPartitions("commit_seq", "n")
 
 
-def split(spark, path: str | DataFrame, registry: rows.Registry | None = None, types: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def split(spark, path: str | DataFrame, registry: Registry | None = None, types: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(what `deliver` gives for changes whose every value can be read; the values that can't: slot, seq, commit_seq, namespace, name, row, column, oid, data).
 
     Both come from one pass that is stored. A change with such a value is left out as a whole and keeps its number in the transaction, so that a consumer sees that it is missing; once a decoder is there, the log

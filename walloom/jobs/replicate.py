@@ -38,7 +38,7 @@ ORDER = ["commit_seq", "seq", "part"]
 
 def keyed(changes: DataFrame, keys: list[str], kinds: dict[str, str], registry: dict | None = None) -> tuple[DataFrame, dict[str, str]]:
     """Described changes of one table as typed rows with their key, in ORDER, and the columns' marks of large values that weren't sent."""
-    known = {**decoders(kinds), **(registry or {})}
+    known = {**decoders(kinds), **{kind: layouts.decoder(kind, {kind: one}) if isinstance(one, layouts.Type) else one for kind, one in (registry or {}).items()}}
     value = [F.struct(*rows.typed(F.col(f"{c}_tuple"), kinds, known)).alias(c) for c in ("new", "old")]
     log = changes.select(F.col("type").alias("op"), "commit_seq", "seq", "old_kind", *value, rows.unchanged(F.col("new_tuple"), F.col("attributes")).alias("unchanged"))
     values = [c for c in kinds if c not in keys]
@@ -61,7 +61,7 @@ def after_truncates(changes: DataFrame) -> DataFrame:
 
 
 def replicate(spark, path: str | DataFrame, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None, types: DataFrame | None = None) -> DataFrame:
-    """registry: type -> decoder of a column of bytes, added to those of the built-in types or in place of them. types: the database's own types, as
+    """registry: type -> decoder of a column of bytes, or `layouts.Type`, added to those of the built-in types or in place of them. types: the database's own types, as
     `catalog.type_graph` takes them; kinds may name them. A moved row keeps its large values, whether they were sent or not."""
     graph = catalog.type_graph(types) if types is not None else None
     kinds, own = built_in(kinds, graph) if graph else (kinds, {})

@@ -73,14 +73,19 @@ def _coded(columns: list[pa.Array], n: int) -> tuple[np.ndarray, dict[int, tuple
     return code, names
 
 
-def filled(log: DataFrame, keys: list[str], order: str, mark: str, rows: int, ties: list = ()) -> DataFrame:
-    """Adds __filled: the last non-null `mark` at or before each row, in buckets of places.
+def hot(log: DataFrame, keys: list[str], rows: int) -> bool:
+    """Whether a key has more than so many rows. An aggregate with map-side combine over the keys alone."""
+    return not log.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > rows).isEmpty()
+
+
+def filled(log: DataFrame, keys: list[str], order: str, mark: str, rows: int, ties: list = (), upto: int = 0) -> DataFrame:
+    """Adds __filled: the last non-null `mark` at or before each row, in buckets of places. upto -1: before the row, without its own.
 
     One window over all rows of a key would be one task. Each bucket is filled by itself, and the last mark of the buckets before comes in from a table
     of one row a bucket. That table is what runs in order, `rows` times smaller than the log.
     """
     held = log.withColumn("__bucket", F.floor(F.col(order) / rows))
-    inside = F.last(mark, ignorenulls=True).over(Window.partitionBy(*keys, "__bucket").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, 0))
+    inside = F.last(mark, ignorenulls=True).over(Window.partitionBy(*keys, "__bucket").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, upto))
     last = held.groupBy(*keys, "__bucket").agg(F.max_by(mark, F.when(F.col(mark).isNotNull(), F.struct(order))).alias("__last"))
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = last.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("__bucket").alias("__of"), F.last("__last", ignorenulls=True).over(before).alias("__carry")).where("__carry is not null")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.usertypes import LAST, TypeGraph, Version
+from ..session import broadcast_if_small, stored
 
 #: Commands whose tags carry a number of rows.
 COUNTED = ("INSERT", "DELETE", "UPDATE", "MERGE", "SELECT", "MOVE", "FETCH", "COPY")
@@ -34,7 +35,16 @@ def rows_by_command(tags: DataFrame, column: str = "tag") -> DataFrame:
 
 def named_states(errors: DataFrame, states: DataFrame, code: str = "error_code") -> DataFrame:
     """Errors with the condition's name from a table states(error_code, condition), `unknown` where it has none."""
-    return errors.join(F.broadcast(states), code, "left").withColumn("condition", F.coalesce("condition", F.lit("unknown")))  # the standard's codes
+    return errors.join(broadcast_if_small(stored(states)), code, "left").withColumn("condition", F.coalesce("condition", F.lit("unknown")))
+
+
+def states(spark: SparkSession, path: str) -> DataFrame:
+    """(error_code, condition) from the list of codes that the server's source holds as text: lines of a code, a letter, a macro and, for most, the condition's
+    name, whose words come out with hyphens. Comments, sections and codes without a name are left out; of a code with several names the first stays."""
+    line = spark.read.text(path).select(F.trim("value").alias("value"), F.monotonically_increasing_id().alias("n"))
+    part = lambda k: F.regexp_extract("value", r"^([0-9A-Z]{5})\s+[EWS]\s+\S+\s+([a-z_0-9]+)$", k)
+    named = line.select("n", part(1).alias("error_code"), F.replace(part(2), F.lit("_"), F.lit("-")).alias("condition")).where("error_code <> ''")
+    return named.groupBy("error_code").agg(F.min_by("condition", "n").alias("condition"))
 
 
 def named_fields(fields: Column) -> Column:

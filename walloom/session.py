@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -32,10 +33,14 @@ def ship(spark: SparkSession) -> None:
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The folder that the session names in spark.checkpoint.dir; a temporary one only where that is unset, as in tests."""
+    """The folder that the session names in spark.checkpoint.dir. Where that is unset, a temporary one of a session that is one process, as in tests; on a cluster,
+    whose machines don't share such folders, that is an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-"))
     return context.getCheckpointDir()
 
 
