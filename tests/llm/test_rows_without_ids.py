@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from walloom.llm import ngram_join, vector_dedup
+from walloom.llm import ngram_join, vector_dedup, vector_topk
 
 WORDS = [f"w{k}" for k in range(60)]
 
@@ -35,3 +35,13 @@ def test_vectors_without_ids_and_with_repeated_ones(spark):
     assert sorted((tuple(r) for r in got), key=str) == sorted([
         (None, 2, 5, False), (5, 2, 5, True), (9, 2, 5, False), (5, 1, 5, True), (7, 1, 5, False), (None, 1, None, True), (None, 1, None, True), (None, 0, None, True), (9, 0, 9, True),
     ], key=str)
+
+
+def test_search_among_rows_without_ids_and_with_repeated_ones(spark):
+    rows = [(50, [1.0, 0.0]), (50, [1.0, 0.5]), (1, [1.0, 0.0]), (None, [1.0, 0.0]), (None, [2.0, 0.0]), (2, None)]
+    got = vector_topk.topk_query(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        by.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    one = 256 * 256
+    assert sorted(by[50], key=str) == sorted([(1, None, 2 * one), (2, 1, one), (3, 50, one), (4, None, one), (1, None, 2 * one), (2, 1, one), (3, 50, one), (4, None, one)], key=str) and set(by) == {50}

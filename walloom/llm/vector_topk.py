@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, checkpointed
+from .common import broadcast_if_small, checkpointed, stored
 
 SAFE = float(1 << 52)
 NONE = np.iinfo(np.int64).min
@@ -29,17 +29,23 @@ def levels_of(width: int) -> list[int]:
     return [*coarse, max(1, width // 2)]
 
 
+def _whole(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
+    v = F.col("v")
+    fit = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where(fit_of(fit))
+    return rows.select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("double")).alias("v"))
+
+
 def whole_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(vec_id, v array<double>): floor(scale * x) of every component; vectors that are null or empty or hold null or
     non-finite components are left out, and of rows that repeat an id the least vector stays."""
-    v = F.col("v")
-    fit = v.isNotNull() & (F.size(v) > 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    return (
-        vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
-        .where(F.col("vec_id").isNotNull() & fit_of(fit))
-        .select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("double")).alias("v"))
-        .groupBy("vec_id").agg(F.min("v").alias("v"))
-    )
+    return _whole(vectors, id_col, vector_col, scale).where("vec_id is not null").groupBy("vec_id").agg(F.min("v").alias("v"))
+
+
+def whole_rows(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
+    """(row, vec_id, v): the same of every row, also of those that repeat an id or have none, under numbers in the order of their ids (nulls last, then by vector)."""
+    ordered = _whole(vectors, id_col, vector_col, scale).orderBy(F.col("vec_id").asc_nulls_last(), "v")
+    return stored(ordered.select(F.monotonically_increasing_id().alias("row"), "vec_id", "v"))
 
 
 def fit_of(column):
@@ -291,5 +297,12 @@ def survivors(vectors: DataFrame, queries: DataFrame, k: int = 5, tile: int = TI
 
 
 def topk_query(embeddings: DataFrame) -> DataFrame:
-    vectors = checkpointed(whole_vectors(embeddings, "vec_id", "embedding", 256))
-    return exact_topk(vectors, vectors.where(F.pmod("vec_id", F.lit(50)) == 0))
+    """-> (query_id, rank, vec_id, score) of every row whose id is divisible by 50 against every other row. Rows that repeat an id are queries and candidates each;
+    rows without one are candidates, behind all others where scores tie."""
+    rows = whole_rows(embeddings, "vec_id", "embedding", 256)
+    vectors = rows.select(F.col("row").alias("vec_id"), "v")
+    asked = rows.where(F.pmod("vec_id", F.lit(50)) == 0)
+    found = exact_topk(vectors, asked.select(F.col("row").alias("vec_id"), "v"))
+    who = lambda r, name: rows.select(F.col("row").alias(r), F.col("vec_id").alias(name))
+    named = found.select(F.col("query_id").alias("__query"), "rank", F.col("vec_id").alias("__found"), "score").join(who("__query", "query_id"), "__query").join(who("__found", "vec_id"), "__found")
+    return named.select("query_id", "rank", "vec_id", "score")
