@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from walloom.functions import layouts, wire
 from walloom.jobs import deliver, outbox, replicate
+from walloom.operators import transactions
 from walloom.sources import frames
 
 
@@ -81,3 +82,20 @@ def test_deliver_truncates_and_types(spark, wide_log):
     got = deliver.deliver(spark, wide_log).where("commit_lsn >= 200").collect()
     assert [(r["commit_lsn"], r["n"], r["type"], r["name"]) for r in got] == [(200, 1, "truncate", "t"), (200, 2, "truncate", "u"), (200, 3, "insert", "t"), (200, 4, "insert", "t"), (200, 5, "insert", "t"), (300, 1, "update", "t")]
     assert got[2]["new_row"] == {"a": "2", "b": "x", "n": "2.20", "f": "2.5", "at": "1000000"} and got[4]["new_row"]["n"] == "7.50"
+
+
+def test_numbers_of_long_transactions(spark):
+    """Transactions that span many steps, one step or a part of one, of two slots, with changes at one place, and one whose early steps hold nothing."""
+    rows = [(slot, end, end - back, k) for slot in "ab" for end, backs in ((100, range(1, 98)), (200, (1, 2)), (205, (1, 60, 61, 62))) for back in backs for k in range(1 + (back % 5 == 0))]
+    log = spark.createDataFrame(rows, "slot string, commit_seq long, seq long, target int").repartition(5)
+    for step in (1, 7, 10, 1000):
+        found = transactions.numbered(log, ["slot", "commit_seq"], "commit_seq", "seq", ["target"], step)
+        got = {(r["slot"], r["commit_seq"], r["seq"], r["target"]): r["n"] for r in found.collect()}
+        expected = {}
+        for key in {r[:2] for r in rows}:
+            expected |= {r: n for n, r in enumerate(sorted(r for r in rows if r[:2] == key), 1)}
+        assert got == expected
+        assert found.columns == [*log.columns, "n"]
+    parts = transactions.numbered(log.where("slot = 'a'"), ["slot", "commit_seq"], "commit_seq", "seq", ["target"], 7).select("commit_seq", "n").rdd.glom().collect()
+    assert [tuple(r) for p in parts for r in p] == sorted(tuple(r) for p in parts for r in p)
+    assert transactions.numbered(log.limit(0), ["slot", "commit_seq"], "commit_seq", "seq").count() == 0

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.usertypes import TypeGraph
 from ..operators import catalog, progress, transactions
 from ..sources import frames
-from ..session import broadcast_if_small, ship, stored
+from ..session import broadcast_if_small, ship, small, stored
 
 
 def session(name: str) -> SparkSession:
@@ -33,7 +33,9 @@ def messages(spark: SparkSession, landed: str | DataFrame) -> DataFrame:
 
 def with_transactions(found: DataFrame) -> DataFrame:
     """Messages with `tx`: of a plain transaction the position of its begin, so an attempt that broke off and came again is
-    two; of a streamed one its negative id."""
+    two; of a streamed one its negative id. Messages that have it already stay as they are."""
+    if "tx" in found.columns:
+        return found
     opened = F.when(F.col("type") == "begin", F.col("seq"))
     log = transactions.carry_forward(found, opened, "begin_seq").withColumn("tx", F.when(F.col("stream_xid") >= 0, -F.col("stream_xid")).otherwise(F.col("begin_seq")))
     return log.withColumn("tx", F.when(F.col("type").isin("stream_start", "stream_commit", "stream_abort"), -F.col("xid")).otherwise(F.col("tx")))
@@ -44,7 +46,7 @@ def committed(found: DataFrame) -> DataFrame:
 
     Changes of aborted transactions and subtransactions, and of those without an outcome, are left out. Of a streamed
     transaction that was sent again, the copy counts that its first commit ends. Outcomes are stored and measured, and sent to the changes where they are few:
-    then changes stay where they lie.
+    then changes stay where they lie. Where all of them together are many, what is made of them is measured part by part.
     """
     log = with_transactions(found)
     outcomes = stored(log.where(F.col("type").isin("commit", "stream_commit", "stream_abort") | (F.col("segment") == "first")).select("slot", "seq", "tx", "xid", "type", "subtransaction_xid", "commit_lsn", "tx_end_lsn", "commit_timestamp"))
@@ -53,9 +55,10 @@ def committed(found: DataFrame) -> DataFrame:
     ends = ends.join(first, ["slot", "commit_lsn", "commit_seq"], "left_semi")
     starts = outcomes.where("type = 'stream_start'").select("slot", "tx", F.col("seq").alias("started"))
     copies = ends.where("tx < 0").select("slot", "tx", "commit_seq").join(starts, ["slot", "tx"]).where("started < commit_seq").groupBy("slot", "tx", "commit_seq").agg(F.max("started").alias("started"))
-    ends = broadcast_if_small(stored(ends.join(copies, ["slot", "tx", "commit_seq"], "left")))
+    sent = F.broadcast if small(outcomes) else lambda part: broadcast_if_small(stored(part))  # each part is no larger than the outcomes
+    ends = sent(ends.join(copies, ["slot", "tx", "commit_seq"], "left"))
     aborts = outcomes.where("type = 'stream_abort'").select("slot", "tx", F.col("xid").alias("top"), F.col("subtransaction_xid").alias("xid"))
-    whole, part = (broadcast_if_small(stored(x)) for x in (aborts.where("top = xid").select("slot", "tx").distinct(), aborts.where("top <> xid").select("slot", "tx", "xid").distinct()))
+    whole, part = (sent(x) for x in (aborts.where("top = xid").select("slot", "tx").distinct(), aborts.where("top <> xid").select("slot", "tx", "xid").distinct()))
     changes = log.where(F.col("type").isin("insert", "update", "delete", "truncate", "message")).select("slot", "seq", "tx", "xid", "type", "rel_oid", "oids", "old_kind", "old_tuple", "new_tuple", "prefix", "content", "transactional")
     changes = changes.join(whole, ["slot", "tx"], "left_anti").join(part, ["slot", "tx", "xid"], "left_anti")
     return changes.join(ends, ["slot", "tx"]).where("seq < commit_seq AND (started IS NULL OR seq > started)").drop("started")
@@ -72,10 +75,11 @@ def undecided(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     last = log.groupBy("slot").agg(F.max("begin_seq").alias("last_begin"))
     kinds = F.col("type").isin("begin", "stream_start", "stream_abort", "insert", "update", "delete", "truncate") | ((F.col("type") == "message") & F.col("transactional"))
     kept = log.where(kinds & F.col("tx").isNotNull()).join(broadcast_if_small(stored(over.select("slot", "tx").distinct())), ["slot", "tx"], "left_anti").join(F.broadcast(last), "slot").where("tx < 0 OR tx = last_begin")  # a row a slot
-    kept = stored(kept.select(*found.columns, "tx"))
+    own = [c for c in found.columns if c not in ("tx", "begin_seq")]
+    kept = stored(kept.select(*own, "tx"))
     oldest = kept.groupBy("slot").agg(F.min("seq").alias("oldest"))
     known = progress.validity(found.where("type = 'relation'"), ["slot", "rel_oid"]).join(F.broadcast(oldest), "slot", "left")
-    return kept, known.where("valid_to IS NULL OR valid_to > oldest").select(*found.columns)
+    return kept, known.where("valid_to IS NULL OR valid_to > oldest").select(*own)
 
 
 def described(found: DataFrame, changes: DataFrame, graph: TypeGraph | None = None) -> DataFrame:

@@ -22,15 +22,14 @@ from walloom.sources import frames
 Registry = dict[int | str, Callable[[Column], Column] | layouts.Type]
 
 
-def _delivered(spark, path: str | DataFrame, registry: Registry | None, types: DataFrame | None) -> DataFrame:
+def _delivered(spark, path: str | DataFrame, registry: Registry | None, types: DataFrame | None, step: int = 1_000_000) -> DataFrame:
     """Every committed change of a table with its rows as maps, its number in its transaction, and `unknown`: its values that can't be read."""
     graph = catalog.type_graph(types) if types is not None else None
     own = {name: t for name, t in (registry or {}).items() if isinstance(t, layouts.Type)}
     by_oid = {oid: one for oid, one in (registry or {}).items() if oid not in own}
     found = common.messages(spark, path)
     changes = common.described(found, common.committed(found).where("type <> 'message'"), graph)
-    # ranged by commit once: a transaction is in one range, so numbering it shuffles nothing more
-    changes = transactions.positions(changes.repartitionByRange("commit_seq"), ["slot", "commit_seq", "tx"], F.struct("seq", "target"))
+    changes = transactions.numbered(changes, ["slot", "commit_seq", "tx"], "commit_seq", "seq", ["target"], step)
     each = lambda f: F.transform("attributes", lambda a: a[f])
     for c in ("new", "old"):
         changes = changes.withColumn(f"{c}_texts", layouts.shown(F.col(f"{c}_tuple"), each("type_oid"), each("sent_oid"), F.col("seq"), graph, own))
@@ -47,7 +46,7 @@ def deliver(spark, path: str | DataFrame, registry: Registry | None = None, type
     every = _delivered(spark, path, registry, types)
     first = F.element_at("unknown", 1)
     known = F.when(F.size("unknown") > 0, F.raise_error(F.concat(F.lit("no decoder for type "), first["oid"].cast("string"), F.lit(" of column "), first["column"])).cast("boolean")).otherwise(F.lit(True))
-    return every.where(known).drop("unknown", "seq").sortWithinPartitions("commit_seq", "n")
+    return every.where(known).drop("unknown", "seq")
 
 
 def split(spark, path: str | DataFrame, registry: Registry | None = None, types: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:

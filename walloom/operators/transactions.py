@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from ..session import broadcast_if_small, stored
 from . import asof
 
 
@@ -65,10 +66,32 @@ def batches(changes: DataFrame, keys: list[str], order: str, columns: list[str])
 
 
 def positions(changes: DataFrame, keys: list[str], order: str | Column, name: str = "n") -> DataFrame:
-    """The number of each change in its transaction, from 1."""
+    """The number of each change in its transaction, from 1. A transaction is one task's work; `numbered` has no such bound."""
     return changes.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
 
 
+def numbered(changes: DataFrame, keys: list[str], end: str, place: str, ties: list[str] = (), rows: int = 1_000_000, name: str = "n") -> DataFrame:
+    """The number (a long) of each change in its transaction, from 1, in ranges of (end, place): each partition follows the one before and is sorted so.
+
+    end: one of the keys, the position at which the transaction ends, which is behind all its changes; ties order changes at one place. Counted back from their end, changes lie in steps of `rows` places; a transaction that spans more than one is
+    spread over its steps. Each step is numbered by itself, and what the steps before hold is added. Only steps before the last are counted for that, so short transactions cost one filter. The one
+    shuffle by range serves the numbers as well.
+    """
+    step = F.floor((F.col(place) - F.col(end)) / rows).cast("bigint")
+    changes = changes.withColumn("__step", step)
+    early = changes.where("__step < -1").groupBy(*keys, "__step").agg(F.count("*").alias("__count"))
+    early = stored(early.unionByName(early.select(*keys, F.lit(-1).cast("bigint").alias("__step"), F.lit(0).cast("bigint").alias("__count")).distinct()))
+    before = F.sum("__count").over(Window.partitionBy(*keys).orderBy("__step").rowsBetween(Window.unboundedPreceding, -1))
+    carried = early.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("__step").alias("__of"), before.alias("__before")).where("__before is not null")
+    on = F.col("__step") == F.col("__of")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    dealt = changes.join(broadcast_if_small(carried), on, "left").repartitionByRange(end, "__step")
+    own = F.row_number().over(Window.partitionBy(*keys, "__step").orderBy(place, *ties))
+    found = dealt.withColumn(name, own + F.coalesce("__before", F.lit(0).cast("bigint")))
+    return found.drop("__step", "__of", "__before", *(f"__{k}" for k in keys)).sortWithinPartitions(end, name)
+
+
 def deduplicated(changes: DataFrame, position: str, order: str, slot: str | None = None) -> DataFrame:
     """Of transactions that came again, the first copy: rows of the smallest attempt of each commit position.
 

@@ -850,6 +850,13 @@ def stream_committed(spark, d):
     return replica.committed_to_end(spark, verify.together(*slots))
 
 
+@query(LOG + "SELECT seq, op, user_id, ROW_NUMBER() OVER (PARTITION BY seq // 5000 ORDER BY seq) AS n FROM log")
+def numbered_long(spark, d):
+    """The number of each change in transactions of 5000 places, which are cut into steps of 64, so that no task numbers a whole one."""
+    log = derived(spark, d).select("seq", "op", "user_id", (F.floor(F.col("seq") / 5000) * 5000 + 5000).alias("end"))
+    return transactions.numbered(log, ["end"], "end", "seq", rows=64).select("seq", "op", "user_id", "n")
+
+
 @query(LOG + "SELECT xid, commit_lsn, op, user_id, CAST(ROW_NUMBER() OVER (PARTITION BY xid ORDER BY seq) AS INTEGER) AS n FROM log")
 def stream_unique(spark, d):
     """A stream in which every tenth transaction comes twice, each change once."""

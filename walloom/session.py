@@ -51,7 +51,12 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, most: int = 32 << 20) -> DataFrame:
-    """A stored table, broadcast where its rows are measured to take at most so many bytes as JSON; else Spark shuffles both sides of the join."""
+def small(df: DataFrame, most: int = 32 << 20) -> bool:
+    """Whether a stored table's rows are measured to take at most so many bytes as JSON."""
     size = df.agg(F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()[0] if df.columns else 0
-    return F.broadcast(df) if (size or 0) <= most else df
+    return (size or 0) <= most
+
+
+def broadcast_if_small(df: DataFrame, most: int = 32 << 20) -> DataFrame:
+    """A stored table, broadcast where it is small; else Spark shuffles both sides of the join."""
+    return F.broadcast(df) if small(df, most) else df

@@ -191,7 +191,7 @@ class Decoder:
         if last is not None:
             fresh = fresh.join(F.broadcast(marker.select("slot", "seq")), ["slot", "seq"], "left_anti")
         fresh = fresh.withColumn("part", F.lit(version).cast("bigint"))
-        found = stored(fresh if before is None else fresh.unionByName(before))
+        found = stored(common.with_transactions(fresh if before is None else fresh.unionByName(before)))
         changes = common.committed(found)
         ends = found.groupBy("slot").agg(F.max("seq").alias("last_seq")).join(changes.groupBy("slot").agg(F.max("commit_lsn").alias("commit_lsn")), "slot", "left")
         if last is not None:
