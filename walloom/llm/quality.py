@@ -18,6 +18,8 @@ ROUNDS, SURE = 4, 0.95
 TAUGHT_WEIGHT = 0.5
 #: Bytes of text that a task takes at once.
 SLICE = 2 << 20
+#: Sums of tasks are added up in so many groups of tasks, and these once more.
+BRANCHES = 256
 PAIR_BINS, SOURCE_BINS, LANG_BINS, SIZE_BINS = 256, 32, 16, 12
 
 
@@ -203,11 +205,14 @@ class SparkLesson:
     def sums(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = self.table.where(F.col("code").isin(list(self.labels)))
         parts = rows.mapInArrow(frugal(_part_sums(self.labels, w), "quality"), "place int, line binary")
-        found = parts.groupBy("place").applyInArrow(_added, "place int, line binary").toArrow()
-        whole = np.zeros((len(w), len(w) + 1))
+        branched = parts.withColumn("branch", F.pmod(F.spark_partition_id(), F.lit(BRANCHES)))
+        added = branched.groupBy("place", "branch").applyInArrow(_added, "place int, line binary")
+        found = added.groupBy("place").applyInArrow(_added, "place int, line binary").toArrow()  # a line a weight
+        upper, g = np.zeros((len(w), len(w))), np.zeros(len(w))
         for place, line in zip(found["place"].to_pylist(), found["line"].to_pylist(), strict=True):
-            whole[place] = np.frombuffer(line)
-        return whole[:, -1], whole[:, :-1]
+            line = np.frombuffer(line)
+            upper[place, place:], g[place] = line[:-1], line[-1]
+        return g, upper + np.triu(upper, 1).T
 
 
 def _matrix(column: pa.Array, rows: int) -> np.ndarray:
@@ -229,7 +234,7 @@ def _told(teacher: View, sure: float):
 
 
 def _part_sums(labels: dict[int, float], w: np.ndarray):
-    """A task's Hessian, one row a line, with the gradient as the last column."""
+    """A task's Hessian, which is symmetric, from the diagonal on, one row a line, with the gradient as the last column."""
 
     def run(batches):
         label = np.zeros(SOURCE_BINS * LANG_BINS * SIZE_BINS)
@@ -241,7 +246,7 @@ def _part_sums(labels: dict[int, float], w: np.ndarray):
                 whole[:, -1] += g
                 whole[:, :-1] += h
         if whole.any():
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w), dtype=np.int32)), pa.array([line.tobytes() for line in whole], pa.binary())], ["place", "line"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(w), dtype=np.int32)), pa.array([line[k:].tobytes() for k, line in enumerate(whole)], pa.binary())], ["place", "line"])
 
     return run
 
