@@ -354,7 +354,7 @@ def train(documents: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED
         return None
     unpack = lambda c: table[c].combine_chunks().flatten().to_numpy().reshape(len(y), -1)
     text, meta = unpack("text"), unpack("meta")
-    order = np.lexsort((*text.T[:8], *meta.T[:8], y))  # the same rows in the same order, however Spark dealt them
+    order = np.lexsort((*text.T, *meta.T, y))  # the same rows in the same order, however Spark dealt them
     order = order[np.random.default_rng(7).permutation(len(order))]
     featured = rows.where("doc_id is not null").mapInArrow(frugal(_pooled, "quality"), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, code int, text binary")
     pool = featured.join(broadcast_if_small(given.select("doc_id"), given.count()), "doc_id", "left_anti").select("code", "text")
