@@ -170,9 +170,10 @@ def stream_state(spark, d):
 
 @query(LOG + "SELECT seq, xid, op, TRUE AS in_order FROM log")
 def commit_order(spark, d):
-    """in_order: whether a row stands behind all rows of the partitions before its own and behind the row before it."""
+    """in_order: whether a row stands behind all rows of the partitions before its own and behind the row before it. Rows are stored with their places: planned twice, the order would be dealt
+    to other partitions each time, as large as the columns that are read."""
     ordered = transactions.in_commit_order(derived(spark, d).select("seq", "xid", "op"), "xid", "seq")
-    placed = ordered.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id())
+    placed = stored(ordered.withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()))
     at = F.struct("xid", "seq")
     ends = placed.groupBy("part").agg(F.max(at).alias("last"))
     before = ends.select("part", F.lag("last").over(Window.orderBy("part")).alias("before"))  # a row a partition
