@@ -133,3 +133,24 @@ def test_messages_of_an_open_transaction_are_written_once(spark):
     inserts = [decoder._read(spark, "held", k).where("type = 'insert'").count() for k in range(7)]
     assert inserts[:3] == [1, 1, 1] and max(inserts) <= 5 and sum(inserts) < 1 + 2 + 3 + 4 + 5 + 6  # together once there are more than three parts
     assert inserts[-1] == 0 and sorted(r["id"] for r in table.table(spark).collect()) == list(range(6))
+
+
+@pytest.mark.parametrize("parts", [1, 16])
+def test_held_transactions_over_batches(spark, parts):
+    """Ids that come again, outcomes and aborts of subtransactions in batches of their own, two slots, a slot without a name, a batch that runs again, rows written together."""
+    columns = "slot string, seq long, xid long, subxid long, kind string, value string"
+    batches = [
+        [("a", 1, 7, 7, "change", "x"), ("a", 2, 7, 8, "change", None), ("b", 1, 7, 7, "change", "other"), (None, 1, 7, None, "change", "no slot"), ("a", 3, 9, 9, "change", "gone")],
+        [("a", 4, 7, 8, "abort", None), ("a", 5, 9, 9, "abort", None), ("a", 6, 9, 9, "commit", None), ("b", 2, 7, 6, "change", "more")],
+        [("a", 7, 7, None, "commit", None), ("a", 8, 10, 10, "change", "once"), ("a", 9, 10, None, "commit", None)],
+        [("a", 10, 7, 7, "change", "again"), ("a", 11, 7, 8, "change", "kept now"), (None, 2, 7, None, "commit", None)],
+        [("a", 12, 7, None, "commit", None), ("b", 3, 7, 7, "abort", None), ("c", 1, 1, 1, "change", "open")],
+    ]
+    held = replica.Held(replica.folder(spark), parts)
+    for k, rows in enumerate(batches):
+        batch = spark.createDataFrame(rows, columns)
+        held(batch, k)
+        if k in (2, 4):
+            held(batch, k)
+    found = held.released(spark, batch.drop("kind").schema).select("slot", "seq", "value").collect()
+    assert sorted((tuple(r) for r in found), key=repr) == sorted([("a", 1, "x"), (None, 1, "no slot"), ("a", 8, "once"), ("a", 10, "again"), ("a", 11, "kept now")], key=repr)

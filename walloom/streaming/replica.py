@@ -6,11 +6,10 @@ import json
 import uuid
 from collections.abc import Callable, Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import IntegralType, StructType
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..jobs import common, replicate
 from ..operators import apply, catalog
@@ -240,57 +239,63 @@ def run_to_end(spark: SparkSession, log: DataFrame, replica: Replica, order: str
     return replica.table(spark)
 
 
-class Held(StatefulProcessor):
-    """Changes of one streamed transaction of a slot, held in state until it commits. Those of aborted subtransactions are left out, and a transaction that aborts is forgotten.
+class Held:
+    """Changes of streamed transactions, keyed by slot and transaction id, held in tables until each commits; what commits is written to the folder `out`, a part for each batch. Those of aborted
+    subtransactions are left out, and a transaction that aborts is forgotten; after either its id may come again.
 
-    columns: of the changes, as given; nothing is known of them. Changes are released as state is read, a block at a time, so that memory doesn't grow with a transaction.
+    Rows come with slot, xid, subxid and kind, and with any other columns. kind: change, commit or abort, of which the last names in subxid what it ends: the transaction where that is xid.
+    A batch writes its own undecided rows only, joined as whole tables, so nothing runs once a transaction. `open` names the transactions without an outcome with the batch since which they are
+    open, and comes last: a batch that fails runs again from the same state and writes over what it left. When parts are many, the rows that are still needed are written together.
     """
 
-    def __init__(self, columns: StructType, block: int = 10_000):
-        self.columns, self.block = columns, block
-        whole = [isinstance(f.dataType, IntegralType) for f in columns]  # pandas holds whole numbers with nulls among them as floats
-        self.plain = [(lambda v: None if v is None or v != v else int(v)) if w else (lambda v: None if v is None or v is pd.NaT or v != v else v) for w in whole]
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.changes = handle.getListState("changes", self.columns)
-        self.aborted = handle.getMapState("aborted", "subxid long", "aborted boolean")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timer) -> Iterator[pd.DataFrame]:
-        done = gone = False
-        names, sub = self.columns.names, self.columns.names.index("subxid")
-        for part in rows:
-            for x in part.loc[part["kind"] == "abort", "subxid"]:
-                gone |= int(x) == key[1]
-                self.aborted.updateValue((int(x),), (True,))
-            change = part.loc[part["kind"] == "change", names]
-            for a in range(0, len(change), self.block):
-                cut = change.iloc[a : a + self.block]
-                self.changes.appendList([tuple(one(v) for one, v in zip(self.plain, row, strict=True)) for row in cut.itertuples(index=False, name=None)])
-            done |= bool((part["kind"] == "commit").any())
-        if not gone and not done:
-            return
-        if not gone and self.changes.exists():
-            block, aborted = [], {k[0] for k in self.aborted.keys()} if self.aborted.exists() else set()
-            for row in self.changes.get():
-                if row[sub] not in aborted:
-                    block.append(tuple(row))
-                if len(block) == self.block:
-                    yield pd.DataFrame(block, columns=names)
-                    block = []
-            if block:
-                yield pd.DataFrame(block, columns=names)
-        self.changes.clear()
-        self.aborted.clear()
-
-    def close(self) -> None:
-        pass
-
-
-def committed(stream: DataFrame) -> DataFrame:
-    """stream(slot, xid, subxid, kind, ...) -> changes of transactions whose commit has arrived, with all their columns. kind: change, commit or abort, of which the
-    last names in subxid what it ends: the transaction where that is xid."""
-    columns = StructType([f for f in stream.schema if f.name != "kind"])
-    return stream.groupBy("slot", "xid").transformWithStateInPandas(Held(columns), columns, "Append", "None")
+    def __init__(self, path: str, parts: int = 16):
+        self.path, self.parts = path, parts
+
+    def _write(self, rows: DataFrame, name: str, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/{name}/version={batch}")
+
+    def __call__(self, arrived: DataFrame, batch: int) -> None:
+        spark = arrived.sparkSession
+        last = max((v for v in versions_at(spark, f"{self.path}/open") if v < batch), default=None)
+        mine = stored(arrived.where(F.col("kind").isin("change", "commit", "abort")).withColumn("__part", F.lit(batch).cast("bigint")))
+        whole = (F.col("kind") == "commit") | F.coalesce((F.col("kind") == "abort") & (F.col("subxid") == F.col("xid")), F.lit(False))
+        ended = stored(mine.where(whole).groupBy("slot", "xid").agg(F.max(F.col("kind") == "abort").alias("__gone")))
+        names, before = mine.columns, None
+        if last is not None:
+            open_ = spark.read.parquet(f"{self.path}/open/version={last}")
+            needed = [r["__in"] for r in spark.read.parquet(f"{self.path}/parts/version={last}").collect()]  # a few numbers
+            held = spark.read.schema(mine.schema).parquet(*(f"{self.path}/held/version={v}" for v in needed))
+            before = _of(held, open_, "inner").where("__part >= __since").select(*names)
+        rows = mine if before is None else mine.unionByName(before)
+        done = _of(rows.where("kind <> 'commit'"), ended.where("NOT __gone"), "left_semi")
+        aborted = done.where("kind = 'abort'").select("slot", "xid", "subxid").distinct()
+        released = _of(done.where("kind = 'change'"), aborted, "left_anti", ("slot", "xid"), ("subxid",))
+        self._write(released.drop("kind", "__part"), "out", batch)
+
+        kept = _of(mine, ended, "left_anti")
+        together = last is not None and len(needed) >= self.parts
+        self._write(_of(rows, ended, "left_anti") if together else kept, "held", batch)
+        self._write(spark.createDataFrame([(v,) for v in ([batch] if together or last is None else [*needed, batch])], "__in long"), "parts", batch)
+        now = kept.groupBy("slot", "xid").agg(F.min("__part").alias("__since"))
+        if last is not None:
+            now = now.unionByName(_of(open_, ended, "left_anti")).groupBy("slot", "xid").agg(F.min("__since").alias("__since"))
+        self._write(now, "open", batch)
+
+    def released(self, spark: SparkSession, columns: StructType) -> DataFrame:
+        """Changes of transactions whose commit has arrived, with all their columns, in no order."""
+        found = versions_at(spark, f"{self.path}/out")
+        return spark.read.schema(columns).parquet(*(f"{self.path}/out/version={v}" for v in found)) if found else spark.createDataFrame([], columns)
+
+
+def _of(rows: DataFrame, keyed: DataFrame, how: str, keys: tuple[str, ...] = ("slot", "xid"), equal: tuple[str, ...] = ()) -> DataFrame:
+    """Rows joined with a table by keys that may be null, and by others that may not."""
+    keyed = keyed.select(*(F.col(k).alias(f"__{k}") for k in (*keys, *equal)), *(c for c in keyed.columns if c not in (*keys, *equal)))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    for k in equal:
+        on = on & (F.col(k) == F.col(f"__{k}"))
+    return rows.join(keyed, on, how).drop(*(f"__{k}" for k in (*keys, *equal)))
 
 
 def unique(stream: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
@@ -309,16 +314,9 @@ def unique_to_end(spark: SparkSession, log: DataFrame, keys: list[str], time: st
 
 
 def committed_to_end(spark: SparkSession, events: DataFrame, pieces: int = 2) -> DataFrame:
-    """Land changes and outcomes piece by piece, run the stateful stream over them, and return what it has released."""
+    """Land changes and outcomes piece by piece, run the stream that holds them, and return what it has released."""
     home = folder(spark)
-    columns = StructType([f for f in events.schema if f.name != "kind"])
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    try:
-        for _ in turns(events, "seq", f"{home}/log", pieces):
-            stream = spark.readStream.schema(events.schema).parquet(f"{home}/log")
-            committed(stream).writeStream.format("parquet").option("path", f"{home}/out").option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).start().awaitTermination()
-    finally:
-        spark.conf.set(provider, before) if before is not None else spark.conf.unset(provider)
-    return spark.read.schema(columns).parquet(f"{home}/out")
+    held = Held(f"{home}/held")
+    for _ in turns(events, "seq", f"{home}/log", pieces):
+        follow(spark.readStream.schema(events.schema).parquet(f"{home}/log"), held, f"{home}/checkpoint").awaitTermination()
+    return held.released(spark, StructType([f for f in events.schema if f.name != "kind"]))
