@@ -7,6 +7,7 @@ import json
 import random
 import struct
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -288,3 +289,35 @@ def test_one_registry_for_both_jobs(spark):
 def test_delivery_shuffles_tuples_once(spark, sf_dir):
     plan = queries.deliver_frames(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert len([line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]) == 1 and "rangepartitioning(commit_seq" in plan
+
+
+def test_user_types_are_read_by_columns(monkeypatch):
+    """Whole columns of composites, arrays and domains say what values read one by one say, and aren't read one by one."""
+    number = lambda *n: b"".join(x.to_bytes(4, "big", signed=True) for x in n)
+    record = lambda *fields: number(len(fields)) + b"".join(number(o) + (number(-1) if d is None else number(len(d)) + d) for o, d in fields)
+    listed = lambda oid, *items: number(1, 1, oid, len(items), 1) + b"".join(number(-1) if d is None else number(len(d)) + d for d in items)
+    long, text = lambda n: n.to_bytes(8, "big", signed=True), lambda t: t.encode()
+    one = lambda n, t: record((20, long(n)), (70001, None if t is None else text(t)))
+    graph = usertypes.TypeGraph({
+        70001: [usertypes.Version(0, "e", "mood")], 70003: [usertypes.Version(0, "d", "doc", base=3802)], 70009: [usertypes.Version(0, "d", "inner", base=70004)],
+        70004: [usertypes.Version(0, "c", "place", fields=(("n", 20), ("kind", 70001))), usertypes.Version(50, "c", "place", fields=(("number \"x\"", 20), ("kind", 70001)))],
+        70005: [usertypes.Version(0, "b", "_place", element=70004)],
+        70006: [usertypes.Version(0, "c", "big", fields=tuple((f"f{k}", 0) for k in range(9)))],
+    })
+    double = struct.pack(">d", 0.1)
+    big = record((70004, one(-3, "é")), (70005, listed(70004, one(1, "a"), None, one(2, None))), (16, b"\x01"), (1007, listed(23, number(4), None)), (70003, b"\x01{}"), (701, double), (1700, layouts.numeric_bytes("-12.50")), (1082, number(1)), (2249, record((23, number(5)))))
+    values = [(70004, one(1, "a"), 1), (70004, one(2, 'q"\n\\'), 60), (70004, None, 3), (70004, record((20, long(7))), 4), (70009, one(9, ""), 51), (70005, number(0, 0, 70004), 5), (70005, listed(70004, one(1, "b"), None), 70), (70006, big, 9), (70006, big, 60), (70004, record(), 7), (70005, number(2, 0, 70004, 1, 1, 2, 1) + 2 * (number(len(one(1, "z"))) + one(1, "z")), 8)]
+    wanted = {o: [(None if d is None else layouts.as_json(graph.plain(o, d, at))) for q, d, at in values if q == o] for o in {o for o, _, _ in values}}
+    called = []
+    plain = usertypes.TypeGraph.plain
+    monkeypatch.setattr(usertypes.TypeGraph, "plain", lambda self, *a: called.append(a) or plain(self, *a))
+    for o, texts in wanted.items():
+        own = [(d, at) for q, d, at in values if q == o]
+        assert graph.json(o, columns.Bytes.of(pa.array([d for d, _ in own], pa.binary())), np.array([at for _, at in own])).to_pylist() == texts
+    assert len(called) == 6  # the elements of the array of two dimensions and their fields
+
+
+def test_a_domain_over_itself_fails_by_columns():
+    graph = usertypes.TypeGraph({1: [usertypes.Version(0, "d", "a", base=2)], 2: [usertypes.Version(0, "d", "b", base=1)]})
+    with pytest.raises(ValueError, match="over itself"):
+        graph.json(1, columns.Bytes.of(pa.array([b"x"], pa.binary())), np.array([1]))
