@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from walloom.functions import layouts, wire
-from walloom.jobs import deliver, outbox, replicate
+from walloom.jobs import common, deliver, outbox, replicate
 from walloom.operators import transactions
 from walloom.sources import frames
 
@@ -99,3 +99,16 @@ def test_numbers_of_long_transactions(spark):
     parts = transactions.numbered(log.where("slot = 'a'"), ["slot", "commit_seq"], "commit_seq", "seq", ["target"], 7).select("commit_seq", "n").rdd.glom().collect()
     assert [tuple(r) for p in parts for r in p] == sorted(tuple(r) for p in parts for r in p)
     assert transactions.numbered(log.limit(0), ["slot", "commit_seq"], "commit_seq", "seq").count() == 0
+
+
+def test_outbox_decodes_no_changes(spark, log, monkeypatch):
+    """The outbox makes nothing of changes and descriptions, so their tuples aren't decoded; a kind that isn't known still fails."""
+    seen = []
+    kept = common.stored
+    monkeypatch.setattr(common, "stored", lambda df: seen.append(kept(df)) or seen[-1])
+    outbox.outbox(spark, log, "tx").collect()
+    kinds = {r["type"] for r in seen[0].select("type").distinct().collect()}
+    assert kinds and not kinds & {"relation", "insert", "update", "delete", "truncate"}
+    odd = spark.range(1).select(F.lit("s").alias("slot"), F.lit(1).cast("bigint").alias("seq"), F.encode(F.lit("?"), "UTF-8").alias("payload"))
+    with pytest.raises(Exception, match="unknown message kind"):
+        outbox.outbox(spark, odd, "tx")

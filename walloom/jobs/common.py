@@ -19,16 +19,18 @@ def session(name: str) -> SparkSession:
 
 def bare(landed: DataFrame) -> DataFrame:
     """Landed frames (slot, seq, payload) without their headers; keep-alives fall out."""
-    log = landed.select("slot", "seq", "payload")
     tag = F.decode(F.substring("payload", 1, 1), "ISO-8859-1")
-    data, _ = frames.split_frames(log)
-    return log.where(~tag.isin("w", "k")).unionByName(data.select("slot", "seq", "payload"))
+    body = F.when(tag == "w", F.substring("payload", F.lit(26), F.length("payload") - 25)).otherwise(F.col("payload"))
+    return landed.where(tag != "k").select("slot", "seq", body.alias("payload"))
 
 
-def messages(spark: SparkSession, landed: str | DataFrame) -> DataFrame:
+def messages(spark: SparkSession, landed: str | DataFrame, unused: tuple[str, ...] = ()) -> DataFrame:
     """Messages of landed frames (slot, seq, payload), a path or a table, with or without a header. They are decoded once and stored: descriptions,
-    outcomes and changes are then read from the table."""
-    return stored(frames.messages(bare(spark.read.parquet(landed) if isinstance(landed, str) else landed)))
+    outcomes and changes are then read from the table. unused: kinds that a job makes nothing of, which aren't decoded; none of those that open or end a block or a transaction."""
+    log = bare(spark.read.parquet(landed) if isinstance(landed, str) else landed)
+    if unused:
+        log = log.where(~F.decode(F.substring("payload", 1, 1), "ISO-8859-1").isin([frames.LETTER[kind] for kind in unused]))
+    return stored(frames.messages(log))
 
 
 def with_transactions(found: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from walloom.operators import changes
 
 def outbox(spark, path: str | DataFrame, prefix: str) -> DataFrame:
     """Transactional messages count when their transaction has committed; others at once."""
-    found = common.messages(spark, path)
+    found = common.messages(spark, path, unused=("relation", "type", "origin", "insert", "update", "delete", "truncate"))
     wanted = changes.logical_messages(found, prefix)
     at_once = wanted.where("NOT transactional").select("slot", "seq", "content")
     held = common.committed(found).where((F.col("type") == "message") & (F.col("prefix") == prefix) & F.col("transactional")).select("slot", "seq", "content")
