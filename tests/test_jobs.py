@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from walloom.functions import layouts, wire
 from walloom.jobs import common, deliver, outbox, replicate
-from walloom.operators import transactions
+from walloom.operators import asof, transactions
 from walloom.sources import frames
 
 
@@ -112,3 +112,30 @@ def test_outbox_decodes_no_changes(spark, log, monkeypatch):
     odd = spark.range(1).select(F.lit("s").alias("slot"), F.lit(1).cast("bigint").alias("seq"), F.encode(F.lit("?"), "UTF-8").alias("payload"))
     with pytest.raises(Exception, match="unknown message kind"):
         outbox.outbox(spark, odd, "tx")
+
+
+def test_what_is_set_aside_takes_no_decoding(spark):
+    """Values that can't be read come out though the others aren't decoded: here those can't be."""
+
+    def fails(b):
+        raise ValueError("decoded")
+
+    lit, t = F.lit, F.lit(0)
+    row = frames.tuple_bytes([(wire.encode_value(lit(1), "int4"), None), (wire.int_bytes(lit(215), 4), None), (F.encode(lit("odd"), "UTF-8"), None)])
+    parts = [frames.begin(lit(100), t, lit(1)), frames.relation(7, "public", "t", "d", [("id", "int4", True), ("heat", 80001, False), ("nick", 90001, False)]), frames.insert(lit(7), row), frames.commit(lit(100), lit(108), t)]
+    landed = spark.range(1).select(F.posexplode(F.array(*parts)).alias("seq", "payload")).select(lit("s").alias("slot"), F.col("seq").cast("bigint"), "payload")
+    kept, aside = deliver.split(spark, landed, {"celsius": layouts.Type(80001, "double", fails)})
+    assert [tuple(r) for r in aside.collect()] == [("s", 2, 3, "public", "t", "new", "nick", 90001, bytearray(b"odd"))]
+    assert kept.collect() == []
+
+
+def test_a_few_points_are_an_expression(spark):
+    """They say what sorted arrays at the workers say, of null keys too, and no row goes to Python for them."""
+    log = spark.range(60).select(F.when(F.col("id") % 3 > 0, F.concat(F.lit("k"), F.col("id") % 3)).alias("k"), (F.col("id") % 20).alias("seq"))
+    points = spark.createDataFrame([("k1", 5, 50), ("k1", 9, 90), (None, 7, -7), ("k2", 0, 1)], "k string, seq long, v long")
+    few = asof.latest_at(log, points, ["k"], "seq", "v", "found")
+    assert "Python" not in few._jdf.queryExecution().executedPlan().toString()
+    many = asof._looked_up(log, points.withColumnRenamed("v", "__value"), ["k"], "seq", "found")
+    rows = lambda df: sorted((str(r["k"]), r["seq"], str(r["found"])) for r in df.collect())
+    assert rows(few) == rows(many)
+    assert {r["found"] for r in asof.latest_at(log, points.limit(0), ["k"], "seq", "v", "found").collect()} == {None}

@@ -57,7 +57,8 @@ def committed(found: DataFrame) -> DataFrame:
     ends = ends.join(first, ["slot", "commit_lsn", "commit_seq"], "left_semi")
     starts = outcomes.where("type = 'stream_start'").select("slot", "tx", F.col("seq").alias("started"))
     copies = ends.where("tx < 0").select("slot", "tx", "commit_seq").join(starts, ["slot", "tx"]).where("started < commit_seq").groupBy("slot", "tx", "commit_seq").agg(F.max("started").alias("started"))
-    sent = F.broadcast if small(outcomes) else lambda part: broadcast_if_small(stored(part))  # each part is no larger than the outcomes
+    few = small(outcomes)  # each part is no larger; it is stored, so that what reads the changes again doesn't make it again
+    sent = lambda part: F.broadcast(stored(part)) if few else broadcast_if_small(stored(part))
     ends = sent(ends.join(copies, ["slot", "tx", "commit_seq"], "left"))
     aborts = outcomes.where("type = 'stream_abort'").select("slot", "tx", F.col("xid").alias("top"), F.col("subtransaction_xid").alias("xid"))
     whole, part = (sent(x) for x in (aborts.where("top = xid").select("slot", "tx").distinct(), aborts.where("top <> xid").select("slot", "tx", "xid").distinct()))

@@ -2,26 +2,33 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
 
 #: Points of 16 bytes that are sent to every worker at most.
 MOST = 4_000_000
+#: Points that an expression holds at most.
+FEW = 16
 
 
 def latest_at(log: DataFrame, points: DataFrame, keys: list[str], order: str, value: str, name: str, rows: int = 1_000_000, most: int = MOST) -> DataFrame:
     """Adds to each row of the log the `value` (a whole number) of the last point of the same keys at or before its place, or null.
 
-    points(keys, order, value) are stored and counted. Up to `most` of them are sent to the workers as sorted arrays, in which each batch of rows looks its
+    points(keys, order, value) are stored and counted. A few are conditions of one expression. Up to `most` of them are sent to the workers as sorted arrays, in which each batch of rows looks its
     places up by halving: only keys and places go to Python, and nothing of the log is shuffled. Beyond that log and points are
     shuffled together into buckets of places, filled in each, with the last point of the buckets before as the carry.
     """
     points = stored(points.select(*keys, F.col(order).cast("bigint").alias(order), F.col(value).cast("bigint").alias("__value")))
-    if points.count() <= most:
+    count = points.count()
+    if count <= min(FEW, most):
+        return log.withColumn(name, _one_of(points, keys, order))
+    if count <= most:
         return _looked_up(log, points, keys, order, name)
     marks = points.withColumn("__point", F.struct(F.col("__value").alias("value"))).drop("__value")
     both = log.withColumn("__log", F.lit(True)).unionByName(marks, allowMissingColumns=True)
@@ -29,6 +36,14 @@ def latest_at(log: DataFrame, points: DataFrame, keys: list[str], order: str, va
     return found.where("__log").withColumn(name, F.col("__filled")["value"]).drop("__log", "__point", "__filled")
 
 
+def _one_of(points: DataFrame, keys: list[str], order: str) -> Column:
+    found = F.when(F.lit(False), F.lit(None).cast("bigint"))
+    for row in sorted(points.collect(), key=lambda r: r[order], reverse=True):  # counted
+        same = [F.col(k).eqNullSafe(F.lit(row[k]).cast(points.schema[k].dataType)) for k in keys]
+        found = found.when(reduce(lambda a, b: a & b, same, F.col(order) >= row[order]), F.lit(row["__value"]).cast("bigint"))
+    return found
+
+
 def _looked_up(log: DataFrame, points: DataFrame, keys: list[str], order: str, name: str) -> DataFrame:
     found = points.toArrow()  # counted
     index: dict[tuple, tuple[np.ndarray, np.ndarray]] = {}

@@ -473,12 +473,14 @@ TABLE = {"user_id": "int8", "event_type": "text", "value": "float8", "props": "j
 
 def state_frames(spark, d) -> DataFrame:
     """The change log as the frames that a server would send, commit positions rising: see _FRAMES. Every transaction carries a message, and after each comes one at once, with a header, and a keep-alive."""
-    log = derived(spark, d).withColumn("kind", F.when(F.col("xid") % 8 == 3, "streamed").when(F.col("xid") % 8 == 7, "aborted").when(F.col("xid") % 8 == 5, "partly").otherwise("plain"))
+    log = stored(derived(spark, d)).withColumn("kind", F.when(F.col("xid") % 8 == 3, "streamed").when(F.col("xid") % 8 == 7, "aborted").when(F.col("xid") % 8 == 5, "partly").otherwise("plain"))
     plain, none, oid = F.col("kind") == "plain", (F.lit(None).cast("binary"), None), F.lit(16931)
     user = (wire.encode_value(F.col("user_id"), "int8"), None)
     log = log.withColumn("value_bytes", layouts.encoder("float8")("value"))
     new = frames.tuple_bytes([user, (wire.encode_value(F.col("event_type"), "text"), None), (F.col("value_bytes"), None), (wire.encode_value(F.col("props"), "jsonb"), F.col("props_toasted"))])
     old = frames.tuple_bytes([user, none, none, none])
+    log = log.withColumns({"new": new, "old": old})
+    new, old = F.col("new"), F.col("old")
     sub = F.when((F.col("kind") == "partly") & (F.col("seq") % 4 == 1), F.col("xid") + 2**31).otherwise(F.col("xid"))
     body = lambda xid: F.when(F.col("op") == "insert", frames.insert(oid, new, xid)).when(F.col("op") == "update", frames.update(oid, new, old, xid=xid)).otherwise(frames.delete(oid, old, xid=xid))
     changed = log.select((F.col("xid") * 128 + F.col("seq") % 8 * 8 + 4).alias("seq"), F.when(plain, body(None)).otherwise(body(sub)).alias("payload"))
@@ -567,7 +569,7 @@ PROFILE = {"user_id": "int8", "mood": "mood", "doc": "doc", "place": "place", "t
 
 def user_type_frames(spark, d, unknown: bool = False) -> tuple[DataFrame, DataFrame]:
     """(frames, catalog). unknown: the table has a column of a type that nobody knows, set in every seventh change."""
-    log = derived(spark, d)
+    log = stored(derived(spark, d))
     middle = (log.agg(F.max("xid")).first()[0] or 0) // 2 * 16
     x, oid, none = F.col("xid"), F.lit(16931), (F.lit(None).cast("binary"), None)
     user, mood = wire.encode_value(F.col("user_id"), "int8"), wire.encode_value(F.col("event_type"), "text")
@@ -575,7 +577,8 @@ def user_type_frames(spark, d, unknown: bool = False) -> tuple[DataFrame, DataFr
     tags = F.concat(*(number(n) for n in (1, 1, 70001, 2, 1)), wire.int_bytes(F.length(mood), 4), mood, number(-1))
     values = [user, mood, wire.encode_value(F.col("props"), "jsonb"), usertypes.record_bytes([(20, user), (70001, mood)]), tags]
     values += [F.when(F.col("seq") % 7 == 0, F.encode(F.concat(F.lit("Nick "), F.col("user_id")), "UTF-8"))] if unknown else []
-    new, old = frames.tuple_bytes([(v, None) for v in values]), frames.tuple_bytes([(user, None), *[none] * (len(values) - 1)])
+    log = log.withColumns({"new": frames.tuple_bytes([(v, None) for v in values]), "old": frames.tuple_bytes([(user, None), *[none] * (len(values) - 1)])})
+    new, old = F.col("new"), F.col("old")
     body = F.when(F.col("op") == "insert", frames.insert(oid, new)).when(F.col("op") == "update", frames.update(oid, new)).otherwise(frames.delete(oid, old))
     changed = log.select((x * 16 + F.col("seq") % 8 + 1).alias("seq"), body.alias("payload"))
     tx = log.groupBy("xid", "commit_lsn", "tx_end_lsn").agg(wire.timestamp_to_micros(F.max("commit_timestamp")).alias("micros"))

@@ -26,6 +26,7 @@ _TUPLE = pa.list_(pa.struct([("kind", pa.string()), ("data", pa.binary())]))
 _ATTRIBUTES = pa.list_(pa.struct([("name", pa.string()), ("type_oid", pa.int64()), ("typmod", pa.int32()), ("is_key", pa.bool_())]))
 ATTRIBUTES = "array<struct<name:string,type_oid:bigint,typmod:int,is_key:boolean>>"
 TUPLE = "array<struct<kind:string,data:binary>>"
+_LETTERS = pa.array([chr(k) for k in range(256)], pa.string())
 
 
 def letter(kind: str) -> Column:
@@ -154,7 +155,7 @@ def _split_tuple(flat: np.ndarray, at: np.ndarray, live: np.ndarray):
     has = np.isin(k, (98, 116))
     mask = np.packbits(has, bitorder="little").tobytes()
     data = pa.Array.from_buffers(pa.large_binary(), len(k), [pa.py_buffer(mask), pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64).tobytes()), pa.py_buffer(body.tobytes())]).cast(pa.binary())
-    kinds = pa.array([chr(x) for x in k], pa.string())
+    kinds = _LETTERS.take(pa.array(k))
     values = pa.StructArray.from_arrays([kinds, data], ["kind", "data"])
     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]).astype(np.int32)), values)
     return lists, at
@@ -164,6 +165,9 @@ def _null_lists(lists: pa.Array, live: np.ndarray) -> pa.Array:
     return pa.compute.if_else(pa.array(live), lists, pa.scalar(None, lists.type))
 
 
+_ROWS = np.frombuffer("".join(LETTER[kind] for kind in ("insert", "update", "delete")).encode(), np.uint8)
+
+
 def _bodies(batches):
     """Adds old_kind, old_tuple, new_tuple and attributes to rows with payload, type and body (the place after oid)."""
     for batch in batches:
@@ -171,18 +175,20 @@ def _bodies(batches):
         n = batch.num_rows
         offsets = np.frombuffer(payload.buffers()[1], np.int64)[payload.offset : payload.offset + n + 1]
         flat = np.concatenate([np.frombuffer(payload.buffers()[2] or b"", np.uint8), np.zeros(8, np.uint8)])
-        kind = np.array(batch.column(batch.schema.get_field_index("type")).to_pylist(), object)
+        letter = np.where(np.diff(offsets) > 0, flat[offsets[:-1]], 0)
         at = offsets[:-1] + batch.column(batch.schema.get_field_index("body")).fill_null(0).to_numpy()
-        row = np.isin(kind, ["insert", "update", "delete"])
+        row = np.isin(letter, _ROWS)
         place = np.where(row, at, 0)
         mark = np.where(row, flat[place], 0)
         old = np.isin(mark, (75, 79))
         old_tuple, after = _split_tuple(flat, np.where(old, at + 1, 0), old)
         second = np.where(old, after, at)
-        new = np.isin(kind, ["insert", "update"])
+        new = np.isin(letter, _ROWS[:2])
         new_tuple, _ = _split_tuple(flat, np.where(new, second + 1, 0), new)
-        attributes = [_relation(flat, int(a)) if k == "relation" else None for a, k in zip(at, kind, strict=True)]
-        columns = [*batch.columns, pa.array([chr(m) if o else None for m, o in zip(mark, old, strict=True)], pa.string()), _null_lists(old_tuple, old), _null_lists(new_tuple, new), pa.array(attributes, _ATTRIBUTES)]
+        attributes: list = [None] * n
+        for k in np.flatnonzero(letter == ord(LETTER["relation"])):
+            attributes[k] = _relation(flat, int(at[k]))
+        columns = [*batch.columns, _LETTERS.take(pa.array(mark.astype(np.uint8), mask=~old)), _null_lists(old_tuple, old), _null_lists(new_tuple, new), pa.array(attributes, _ATTRIBUTES)]
         yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "old_kind", "old_tuple", "new_tuple", "attributes"])
 
 
