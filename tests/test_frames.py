@@ -7,6 +7,7 @@ import struct
 import pytest
 from pyspark.sql import functions as F
 
+from walloom import queries
 from walloom.functions import layouts, lsn, wire
 from walloom.operators import apply, catalog, rows, transactions
 from walloom.sources import frames
@@ -180,3 +181,10 @@ def test_replayed_batch_changes_nothing(spark):
     assert [tuple(r) for r in table.table(spark, 1).collect()] == [(1, "b")] and table.position(spark, 1) == 20
     table(log.where("seq = 1"), 2)
     assert [tuple(r) for r in table.table(spark, 2).collect()] == [(1, "b")] and table.position(spark, 2) == 20
+
+
+@pytest.mark.parametrize("name", ["row_map", "rename_keys"])
+def test_rows_with_names_take_no_python_of_their_own(spark, sf_dir, name):
+    """Frames are decoded once for descriptions and rows, and the few descriptions are found without another pass through Python."""
+    plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InArrow" not in plan

@@ -338,7 +338,7 @@ def order_frames(spark, d) -> DataFrame:
     values = [(wire.encode_value(F.col(n), k), None) for n, k in ORDERS.items()]
     inserts = _order_columns(spark, d).select(F.lit("s").alias("slot"), (F.col("o_orderkey") + 1).alias("seq"), frames.insert(F.lit(16931), frames.tuple_bytes(values)).alias("payload"))
     about = frames.relation(16931, "public", "orders", "d", [(n, k, n == "o_orderkey") for n, k in ORDERS.items()])
-    return inserts.union(spark.range(1).select(F.lit("s"), F.lit(-1).cast("bigint"), about))
+    return stored(inserts.union(spark.range(1).select(F.lit("s"), F.lit(-1).cast("bigint"), about)))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS TIMESTAMP) AS o_orderdate, CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE 'é ' || o_orderstatus END AS o_comment FROM orders")
@@ -349,7 +349,7 @@ def frames_roundtrip_orders(spark, d):
 
 @query("SELECT o_orderkey AS seq, CAST(o_custkey AS VARCHAR) AS custkey, o_orderstatus AS status, CASE WHEN o_orderkey % 3 = 0 THEN 4 ELSE 5 END AS n_values, 'o_orderkey' AS keys FROM orders")
 def row_map(spark, d):
-    read_back = frames.messages(order_frames(spark, d))
+    read_back = stored(frames.messages(order_frames(spark, d)))
     known = read_back.where("type = 'relation'").select("slot", "seq", "rel_oid", "attributes")
     found = progress.as_of(read_back.where("type = 'insert'").select("slot", "seq", "rel_oid", "new_tuple"), known, ["slot", "rel_oid"])
     row = rows.row_map(F.col("attributes"), F.col("new_tuple"))
@@ -358,7 +358,7 @@ def row_map(spark, d):
 
 @query("SELECT o_orderkey AS seq, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'orders.o_comment,' END || 'orders.o_custkey,orders.o_orderdate,orders.o_orderkey,orders.o_orderstatus' AS names FROM orders")
 def rename_keys(spark, d):
-    read_back = frames.messages(order_frames(spark, d))
+    read_back = stored(frames.messages(order_frames(spark, d)))
     known = read_back.where("type = 'relation'").select("slot", "seq", "rel_oid", "attributes", "name")
     found = progress.as_of(read_back.where("type = 'insert'").select("slot", "seq", "rel_oid", "new_tuple"), known, ["slot", "rel_oid"])
     named = rows.renamed(rows.row_map(F.col("attributes"), F.col("new_tuple")), lambda k: F.concat_ws(".", F.col("name"), k))
