@@ -79,8 +79,8 @@ def numbered(changes: DataFrame, keys: list[str], end: str, place: str, ties: li
     """
     step = F.floor((F.col(place) - F.col(end)) / rows).cast("bigint")
     changes = changes.withColumn("__step", step)
-    early = changes.where("__step < -1").groupBy(*keys, "__step").agg(F.count("*").alias("__count"))
-    early = stored(early.unionByName(early.select(*keys, F.lit(-1).cast("bigint").alias("__step"), F.lit(0).cast("bigint").alias("__count")).distinct()))
+    early = stored(changes.where("__step < -1").groupBy(*keys, "__step").agg(F.count("*").alias("__count")))
+    early = early.unionByName(early.select(*keys, F.lit(-1).cast("bigint").alias("__step"), F.lit(0).cast("bigint").alias("__count")).distinct())
     before = F.sum("__count").over(Window.partitionBy(*keys).orderBy("__step").rowsBetween(Window.unboundedPreceding, -1))
     carried = stored(early.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("__step").alias("__of"), before.alias("__before")).where("__before is not null"))
     on = F.col("__step") == F.col("__of")
