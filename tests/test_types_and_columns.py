@@ -321,3 +321,14 @@ def test_a_domain_over_itself_fails_by_columns():
     graph = usertypes.TypeGraph({1: [usertypes.Version(0, "d", "a", base=2)], 2: [usertypes.Version(0, "d", "b", base=1)]})
     with pytest.raises(ValueError, match="over itself"):
         graph.json(1, columns.Bytes.of(pa.array([b"x"], pa.binary())), np.array([1]))
+
+
+def test_texts_and_whole_numbers_are_shown_by_columns(spark):
+    """Common values come out of the pass over whole columns as expressions show them; whole numbers of another width are left to expressions."""
+    kinds = [("text", "é"), ("varchar", ""), ("jsonb", '{"a": 1}'), ("json", "[]"), ("int8", -(2**63)), ("int4", -7), ("int2", 300), ("name", "n")]
+    values = F.array(*(F.struct(F.lit("b").alias("kind"), wire.encode_value(F.lit(v), k).alias("data")) for k, v in kinds), F.struct(F.lit("b").alias("kind"), wire.int_bytes(F.lit(5), 4).alias("data")), F.struct(F.lit("n").alias("kind"), F.lit(None).cast("binary").alias("data")))
+    oids = F.array(*(F.lit(wire.OID[k]).cast("bigint") for k, _ in kinds), F.lit(20).cast("bigint"), F.lit(25).cast("bigint"))
+    df = spark.range(2).select(values.alias("v"), oids.alias("o"))
+    got = df.select(layouts.shown(F.col("v"), F.col("o")).alias("texts"), F.zip_with("v", "o", lambda v, o: rows.shown(v, o)).alias("by_one")).collect()
+    for r in got:
+        assert r["texts"][:8] == r["by_one"][:8] == [str(v) for _, v in kinds] and r["texts"][8:] == [None, None]
