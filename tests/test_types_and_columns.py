@@ -332,3 +332,13 @@ def test_texts_and_whole_numbers_are_shown_by_columns(spark):
     got = df.select(layouts.shown(F.col("v"), F.col("o")).alias("texts"), F.zip_with("v", "o", lambda v, o: rows.shown(v, o)).alias("by_one")).collect()
     for r in got:
         assert r["texts"][:8] == r["by_one"][:8] == [str(v) for _, v in kinds] and r["texts"][8:] == [None, None]
+
+
+def test_numbers_go_out_without_a_matrix_of_longs():
+    """Fixed widths are laid by views of their bytes: the array of one byte a digit of every number that shifts took isn't made."""
+    assert columns._big(np.array([1, -2, 2**31 - 1]), 4).tolist() == [[0, 0, 0, 1], [255, 255, 255, 254], [127, 255, 255, 255]]
+    lists = pa.array([[1, None], [], None, [-1]], pa.list_(pa.int32()))
+    got = columns.array_bytes(lists, layouts.TYPES["int4"].encode, 23, 1).to_pylist()
+    assert got == [layouts.array_bytes([(1).to_bytes(4, "big"), None], 23), layouts.array_bytes([], 23), None, layouts.array_bytes([b"\xff" * 4], 23)]
+    texts = pa.array([["x" * k, None] for k in range(40)], pa.list_(pa.string()))
+    assert columns.array_bytes(texts, layouts.TYPES["text"].encode, 25, 1).to_pylist() == [layouts.array_bytes([b"x" * k, None], 25) for k in range(40)]
