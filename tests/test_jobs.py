@@ -139,3 +139,20 @@ def test_a_few_points_are_an_expression(spark):
     rows = lambda df: sorted((str(r["k"]), r["seq"], str(r["found"])) for r in df.collect())
     assert rows(few) == rows(many)
     assert {r["found"] for r in asof.latest_at(log, points.limit(0), ["k"], "seq", "v", "found").collect()} == {None}
+
+
+def test_many_places_are_found_by_one_shuffle(spark, log, monkeypatch):
+    """Blocks and transactions that are too many for a worker to hold: each frame finds its own in buckets of places, whether they begin in its bucket or before, and no lookup through Python is left."""
+    landed = spark.read.parquet(log)
+    landed = landed.unionByName(landed.withColumn("slot", F.lit("t")).where("seq < 12"))
+    own = lambda found: sorted(map(str, common.with_transactions(found).select("slot", "seq", "stream_xid", "begin_seq", "tx").collect()))
+    few, called = own(frames.messages(common.bare(landed))), []
+    monkeypatch.setattr(asof, "latest_at", lambda *a, **k: called.append(a))
+    for rows in (1, 3, 1000):
+        assert own(frames.messages(common.placed(common.bare(landed), rows, 0))) == few
+    assert not called
+    assert "Python" not in common.placed(common.bare(landed), 3, 0)._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.undo()
+    monkeypatch.setattr(common, "LOOKED_UP", 0)
+    assert sorted(tuple(r) for r in replicate.replicate(spark, log, "public.t", ["id"], {"id": "int4", "s": "text"}).collect()) == [(3, "c"), (5, "a")]
+    assert sorted(r["value"] for r in outbox.outbox(spark, log, "p").collect()) == ["at once", "in"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.usertypes import TypeGraph
-from ..operators import catalog, progress, transactions
+from ..operators import asof, catalog, progress, transactions
 from ..sources import frames
 from ..session import broadcast_if_small, ship, small, stored
 
@@ -19,9 +19,23 @@ def session(name: str) -> SparkSession:
 
 def bare(landed: DataFrame) -> DataFrame:
     """Landed frames (slot, seq, payload) without their headers; keep-alives fall out."""
-    tag = F.decode(F.substring("payload", 1, 1), "ISO-8859-1")
-    body = F.when(tag == "w", F.substring("payload", F.lit(26), F.length("payload") - 25)).otherwise(F.col("payload"))
-    return landed.where(tag != "k").select("slot", "seq", body.alias("payload"))
+    tag = F.substring("payload", 1, 1)
+    body = F.when(tag == F.lit(bytearray(b"w")), F.substring("payload", F.lit(26), F.length("payload") - 25)).otherwise(F.col("payload"))
+    return landed.where(tag != F.lit(bytearray(b"k"))).select("slot", "seq", body.alias("payload"))
+
+
+#: Ends and beginnings of blocks and transactions up to which they are looked up at the workers, each of which holds them then: 4 MB.
+LOOKED_UP = 250_000
+
+
+def placed(log: DataFrame, rows: int = 100_000, most: int | None = None) -> DataFrame:
+    """Frames without headers, where more than `most` of them open or end a block or a transaction, with the block and the transaction that each stands in (stream_xid, begin_seq), found by one
+    shuffle of the frames as they came. So no worker holds all such places, and neither is carried along the wider decoded messages. Where they are fewer, the frames as they are."""
+    marks = {"stream_xid": frames.stream_marker(F.col("payload")), "begin_seq": F.when(frames.tag_of(F.col("payload")) == frames.LETTER["begin"], F.col("seq"))}
+    last = asof.last_marks(log, ["slot"], "seq", marks, rows)
+    if (last.agg(F.sum("__count")).first()[0] or 0) <= (LOOKED_UP if most is None else most):
+        return log
+    return asof.all_filled(log, ["slot"], "seq", marks, last, rows)
 
 
 def messages(spark: SparkSession, landed: str | DataFrame, unused: tuple[str, ...] = ()) -> DataFrame:
@@ -29,8 +43,8 @@ def messages(spark: SparkSession, landed: str | DataFrame, unused: tuple[str, ..
     outcomes and changes are then read from the table. unused: kinds that a job makes nothing of, which aren't decoded; none of those that open or end a block or a transaction."""
     log = bare(spark.read.parquet(landed) if isinstance(landed, str) else landed)
     if unused:
-        log = log.where(~F.decode(F.substring("payload", 1, 1), "ISO-8859-1").isin([frames.LETTER[kind] for kind in unused]))
-    return stored(frames.messages(log))
+        log = log.where(~frames.tag_of(F.col("payload")).isin([frames.LETTER[kind] for kind in unused]))
+    return stored(frames.messages(placed(log)))
 
 
 def with_transactions(found: DataFrame) -> DataFrame:
@@ -39,7 +53,8 @@ def with_transactions(found: DataFrame) -> DataFrame:
     if "tx" in found.columns:
         return found
     opened = F.when(F.col("type") == "begin", F.col("seq"))
-    log = transactions.carry_forward(found, opened, "begin_seq").withColumn("tx", F.when(F.col("stream_xid") >= 0, -F.col("stream_xid")).otherwise(F.col("begin_seq")))
+    log = found if "begin_seq" in found.columns else transactions.carry_forward(found, opened, "begin_seq")
+    log = log.withColumn("tx", F.when(F.col("stream_xid") >= 0, -F.col("stream_xid")).otherwise(F.col("begin_seq")))
     return log.withColumn("tx", F.when(F.col("type").isin("stream_start", "stream_commit", "stream_abort"), -F.col("xid")).otherwise(F.col("tx")))
 
 

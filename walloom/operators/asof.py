@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import stored
+from ..session import broadcast_if_small, stored
 
 #: Points of 16 bytes that are sent to every worker at most.
 MOST = 4_000_000
@@ -88,6 +88,27 @@ def _coded(columns: list[pa.Array], n: int) -> tuple[np.ndarray, dict[int, tuple
     return code, names
 
 
+def all_filled(log: DataFrame, keys: list[str], order: str, marks: dict[str, Column], last: DataFrame, rows: int) -> DataFrame:
+    """Adds for each name the last non-null mark at or before each row, all of them by one shuffle into buckets of `rows` places, without Python. last: of `last_marks`, the same marks and rows."""
+    held = log.withColumn("__bucket", F.floor(F.col(order) / rows))
+    inside = Window.partitionBy(*keys, "__bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col("__bucket").alias("__of"), *(F.last(name, ignorenulls=True).over(before).alias(f"__carry_{name}") for name in marks))
+    on = F.col("__bucket") == F.col("__of")
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    held = held.withColumns({name: F.last(mark, ignorenulls=True).over(inside) for name, mark in marks.items()})
+    joined = held.join(broadcast_if_small(stored(carry)), on, "left")
+    return joined.withColumns({name: F.coalesce(name, f"__carry_{name}") for name in marks}).drop("__bucket", "__of", *(f"__carry_{name}" for name in marks), *(f"__{k}" for k in keys))
+
+
+def last_marks(log: DataFrame, keys: list[str], order: str, marks: dict[str, Column], rows: int) -> DataFrame:
+    """The last of each mark in each bucket of `rows` places, and as `__count` how many rows of the bucket have a mark: one row a bucket, stored."""
+    some = reduce(lambda a, b: a | b, (mark.isNotNull() for mark in marks.values()))
+    last = (F.max_by(mark, F.when(mark.isNotNull(), F.col(order))).alias(name) for name, mark in marks.items())
+    return stored(log.groupBy(*keys, F.floor(F.col(order) / rows).alias("__bucket")).agg(*last, F.count(F.when(some, 1)).alias("__count")))
+
+
 def hot(log: DataFrame, keys: list[str], rows: int) -> bool:
     """Whether a key has more than so many rows. An aggregate with map-side combine over the keys alone."""
     return not log.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > rows).isEmpty()

@@ -168,28 +168,28 @@ def _null_lists(lists: pa.Array, live: np.ndarray) -> pa.Array:
 _ROWS = np.frombuffer("".join(LETTER[kind] for kind in ("insert", "update", "delete")).encode(), np.uint8)
 
 
-def _bodies(batches):
-    """Adds old_kind, old_tuple, new_tuple and attributes to rows with payload, type and body (the place after oid)."""
-    for batch in batches:
-        payload = batch.column(batch.schema.get_field_index("payload")).cast(pa.large_binary())
-        n = batch.num_rows
-        offsets = np.frombuffer(payload.buffers()[1], np.int64)[payload.offset : payload.offset + n + 1]
-        flat = np.concatenate([np.frombuffer(payload.buffers()[2] or b"", np.uint8), np.zeros(8, np.uint8)])
-        letter = np.where(np.diff(offsets) > 0, flat[offsets[:-1]], 0)
-        at = offsets[:-1] + batch.column(batch.schema.get_field_index("body")).fill_null(0).to_numpy()
-        row = np.isin(letter, _ROWS)
-        place = np.where(row, at, 0)
-        mark = np.where(row, flat[place], 0)
-        old = np.isin(mark, (75, 79))
-        old_tuple, after = _split_tuple(flat, np.where(old, at + 1, 0), old)
-        second = np.where(old, after, at)
-        new = np.isin(letter, _ROWS[:2])
-        new_tuple, _ = _split_tuple(flat, np.where(new, second + 1, 0), new)
-        attributes: list = [None] * n
-        for k in np.flatnonzero(letter == ord(LETTER["relation"])):
-            attributes[k] = _relation(flat, int(at[k]))
-        columns = [*batch.columns, _LETTERS.take(pa.array(mark.astype(np.uint8), mask=~old)), _null_lists(old_tuple, old), _null_lists(new_tuple, new), pa.array(attributes, _ATTRIBUTES)]
-        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "old_kind", "old_tuple", "new_tuple", "attributes"])
+def _bodies(payload: pa.Array, body: pa.Array) -> pa.Array:
+    """old_kind, old_tuple, new_tuple and attributes of payloads, from the place after the table's id. Only these two columns go to Python, and only what is read comes back."""
+    payload, body = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (payload, body))
+    payload = payload.cast(pa.large_binary())
+    n = len(payload)
+    offsets = np.frombuffer(payload.buffers()[1], np.int64)[payload.offset : payload.offset + n + 1]
+    flat = np.concatenate([np.frombuffer(payload.buffers()[2] or b"", np.uint8), np.zeros(8, np.uint8)])
+    letter = np.where(np.diff(offsets) > 0, flat[offsets[:-1]], 0)
+    at = offsets[:-1] + body.fill_null(0).to_numpy(zero_copy_only=False)
+    row = np.isin(letter, _ROWS)
+    place = np.where(row, at, 0)
+    mark = np.where(row, flat[place], 0)
+    old = np.isin(mark, (75, 79))
+    old_tuple, after = _split_tuple(flat, np.where(old, at + 1, 0), old)
+    second = np.where(old, after, at)
+    new = np.isin(letter, _ROWS[:2])
+    new_tuple, _ = _split_tuple(flat, np.where(new, second + 1, 0), new)
+    attributes: list = [None] * n
+    for k in np.flatnonzero(letter == ord(LETTER["relation"])):
+        attributes[k] = _relation(flat, int(at[k]))
+    kinds = _LETTERS.take(pa.array(mark.astype(np.uint8), mask=~old))
+    return pa.StructArray.from_arrays([kinds, _null_lists(old_tuple, old), _null_lists(new_tuple, new), pa.array(attributes, _ATTRIBUTES)], ["old_kind", "old_tuple", "new_tuple", "attributes"])
 
 
 def _relation(flat: np.ndarray, at: int) -> list[dict]:
@@ -204,22 +204,34 @@ def _relation(flat: np.ndarray, at: int) -> list[dict]:
     return out
 
 
+def tag_of(payload: Column) -> Column:
+    """The letter of a message's kind. Letters are ASCII, so that the byte is taken as it is; others are no letter of a kind."""
+    return F.substring(payload, 1, 1).cast("string")
+
+
+def stream_marker(payload: Column) -> Column:
+    """What a message says of the block that those behind it stand in: its transaction's id, -1 that there is none, null where it says nothing."""
+    tag = tag_of(payload)
+    ends = [LETTER[kind] for kind in ("stream_stop", "begin", "commit", "stream_commit", "stream_abort")]
+    return F.when(tag == LETTER["stream_start"], wire.unsigned(payload, 2, 4)).when(tag.isin(ends), F.lit(-1).cast("bigint"))
+
+
 def messages(frames: DataFrame, rows: int = 1_000_000, failfast: bool = True) -> DataFrame:
     """frames(slot, seq, payload without header) -> one typed row a message, in a wide schema.
 
     Whether a change carries a transaction id depends on whether it stands inside a streamed block, so stream markers are
     carried forward first. Fixed layouts are read by expressions; tuples and attribute lists by one vectorised pass.
-    Kinds that aren't known fail, or come out with type null.
+    Kinds that aren't known fail, or come out with type null. Frames that have stream_xid already aren't looked at for it; begin_seq is handed on.
     """
     p = F.col("payload")
-    tag = F.decode(F.substring(p, 1, 1), "ISO-8859-1")
+    tag = tag_of(p)
     names = F.create_map(*(F.lit(x) for pair in KINDS.items() for x in pair))
     kind = names[tag]
     if failfast:
-        kind = F.coalesce(kind, F.raise_error(F.concat(F.lit("unknown message kind "), tag)).cast("string"))
+        kind = F.coalesce(kind, F.raise_error(F.concat(F.lit("unknown message kind "), F.decode(F.substring(p, 1, 1), "ISO-8859-1"))).cast("string"))
     typed = frames.withColumn("type", kind)
-    marker = F.when(F.col("type") == "stream_start", wire.unsigned(p, 2, 4)).when(F.col("type").isin("stream_stop", "begin", "commit", "stream_commit", "stream_abort"), F.lit(-1).cast("bigint"))
-    typed = carry_forward(typed, marker, "stream_xid", rows=rows)
+    if "stream_xid" not in frames.columns:
+        typed = carry_forward(typed, stream_marker(p), "stream_xid", rows=rows)
     streamed = F.coalesce(F.col("stream_xid") >= 0, F.lit(False))
     of = lambda *kinds: F.col("type").isin(*kinds)
     carries = of("relation", "type", "insert", "update", "delete", "truncate", "message") & streamed
@@ -231,11 +243,11 @@ def messages(frames: DataFrame, rows: int = 1_000_000, failfast: bool = True) ->
     # places are counted from 0 in the helper: of the byte after the table's id, or of a description's attribute count
     body = F.when(of("insert", "update", "delete"), at + 3).when(of("relation"), F.col("second_end") + 1)
     typed = typed.withColumn("body", body.cast("bigint"))
-    whole = typed.mapInArrow(_bodies, typed.schema.simpleString()[7:-1].replace(":", " ") + f", old_kind string, old_tuple {TUPLE}, new_tuple {TUPLE}, attributes {ATTRIBUTES}")
+    whole = typed.withColumn("read", F.arrow_udf(_bodies, f"old_kind string, old_tuple {TUPLE}, new_tuple {TUPLE}, attributes {ATTRIBUTES}")("payload", "body"))
     first, second = F.col("first_end"), F.col("second_end")
     size = wire.unsigned(p, first + 1, 4)
     return whole.select(
-        "slot", "seq", "type", "stream_xid",
+        "slot", "seq", "type", "stream_xid", *(["begin_seq"] if "begin_seq" in frames.columns else []),
         F.when(of("begin"), wire.unsigned(p, 18, 4)).when(of("stream_start", "stream_commit", "stream_abort"), wire.unsigned(p, 2, 4)).when(carries, wire.unsigned(p, 2, 4)).alias("xid"),
         F.when(of("begin"), wire.signed(p, 2, 8)).when(of("message"), wire.signed(p, at + 1, 8)).alias("lsn"),
         F.when(of("commit"), wire.signed(p, 3, 8)).when(of("stream_commit"), wire.signed(p, 7, 8)).when(of("origin"), wire.signed(p, 2, 8)).alias("commit_lsn"),
@@ -248,7 +260,7 @@ def messages(frames: DataFrame, rows: int = 1_000_000, failfast: bool = True) ->
         F.when(of("relation", "type"), wire.text_between(p, at + 4, first)).alias("namespace"),
         F.when(of("relation", "type"), wire.text_between(p, first + 1, second)).when(of("origin"), wire.text_between(p, 10, first)).alias("name"),
         F.when(of("relation"), F.decode(F.substring(p, second + 1, F.lit(1)), "UTF-8")).alias("replica_identity"),
-        "attributes", "old_kind", "old_tuple", "new_tuple",
+        "read.attributes", "read.old_kind", "read.old_tuple", "read.new_tuple",
         F.when(of("message"), wire.text_between(p, at + 9, first)).alias("prefix"),
         F.when(of("message"), F.substring(p, first + 5, size.cast("int"))).alias("content"),
         F.when(of("message"), wire.unsigned(p, at, 1) == 1).alias("transactional"),
