@@ -156,3 +156,47 @@ def test_many_places_are_found_by_one_shuffle(spark, log, monkeypatch):
     monkeypatch.setattr(common, "LOOKED_UP", 0)
     assert sorted(tuple(r) for r in replicate.replicate(spark, log, "public.t", ["id"], {"id": "int4", "s": "text"}).collect()) == [(3, "c"), (5, "a")]
     assert sorted(r["value"] for r in outbox.outbox(spark, log, "p").collect()) == ["at once", "in"]
+
+
+def _updates(spark, *parts):
+    """One transaction over a table of a key and a value of a type of its own."""
+    lit, t = F.lit, F.lit(0)
+    about = frames.relation(7, "public", "t", "f", [("id", "int4", True), ("heat", 80001, False)])
+    all_parts = [frames.begin(lit(100), t, lit(1)), about, *parts, frames.commit(lit(100), lit(108), t)]
+    return spark.range(1).select(F.posexplode(F.array(*all_parts)).alias("seq", "payload")).select(lit("s").alias("slot"), F.col("seq").cast("bigint"), "payload")
+
+
+def _pair(k, heat, unsent=None):
+    return frames.tuple_bytes([(wire.encode_value(F.lit(k), "int4"), None), (wire.int_bytes(F.lit(heat), 4), F.lit(True) if unsent else None)])
+
+
+def test_of_an_old_row_only_its_key_is_decoded(spark):
+    import pyarrow as pa
+
+    def decode(b):
+        values = [None if d is None else int.from_bytes(d, "big") for d in b.binary().to_pylist()]
+        if 666 in values:
+            raise ValueError("decoded")
+        return pa.array(values, pa.int64())
+
+    landed = _updates(spark, frames.insert(F.lit(7), _pair(1, 5)), frames.update(F.lit(7), _pair(2, 6), _pair(1, 666), "O"))
+    got = replicate.replicate(spark, landed, "public.t", ["id"], {"id": "int4", "heat": "celsius"}, {"celsius": layouts.Type(80001, "bigint", decode)})
+    assert [tuple(r) for r in got.collect()] == [(2, 6)]
+
+
+def test_rows_that_do_not_move_take_nothing_along(spark, monkeypatch):
+    """The changes are stored and looked through for moves only where an update has another old key and leaves a value out."""
+    kinds, oid = {"id": "int4", "heat": "int4"}, F.lit(7)
+    key = lambda k: frames.tuple_bytes([(wire.encode_value(F.lit(k), "int4"), None), (F.lit(None).cast("binary"), None)])
+    outside = frames.tuple_bytes([(F.lit(None).cast("binary"), None), (F.lit(None).cast("binary"), None)])
+    called = []
+    kept = replicate.apply.with_moved_values
+    monkeypatch.setattr(replicate.apply, "with_moved_values", lambda *a: called.append(a) or kept(*a))
+    cases = [
+        (frames.update(oid, _pair(1, 6), key(2)), False, [(1, 6)]), (frames.update(oid, _pair(1, 6, True), key(1)), False, [(1, 5)]), (frames.update(oid, _pair(1, 6, True)), False, [(1, 5)]),
+        (frames.update(oid, _pair(1, 6, True), outside), False, [(1, 5)]), (frames.update(oid, _pair(2, 6, True), key(1)), True, [(2, 5)]), (frames.update(oid, _pair(2, 6, True), _pair(1, 5), "O"), True, [(2, 5)]),
+    ]
+    for update, moves, wanted in cases:
+        called.clear()
+        got = replicate.replicate(spark, _updates(spark, frames.insert(oid, _pair(1, 5)), update), "public.t", ["id"], kinds)
+        assert bool(called) == moves and [tuple(r) for r in got.collect()] == wanted

@@ -70,9 +70,9 @@ def encode_value(value: Column, kind: str) -> Column:
     if kind == "bool":
         return F.when(value, F.unhex(F.lit("01"))).when(~value, F.unhex(F.lit("00")))
     if kind in ("text", "varchar", "bpchar", "name", "json", "char"):
-        return F.encode(value, "UTF-8")
+        return value.cast("string").cast("binary")
     if kind == "jsonb":
-        return F.concat(F.unhex(F.lit("01")), F.encode(value, "UTF-8"))
+        return F.concat(F.unhex(F.lit("01")), value.cast("string").cast("binary"))
     if kind == "bytea":
         return value
     if kind == "date":

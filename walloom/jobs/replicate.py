@@ -6,6 +6,7 @@ COLUMN:TYPE lists the table's columns in order, with the built-in types of their
 from __future__ import annotations
 
 import sys
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +40,8 @@ ORDER = ["commit_seq", "seq", "part"]
 def keyed(changes: DataFrame, keys: list[str], kinds: dict[str, str], registry: dict | None = None) -> tuple[DataFrame, dict[str, str]]:
     """Described changes of one table as typed rows with their key, in ORDER, and the columns' marks of large values that weren't sent."""
     known = {**decoders(kinds), **{kind: layouts.decoder(kind, {kind: one}) if isinstance(one, layouts.Type) else one for kind, one in (registry or {}).items()}}
-    value = [F.struct(*rows.typed(F.col(f"{c}_tuple"), kinds, known)).alias(c) for c in ("new", "old")]
+    # of an old row nothing but its key is used, so nothing else of it is decoded
+    value = [F.struct(*rows.typed(F.col(f"{c}_tuple"), kinds, known, only)).alias(c) for c, only in (("new", None), ("old", keys))]
     log = changes.select(F.col("type").alias("op"), "commit_seq", "seq", "old_kind", *value, rows.unchanged(F.col("new_tuple"), F.col("attributes")).alias("unchanged"))
     values = [c for c in kinds if c not in keys]
     key = [F.coalesce(F.col("new")[k], F.col("old")[k]).alias(k) for k in keys]
@@ -60,6 +62,18 @@ def after_truncates(changes: DataFrame) -> DataFrame:
     return apply.after_truncate(changes, changes.where("type = 'truncate'"), "table", ["commit_seq", "seq"])
 
 
+def may_move(found: DataFrame, keys: list[str], kinds: dict[str, str]) -> bool:
+    """Whether an update among the messages sends an old key whose bytes differ from the new one's, and leaves a large value out. Where none does, no row has a value to take along. Of other tables
+    and of transactions that didn't commit they count too: that costs time only."""
+    part = lambda c, k: F.get(F.col(f"{c}_tuple"), F.lit(k))
+    # in an old key (K) a null is a column outside the replica identity
+    other = [~part("old", k).eqNullSafe(part("new", k)) & ((F.col("old_kind") == "O") | part("old", k)["data"].isNotNull()) for k, c in enumerate(kinds) if c in keys]
+    sent = found.where((F.col("type") == "update") & F.col("old_kind").isNotNull())
+    if sent.isEmpty():  # reads two narrow columns; tuples only where there is something to compare
+        return False
+    return not sent.where(F.array_contains("new_tuple.kind", "u") & reduce(lambda a, b: a | b, other)).isEmpty()
+
+
 def replicate(spark, path: str | DataFrame, table: str, keys: list[str], kinds: dict[str, str], registry: dict | None = None, types: DataFrame | None = None) -> DataFrame:
     """registry: type -> decoder of a column of bytes, or `layouts.Type`, added to those of the built-in types or in place of them. types: the database's own types, as
     `catalog.type_graph` takes them; kinds may name them. A moved row keeps its large values, whether they were sent or not."""
@@ -69,7 +83,7 @@ def replicate(spark, path: str | DataFrame, table: str, keys: list[str], kinds:
     changes = after_truncates(of_table(common.described(found, common.committed(found), graph), table))
     log, marked = keyed(changes, keys, kinds, {**own, **(registry or {})})
     old_keys = [f"old_{k}" for k in keys]
-    return apply.latest_state(apply.with_moved_values(log, keys, old_keys, ORDER, marked) if marked else log, keys, list(marked), ORDER, marked)
+    return apply.latest_state(apply.with_moved_values(log, keys, old_keys, ORDER, marked) if marked and may_move(found, keys, kinds) else log, keys, list(marked), ORDER, marked)
 
 
 def main(frames: str, table: str, keys: str, kinds: str, out: str) -> None:

@@ -63,10 +63,12 @@ def row_map(attributes: Column, values: Column, registry: Registry | None = None
     return F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
 
 
-def typed(values: Column, kinds: dict[str, str], decoders: dict[str, Callable[[Column], Column]] | None = None) -> list[Column]:
-    """One column for each attribute, nulls kept; kinds: attribute -> type, in the table's order. A numeric is its text in both formats."""
+def typed(values: Column, kinds: dict[str, str], decoders: dict[str, Callable[[Column], Column]] | None = None, only: list[str] | None = None) -> list[Column]:
+    """One column for each attribute, or for some only, nulls kept; kinds: attribute -> type, in the table's order. A numeric is its text in both formats."""
     out = []
     for k, (name, kind) in enumerate(kinds.items()):
+        if only is not None and name not in only:
+            continue
         value = F.get(values, F.lit(k))
         binary = (decoders or {}).get(kind, lambda d, kind=kind: wire.decode_value(d, kind))(F.when(value["kind"] == "b", value["data"]))
         sent = F.decode(value["data"], "UTF-8")
